@@ -1,0 +1,5 @@
+"""Deliberately empty.
+
+The workload has no stream, watermark or late-data semantics; its only
+incremental behaviour is the batch append in ``strandline.sources.datasets``.
+"""
