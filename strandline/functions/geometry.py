@@ -62,6 +62,11 @@ def _point_column(x: np.ndarray, y: np.ndarray, valid: np.ndarray | None = None)
     return out if valid is None else pc.if_else(pa.array(valid), out, pa.scalar(None, pa.binary()))
 
 
+def wkb_from_wkt(text: str) -> bytes:
+    """Stored form of one geometry, for literals."""
+    return codec.encode_wkb(codec.decode_wkt(text))
+
+
 def _try(fn, value):
     """``fn(value)``, or None for a null or malformed value."""
     if value is None:
