@@ -21,7 +21,7 @@ from strandline.plans.lakehouse import FeatureLakehouse, LakehouseConfig
 from strandline.plans.layer_export import export_layer
 from strandline.plans.occurrence import occurrence_profile
 from strandline.plans.reconcile import lookup_status, reconcile_chunks, reconcile_sampled
-from strandline.session import scratch_path
+from strandline.session import scratch_path, write_through
 from strandline.sources import datasets, files, geoparquet
 from strandline.sources.shapefile import shapefile_ingest
 
@@ -359,7 +359,8 @@ def align_int(spark, sf):
     wide = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_orderkey") * 1000003 + F.col("l_partkey")).alias("as_float"))
     df = align.align_types(wide, keep=("l_orderkey", "l_linenumber"))
-    return df.withColumn("as_float", F.col("as_float").cast("double"))
+    # Written and read back: the optimizer folds a cast to float and on to double into one cast.
+    return write_through(df, "aligned").withColumn("as_float", F.col("as_float").cast("double"))
 
 
 @query("""
@@ -502,7 +503,7 @@ def geom_equals(spark, sf):
 @query(with_clause("pts", "cells", "feat", "feat_copy") + """
 SELECT _fid, CASE WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt AND c.gui = f.gui) THEN 'match'
                   WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt) THEN 'control_mismatch'
-                  WHEN EXISTS (SELECT 1 FROM cells WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)
+                  WHEN wkt IS NOT NULL AND EXISTS (SELECT 1 FROM cells WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)
                   THEN 'contained_not_exact' ELSE 'not_contained' END AS status
 FROM feat f JOIN pts USING (_fid)""")
 def geom_lookup_status(spark, sf):

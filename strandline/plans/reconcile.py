@@ -47,7 +47,8 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
                .when(~exact, "contained_not_exact").otherwise(verdict))
     order = F.array(*[F.lit(s) for s in STATUSES])
     best = pairs.groupBy(*probe_id).agg(F.max(F.array_position(order, verdict)).alias("_best"))
-    status = F.coalesce(F.element_at(order, F.col("_best").cast("int")), F.lit(STATUSES[0]))
+    # A null index into a constant array does not yield null in every Spark version, hence the explicit case.
+    status = F.when(F.col("_best").isNull(), STATUSES[0]).otherwise(F.element_at(order, F.col("_best").cast("int")))
     found = F.broadcast(best) if few_probes else best
     return probes.select(*probe_id).join(found, probe_id, "left").select(*probe_id, status.alias("status"))
 
