@@ -25,7 +25,9 @@ def _doubles(*names: str) -> T.StructType:
 
 # Types are objects, not DDL text: executors import this module, and text needs a session to parse.
 BBOX_TYPE = _doubles("xmin", "ymin", "xmax", "ymax")
-EDGES_TYPE = T.ArrayType(_doubles("x1", "y1", "x2", "y2"))
+EDGE_NAMES = ("x1", "y1", "x2", "y2")
+FRAME_TYPE = T.StructType([
+    T.StructField("box", BBOX_TYPE), T.StructField("edges", T.ArrayType(_doubles(*EDGE_NAMES)))])
 PARTS_TYPE = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("rings", T.ArrayType(T.ArrayType(_doubles("x", "y"))))])
 # A WKB point is byte order, type number and two doubles.
@@ -123,14 +125,36 @@ def canonical_wkb(wkb: pa.Array) -> pa.Array:
     return _map_geoms(wkb, codec.encode_wkb, pa.binary())
 
 
+def _decoded(wkb: pa.Array) -> list:
+    """Geometry per value, None for null or malformed."""
+    return [_try(codec.decode_wkb, b) for b in wkb.to_pylist()]
+
+
+def _nested(lengths: list[int | None], values: pa.Array) -> pa.Array:
+    """List array over flat values; a length of None is a null list."""
+    ends = np.cumsum([0] + [n or 0 for n in lengths])
+    nulls = pa.array([n is None for n in lengths], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=nulls)
+
+
+def _structs(rows: np.ndarray, names: tuple[str, ...]) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names)
+
+
+def _stack(parts: list[np.ndarray], width: int) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty((0, width))
+
+
 @F.arrow_udf(PARTS_TYPE)
 def geom_parts(wkb: pa.Array) -> pa.Array:
     """Type name and coordinate arrays of a geometry."""
-    def parts(geom):
-        return {"kind": codec.TYPE_NAMES[geom[0]],
-                "rings": [[{"x": x, "y": y} for x, y in r[:, :2].tolist()] for r in codec.rings(geom)]}
-    xy = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-    return _map_geoms(wkb, parts, pa.struct([("kind", pa.string()), ("rings", pa.list_(pa.list_(xy)))]))
+    geoms = _decoded(wkb)
+    paths = [None if g is None else codec.rings(g) for g in geoms]
+    flat = [r[:, :2] for rings in paths if rings for r in rings]
+    rings = _nested([len(r) for r in flat], _structs(_stack(flat, 2), ("x", "y")))
+    per_geom = _nested([None if r is None else len(r) for r in paths], rings)
+    kinds = pa.array([None if g is None else codec.TYPE_NAMES[g[0]] for g in geoms], pa.string())
+    return pa.StructArray.from_arrays([kinds, per_geom], ["kind", "rings"], mask=kinds.is_null())
 
 
 @F.arrow_udf(BBOX_TYPE)
@@ -140,29 +164,35 @@ def geom_bbox(wkb: pa.Array) -> pa.Array:
 
 
 def bbox_batch(wkb: pa.Array) -> pa.Array:
-    names = ("xmin", "ymin", "xmax", "ymax")
     points = _points(wkb)
     if points is not None:
-        x, y = pa.array(points["x"].copy()), pa.array(points["y"].copy())
-        return pa.StructArray.from_arrays([x, y, x, y], names)
+        return _structs(np.column_stack([points["x"], points["y"]] * 2), BBOX_TYPE.names)
+    return _boxes(_decoded(wkb))
 
-    def box(geom):
-        xy = [r[:, :2] for r in codec.rings(geom) if len(r)]
-        if not xy:
-            return None
-        xy = np.concatenate(xy)
-        return dict(zip(names, [*xy.min(axis=0).tolist(), *xy.max(axis=0).tolist()]))
-    return _map_geoms(wkb, box, pa.struct([(n, pa.float64()) for n in names]))
 
+def _boxes(geoms: list) -> pa.Array:
+    rows = np.full((len(geoms), 4), np.nan)
+    for i, geom in enumerate(geoms):
+        xy = [r[:, :2] for r in codec.rings(geom) if len(r)] if geom is not None else []
+        if xy:
+            xy = np.concatenate(xy) if len(xy) > 1 else xy[0]
+            rows[i, :2], rows[i, 2:] = xy.min(axis=0), xy.max(axis=0)
+    columns = [pa.array(np.ascontiguousarray(c)) for c in rows.T]
+    return pa.StructArray.from_arrays(columns, BBOX_TYPE.names, mask=pa.array(np.isnan(rows[:, 0])))
 
-@F.arrow_udf(EDGES_TYPE)
-def area_edges(wkb: pa.Array) -> pa.Array:
-    """Boundary segments of a polygon or multipolygon; null for any other type."""
-    names = ("x1", "y1", "x2", "y2")
 
-    def segments(geom):
-        return [dict(zip(names, e)) for e in predicates.edges(geom).tolist()] if geom[0] in predicates.AREAS else None
-    return _map_geoms(wkb, segments, pa.list_(pa.struct([(n, pa.float64()) for n in names])))
+@F.arrow_udf(FRAME_TYPE)
+def geom_frame(wkb: pa.Array) -> pa.Array:
+    """Bounding box, and the boundary segments of a polygon or multipolygon (null for other types)."""
+    points = _points(wkb)
+    if points is not None:
+        edges = _nested([None] * len(wkb), _structs(np.empty((0, 4)), EDGE_NAMES))
+        return pa.StructArray.from_arrays([bbox_batch(wkb), edges], FRAME_TYPE.names)
+    geoms = _decoded(wkb)
+    walls = [predicates.edges(g) if g is not None and g[0] in predicates.AREAS else None for g in geoms]
+    flat = _structs(_stack([w for w in walls if w is not None], 4), EDGE_NAMES)
+    edges = _nested([None if w is None else len(w) for w in walls], flat)
+    return pa.StructArray.from_arrays([_boxes(geoms), edges], FRAME_TYPE.names)
 
 
 def _pairwise(left: pa.Array, right: pa.Array, fn, arrow_type) -> pa.Array:
@@ -194,6 +224,15 @@ def geom_equals_within(left, right, tolerance: float) -> Column:
     return compare(left, right)
 
 
+def once(udf):
+    """A codec for use inside an operator that filters on its result.
+
+    Declared nondeterministic, so the optimizer neither repeats the call in a
+    filter below it nor merges it into several expressions.
+    """
+    return udf.asNondeterministic()
+
+
 # ---------------------------------------------------------------- native expressions
 
 def geom_to_wkb(geom: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import (
-    area_edges, bbox_batch, geom_bbox, geom_contains, geom_parts, point_in_edges)
+    bbox_batch, geom_bbox, geom_contains, geom_frame, geom_parts, once, point_in_edges)
 from strandline.operators.geojoin import KEY, with_key
 from strandline.operators.skew import skew_join
 
@@ -40,8 +40,14 @@ def is_point(geom: Column) -> Column:
     return (F.octet_length(geom) == 21) & (F.substring(geom, 1, 5) == F.unhex(F.lit(_POINT_HEAD)))
 
 
-def _boxed(df: DataFrame, geometry: str, box: str | None) -> DataFrame:
-    df = df.withColumn("_box", F.col(box) if box else geom_bbox(geometry))
+def _framed(df: DataFrame, geometry: str, box: str | None, edges: bool) -> DataFrame:
+    """Rows with a bounding box ``_box`` and, if wanted, boundary segments ``_edges``."""
+    if edges:
+        df = df.withColumn("_frame", once(geom_frame)(geometry))
+        df = df.withColumn("_edges", F.col("_frame.edges")).withColumn("_box", F.col("_frame.box")).drop("_frame")
+        df = df.withColumn("_box", F.col(box)) if box else df
+    else:
+        df = df.withColumn("_box", F.col(box) if box else once(geom_bbox)(geometry))
     return df.where(F.col("_box").isNotNull())
 
 
@@ -72,34 +78,37 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     broadcasts it, which spares the containers their shuffle. ``container_cols``
     and ``probe_cols`` must not overlap; ``probe_cols`` must identify a probe.
     """
-    held = _boxed(containers, geometry, container_box).select(
-        *container_cols, F.col(geometry).alias("_outer"), "_box", area_edges(geometry).alias("_edges"))
-    sought = _boxed(probes, geometry, probe_box).select(*probe_cols, F.col(geometry).alias("_inner"), "_box")
-    used = _boxed(containers, geometry, container_box).select(grid_level(F.col("_box")).alias("level")).distinct()
+    used = _framed(containers.select(geometry, *([container_box] if container_box else [])),
+                   geometry, container_box, edges=False).select(grid_level(F.col("_box")).alias("level")).distinct()
     levels = sorted(r.level for r in used.collect())  # one number per grid size, a few dozen at most
-    if not levels:
-        levels = [FINEST_LEVEL]
+    held = containers.select(*container_cols, F.col(geometry).alias("_outer"),
+                             *([F.col(container_box).alias("_stored")] if container_box else []))
+    held = _framed(held, "_outer", "_stored" if container_box else None, edges=True).drop("_stored")
+    sought = probes.select(*probe_cols, F.col(geometry).alias("_inner"),
+                           *([F.col(probe_box).alias("_stored")] if probe_box else []))
+    sought = _framed(sought, "_inner", "_stored" if probe_box else None, edges=False).drop("_stored")
     held = container_cells(held).withColumnRenamed("_box", "_outer_box")
-    sought = probe_cells(sought, levels)
+    sought = probe_cells(sought, levels or [FINEST_LEVEL])
     keys = ["_level", "_cx", "_cy"]
     if few_probes:
         pairs = held.join(F.broadcast(sought), keys)
     else:
         pairs = skew_join(sought, held, keys, "inner", spread=probe_cols)
-    box, outer = F.col("_box"), F.col("_outer_box")
-    pairs = pairs.where((outer.xmin <= box.xmin) & (outer.ymin <= box.ymin)
-                        & (outer.xmax >= box.xmax) & (outer.ymax >= box.ymax))
-    point, same = is_point(F.col("_inner")), F.col("_outer") == F.col("_inner")
-    native = F.when(point & is_point(F.col("_outer")), same)
-    native = native.when(point & F.col("_edges").isNotNull(), point_in_edges(box.xmin, box.ymin, F.col("_edges")))
-    pairs = pairs.withColumn("_native", native)
+    box, outer, edges = F.col("_box"), F.col("_outer_box"), F.col("_edges")
+    fits = ((outer.xmin <= box.xmin) & (outer.ymin <= box.ymin)
+            & (outer.xmax >= box.xmax) & (outer.ymax >= box.ymax))
+    point, outer_point = is_point(F.col("_inner")), is_point(F.col("_outer"))
+    decided = point & (outer_point | edges.isNotNull())
+    native = F.when(outer_point, F.col("_outer") == F.col("_inner")).otherwise(
+        point_in_edges(box.xmin, box.ymin, edges))
+    # One condition of the join, cheapest test first; pairs it decides need no second look.
+    pairs = pairs.where(F.when(fits, F.when(decided, native).otherwise(F.lit(True))).otherwise(F.lit(False)))
+    pairs = pairs.withColumn("_decided", decided)
     # Decided pairs travel to Python as nulls.
-    open_outer = F.when(F.col("_native").isNull(), F.col("_outer"))
-    open_inner = F.when(F.col("_native").isNull(), F.col("_inner"))
-    pairs = pairs.where(F.coalesce("_native", F.lit(True)))
-    pairs = pairs.withColumn("_exact", geom_contains(open_outer, open_inner))
-    relation = (F.when(F.col("_native") | F.col("_exact"), "contains")
-                .when(F.col("_native").isNull() & F.col("_exact").isNull(), "unsupported"))
+    pairs = pairs.withColumn("_exact", once(geom_contains)(
+        F.when(~F.col("_decided"), F.col("_outer")), F.when(~F.col("_decided"), F.col("_inner"))))
+    relation = (F.when(F.col("_decided") | F.col("_exact"), "contains")
+                .when(F.col("_exact").isNull(), "unsupported"))
     kept = [F.col("_outer").alias("container_geometry"), F.col("_inner").alias("probe_geometry")]
     return (pairs.withColumn("relation", relation).where(F.col("relation").isNotNull())
             .select(*container_cols, *probe_cols, "relation", *(kept if keep_geometry else [])))
@@ -108,14 +117,14 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
 def containing_rows(df: DataFrame, probe: bytes, columns: list[str], geometry: str = "geometry",
                     box: str | None = None) -> DataFrame:
     """Rows whose geometry contains one given geometry; a stored box prunes row groups first."""
-    rows = _boxed(df, geometry, box)
+    rows = _framed(df, geometry, box, edges=False)
     corner = bbox_batch(pa.array([probe], pa.binary()))[0].as_py()
     if corner is None:
         return rows.where(F.lit(False)).select(*columns, F.lit("contains").alias("relation"))
     outer = F.col("_box")
     rows = rows.where((outer.xmin <= corner["xmin"]) & (outer.ymin <= corner["ymin"])
                       & (outer.xmax >= corner["xmax"]) & (outer.ymax >= corner["ymax"]))
-    rows = rows.withColumn("_exact", geom_contains(F.col(geometry), F.lit(probe)))
+    rows = rows.withColumn("_exact", once(geom_contains)(F.col(geometry), F.lit(probe)))
     relation = F.when(F.col("_exact"), "contains").when(F.col("_exact").isNull(), "unsupported")
     return rows.withColumn("relation", relation).where(F.col("relation").isNotNull()).select(*columns, "relation")
 
@@ -123,7 +132,7 @@ def containing_rows(df: DataFrame, probe: bytes, columns: list[str], geometry: s
 def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
     """Distinct geometries with their structure, vertices, corner cell and snapped vertices."""
     df = with_key(df.where(F.col(geometry).isNotNull()), geometry).groupBy(KEY).agg(F.first(geometry).alias("_geom"))
-    df = df.withColumn("_parts", geom_parts("_geom")).where(F.col("_parts").isNotNull())
+    df = df.withColumn("_parts", once(geom_parts)("_geom")).where(F.col("_parts").isNotNull())
     paths = F.col("_parts.rings")
     df = df.select(
         KEY, F.flatten(paths).alias("_xy"),
