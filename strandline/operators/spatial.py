@@ -161,7 +161,7 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
     snapped = theirs.select("_structure", "_snapped").distinct().withColumn("_sure", F.lit(True))
     ours = ours.join(snapped, ["_structure", "_snapped"], "left")
     sure = ours.where("_sure").select(KEY)
-    start = F.element_at("_xy", 1)
+    start = F.get("_xy", F.lit(0))
     open_ones = (ours.where("_sure is null and size(_xy) > 0")
                  .withColumn("_cx", at(start.x)).withColumn("_cy", at(start.y))
                  .select(KEY, "_structure", "_cx", "_cy", "_xy"))

@@ -214,7 +214,7 @@ def _column(raw: np.ndarray, kind: str, target: pa.DataType, encoding: str) -> p
         typed = text
     elif kind == "date":
         padded = pc.if_else(pc.match_substring_regex(text, r"^[0-9]{8}$"), text, pa.scalar(None, pa.string()))
-        typed = pc.strptime(padded, "%Y%m%d", "s").cast(pa.date32())
+        typed = pc.strptime(padded, "%Y%m%d", "s", error_is_null=True).cast(pa.date32())
     elif kind == "boolean":
         typed = pc.if_else(pc.is_in(text, pa.array(["Y", "y", "T", "t"])), True,
                            pc.if_else(pc.is_in(text, pa.array(["N", "n", "F", "f"])), False,
