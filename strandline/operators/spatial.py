@@ -17,10 +17,12 @@ from strandline.functions.geometry import (
     bbox_batch, geom_bbox, geom_contains, geom_frame, geom_parts, once, point_in_edges)
 from strandline.operators.geojoin import KEY, with_key
 from strandline.operators.skew import skew_join
+from strandline.session import write_through
 
 # Grid sizes are powers of two, exact in binary; neighbouring grids differ by this power.
 LEVEL_STEP = 2
-FINEST_LEVEL = -20
+FINEST_LEVEL, COARSEST_LEVEL = -20, 60
+EVERY_LEVEL = list(range(FINEST_LEVEL, COARSEST_LEVEL + 1, LEVEL_STEP))
 # The WKB head of a plain little-endian point.
 _POINT_HEAD = "0101000000"
 
@@ -29,7 +31,8 @@ def grid_level(box: Column) -> Column:
     """Exponent of the finest grid whose cells are at least as wide as the box."""
     extent = F.greatest(box.xmax - box.xmin, box.ymax - box.ymin)
     level = F.ceil(F.log2(extent) / LEVEL_STEP) * LEVEL_STEP
-    return F.when(extent > 0, F.greatest(level, F.lit(FINEST_LEVEL))).otherwise(FINEST_LEVEL).cast("int")
+    level = F.least(F.greatest(level, F.lit(FINEST_LEVEL)), F.lit(COARSEST_LEVEL))
+    return F.when(extent > 0, level).otherwise(FINEST_LEVEL).cast("int")
 
 
 def cell(value: Column, level: Column) -> Column:
@@ -78,17 +81,21 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     broadcasts it, which spares the containers their shuffle. ``container_cols``
     and ``probe_cols`` must not overlap; ``probe_cols`` must identify a probe.
     """
-    used = _framed(containers.select(geometry, *([container_box] if container_box else [])),
-                   geometry, container_box, edges=False).select(grid_level(F.col("_box")).alias("level")).distinct()
-    levels = sorted(r.level for r in used.collect())  # one number per grid size, a few dozen at most
     held = containers.select(*container_cols, F.col(geometry).alias("_outer"),
                              *([F.col(container_box).alias("_stored")] if container_box else []))
-    held = _framed(held, "_outer", "_stored" if container_box else None, edges=True).drop("_stored")
+    if few_probes:
+        levels = EVERY_LEVEL
+    else:
+        if not container_box:  # both the levels and the join need the boxes
+            held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
+        used = held.where("_stored is not null").select(grid_level(F.col("_stored")).alias("level")).distinct()
+        levels = sorted(r.level for r in used.collect()) or [FINEST_LEVEL]  # one number per grid size
+    held = _framed(held, "_outer", "_stored" if "_stored" in held.columns else None, edges=True).drop("_stored")
     sought = probes.select(*probe_cols, F.col(geometry).alias("_inner"),
                            *([F.col(probe_box).alias("_stored")] if probe_box else []))
     sought = _framed(sought, "_inner", "_stored" if probe_box else None, edges=False).drop("_stored")
     held = container_cells(held).withColumnRenamed("_box", "_outer_box")
-    sought = probe_cells(sought, levels or [FINEST_LEVEL])
+    sought = probe_cells(sought, levels)
     keys = ["_level", "_cx", "_cy"]
     if few_probes:
         pairs = held.join(F.broadcast(sought), keys)
@@ -157,7 +164,9 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
     def at(value: Column) -> Column:
         return F.floor(value / size)
 
-    ours, theirs = _traced(left, geometry, tolerance), _traced(right, geometry, tolerance)
+    # Each is read twice below.
+    ours = write_through(_traced(left, geometry, tolerance), "traced")
+    theirs = write_through(_traced(right, geometry, tolerance), "traced")
     snapped = theirs.select("_structure", "_snapped").distinct().withColumn("_sure", F.lit(True))
     ours = ours.join(snapped, ["_structure", "_snapped"], "left")
     sure = ours.where("_sure").select(KEY)

@@ -15,7 +15,7 @@ from strandline.functions.geometry import set_crs
 from strandline.operators.gate import quarantine_report, schema_gate
 from strandline.operators.packing import AT_LEAST_BYTES, compact_chunks, pack_files
 from strandline.operators.skew import skew_join
-from strandline.session import scratch_path, write_through
+from strandline.session import release, scratch_path, write_through
 from strandline.sources.datasets import (
     append_by_source, read_by_source, read_quarantine_csv, sizes_by_source, write_quarantine_csv)
 from strandline.sources.files import file_select_contains, list_files
@@ -97,23 +97,25 @@ class FeatureLakehouse:
         record = None
         if self.config.schema_of_record:
             record = self.spark.createDataFrame(self.config.schema_of_record, "column_name string, data_type string")
-        verdict = schema_gate(columns, record)
+        verdict = write_through(schema_gate(columns, record), "verdict")
         accepted = verdict.where("accepted").select("file_name")
         rejected = (headers.where("reason is not null").select("file_name", "reason").distinct()
                     .unionByName(verdict.where("not accepted")
                                  .select("file_name", F.lit("schema_mismatch").alias("reason"))))
-        attributes = self._attributes(headers, columns, accepted)
         good = headers.join(accepted, "file_name", "left_semi")
-        features = read_features(record_ranges(good, self.config.range_bytes), attributes)
+        features = read_features(record_ranges(good, self.config.range_bytes),
+                                 self._attributes(headers, columns, accepted))
         staged = scratch_path(self.spark, "features")
         aligned = self._aligned(features)
-        append_by_source(aligned, staged, mode="overwrite")
+        # A task reads whole ranges of a file, so its rows go to few directories as they come.
+        append_by_source(aligned, staged, mode="overwrite", rebalance=False)
         self.null_geometries = self._nulls.get["n"]
         rows = read_by_source(self.spark, staged, aligned.schema)
         broken = (rows.where("_error is not null").groupBy(F.col("_source_file").alias("file_name"))
                   .agg(F.min("_error").alias("reason")))
         failed = write_through(rejected.unionByName(broken), "failed")
         self._publish(rows, failed)
+        release(self.spark, staged)
         write_quarantine_csv(
             quarantine_report(headers.where("column_name is not null")
                               .select("file_name", "column_name", "data_type"), failed), self.failed_path)
@@ -124,12 +126,12 @@ class FeatureLakehouse:
 
     def _attributes(self, headers: DataFrame, columns: DataFrame, accepted: DataFrame) -> T.StructType:
         """The attributes to read, in the order of record; one row per column of one file reaches the driver."""
-        first = accepted.agg(F.min("file_name")).scalar()
-        kinds = {r.column_name: r.data_type for r in columns.where(F.col("file_name") == first).collect()}
-        order = self.config.columns_to_convert
-        if not order:
-            named = headers.where(F.col("file_name") == first).where("column_name is not null")
-            order = [r.column_name for r in named.orderBy("ordinal").collect()]
+        first = accepted.agg(F.min("file_name").alias("file_name"))
+        of_first = columns.join(F.broadcast(first), "file_name", "left_semi")
+        placed = headers.select("file_name", "column_name", "ordinal").distinct()
+        found = of_first.join(placed, ["file_name", "column_name"], "left").orderBy("ordinal").collect()
+        kinds = {r.column_name: r.data_type for r in found}
+        order = self.config.columns_to_convert or list(kinds)
         # Dates and flags are read as they are stored; the alignment that follows turns them into text.
         as_read = {"string": T.StringType(), "float": T.FloatType(), "boolean": T.BooleanType()}
         return T.StructType([T.StructField(c, as_read[kinds[c]]) for c in order if c in kinds])
@@ -150,8 +152,7 @@ class FeatureLakehouse:
         else:
             kept = skew_join(rows, names, ["_source_file"], "left_anti", ["_fid"])
         kept = set_crs(kept.drop("_error"), WGS84)
-        kept.hint("rebalance", F.col("source_stem")).write.mode("overwrite") \
-            .partitionBy("source_stem").parquet(self.features_path)
+        kept.write.mode("overwrite").partitionBy("source_stem").parquet(self.features_path)
 
     # ------------------------------------------------------------ stages 2 to 4
 

@@ -12,6 +12,7 @@ from strandline.operators.geojoin import KEY, distinct_keys, with_key
 from strandline.operators.packing import ROWS_PER_CHUNK, row_chunk
 from strandline.operators.sampling import sample_files, sample_rows_per_file
 from strandline.operators.spatial import containment_join
+from strandline.session import write_through
 
 # Verdicts on one probe, from worst to best.
 STATUSES = ("not_contained", "unsupported", "contained_not_exact", "no_control_column", "control_mismatch", "match")
@@ -25,12 +26,16 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
 
     A probe must be contained in a dataset geometry, equal one exactly, and agree
     with that one's control value. Copies in the dataset with the same geometry and
-    control value are looked at once. ``few_probes`` promises a sample of bounded size.
+    control value are looked at once. ``few_probes`` promises a sample of bounded
+    size; the dataset is then neither shuffled nor read twice.
     """
     has_control = control is not None and control in dataset.columns
-    held = dataset.where(F.col(geometry).isNotNull())
     theirs = [F.col(control).alias("_theirs")] if has_control else []
-    held = with_key(held, geometry).groupBy(KEY, *theirs).agg(F.first(geometry).alias(geometry))
+    held = dataset.where(F.col(geometry).isNotNull())
+    if few_probes:
+        held = held.select(*theirs, geometry)  # stays where it is
+    else:
+        held = with_key(held, geometry).groupBy(KEY, *theirs).agg(F.first(geometry).alias(geometry))
     ours = [F.col(control).alias("_ours")] if control is not None and control in probes.columns else []
     sought = probes.select(*probe_id, *ours, geometry)
     carried = [*probe_id, *(["_ours"] if ours else [])]
@@ -59,10 +64,10 @@ def sampled_probes(source: DataFrame, failed: DataFrame, control: str, file: str
 
     Adds ``single_control`` (the file has one control value only) and puts the file's first value in ``control``.
     """
-    # A manifest where a file's rows meet as one before they are ranked.
-    files = source.select(file).distinct()
-    chosen = skip_quarantined(sample_files(files, file, n_files, seed), failed, file, [file])
-    rows = source.join(F.broadcast(chosen), file, "left_semi")  # n_files names
+    files = skip_quarantined(
+        sample_files(source.select(file).distinct(), file, n_files, seed), failed, file, [file])
+    # At most n_files names reach the driver; as constants they prune partitions and row groups.
+    rows = source.where(F.col(file).isin([r[0] for r in files.collect()]))
     checks = single_value_check(rows, file, control, fid).select(
         file, F.col("first_value").alias("_control"), F.col("is_single").alias("single_control"))
     picked = sample_rows_per_file(rows, file, fid, n_rows, seed)
@@ -74,7 +79,9 @@ def reconcile_sampled(source: DataFrame, dataset: DataFrame, failed: DataFrame,
                       file: str = "_source_file", fid: str = "_fid", geometry: str = "geometry",
                       n_files: int = SAMPLE_FILES, n_rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
     """Sampled rows of sampled files looked up in the dataset: file, fid, control, single_control, status."""
-    probes = sampled_probes(source, failed, control, file, fid, n_files, n_rows, seed)
+    probes = write_through(
+        sampled_probes(source, failed, control, file, fid, n_files, n_rows, seed)
+        .select(file, fid, control, "single_control", geometry), "probes")
     status = lookup_status(probes, dataset, [file, fid], control, geometry, few_probes=True)
     return probes.select(file, fid, control, "single_control").join(F.broadcast(status), [file, fid])
 

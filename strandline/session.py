@@ -60,3 +60,8 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Free the space of a scratch table that nothing reads any more, by overwriting it with no rows."""
+    spark.range(0).write.mode("overwrite").parquet(path)

@@ -99,14 +99,17 @@ def spread(files: DataFrame, per_task: int = 64) -> DataFrame:
 
 # ---------------------------------------------------------------- datasets
 
-def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mode: str = "append") -> None:
+def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mode: str = "append",
+                     rebalance: bool = True) -> None:
     """Append to a dataset with one directory ``source_stem=…`` per source file.
 
-    The rebalance brings a source's rows together and lets AQE cut a large source into several files.
+    The rebalance brings a source's rows together and lets AQE cut a large source
+    into several files; leave it out where tasks already hold whole runs of a source.
     """
     keyed = df.withColumn("source_stem", stem(F.col(source)))
-    (keyed.hint("rebalance", F.col("source_stem")).write.mode(mode)
-     .partitionBy("source_stem").parquet(path))
+    if rebalance:
+        keyed = keyed.hint("rebalance", F.col("source_stem"))
+    keyed.write.mode(mode).partitionBy("source_stem").parquet(path)
 
 
 def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
