@@ -26,8 +26,8 @@ def _doubles(*names: str) -> T.StructType:
 # Types are objects, not DDL text: executors import this module, and text needs a session to parse.
 BBOX_TYPE = _doubles("xmin", "ymin", "xmax", "ymax")
 EDGE_NAMES = ("x1", "y1", "x2", "y2")
-FRAME_TYPE = T.StructType([
-    T.StructField("box", BBOX_TYPE), T.StructField("edges", T.ArrayType(_doubles(*EDGE_NAMES)))])
+EDGES_TYPE = T.ArrayType(_doubles(*EDGE_NAMES))
+FRAME_TYPE = T.StructType([T.StructField("box", BBOX_TYPE), T.StructField("edges", EDGES_TYPE)])
 PARTS_TYPE = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("rings", T.ArrayType(T.ArrayType(_doubles("x", "y"))))])
 # A WKB point is byte order, type number and two doubles.

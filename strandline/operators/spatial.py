@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import (
-    bbox_batch, geom_bbox, geom_contains, geom_frame, geom_parts, once, point_in_edges)
+    EDGES_TYPE, bbox_batch, geom_bbox, geom_contains, geom_frame, geom_parts, once, point_in_edges)
 from strandline.operators.geojoin import KEY, with_key
 from strandline.operators.skew import skew_join
 from strandline.session import write_through
@@ -90,7 +90,10 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
             held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
         used = held.where("_stored is not null").select(grid_level(F.col("_stored")).alias("level")).distinct()
         levels = sorted(r.level for r in used.collect()) or [FINEST_LEVEL]  # one number per grid size
-    held = _framed(held, "_outer", "_stored" if "_stored" in held.columns else None, edges=True).drop("_stored")
+    held = _framed(held, "_outer", "_stored" if "_stored" in held.columns else None, edges=not few_probes)
+    if few_probes:  # few candidates remain, so decoding every container would cost more than it saves
+        held = held.withColumn("_edges", F.lit(None).cast(EDGES_TYPE))
+    held = held.drop("_stored")
     sought = probes.select(*probe_cols, F.col(geometry).alias("_inner"),
                            *([F.col(probe_box).alias("_stored")] if probe_box else []))
     sought = _framed(sought, "_inner", "_stored" if probe_box else None, edges=False).drop("_stored")
@@ -138,8 +141,8 @@ def containing_rows(df: DataFrame, probe: bytes, columns: list[str], geometry: s
 
 def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
     """Distinct geometries with their structure, vertices, corner cell and snapped vertices."""
-    df = with_key(df.where(F.col(geometry).isNotNull()), geometry).groupBy(KEY).agg(F.first(geometry).alias("_geom"))
-    df = df.withColumn("_parts", once(geom_parts)("_geom")).where(F.col("_parts").isNotNull())
+    df = with_key(df.select(geometry).where(F.col(geometry).isNotNull()).distinct(), geometry)
+    df = df.withColumn("_parts", once(geom_parts)(geometry)).where(F.col("_parts").isNotNull())
     paths = F.col("_parts.rings")
     df = df.select(
         KEY, F.flatten(paths).alias("_xy"),
@@ -168,7 +171,7 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
     ours = write_through(_traced(left, geometry, tolerance), "traced")
     theirs = write_through(_traced(right, geometry, tolerance), "traced")
     snapped = theirs.select("_structure", "_snapped").distinct().withColumn("_sure", F.lit(True))
-    ours = ours.join(snapped, ["_structure", "_snapped"], "left")
+    ours = skew_join(ours, snapped, ["_structure", "_snapped"], "left", [KEY])
     sure = ours.where("_sure").select(KEY)
     start = F.get("_xy", F.lit(0))
     open_ones = (ours.where("_sure is null and size(_xy) > 0")

@@ -17,7 +17,8 @@ from strandline.operators.packing import AT_LEAST_BYTES, compact_chunks, pack_fi
 from strandline.operators.skew import skew_join
 from strandline.session import release, scratch_path, write_through
 from strandline.sources.datasets import (
-    append_by_source, read_by_source, read_quarantine_csv, sizes_by_source, write_quarantine_csv)
+    append_by_source, footer_columns, parquet_sizes, read_by_source, read_quarantine_csv, sizes_by_source,
+    write_quarantine_csv, write_quarantine_text)
 from strandline.sources.files import file_select_contains, list_files
 from strandline.sources.geoparquet import consolidate, geoparquet_scan, geoparquet_write
 from strandline.sources.shapefile import RANGE_BYTES, read_features, read_headers, record_ranges
@@ -26,6 +27,8 @@ from strandline.sources.shapefile import RANGE_BYTES, read_features, read_header
 KEYS = ["_source_file", "_fid"]
 # A packing plan up to this many sources is broadcast: names of at most 255 bytes and one number each.
 BROADCAST_SOURCES = 200_000
+# More Parquet files than this that do not fit together mean the folder holds something else.
+MOST_UNPACKABLE = 10_000
 
 
 @dataclass
@@ -60,7 +63,8 @@ class FeatureLakehouse:
         self.packed_path = f"{out}/concat_pq"
         self.parts_path = f"{out}/geopq_parts"
         self.final_path = f"{out}/concatenated_geoparquet.parquet"
-        self.failed_path = f"{(config.log_dir or out).rstrip('/')}/failed_files"
+        logs = (config.log_dir or out).rstrip("/")
+        self.failed_path, self.unpackable_path = f"{logs}/failed_files", f"{logs}/unpackable_files"
 
     def run(self) -> DataFrame:
         """All stages; returns the run report (file_name, status, reason). Without any good file it stops after the first."""
@@ -158,14 +162,16 @@ class FeatureLakehouse:
 
     def pack(self) -> bool:
         """Group whole sources into chunks of at least the configured size, in name order; False if there are none."""
-        sizes = sizes_by_source(self.spark, self.features_path)
+        files = write_through(parquet_sizes(self.spark, self.features_path), "files")
+        failed = self._unpackable(files)
+        sizes = sizes_by_source(files.join(F.broadcast(failed), "path", "left_anti"))
         plan = write_through(
             pack_files(sizes, self.config.chunk_bytes, self.config.packing_rule, path="source_stem"), "packing")
         n_sources = plan.count()
         if not n_sources:
             return False
         plan = plan.select("source_stem", "chunk_id")
-        rows = read_by_source(self.spark, self.features_path)
+        rows = read_by_source(self.spark, self.features_path, skip=[r.path for r in failed.collect()])
         if n_sources <= BROADCAST_SOURCES:
             rows = rows.join(F.broadcast(plan), "source_stem")
         else:
@@ -174,6 +180,19 @@ class FeatureLakehouse:
             .partitionBy("chunk_id").parquet(self.packed_path)
         return True
 
+    def _unpackable(self, files: DataFrame) -> DataFrame:
+        """Paths of files that cannot be read or differ in schema, also written as text, one per line."""
+        footers = write_through(footer_columns(files), "footers")
+        verdict = schema_gate(footers.where("error is null").select(
+            F.col("path").alias("file_name"), "column_name", "data_type"))
+        failed = write_through(
+            footers.where("error is not null").select("path").distinct()
+            .unionByName(verdict.where("not accepted").select(F.col("file_name").alias("path"))), "unpackable")
+        if failed.count() > MOST_UNPACKABLE:
+            raise RuntimeError(f"more than {MOST_UNPACKABLE} files in {self.features_path} do not fit together")
+        write_quarantine_text(failed, self.unpackable_path)
+        return failed
+
     def to_geoparquet(self) -> None:
         """The packed rows as GeoParquet parts with their CRS."""
         geoparquet_write(self.spark.read.parquet(self.packed_path).drop("chunk_id"), self.parts_path, WGS84)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions.geometry import geom_key
 from strandline.operators.aggregates import single_value_check
 from strandline.operators.gate import skip_quarantined
-from strandline.operators.geojoin import KEY, distinct_keys, with_key
+from strandline.operators.geojoin import KEY, distinct_keys
 from strandline.operators.packing import ROWS_PER_CHUNK, row_chunk
 from strandline.operators.sampling import sample_files, sample_rows_per_file
 from strandline.operators.spatial import containment_join
@@ -31,11 +31,9 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
     """
     has_control = control is not None and control in dataset.columns
     theirs = [F.col(control).alias("_theirs")] if has_control else []
-    held = dataset.where(F.col(geometry).isNotNull())
-    if few_probes:
-        held = held.select(*theirs, geometry)  # stays where it is
-    else:
-        held = with_key(held, geometry).groupBy(KEY, *theirs).agg(F.first(geometry).alias(geometry))
+    held = dataset.where(F.col(geometry).isNotNull()).select(*theirs, geometry)
+    if not few_probes:
+        held = held.distinct()
     ours = [F.col(control).alias("_ours")] if control is not None and control in probes.columns else []
     sought = probes.select(*probe_id, *ours, geometry)
     carried = [*probe_id, *(["_ours"] if ours else [])]

@@ -112,18 +112,29 @@ def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mod
     keyed.write.mode(mode).partitionBy("source_stem").parquet(path)
 
 
-def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A dataset written by ``append_by_source``; stems stay text even where they look like numbers."""
-    schema = spark.read.parquet(path).schema if schema is None else schema
+def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                   skip: list[str] | None = None) -> DataFrame:
+    """A dataset written by ``append_by_source``; stems stay text even where they look like numbers.
+
+    ``skip`` lists files, as ``parquet_sizes`` names them, that are never opened.
+    """
+    skip = skip or []
+    if schema is None:
+        first = (parquet_sizes(spark, path).where(~F.col("path").isin(skip))
+                 .orderBy("path").limit(1).select("path").first())
+        schema = spark.read.parquet(first.path).schema
     kept = [f for f in schema.fields if f.name != "source_stem"]
-    return spark.read.schema(T.StructType([*kept, T.StructField("source_stem", T.StringType())])).parquet(path)
+    df = spark.read.schema(T.StructType([*kept, T.StructField("source_stem", T.StringType())])).parquet(path)
+    if not skip:
+        return df
+    local = [p.replace("file:/", "file:///", 1) for p in skip if p.startswith("file:/") and "://" not in p]
+    return df.where(~F.col("_metadata.file_path").isin(skip + local))
 
 
-def sizes_by_source(spark: SparkSession, path: str) -> DataFrame:
-    """(source_stem, size_bytes) of such a dataset, from its listing."""
+def sizes_by_source(files: DataFrame) -> DataFrame:
+    """(source_stem, size_bytes) of the Parquet files (path, size_bytes) of such a dataset."""
     escaped = F.regexp_extract("path", r"source_stem=([^/]+)", 1)
-    return (parquet_sizes(spark, path)
-            .groupBy(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("source_stem"))
+    return (files.groupBy(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("source_stem"))
             .agg(F.sum("size_bytes").alias("size_bytes")))
 
 

@@ -39,6 +39,7 @@ ARROW_TYPES = {
     "double": pa.float64(), "date": pa.date32(), "boolean": pa.bool_(),
 }
 RECORDS_PER_BATCH = 4096
+BYTES_PER_BATCH = 16 * 1024 * 1024
 RANGE_BYTES = 64 * 1024 * 1024
 HEADER_SCHEMA = ("path string, file_name string, n_records bigint, shp_bytes bigint, srid int, reason string, "
                  "ordinal int, column_name string, data_type string")
@@ -226,6 +227,15 @@ def _column(raw: np.ndarray, kind: str, target: pa.DataType, encoding: str) -> p
     return typed.cast(target, safe=False) if pa.types.is_floating(target) else typed.cast(target)
 
 
+def _blocks(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """(start, stop) of blocks of at most RECORDS_PER_BATCH records and about BYTES_PER_BATCH bytes."""
+    place = np.arange(len(lengths)) // RECORDS_PER_BATCH
+    size = np.cumsum(lengths) // BYTES_PER_BATCH
+    cuts = np.flatnonzero(np.diff(place) | np.diff(size)) + 1
+    edges = [0, *cuts.tolist(), len(lengths)]
+    return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+
+
 def read_range(path: str, start: int, end: int, srid: int, fields: dict[str, pa.DataType],
                to_srid: int) -> Iterator[tuple[np.ndarray, pa.Array, dict[str, pa.Array]]]:
     """(record numbers, geometries, attributes) of records ``start`` to ``end - 1``, block by block."""
@@ -241,12 +251,11 @@ def read_range(path: str, start: int, end: int, srid: int, fields: dict[str, pa.
     except LookupError:
         encoding = "latin-1"
     by_name = {name.lower(): (kind, offset, length) for name, kind, offset, length in layout}
-    for at in range(0, end - start, RECORDS_PER_BATCH):
-        block = index[at:at + RECORDS_PER_BATCH]
-        first = start + at
+    for at, stop in _blocks(index[:, 1]):
+        block, first = index[at:stop], start + at
         base = int(block[:, 0].min())
-        stop = int((block[:, 0] + INDEX_BYTES + block[:, 1]).max())
-        geoms = _geometries(_read(path, base, stop - base), block, base, srid, to_srid)
+        last = int((block[:, 0] + INDEX_BYTES + block[:, 1]).max())
+        geoms = _geometries(_read(path, base, last - base), block, base, srid, to_srid)
         rows = np.frombuffer(_read(_sibling(path, ".dbf"), header + first * record, len(block) * record),
                              f"S{record}")
         if len(rows) != len(block):

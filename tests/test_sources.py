@@ -218,7 +218,7 @@ def test_append_by_source_keeps_odd_names(spark, tmp_path):
     assert back.count() == 6
     stems = {"0001", "a+b c%", "x=y"}
     assert {r.source_stem for r in back.collect()} == stems
-    assert {r.source_stem for r in datasets.sizes_by_source(spark, str(tmp_path / "d")).collect()} == stems
+    assert {r.source_stem for r in datasets.sizes_by_source(datasets.parquet_sizes(spark, str(tmp_path / "d"))).collect()} == stems
 
 
 def test_footers_of_unreadable_files(spark, tmp_path):
@@ -291,7 +291,7 @@ def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     assert (row.gui, row.sum_conf, row.day, row.not_there) == ("GUI1", 2.0, "2024-01-02", "None")
     assert out.where("_source_file = 'IT_wide.shp'").first().sum_conf == 0.5
     assert {f.dataType for f in out.schema.fields if f.name in ("gui", "day", "not_there")} == {T.StringType()}
-    sizes = datasets.sizes_by_source(spark, job.features_path)
+    sizes = datasets.sizes_by_source(datasets.parquet_sizes(spark, job.features_path))
     expected = packing.pack_at_least(sizes, 4000, path="source_stem").select("chunk_id").distinct().count()
     assert spark.read.parquet(job.packed_path).select("chunk_id").distinct().count() == expected > 1
     source = shapefile.shapefile_ingest(files.file_select_contains(job.select_files(), ["IT", "GB"])).where(
@@ -300,6 +300,21 @@ def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     assert {r.status for r in checked.collect()} == {"match"} and checked.count() > 0
 
 
+def test_files_that_cannot_be_packed_are_listed_and_left_out(spark, tmp_path):
+    write_shapefile(f"{tmp_path}/in/a.shp", POINTS, attributes(4))
+    job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out")))
+    job.ingest()
+    odd = Path(job.features_path) / "source_stem=z"
+    odd.mkdir()
+    (odd / "broken.parquet").write_bytes(b"nothing")
+    spark.range(3).coalesce(1).write.mode("append").parquet(str(Path(job.features_path) / "source_stem=y"))
+    assert job.pack()
+    job.to_geoparquet()
+    listed = [r.value for r in spark.read.text(job.unpackable_path).collect()]
+    assert len(listed) == 2 and any("broken" in v for v in listed)
+    assert geoparquet.geoparquet_scan(spark, job.parts_path).count() == 3
+
+
 def broken_folder_in(folder):
     found = broken_folder(folder / "b")
     for path in (folder / "b").iterdir():
