@@ -207,7 +207,8 @@ def drifted_footers(spark: SparkSession, sf: str) -> DataFrame:
             datasets.append_by_source(rows.drop("hab_type") if is_short else rows, path)
     footers = datasets.footer_columns(datasets.parquet_sizes(spark, path))
     stem = F.regexp_extract("path", "source_stem=([^/]+)", 1)
-    return footers.select(stem.alias("file_name"), "column_name", "data_type", "ordinal").distinct()
+    footers = footers.select(stem.alias("file_name"), "column_name", "data_type", "ordinal").distinct()
+    return write_through(footers, "footers")
 
 
 def drift_failures(found: DataFrame) -> DataFrame:

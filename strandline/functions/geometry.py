@@ -8,6 +8,8 @@ Batches made of plain points take a vectorised path; other types go through
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,9 @@ def _doubles(*names: str) -> T.StructType:
 BBOX_TYPE = _doubles("xmin", "ymin", "xmax", "ymax")
 EDGE_NAMES = ("x1", "y1", "x2", "y2")
 EDGES_TYPE = T.ArrayType(_doubles(*EDGE_NAMES))
+SNAP_TYPE = T.StructType([
+    T.StructField("structure", T.BinaryType()), T.StructField("snapped", T.BinaryType()),
+    T.StructField("xy", T.ArrayType(_doubles("x", "y")))])
 FRAME_TYPE = T.StructType([T.StructField("box", BBOX_TYPE), T.StructField("edges", EDGES_TYPE)])
 PARTS_TYPE = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("rings", T.ArrayType(T.ArrayType(_doubles("x", "y"))))])
@@ -224,6 +229,58 @@ def geom_equals_within(left, right, tolerance: float) -> Column:
     return compare(left, right)
 
 
+def snap_frame(geom, tolerance: float) -> Column:
+    """Structure, snapped vertices and vertices of a geometry, for finding near copies.
+
+    Vertices are snapped to squares of half the tolerance, so two vertices in the
+    same square lie within it. ``structure`` and ``snapped`` are short binaries that
+    agree exactly where the type with its path lengths, or all squares, agree: the
+    values themselves up to KEY_BYTES, a SHA-256 beyond.
+    """
+    @F.arrow_udf(SNAP_TYPE)
+    def frame(wkb: pa.Array) -> pa.Array:
+        points = _points(wkb)
+        if points is not None:
+            xy = np.column_stack([points["x"], points["y"]])
+            squares = np.floor(xy * (2 / tolerance)).astype("<f8") + 0.0
+            snapped = pa.FixedSizeBinaryArray.from_buffers(
+                pa.binary(16), len(xy), [None, pa.py_buffer(squares.tobytes())]).cast(pa.binary())
+            same = pa.array([_short(_structure((codec.POINT, "", xy[:1])))] * len(xy), pa.binary())
+            return pa.StructArray.from_arrays(
+                [same, snapped, _nested([1] * len(xy), _structs(xy, ("x", "y")))], SNAP_TYPE.names)
+        structures, snapped, paths = [], [], []
+        for geom in _decoded(wkb):
+            if geom is None:
+                structures.append(None), snapped.append(None), paths.append(None)
+                continue
+            xy = [r[:, :2] for r in codec.rings(geom)]
+            flat = _stack(xy, 2)
+            structures.append(_short(_structure(geom)))
+            snapped.append(_short((np.floor(flat * (2 / tolerance)).astype("<f8") + 0.0).tobytes()))
+            paths.append(flat)
+        vertices = _nested([None if p is None else len(p) for p in paths],
+                           _structs(_stack([p for p in paths if p is not None], 2), ("x", "y")))
+        return pa.StructArray.from_arrays(
+            [pa.array(structures, pa.binary()), pa.array(snapped, pa.binary()), vertices], SNAP_TYPE.names,
+            mask=pa.array([p is None for p in paths], pa.bool_()))
+    return once(frame)(geom)
+
+
+def _structure(geom) -> bytes:
+    """Type, dimensions and lengths of all parts of a geometry."""
+    kind, dims, body = geom
+    head = bytes([kind, codec.DIM_SUFFIXES.index(dims)])
+    if kind == codec.COLLECTION:
+        return head + b"(" + b"".join(_structure(g) for g in body) + b")"
+    if kind == codec.MULTIPOLYGON:
+        return head + repr([[len(r) for r in polygon] for polygon in body]).encode()
+    return head + repr([len(r) for r in codec.rings(geom)]).encode()
+
+
+def _short(data: bytes) -> bytes:
+    return data if len(data) <= KEY_BYTES else b"#" + hashlib.sha256(data).digest()
+
+
 def once(udf):
     """A codec for use inside an operator that filters on its result.
 

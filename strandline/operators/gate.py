@@ -1,7 +1,8 @@
 """Agreement of file schemas, and the files that fail it.
 
 All functions take the long form ``file_name, column_name, data_type``, one row
-per column of a file; no file's rows are touched.
+per column of a file; no file's rows are touched. They look at it several times,
+so a table that comes straight from footers or headers is best written first.
 """
 
 from __future__ import annotations

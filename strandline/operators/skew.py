@@ -63,7 +63,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread
                 unkeyed = unkeyed | F.col(key).isNull()
             salt = F.when(unkeyed, by_row).otherwise(salt)
         left = left.withColumn("_salt", salt)
-        right = right.withColumn("_salt", F.explode(copies) if hot else F.lit(0).cast("bigint"))
+        # Exploded even for a single salt: a constant would be folded out of the shuffle key.
+        right = right.withColumn("_salt", F.explode(copies))
         on = [*on, "_salt"]
     if condition is None:
         return left.join(right, on, how).drop("_salt")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import (
-    EDGES_TYPE, bbox_batch, geom_bbox, geom_contains, geom_frame, geom_parts, once, point_in_edges)
+    EDGES_TYPE, bbox_batch, geom_bbox, geom_contains, geom_frame, once, point_in_edges, snap_frame)
 from strandline.operators.geojoin import KEY, with_key
 from strandline.operators.skew import skew_join
 from strandline.session import write_through
@@ -140,16 +140,11 @@ def containing_rows(df: DataFrame, probe: bytes, columns: list[str], geometry: s
 
 
 def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
-    """Distinct geometries with their structure, vertices, corner cell and snapped vertices."""
+    """Distinct geometries: key, structure, snapped vertices, vertices."""
     df = with_key(df.select(geometry).where(F.col(geometry).isNotNull()).distinct(), geometry)
-    df = df.withColumn("_parts", once(geom_parts)(geometry)).where(F.col("_parts").isNotNull())
-    paths = F.col("_parts.rings")
-    df = df.select(
-        KEY, F.flatten(paths).alias("_xy"),
-        F.xxhash64(F.col("_parts.kind"), F.transform(paths, F.size)).alias("_structure"))
-    # Two vertices snapped to the same square of half the tolerance lie within the tolerance.
-    snapped = F.transform("_xy", lambda v: F.struct(F.floor(v.x * 2 / tolerance), F.floor(v.y * 2 / tolerance)))
-    return df.withColumn("_snapped", F.sha2(F.to_json(snapped), 256))
+    df = df.withColumn("_snap", snap_frame(geometry, tolerance)).where(F.col("_snap").isNotNull())
+    return df.select(KEY, F.col("_snap.structure").alias("_structure"), F.col("_snap.snapped").alias("_snapped"),
+                     F.col("_snap.xy").alias("_xy"))
 
 
 def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: list[str],
@@ -167,11 +162,12 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
     def at(value: Column) -> Column:
         return F.floor(value / size)
 
-    # Each is read twice below.
+    # Each is read more than once below.
     ours = write_through(_traced(left, geometry, tolerance), "traced")
     theirs = write_through(_traced(right, geometry, tolerance), "traced")
     snapped = theirs.select("_structure", "_snapped").distinct().withColumn("_sure", F.lit(True))
     ours = skew_join(ours, snapped, ["_structure", "_snapped"], "left", [KEY])
+    ours = write_through(ours.drop("_snapped"), "settled")
     sure = ours.where("_sure").select(KEY)
     start = F.get("_xy", F.lit(0))
     open_ones = (ours.where("_sure is null and size(_xy) > 0")

@@ -17,9 +17,9 @@ from strandline.operators.packing import AT_LEAST_BYTES, compact_chunks, pack_fi
 from strandline.operators.skew import skew_join
 from strandline.session import release, scratch_path, write_through
 from strandline.sources.datasets import (
-    append_by_source, footer_columns, parquet_sizes, read_by_source, read_quarantine_csv, sizes_by_source,
-    write_quarantine_csv, write_quarantine_text)
-from strandline.sources.files import file_select_contains, list_files
+    append_by_source, footer_columns, parquet_sizes, read_by_source, read_quarantine_csv, short_uri,
+    stem_of_directory, write_quarantine_csv, write_quarantine_text)
+from strandline.sources.files import file_select_contains, list_files, stem
 from strandline.sources.geoparquet import consolidate, geoparquet_scan, geoparquet_write
 from strandline.sources.shapefile import RANGE_BYTES, read_features, read_headers, record_ranges
 
@@ -27,6 +27,8 @@ from strandline.sources.shapefile import RANGE_BYTES, read_features, read_header
 KEYS = ["_source_file", "_fid"]
 # A packing plan up to this many sources is broadcast: names of at most 255 bytes and one number each.
 BROADCAST_SOURCES = 200_000
+# Up to this many sources get a directory each.
+MOST_DIRECTORIES = 10_000
 # More Parquet files than this that do not fit together mean the folder holds something else.
 MOST_UNPACKABLE = 10_000
 
@@ -108,17 +110,16 @@ class FeatureLakehouse:
                                  .select("file_name", F.lit("schema_mismatch").alias("reason"))))
         good = headers.join(accepted, "file_name", "left_semi")
         features = read_features(record_ranges(good, self.config.range_bytes),
-                                 self._attributes(headers, columns, accepted))
+                                 self._attributes(headers, columns, accepted), task_bytes=self.config.range_bytes)
         staged = scratch_path(self.spark, "features")
         aligned = self._aligned(features)
-        # A task reads whole ranges of a file, so its rows go to few directories as they come.
-        append_by_source(aligned, staged, mode="overwrite", rebalance=False)
+        aligned.write.mode("overwrite").parquet(staged)
         self.null_geometries = self._nulls.get["n"]
-        rows = read_by_source(self.spark, staged, aligned.schema)
+        rows = self.spark.read.schema(aligned.schema).parquet(staged)
         broken = (rows.where("_error is not null").groupBy(F.col("_source_file").alias("file_name"))
                   .agg(F.min("_error").alias("reason")))
         failed = write_through(rejected.unionByName(broken), "failed")
-        self._publish(rows, failed)
+        self._publish(rows, failed, accepted.count())
         release(self.spark, staged)
         write_quarantine_csv(
             quarantine_report(headers.where("column_name is not null")
@@ -148,35 +149,50 @@ class FeatureLakehouse:
         return align_types(features.where(geometry.isNotNull() | error.isNotNull()),
                            keep=(*KEYS, "geometry", "bbox", "_error"))
 
-    def _publish(self, rows: DataFrame, failed: DataFrame) -> None:
-        """Staged rows of files without any error."""
+    def _publish(self, rows: DataFrame, failed: DataFrame, n_sources: int) -> None:
+        """Staged rows of files without any error, a directory per source unless there are too many sources.
+
+        A staging task read whole ranges of a file, so its rows go to few directories as they come.
+        """
         names = failed.select(F.col("file_name").alias("_source_file"))
         if names.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
             kept = rows.join(F.broadcast(names), "_source_file", "left_anti")
         else:
             kept = skew_join(rows, names, ["_source_file"], "left_anti", ["_fid"])
-        kept = set_crs(kept.drop("_error"), WGS84)
-        kept.write.mode("overwrite").partitionBy("source_stem").parquet(self.features_path)
+        kept = set_crs(kept.select(*[c for c in rows.columns if c != "_error"]), WGS84)
+        if n_sources <= MOST_DIRECTORIES:
+            append_by_source(kept, self.features_path, mode="overwrite", rebalance=False)
+        else:
+            kept = kept.withColumn("source_stem", stem(F.col("_source_file")))
+            kept.hint("rebalance").write.mode("overwrite").parquet(self.features_path)
 
     # ------------------------------------------------------------ stages 2 to 4
 
     def pack(self) -> bool:
-        """Group whole sources into chunks of at least the configured size, in name order; False if there are none."""
+        """Group files into chunks of at least the configured size, in name order; False if there are none.
+
+        The files of a source directory stay together; without directories every file is packed by itself.
+        """
         files = write_through(parquet_sizes(self.spark, self.features_path), "files")
         failed = self._unpackable(files)
-        sizes = sizes_by_source(files.join(F.broadcast(failed), "path", "left_anti"))
+        by_directory = files.where(F.col("path").contains("/source_stem=")).limit(1).count() > 0
+        files = files.join(F.broadcast(failed), "path", "left_anti")
+        unit = stem_of_directory(F.col("path")) if by_directory else short_uri(F.col("path"))
+        sizes = files.groupBy(unit.alias("_unit")).agg(F.sum("size_bytes").alias("size_bytes"))
         plan = write_through(
-            pack_files(sizes, self.config.chunk_bytes, self.config.packing_rule, path="source_stem"), "packing")
-        n_sources = plan.count()
-        if not n_sources:
+            pack_files(sizes, self.config.chunk_bytes, self.config.packing_rule, path="_unit"), "packing")
+        n_units = plan.count()
+        if not n_units:
             return False
-        plan = plan.select("source_stem", "chunk_id")
+        plan = plan.select("_unit", "chunk_id")
         rows = read_by_source(self.spark, self.features_path, skip=[r.path for r in failed.collect()])
-        if n_sources <= BROADCAST_SOURCES:
-            rows = rows.join(F.broadcast(plan), "source_stem")
+        unit = F.col("source_stem") if by_directory else short_uri(F.col("_metadata.file_path"))
+        rows = rows.withColumn("_unit", unit)
+        if n_units <= BROADCAST_SOURCES:
+            rows = rows.join(F.broadcast(plan), "_unit")
         else:
-            rows = skew_join(rows, plan, ["source_stem"], "inner", ["_fid"])
-        compact_chunks(rows.drop("source_stem")).write.mode("overwrite") \
+            rows = skew_join(rows, plan, ["_unit"], "inner", ["_fid"])
+        compact_chunks(rows.drop("_unit", "source_stem")).write.mode("overwrite") \
             .partitionBy("chunk_id").parquet(self.packed_path)
         return True
 

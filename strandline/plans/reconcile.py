@@ -93,7 +93,7 @@ def reconcile_chunks(source: DataFrame, dataset: DataFrame, order_by: list[str],
     of it for None. Source copies within a chunk shrink to one row before the join.
     """
     head = dataset if head_rows is None else dataset.orderBy(*order_by).limit(head_rows)
-    keys = distinct_keys(head, geometry).withColumn("_found", F.lit(True))
+    keys = write_through(distinct_keys(head, geometry), "keys").withColumn("_found", F.lit(True))  # read twice
     n_keys = keys.agg(F.count("*")).scalar()
     if head_rows is not None and head_rows <= HEAD_ROWS:
         keys = F.broadcast(keys)  # at most HEAD_ROWS keys of bounded length

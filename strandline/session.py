@@ -30,17 +30,17 @@ def build_session(app_name: str = "strandline", master: str | None = None, **con
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """This application's folder for intermediate tables; it can go once the application has ended.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder of its own.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only
+    a local session without that setting falls back to a temporary folder of its own.
     """
+    app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured.rstrip("/")
+        return f"{configured.rstrip('/')}/strandline-{app}"
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="strandline-")
     return _LOCAL_SCRATCH[app]

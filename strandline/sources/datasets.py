@@ -114,8 +114,9 @@ def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mod
 
 def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    skip: list[str] | None = None) -> DataFrame:
-    """A dataset written by ``append_by_source``; stems stay text even where they look like numbers.
+    """A dataset written by ``append_by_source``, or the same columns without directories.
 
+    Stems stay text even where they look like numbers.
     ``skip`` lists files, as ``parquet_sizes`` names them, that are never opened.
     """
     skip = skip or []
@@ -131,13 +132,23 @@ def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None =
     return df.where(~F.col("_metadata.file_path").isin(skip + local))
 
 
+def stem_of_directory(path: Column) -> Column:
+    """The source a file of such a dataset belongs to, empty in a dataset without source directories."""
+    escaped = F.regexp_extract(path, r"source_stem=([^/]+)", 1)
+    return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+
+
 def sizes_by_source(files: DataFrame) -> DataFrame:
     """(source_stem, size_bytes) of the Parquet files (path, size_bytes) of such a dataset."""
-    escaped = F.regexp_extract("path", r"source_stem=([^/]+)", 1)
-    return (files.groupBy(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("source_stem"))
+    return (files.groupBy(stem_of_directory(F.col("path")).alias("source_stem"))
             .agg(F.sum("size_bytes").alias("size_bytes")))
 
 
+def short_uri(path: Column) -> Column:
+    """A file's URI with a single slash after ``file:``, as listings have it."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def write_chunks(df: DataFrame, path: str, layer: str, rows: int = ROWS_PER_CHUNK, fid: str = "_fid",
                  mode: str = "overwrite") -> None:
     """One directory per layer and chunk of ``rows`` consecutive features."""

@@ -199,12 +199,15 @@ def geo_footers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def geoparquet_scan(spark: SparkSession, *paths: str) -> DataFrame:
-    """GeoParquet parts as one table with lower-case names; the CRS comes from one file's footer."""
+    """GeoParquet parts as one table with lower-case names; the CRS comes from the first file's footer."""
     df = lowercase_columns(spark.read.parquet(*paths))
-    first = geo_footers(spark, paths[0]).where("geo is not null").orderBy("path").limit(1).collect()
-    if not first:
+    first = parquet_sizes(spark, paths[0]).orderBy("path").select("path").first()
+    fs, local = resolve(first.path)
+    with fs.open_input_file(local) as handle:
+        text = (pq.read_metadata(handle).metadata or {}).get(b"geo")
+    if text is None:
         return df
-    geo = json.loads(first[0].geo)
+    geo = json.loads(text)
     column = geo["primary_column"]
     code = ((geo["columns"][column].get("crs") or {}).get("id") or {}).get("code")
     return set_crs(df, int(code), column.lower()) if code else df

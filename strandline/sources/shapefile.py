@@ -309,18 +309,22 @@ def read_headers(files: DataFrame) -> DataFrame:
 
 
 def record_ranges(headers: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, file_name, srid, start, end): ranges of about ``range_bytes`` of each readable file."""
+    """(path, file_name, srid, start, end, bytes): ranges of about ``range_bytes`` of each readable file."""
     files = headers.where("reason is null").select("path", "file_name", "n_records", "shp_bytes", "srid").distinct()
     step = F.greatest(F.lit(1), F.floor(F.col("n_records") * F.lit(range_bytes) / F.greatest("shp_bytes", F.lit(1))))
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_records") - 1, F.col("_step")))
     return (files.where("n_records > 0").withColumn("_step", step).withColumn("start", starts)
-            .select("path", "file_name", "srid", "start",
-                    F.least(F.col("start") + F.col("_step"), F.col("n_records")).alias("end")))
+            .withColumn("end", F.least(F.col("start") + F.col("_step"), F.col("n_records")))
+            .select("path", "file_name", "srid", "start", "end",
+                    ((F.col("end") - F.col("start")) * F.col("shp_bytes") / F.col("n_records")).alias("bytes")))
 
 
-def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WGS84) -> DataFrame:
+def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WGS84,
+                  task_bytes: int = RANGE_BYTES) -> DataFrame:
     """Features of all ranges: _source_file, _fid, the attributes, geometry, bbox, _error.
 
+    Small ranges share a task of about ``task_bytes``, as long as every core has one.
+
     ``fields`` are lower-case attribute names with the wanted types; a file that lacks one yields nulls.
     ``_fid`` is the record number in its file. A range that cannot be read yields one row with ``_error``.
     """
@@ -351,7 +355,9 @@ def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WG
                     empty |= {"_source_file": [row["file_name"]], "_fid": [row["start"]], "_error": [reason]}
                     yield pa.RecordBatch.from_pydict(empty, schema=arrow)
 
-    tasks = max(1, min(100_000, ranges.count()))
+    size = ranges.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    cores = ranges.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(size["n"], 100_000, max(cores, int(size["bytes"] // task_bytes) + 1)))
     return ranges.repartition(tasks).mapInArrow(run, schema)
 
 
@@ -373,7 +379,7 @@ def shapefile_ingest(files: DataFrame, columns: list[str] | None = None, to_srid
               .select("ordinal", "column_name", "data_type").distinct().orderBy("ordinal").collect())
     fields = T.StructType([T.StructField(r.column_name, T.DataType.fromDDL(r.data_type)) for r in record
                            if columns is None or r.column_name in columns])
-    features = read_features(record_ranges(headers, range_bytes), fields, to_srid)
+    features = read_features(record_ranges(headers, range_bytes), fields, to_srid, range_bytes)
     rejected = (headers.where("reason is not null").select("file_name", "reason").distinct()
                 .select(F.col("file_name").alias("_source_file"), F.col("reason").alias("_error")))
     return features.unionByName(rejected, allowMissingColumns=True)

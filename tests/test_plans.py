@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from samples.queries import QUERIES
 from samples.views import table
-from strandline.operators import columns, packing, sampling
+from strandline.operators import columns, packing, sampling, skew
 from strandline.session import scratch_root
 
 SF = "/root/testdata/sf0.001"
@@ -48,12 +48,26 @@ def test_samples_shrink_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_salts_are_part_of_the_shuffle_key(spark):
+    left = spark.range(100).selectExpr("id", "if(id % 3 = 0, null, id % 5) as k")
+    right = spark.range(5).selectExpr("id as k", "id as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, hot in (("left", {}), ("left_anti", {}), ("inner", {1: 4}), ("left", {1: 4})):
+            text = plan(skew.skew_join(left, right, ["k"], how, ["id"], hot))
+            assert len(re.findall(r"hashpartitioning\(k#\d+L, _salt#\d+L", text)) == 2, text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_chunk_numbers_need_no_exchange(spark):
     orders = table(spark, SF, "orders")
     text = plan(orders.select(packing.row_chunk(F.col("o_orderkey"), 1000)))
     assert "Exchange" not in text and "Window" not in text
 
 
-def test_scratch_folder_is_the_configured_one(spark):
+def test_scratch_folder_is_in_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert scratch_root(spark) == (configured or scratch_root(spark)).rstrip("/")
+    if configured:
+        assert scratch_root(spark).startswith(configured.rstrip("/") + "/")
+    assert scratch_root(spark) == scratch_root(spark)

@@ -300,6 +300,21 @@ def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     assert {r.status for r in checked.collect()} == {"match"} and checked.count() > 0
 
 
+def test_many_sources_share_files(spark, tmp_path, monkeypatch):
+    from strandline.plans import lakehouse
+    monkeypatch.setattr(lakehouse, "MOST_DIRECTORIES", 3)
+    monkeypatch.setattr(lakehouse, "BROADCAST_SOURCES", 1)
+    for i in range(12):
+        write_shapefile(f"{tmp_path}/in/{i:04d}.shp", POINTS, attributes(4, f"G{i}"))
+    (tmp_path / "in" / "0007.shp").write_bytes(b"")
+    job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out"), chunk_bytes=1))
+    report = job.run()
+    assert report.where("status = 'succeeded'").count() == 11
+    assert not [n for n in os.listdir(job.features_path) if n.startswith("source_stem")]
+    assert rows(job.result().groupBy("_source_file", "gui").count()) == [
+        (f"{i:04d}.shp", f"G{i}", 3) for i in range(12) if i != 7]
+
+
 def test_files_that_cannot_be_packed_are_listed_and_left_out(spark, tmp_path):
     write_shapefile(f"{tmp_path}/in/a.shp", POINTS, attributes(4))
     job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out")))
