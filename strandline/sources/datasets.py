@@ -151,9 +151,12 @@ def short_uri(path: Column) -> Column:
 
 def write_chunks(df: DataFrame, path: str, layer: str, rows: int = ROWS_PER_CHUNK, fid: str = "_fid",
                  mode: str = "overwrite") -> None:
-    """One directory per layer and chunk of ``rows`` consecutive features."""
+    """One directory per layer and chunk of ``rows`` consecutive features.
+
+    A chunk has a bounded number of rows, so one task per chunk never grows.
+    """
     chunked = df.withColumn("_layer", F.lit(layer)).withColumn("chunk_id", row_chunk(F.col(fid), rows))
-    (chunked.hint("rebalance", F.col("chunk_id")).write.mode(mode)
+    (chunked.repartition("chunk_id").write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").partitionBy("_layer", "chunk_id").parquet(path))
 
 
