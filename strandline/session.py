@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[tuple[str, str]] = set()
 
 
 def build_session(app_name: str = "strandline", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,7 +30,25 @@ def build_session(app_name: str = "strandline", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_code(spark)
+    return spark
+
+
+def ship_code(spark: SparkSession, *packages: str) -> None:
+    """Send packages of this repository to the executors, once per application."""
+    app = spark.sparkContext.applicationId
+    wanted = [p for p in packages or ("strandline",) if (app, p) not in _SHIPPED]
+    if not wanted:
+        return
+    target = Path(tempfile.mkdtemp(prefix="strandline-code-")) / f"{'_'.join(wanted)}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for package in wanted:
+            folder = Path(importlib.import_module(package).__file__).parent
+            for source in sorted(folder.rglob("*.py")):
+                archive.write(source, source.relative_to(folder.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.update((app, p) for p in wanted)
 
 
 def scratch_root(spark: SparkSession) -> str:
