@@ -51,10 +51,11 @@ def _points(wkb: pa.Array):
     if wkb.null_count or not len(wkb):
         return None
     size = _POINT_DTYPE.itemsize
-    if pc.min(pc.binary_length(wkb)).as_py() != size or pc.max(pc.binary_length(wkb)).as_py() != size:
+    spread = pc.min_max(pc.binary_length(wkb)).as_py()
+    if spread["min"] != size or spread["max"] != size:
         return None
-    raw = np.frombuffer(wkb.cast(pa.binary(size)).buffers()[1], _POINT_DTYPE, len(wkb), wkb.offset * size) \
-        if wkb.offset == 0 else np.frombuffer(b"".join(wkb.to_pylist()), _POINT_DTYPE)
+    fixed = wkb.cast(pa.binary(size))
+    raw = np.frombuffer(fixed.buffers()[1], _POINT_DTYPE, len(fixed), fixed.offset * size)
     plain = (raw["order"] == 1).all() and (raw["kind"] == codec.POINT).all()
     return raw if plain and not np.isnan(raw["x"]).any() else None
 
@@ -92,14 +93,11 @@ def wkb_batch_from_wkt(text: pa.Array) -> pa.Array:
     """WKB of a batch of WKT texts; null where a text is null or malformed."""
     point = pc.extract_regex(text, _POINT_TEXT)
     if point.null_count == text.null_count and len(text):
-        valid = point.is_valid().to_numpy(zero_copy_only=False)
         try:
-            xy = [pc.fill_null(pc.cast(point.field(i), pa.float64()), 0.0) if valid.all()
-                  else pc.fill_null(pc.cast(pc.if_else(point.is_valid(), point.field(i), "0"), pa.float64()), 0.0)
-                  for i in (0, 1)]
-            return _point_column(xy[0].to_numpy(), xy[1].to_numpy(), valid)
+            x, y = (pc.cast(pc.struct_field(point, i), pa.float64()).fill_null(0.0).to_numpy() for i in (0, 1))
+            return _point_column(x, y, point.is_valid().to_numpy(zero_copy_only=False))
         except pa.ArrowInvalid:
-            pass
+            pass  # some text only looks like a number
     return pa.array([_try(lambda t: codec.encode_wkb(codec.decode_wkt(t)), t) for t in text.to_pylist()], pa.binary())
 
 

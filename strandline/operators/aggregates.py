@@ -30,8 +30,8 @@ def kth_most_common(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def rows_of_kth_most_common(df: DataFrame, column: str, k: int) -> DataFrame:
-    """All rows that carry the value at rank ``k``; the broadcast side is that one row."""
-    return df.join(F.broadcast(kth_most_common(df, column, k).select(column)), column, "left_semi")
+    """All rows that carry the value at rank ``k``: a filter on a scalar subquery, no join."""
+    return df.where(F.col(column) == kth_most_common(df, column, k).select(column).scalar())
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -22,7 +22,7 @@ SAMPLE_FILES, SAMPLE_ROWS, HEAD_ROWS = 3, 5, 1000
 
 def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], control: str | None = "gui",
                   geometry: str = "geometry", few_probes: bool = False) -> DataFrame:
-    """One row per probe: ``probe_id`` and ``status``, the best verdict over the whole dataset.
+    """One row per ``probe_id``, which must be unique, with ``status``, the best verdict over the whole dataset.
 
     A probe must be contained in a dataset geometry, equal one exactly, and agree
     with that one's control value. Copies in the dataset with the same geometry and
@@ -48,12 +48,13 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
         verdict = F.lit("control_mismatch")
     verdict = (F.when(F.col("relation") == "unsupported", "unsupported")
                .when(~exact, "contained_not_exact").otherwise(verdict))
-    order = F.array(*[F.lit(s) for s in STATUSES])
-    best = pairs.groupBy(*probe_id).agg(F.max(F.array_position(order, verdict)).alias("_best"))
-    # A null index into a constant array does not yield null in every Spark version, hence the explicit case.
-    status = F.when(F.col("_best").isNull(), STATUSES[0]).otherwise(F.element_at(order, F.col("_best").cast("int")))
-    found = F.broadcast(best) if few_probes else best
-    return probes.select(*probe_id).join(found, probe_id, "left").select(*probe_id, status.alias("status"))
+    # Every probe starts at the worst verdict; one aggregation by probe finds its best, found or not.
+    rank = F.create_map(*[F.lit(x) for i, s in enumerate(STATUSES) for x in (s, i)])
+    ranked = (pairs.select(*probe_id, rank[verdict].alias("_rank"))
+              .unionByName(probes.select(*probe_id, F.lit(0).alias("_rank"))))
+    status = F.array(*[F.lit(s) for s in STATUSES])
+    return (ranked.groupBy(*probe_id).agg(F.max("_rank").alias("_rank"))
+            .select(*probe_id, F.get(status, F.col("_rank")).alias("status")))
 
 
 def sampled_probes(source: DataFrame, failed: DataFrame, control: str, file: str = "_source_file", fid: str = "_fid",
