@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -84,7 +85,7 @@ def export_features(feat: DataFrame, directory: str, rows_per_file: int = 5000)
     A source becomes ``<stem>.shp``, ``<stem>_1.shp`` and so on. Returns the names
     with the feature numbers in them, in file order.
     """
-    def export(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def export(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_fid")
         name = key[0][:-4] + (f"_{key[1]}" if key[1] else "") + ".shp"
         pdf = pdf.astype(object).where(pdf.notna(), None)

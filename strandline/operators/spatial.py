@@ -21,7 +21,7 @@ from strandline.session import write_through
 
 # Grid sizes are powers of two, exact in binary; neighbouring grids differ by this power.
 LEVEL_STEP = 2
-FINEST_LEVEL, COARSEST_LEVEL = -20, 60
+FINEST_LEVEL, COARSEST_LEVEL = -20, 1024
 EVERY_LEVEL = list(range(FINEST_LEVEL, COARSEST_LEVEL + 1, LEVEL_STEP))
 # The WKB head of a plain little-endian point.
 _POINT_HEAD = "0101000000"
@@ -31,8 +31,7 @@ def grid_level(box: Column) -> Column:
     """Exponent of the finest grid whose cells are at least as wide as the box."""
     extent = F.greatest(box.xmax - box.xmin, box.ymax - box.ymin)
     level = F.ceil(F.log2(extent) / LEVEL_STEP) * LEVEL_STEP
-    level = F.least(F.greatest(level, F.lit(FINEST_LEVEL)), F.lit(COARSEST_LEVEL))
-    return F.when(extent > 0, level).otherwise(FINEST_LEVEL).cast("int")
+    return F.when(extent > 0, F.greatest(level, F.lit(FINEST_LEVEL))).otherwise(FINEST_LEVEL).cast("int")
 
 
 def cell(value: Column, level: Column) -> Column:
@@ -44,14 +43,15 @@ def is_point(geom: Column) -> Column:
 
 
 def _framed(df: DataFrame, geometry: str, box: str | None, edges: bool) -> DataFrame:
-    """Rows with a bounding box ``_box`` and, if wanted, boundary segments ``_edges``."""
+    """Rows with a finite bounding box ``_box`` and, if wanted, boundary segments ``_edges``."""
     if edges:
         df = df.withColumn("_frame", once(geom_frame)(geometry))
         df = df.withColumn("_edges", F.col("_frame.edges")).withColumn("_box", F.col("_frame.box")).drop("_frame")
         df = df.withColumn("_box", F.col(box)) if box else df
     else:
         df = df.withColumn("_box", F.col(box) if box else once(geom_bbox)(geometry))
-    return df.where(F.col("_box").isNotNull())
+    box, limit = F.col("_box"), F.lit(float("inf"))  # a box without end is no place
+    return df.where((box.xmin > -limit) & (box.ymin > -limit) & (box.xmax < limit) & (box.ymax < limit))
 
 
 def container_cells(df: DataFrame) -> DataFrame:

@@ -67,6 +67,17 @@ def test_undecidable_pairs_are_reported(spark):
         (0, 0, "unsupported"), (0, 1, "unsupported"), (1, 0, "contains"), (1, 1, "unsupported")]
 
 
+def test_coordinates_without_end_match_nothing(spark):
+    held = frame(spark, [box(0, 0, 9, 9), "POINT (1 1)", box(-1e200, -1e200, 3e200, 3e200)], "o")
+    wide = held.withColumn("bbox", F.when(F.col("o") == 1, F.struct(*[
+        F.lit(float(v)).alias(n) for n, v in (("xmin", "-inf"), ("ymin", 0), ("xmax", "inf"), ("ymax", "nan"))]))
+        .otherwise(geo.geom_bbox("geometry")))
+    sought = frame(spark, ["POINT (1 1)", "POINT EMPTY"], "i")
+    for few in (False, True):
+        pairs = spatial.containment_join(wide, sought, ["o"], ["i"], container_box="bbox", few_probes=few)
+        assert sorted((r.o, r.i) for r in pairs.collect()) == [(0, 0), (2, 0)]
+
+
 def test_no_containers_or_probes(spark):
     held, sought = frame(spark, [box(0, 0, 9, 9)], "o"), frame(spark, ["POINT (1 1)"], "i")
     assert spatial.containment_join(held.limit(0), sought, ["o"], ["i"]).count() == 0
@@ -83,7 +94,7 @@ def test_rows_that_contain_one_geometry(spark):
 
 
 def test_a_container_fills_few_cells_at_any_size(spark):
-    sizes = [1e-7, 0.001, 0.3, 7, 90, 5000, 4e7]
+    sizes = [1e-7, 0.001, 0.3, 7, 90, 5000, 4e7, 1e200]
     df = frame(spark, [box(12.3, 45.6, s, s * 0.7) for s in sizes], "o")
     cells = spatial.container_cells(spatial._framed(df, "geometry", None, edges=False)).groupBy("o").count()
     assert cells.agg(F.max("count")).first()[0] <= 4
