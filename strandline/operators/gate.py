@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.skew import skew_join
@@ -19,20 +19,22 @@ BROADCAST_NAMES = 200_000
 QUARANTINE_SCHEMA = "file_name string, reason string, column_name string, data_type string"
 
 
-def schema_of_record(columns: DataFrame) -> DataFrame:
-    """(column_name, data_type) of the file with the smallest name."""
-    first = columns.agg(F.min("file_name").alias("file_name"))
-    return columns.join(F.broadcast(first), "file_name", "left_semi").select("column_name", "data_type")
+def _signature() -> Column:
+    """Columns and types of one file in a fixed order; as long as the file is wide."""
+    return F.array_sort(F.collect_set(F.struct("column_name", "data_type")))
 
 
 def schema_gate(columns: DataFrame, record: DataFrame | None = None) -> DataFrame:
-    """(file_name, accepted): whether a file has exactly the columns and types of record."""
-    record = schema_of_record(columns) if record is None else record
-    record = record.distinct().withColumn("_known", F.lit(True))
-    size = record.agg(F.count("*").alias("n")).scalar()
-    return (columns.join(record, ["column_name", "data_type"], "left")
-            .groupBy("file_name").agg(F.count("*").alias("_n"), F.count("_known").alias("_n_known"))
-            .select("file_name", ((F.col("_n") == size) & (F.col("_n_known") == size)).alias("accepted")))
+    """(file_name, accepted): whether a file has exactly the columns and types of record.
+
+    Without ``record`` those of the file with the smallest name count.
+    """
+    files = columns.groupBy("file_name").agg(_signature().alias("_columns"))
+    if record is None:
+        wanted = files.agg(F.min_by("_columns", "file_name")).scalar()
+    else:
+        wanted = record.agg(_signature()).scalar()
+    return files.select("file_name", (F.col("_columns") == wanted).alias("accepted"))
 
 
 def quarantine_report(columns: DataFrame, failed: DataFrame) -> DataFrame:
