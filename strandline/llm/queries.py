@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, simhash, token_counts
+from . import bpe, decontaminate, langid, quality, simhash, token_counts
+from .text import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), path, keep="")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+                             learn="crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(fold("doc_id", 5) != 0), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.identify(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,6 +51,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
+    "op5_language_id": op5_language_id,
     "op7_simhash": op7_simhash,
     "op9_token_counts": op9_token_counts,
 }
