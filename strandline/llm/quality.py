@@ -65,7 +65,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
     def share(count: np.ndarray, whole: np.ndarray) -> np.ndarray:
         ratio = (count + 0.5) / (whole + 1)
-        return np.log(ratio) - np.log1p(np.maximum(-ratio, -1 + 1e-9))
+        return np.log(ratio) - np.log1p(-ratio)
 
     shares = [share(per_text(np.isin(data, np.frombuffer(m, np.uint8))), sizes) for m in CLASSES.values()]
     return np.stack([np.log1p(sizes), np.log1p(words), np.log1p(mean), np.log1p(spread), share(per_text(data >= 128), sizes),

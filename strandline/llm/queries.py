@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, quality, simhash, token_counts
+from . import bpe, decontaminate, langid, lm, pii, quality, simhash, token_counts, topk
 from .text import fold
 
 
@@ -32,17 +32,33 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(fold("doc_id", 5) != 0), public_tokenizers.path("piece_bpe_32k.model"))
     return langid.identify(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(_table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    return scored.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(pii.labelled_table(docs)))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), path)
@@ -52,8 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
+    "op4_top_k": op4_top_k,
     "op5_language_id": op5_language_id,
+    "op6_lm_score": op6_lm_score,
     "op7_simhash": op7_simhash,
+    "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
 }
 
@@ -85,4 +104,18 @@ ORACLE: dict[str, str] = {
         select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from words left join hit_words using (r) left join hit_items using (r)""",
+    "op4_top_k": """
+        with usable as (
+          select row_number() over () as r, vec_id,
+                 list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+          from embeddings
+          where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select q.r, q.vec_id as query_id, c.vec_id,
+                 cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
+          from usable q join usable c on q.r <> c.r and len(q.v) = len(c.v)
+          where q.vec_id % 100 = 0)
+        select query_id, cast(row_number() over (partition by r order by score desc, vec_id) as integer) as rank, vec_id, score
+        from scored qualify row_number() over (partition by r order by score desc, vec_id) <= 10""",
 }
