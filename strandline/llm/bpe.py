@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .text import text_list
+from .text import rows_to_read, schema_with, text_list
 from .wordbpe import WordBpe, load
 
 #: Units whose ids a worker remembers before it starts afresh.
@@ -134,8 +134,6 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     A null or empty text has no ids and decodes to the empty string; a null id stays null; equal rows give equal
     rows; other columns are not read. Texts are encoded whole, whatever their length.
     """
-    import hashlib
-
     wanted = [x.strip() for x in keep.split(",") if x.strip()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +162,6 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                      *(pa.array(v, pa.binary() if k == "ids" else pa.string()) for k, v in out.items() if k != "n_tokens")],
                     ["doc_id", *out])
 
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = read.schema["doc_id"].dataType.simpleString()
+    read = rows_to_read(docs, id_col, text_col, False)
     fields = "".join(f", {w} {'binary' if w == 'ids' else 'string'}" for w in wanted)
-    return read.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{fields}")
+    return read.mapInArrow(run, schema_with(read, f"n_tokens long, ids_sha256 string, decoded_sha256 string{fields}"))

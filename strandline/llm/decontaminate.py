@@ -187,3 +187,12 @@ def report(found: DataFrame) -> DataFrame:
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.size("items") > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 10,
+          k: int = 5) -> DataFrame:
+    """``docs`` without the rows that share a window with a benchmark item."""
+    found = contaminated_words(docs, benchmark, id_col, text_col, span=span, k=k).where("size(items) > 0")
+    found = found.select(F.col("id").alias("_hit_id"), F.col("key").alias("_hit_key")).distinct()
+    same = docs[f"`{id_col}`"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[f"`{text_col}`"]) == F.col("_hit_key"))
+    return docs.join(found, same, "left_anti")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import text_list
+from .text import carried, rows_to_read, schema_with, text_list
 from .wordbpe import PairTable
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -226,8 +226,9 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
     return LanguageModel(languages, weights, path)
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row.
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
+             carry: bool = False) -> DataFrame:
+    """``doc_id, lang_pred, score`` for every row, and its columns as ``row`` if ``carry``.
 
     The text's log probability under a language is the sum over its words (lower-cased runs of letters) of the forward
     sum over all segmentations; ``score`` is the best language's share of the probability, languages being equally likely
@@ -262,8 +263,10 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                     lang.append(languages[best])
                     score.append(float(1 / (10.0 ** np.maximum(sums - sums[best], -300)).sum()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(words)), pa.array(lang, pa.string()),
-                                                  pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+                                                  pa.array(score, pa.float64()), *carried(batch, first, len(words))], names)
 
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    read = rows_to_read(docs, id_col, text_col, carry)
+    schema = schema_with(read, "lang_pred string, score double")
+    names = schema.names
+    return read.mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import text_list
+from .text import carried, rows_to_read, schema_with, text_list
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Outside, then begin and inside of each kind.
@@ -363,8 +363,10 @@ def added_spans(text: str, labels: list[tuple[int, np.ndarray]], lines: list[str
     return added
 
 
-def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text", batch_docs: int = 1000) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base, spans`` for every row.
+def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text", carry: bool = False,
+         batch_docs: int = 1000) -> DataFrame:
+    """``doc_id, n_email, n_ip, n_card, n_phone, base, spans`` for every row, and if ``carry`` also ``masked``, the text with its spans masked,
+    and its columns as ``row``.
 
     The counts and ``base`` (``kind:start:end`` in code points, by start, then kind) are the patterns'; ``spans`` has these and
     what the field adds where no pattern matched. A sequence is a line of a text; every line of every text is decoded.
@@ -397,12 +399,15 @@ def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "tex
                 counts = [[sum(s[1] == k for s in b) for b in base] for k in range(len(KINDS))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(part)), *(pa.array(c, pa.int64()) for c in counts),
-                     pa.array(map(_written, base), pa.string()), pa.array(map(_written, spans), pa.string())],
-                    ["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans"])
+                     pa.array(map(_written, base), pa.string()), pa.array(map(_written, spans), pa.string()),
+                     *([pa.array([mask(t, _written(s)) for t, s in zip(part, spans, strict=True)], pa.string())] if carry else []),
+                     *carried(batch, first, len(part))], names)
 
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInArrow(run, f"doc_id {kind}, " + "".join(f"n_{k} long, " for k in KINDS) + "base string, spans string")
+    read = rows_to_read(docs, id_col, text_col, carry)
+    schema = schema_with(read, "".join(f"n_{k} long, " for k in KINDS) + "base string, spans string"
+                         + (", masked string" if carry else ""))
+    names = schema.names
+    return read.mapInArrow(run, schema)
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:
@@ -411,6 +416,8 @@ def _written(spans: list[tuple[int, int, int]]) -> str:
 
 def mask(text: str, spans: str) -> str:
     """The text with each span replaced by its kind in brackets; of overlapping spans the union, named by the first."""
+    if not spans:
+        return text
     out, done = [], 0
     for kind, start, end in (s.split(":") for s in spans.split(",") if s):
         if int(start) >= done:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lm, pii, quality, simhash, token_counts, topk
+from . import bpe, decontaminate, idfiles, langid, lm, pii, quality, simhash, token_counts, topk
 from .text import fold
 
 
@@ -64,6 +64,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), path)
 
 
+def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
+    "op10_id_files": op10_id_files,
 }
 
 ORACLE: dict[str, str] = {

@@ -37,14 +37,16 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """``doc_id, fp`` (a signed long) for every row."""
+    """``doc_id, key, fp`` (signed longs) for every row; ``key`` is a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle_words) for t in utf8_list(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))],
+                                             ["doc_id", "key", "fp"])
 
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, "doc_id long, fp long")
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("key"))
+    return read.mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
@@ -66,7 +68,8 @@ def linked_fingerprints(prints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id``, one row for every row of ``docs``.
+    """``doc_id, key, fp, component, component_id``, one row for every row of ``docs``; ``key`` is a hash of the text,
+    ``component`` a fingerprint that stands for the linked ones.
 
     Rows whose fingerprints differ in at most 2 bits are linked; ``component_id`` is the smallest id reachable over links.
     Null, empty and blank texts have fingerprint 0 and are linked like any other. A null id takes part in no minimum: a
@@ -80,5 +83,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_node = nodes.join(components.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of_node.join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = of_node.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(named, "fp").select("doc_id", "key", "fp", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of linked ones: that of the smallest id.
+
+    Of several rows with this id the one with the smallest hash of its text stays, of equal rows any.
+    """
+    linked = near_duplicates(docs, id_col, text_col, shingle_words)
+    stay = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
+        F.min(F.struct("doc_id", "key")).alias("first")).select(
+        F.col("first.doc_id").alias("_stay_id"), F.col("first.key").alias("_stay_key"))
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*(docs[f"`{c}`"].alias(n) for c, n in zip(docs.columns, names, strict=True)),
+                       docs[f"`{id_col}`"].cast("long").alias("_id"), F.xxhash64(docs[f"`{text_col}`"]).alias("_key"))
+    kept = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_key") == F.col("_stay_key")), "left_semi")
+    kept = kept.dropDuplicates(["_id", "_key"])
+    return kept.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))

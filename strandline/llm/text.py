@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 1 << 21
 
@@ -19,6 +20,23 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def rows_to_read(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """``doc_id, text`` and, if ``carry``, ``row``: all columns of ``docs``, whatever their names, as one struct."""
+    row = [F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")] if carry else []
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
+
+
+def schema_with(read: DataFrame, fields: str) -> T.StructType:
+    """The type of ``doc_id``, the ``fields``, and ``row`` if it is carried."""
+    schema = T.StructType([read.schema["doc_id"], *T.StructType.fromDDL(fields)])
+    return schema.add(read.schema["row"]) if "row" in read.columns else schema
+
+
+def carried(batch: pa.RecordBatch, first: int, number: int) -> list[pa.Array]:
+    """The part of ``row`` that belongs to some rows of a batch, if it is carried."""
+    return [batch.column(i).slice(first, number) for i in range(batch.num_columns) if batch.schema.field(i).name == "row"]
+
+
 def utf8_list(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8; null is empty."""
     return pc.fill_null(column.cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()
