@@ -10,6 +10,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from .text import text_list
 
 #: Ids after which a group ends, with the document that reaches them.
 GROUP_IDS = 1 << 22
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 TEXTS = 500
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 #: Any white space but the space and the line feed.
@@ -74,6 +75,12 @@ class UnitEncoder:
         return [b"".join(map(self.known.__getitem__, u)) for u in units]
 
 
+@lru_cache(maxsize=2)
+def unit_encoder(path: str) -> UnitEncoder:
+    """One for each worker, which serves many tasks."""
+    return UnitEncoder(path)
+
+
 def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the ids of every text (null: empty), each followed by ``end_id``, to files at ``out``; returns ``out``.
 
@@ -81,7 +88,7 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "
     follow the ranges. The vocabulary at ``path`` must have fewer than 65,536 ids. An empty table gives files without rows.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(path)
+        encoder = unit_encoder(path)
         end = np.array([end_id], "<u2").tobytes()
         ids, held, size, number, part = [], [], 0, 0, 0
 
