@@ -7,6 +7,7 @@ shared scratch folder and are read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -333,11 +334,15 @@ def feature_slice(spark, sf):
     return columns.feature_slice(layer_features(spark, sf), 3000, 3500).select("_fid", "o_custkey")
 
 
-@query(drifted("""
-SELECT file_name AS source, column_name, data_type,
-       CAST(row_number() OVER (PARTITION BY file_name ORDER BY place) - 1 AS INT) AS ordinal FROM cols"""))
+@query("""
+SELECT table_name AS source, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+                      ELSE data_type END AS data_type,
+       CAST(ordinal_position - 1 AS INTEGER) AS ordinal
+FROM information_schema.columns WHERE table_name IN ('customer', 'part', 'documents')""")
 def schema_report(spark, sf):
-    return drifted_footers(spark, sf).withColumnRenamed("file_name", "source")
+    return reduce(DataFrame.unionAll, [columns.schema_report(table(spark, sf, t), t) for t in ("customer", "part", "documents")])
 
 
 @query("SELECT p_name, p_brand, p_type FROM part")
@@ -384,7 +389,7 @@ def align_timestamp(spark, sf):
 SELECT _fid, hab_type, coalesce(code, -1) AS code FROM feat LEFT JOIN codes USING (hab_type)""")
 def dictionary_encode(spark, sf):
     df = view(spark, sf, "feat").select("_fid", "hab_type")
-    return dictionary.dictionary_encode(df, "hab_type", spread=["_fid"])
+    return dictionary.dictionary_encode(df, "hab_type")
 
 
 # ================================================================ geometry columns
@@ -469,11 +474,21 @@ def reproject_to_3857(spark, sf):
         ("x", "x"), ("y", "y"), ("box.xmin", "geom_x"), ("box.ymin", "geom_y"))])
 
 
+_PROBES = {"point": "POINT ({0} {1})", "line": "LINESTRING ({0} {1}, {2} {3})",
+           "polygon": "POLYGON (({0} {1}, {2} {1}, {2} {3}, {0} {1}))"}
+
+
 @query(with_clause("boxes") + """
-SELECT box_id, 'contains' AS relation FROM boxes WHERE x0 < 10.25 AND 10.25 < x1 AND y0 < 20.25 AND 20.25 < y1""")
+, first AS (SELECT x0 + 5 AS lon, y0 + 3 AS lat FROM boxes WHERE box_id = 1)
+SELECT probe, box_id, 'contains' AS relation FROM boxes, first, (VALUES ('point', 0.0), ('line', 1.5), ('polygon', 1.5)) p(probe, side)
+WHERE x0 < lon AND lon + side < x1 AND y0 < lat AND lat + side < y1""")
 def geom_contains(spark, sf):
-    probe = geo.wkb_from_wkt("POINT (10.25 20.25)")
-    return spatial.containing_rows(features(spark, sf, "boxes"), probe, ["box_id"])
+    boxes = features(spark, sf, "boxes").withColumn("bbox", geo.geom_bbox("geometry"))
+    first = view(spark, sf, "boxes").where("box_id = 1").selectExpr("x0 + 5 AS lon", "y0 + 3 AS lat").first()
+    corners = (first.lon, first.lat, first.lon + 1.5, first.lat + 1.5)
+    found = [spatial.containing_rows(boxes, geo.wkb_from_wkt(text.format(*corners)), ["box_id"], box="bbox")
+             .select(F.lit(name).alias("probe"), "box_id", "relation") for name, text in _PROBES.items()]
+    return reduce(DataFrame.unionAll, found)
 
 
 @query(with_clause("pts", "pts_copy") + """
@@ -493,24 +508,38 @@ WHERE EXISTS (SELECT 1 FROM pts_copy b WHERE a.lat = b.lat AND abs(a.lon - b.lon
 def geom_near_copies(spark, sf):
     ours = point_features(view(spark, sf, "pts")).select("_fid", "geometry")
     theirs = point_features(view(spark, sf, "pts_copy")).select("geometry")
-    return spatial.near_copies(ours, theirs, 0.001, ["_fid"]).select("_fid")
+    return spatial.near_copies(ours, theirs, 0.001).select("_fid")
 
 
 @query(with_clause("feat", "feat_copy") + "SELECT _fid FROM feat WHERE wkt IN (SELECT wkt FROM feat_copy)")
 def geom_equals(spark, sf):
-    return geojoin.geom_equals_set(feat(spark, sf), feat_copy(spark, sf), ["_fid"]).select("_fid")
+    return geojoin.geom_equals_set(feat(spark, sf), feat_copy(spark, sf)).select("_fid")
 
 
-@query(with_clause("pts", "cells", "feat", "feat_copy") + """
+@query(with_clause("pts", "cells", "boxes", "feat", "feat_copy") + """
 SELECT _fid, CASE WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt AND c.gui = f.gui) THEN 'match'
                   WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt) THEN 'control_mismatch'
-                  WHEN wkt IS NOT NULL AND EXISTS (SELECT 1 FROM cells WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)
+                  WHEN wkt IS NOT NULL AND EXISTS (SELECT 1 FROM (SELECT x0, x1, y0, y1 FROM cells UNION ALL
+                      SELECT x0, x1, y0, y1 FROM boxes WHERE box_id % 9 < 3) WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)
                   THEN 'contained_not_exact' ELSE 'not_contained' END AS status
-FROM feat f JOIN pts USING (_fid)""")
+FROM feat f JOIN pts USING (_fid)
+UNION ALL SELECT -1 - box_id, CASE box_id % 3 WHEN 0 THEN 'match' WHEN 1 THEN 'near_copy' ELSE 'contained_not_exact' END FROM boxes
+WHERE box_id % 9 < 3""")
 def geom_lookup_status(spark, sf):
     polygons = cell_features(spark, sf).select(F.lit("CELL").alias("gui"), "geometry")
-    dataset = feat_copy(spark, sf).select("gui", "geometry").unionByName(polygons)
-    return lookup_status(feat(spark, sf), dataset, ["_fid"])
+    boxes = view(spark, sf, "boxes").where("box_id % 9 < 3")
+    held = boxes.select(F.concat(F.lit("BOX"), "box_id").alias("gui"), geo.wkt_to_geom("wkt").alias("geometry"))
+    dataset = feat_copy(spark, sf).select("gui", "geometry").unionByName(polygons).unionByName(held)
+    # The probes of the boxes: the box itself, one smaller by less than the tolerance, one half as wide.
+    shrink = F.expr("CASE box_id % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 0.0005 ELSE 2.5 END")
+    sides = boxes.select("box_id", (F.col("x0") + shrink).alias("x0"), (F.col("x1") - shrink).alias("x1"),
+                         (F.col("y0") + shrink).alias("y0"), (F.col("y1") - shrink).alias("y1"))
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")]
+    ring = F.concat_ws(", ", *[F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string")) for x, y in corners])
+    shrunk = sides.select((-1 - F.col("box_id")).alias("_fid"), F.concat(F.lit("BOX"), "box_id").alias("gui"),
+                          geo.wkt_to_geom(F.concat(F.lit("POLYGON (("), ring, F.lit("))"))).alias("geometry"))
+    probes = feat(spark, sf).select("_fid", "gui", "geometry").unionByName(shrunk)
+    return lookup_status(probes, dataset.withColumn("bbox", geo.geom_bbox("geometry")), ["_fid"], "gui", box="bbox")
 
 
 # ================================================================ joins
@@ -518,13 +547,13 @@ def geom_lookup_status(spark, sf):
 @query(with_clause("feat", "feat_copy") + """
 SELECT _fid, gui FROM feat WHERE wkt IN (SELECT wkt FROM feat_copy)""")
 def geom_inner_join(spark, sf):
-    return geojoin.geom_inner_join(feat(spark, sf), feat_copy(spark, sf), ["_fid"]).select("_fid", "gui")
+    return geojoin.geom_inner_join(feat(spark, sf), feat_copy(spark, sf)).select("_fid", "gui")
 
 
 @query(with_clause("feat", "feat_copy") + """
 SELECT _fid, gui FROM feat WHERE wkt IS NOT NULL AND wkt NOT IN (SELECT wkt FROM feat_copy)""")
 def geom_left_anti(spark, sf):
-    return geojoin.geom_anti_join(feat(spark, sf), feat_copy(spark, sf), ["_fid"]).select("_fid", "gui")
+    return geojoin.geom_anti_join(feat(spark, sf), feat_copy(spark, sf)).select("_fid", "gui")
 
 
 @query(with_clause("feat", "feat_copy") + """
@@ -532,7 +561,7 @@ SELECT min(_fid) AS _fid FROM feat_copy
 WHERE wkt NOT IN (SELECT wkt FROM feat WHERE wkt IS NOT NULL) GROUP BY wkt""")
 def geom_right_anti(spark, sf):
     unique = aggregates.geom_dedupe(feat_copy(spark, sf))
-    return geojoin.geom_anti_join(unique, feat(spark, sf), ["_fid"]).select("_fid")
+    return geojoin.geom_anti_join(unique, feat(spark, sf)).select("_fid")
 
 
 @query(with_clause("feat", "feat_copy") + """
@@ -553,7 +582,7 @@ _FAILED = ", ".join(f"'{f}'" for f in FAILED_FILES)
 @query(with_clause("feat") + f"SELECT _source_file, _fid FROM feat WHERE _source_file NOT IN ({_FAILED})")
 def skip_quarantined(spark, sf):
     rows = view(spark, sf, "feat").select("_source_file", "_fid")
-    return gate.skip_quarantined(rows, failed_list(spark), "_source_file", ["_fid"])
+    return gate.skip_quarantined(rows, failed_list(spark), "_source_file")
 
 
 @query(with_clause("feat", "feat_copy") + """
@@ -561,7 +590,7 @@ SELECT _fid, CASE WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt AND
                   WHEN EXISTS (SELECT 1 FROM feat_copy c WHERE c.wkt = f.wkt) THEN 'control_mismatch'
                   ELSE 'not_found' END AS status FROM feat f""")
 def control_value_join(spark, sf):
-    return geojoin.control_value_join(feat(spark, sf), feat_copy(spark, sf), "gui", ["_fid"]).select("_fid", "status")
+    return geojoin.control_value_join(feat(spark, sf), feat_copy(spark, sf), "gui").select("_fid", "status")
 
 
 @query(with_clause("pts", "cells") + """
@@ -640,7 +669,8 @@ def file_outcome_summary(spark, sf):
 
 @query("""
 SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation, c_mktsegment, NULL AS s_acctbal FROM customer
-UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL, s_acctbal FROM supplier""")
+UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL, s_acctbal FROM supplier
+UNION ALL SELECT NULL, 'left out: parts', NULL, 'key is string, elsewhere bigint', NULL""")
 def concat_by_name(spark, sf):
     buyers = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
@@ -648,7 +678,10 @@ def concat_by_name(spark, sf):
     sellers = table(spark, sf, "supplier").select(
         "s_acctbal", F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name"),
         F.col("s_suppkey").alias("key"))
-    return gate.concat_by_name([buyers, sellers])
+    parts = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("key"), F.col("p_name").alias("name"))
+    rows, left_out = gate.concat_by_name({"buyers": buyers, "parts": parts, "sellers": sellers})
+    listed = spark.createDataFrame([(f"left out: {n}", why) for n, why in left_out], "name string, c_mktsegment string")
+    return rows.unionByName(listed, allowMissingColumns=True)
 
 
 @query(drifted("SELECT file_name, NOT (n % 5 = 0 OR n % 7 = 3) AS accepted FROM files"))
@@ -657,12 +690,13 @@ def schema_gate(spark, sf):
 
 
 @query("""
-SELECT row_number() OVER (ORDER BY name) - 1 AS _fid, name FROM (
-    SELECT c_name AS name FROM customer UNION ALL SELECT s_name FROM supplier)""")
+SELECT row_number() OVER (ORDER BY nation, origin, key) - 1 AS _fid, nation, origin, key FROM (
+    SELECT c_nationkey AS nation, 'customer' AS origin, c_custkey AS key FROM customer
+    UNION ALL SELECT s_nationkey, 'supplier', s_suppkey FROM supplier)""")
 def combine_tables(spark, sf):
-    tables = [table(spark, sf, "customer").select(F.col("c_name").alias("name")),
-              table(spark, sf, "supplier").select(F.col("s_name").alias("name"))]
-    return ordering.with_global_index(gate.concat_by_name(tables), ["name"])
+    tables = [table(spark, sf, t).select(F.col(f"{t[0]}_nationkey").alias("nation"), F.lit(t).alias("origin"),
+                                         F.col(key).alias("key")) for t, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"))]
+    return ordering.with_global_index(gate.concat_by_name(tables)[0], ["nation", "origin", "key"])
 
 
 _RANKED = """
@@ -716,28 +750,33 @@ def compact_chunk(spark, sf):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, upper(l_returnflag || l_linestatus) AS flags FROM lineitem""")
+SELECT l_orderkey, l_linenumber, CAST(rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC) AS BIGINT) AS place,
+       count(*) OVER (PARTITION BY l_suppkey) AS of_all FROM lineitem""")
 def partition_map(spark, sf):
-    def flags(_, frame):
-        text = (frame["l_returnflag"] + frame["l_linestatus"]).str.upper()
-        return frame[["l_orderkey", "l_linenumber"]].assign(flags=text)
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    return gate.map_partitions(rows, flags, "l_orderkey long, l_linenumber int, flags string")
+    def places(_, frame):
+        by_supplier = frame.groupby("l_suppkey")["l_extendedprice"]
+        return frame[["l_orderkey", "l_linenumber"]].assign(
+            place=by_supplier.rank(method="min", ascending=False).astype("int64"), of_all=by_supplier.transform("size"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    return gate.map_partitions(rows.repartition("l_suppkey"), places,
+                               "l_orderkey long, l_linenumber int, place long, of_all long")
 
 
 _BAD = "_fid % 11 = 5 AND CAST(substr(_source_file, 3, 4) AS INT) % 3 = 0"
 
 
 @query(with_clause("feat") + f"""
-SELECT _source_file, count(*) AS n_rows FROM feat
-WHERE _source_file NOT IN (SELECT _source_file FROM feat WHERE {_BAD}) GROUP BY _source_file""")
+SELECT _source_file, count(*) AS n_rows, NULL AS reason FROM feat
+WHERE _source_file NOT IN (SELECT _source_file FROM feat WHERE {_BAD}) GROUP BY _source_file
+UNION ALL SELECT DISTINCT _source_file, CAST(NULL AS BIGINT), 'invalid_geometry' FROM feat WHERE {_BAD}""")
 def isolate_failures(spark, sf):
     text = F.when(F.expr(_BAD), F.lit("POINT (broken")).otherwise(F.col("wkt"))
     read = view(spark, sf, "feat").select("_source_file", "_fid", text.alias("wkt"))
     read = read.withColumn("geometry", geo.wkt_to_geom("wkt"))
     error = F.when(F.col("wkt").isNotNull() & F.col("geometry").isNull(), F.lit("invalid_geometry"))
-    good, _ = gate.isolate_failures(read.withColumn("_error", error))
-    return good.groupBy("_source_file").agg(F.count("*").alias("n_rows"))
+    good, failed = gate.isolate_failures(read.withColumn("_error", error))
+    listed = failed.select(F.col("file_name").alias("_source_file"), "reason")
+    return good.groupBy("_source_file").agg(F.count("*").alias("n_rows")).unionByName(listed, allowMissingColumns=True)
 
 
 # ================================================================ samples and reconciliation
@@ -778,11 +817,11 @@ SELECT _source_file, _fid, gui, single_control,
 
 @query(with_clause("feat", "feat_copy") + _SAMPLED)
 def reconcile_sampled_query(spark, sf):
-    return reconcile_sampled(feat(spark, sf), feat_copy(spark, sf), failed_list(spark), seed=SEED)
+    return reconcile_sampled(feat(spark, sf), feat_copy(spark, sf), failed_list(spark), "gui", seed=SEED)
 
 
 @query(with_clause("feat", "feat_copy") + """
-, r AS (SELECT DISTINCT wkt FROM (SELECT wkt FROM feat_copy ORDER BY _fid LIMIT 1000)),
+, r AS (SELECT DISTINCT wkt FROM feat_copy),
   l AS (SELECT _fid // 500 + 1 AS chunk_id, wkt, count(*) AS n FROM feat GROUP BY 1, 2)
 SELECT chunk_id, CAST(sum(n) AS BIGINT) AS n_features,
        CAST(coalesce(sum(CASE WHEN r.wkt IS NOT NULL THEN n END), 0) AS BIGINT) AS matched,
@@ -808,30 +847,60 @@ def common_columns(spark, sf):
 # ================================================================ jobs
 
 @query(with_clause("feat") + f"""
-SELECT gui, coalesce(hab_type, 'None') AS hab_type, CAST(sum_conf AS DOUBLE) AS sum_conf,
-       round(CAST(CAST(comp AS FLOAT) AS DOUBLE), 4) AS comp, {HEX} AS wkb
-FROM feat WHERE wkt IS NOT NULL""")
+, names AS (SELECT DISTINCT _source_file FROM feat UNION ALL VALUES ('IT_cut.shp'), ('IT_drift.shp')),
+reasons(name, reason) AS (VALUES ('IT_cut.shp', 'not_a_shapefile'), ('IT_drift.shp', 'schema_mismatch'))
+SELECT 'row' AS part, _source_file AS name, NULL AS reason, gui, coalesce(hab_type, 'None') AS hab_type,
+       CAST(sum_conf AS DOUBLE) AS sum_conf, round(CAST(CAST(comp AS FLOAT) AS DOUBLE), 4) AS comp, {HEX} AS wkb
+FROM feat WHERE wkt IS NOT NULL
+UNION ALL SELECT CASE WHEN reason IS NULL THEN 'succeeded' ELSE 'failed' END, _source_file, reason, NULL, NULL, NULL, NULL, NULL
+FROM names LEFT JOIN reasons ON _source_file = name
+UNION ALL SELECT 'quarantine', name, reason, c, NULL, NULL, NULL, NULL FROM reasons LEFT JOIN
+    (VALUES ('IT_drift.shp', 'gui'), ('IT_drift.shp', 'sum_conf')) q(n, c) ON name = n""")
 def feature_lakehouse_job(spark, sf):
-    folder = scratch_path(spark, "lakehouse")
+    folder = scratch_path(spark, "lake house 100%")
     shapefiles.export_features(view(spark, sf, "feat"), f"{folder}/in").count()
+    shapefiles.write_broken(f"{folder}/in")
     job = FeatureLakehouse(spark, LakehouseConfig(
         f"{folder}/in", f"{folder}/out", file_name_selectors=["IT", "GB"],
         columns_to_convert=["gui", "hab_type", "sum_conf", "comp"], chunk_bytes=100_000))
-    job.run()
-    return job.result().select("gui", "hab_type", F.col("sum_conf").cast("double").alias("sum_conf"),
-                               F.round(F.col("comp").cast("double"), 4).alias("comp"), F.hex("geometry").alias("wkb"))
+    report = job.run()
+    rows = job.result().select(
+        F.lit("row").alias("part"), F.col("_source_file").alias("name"), F.lit(None).cast("string").alias("reason"), "gui",
+        "hab_type", F.col("sum_conf").cast("double").alias("sum_conf"), F.round(F.col("comp").cast("double"), 4).alias("comp"),
+        F.hex("geometry").alias("wkb"))
+    report = report.select(F.col("status").alias("part"), F.col("file_name").alias("name"), "reason")
+    listed = job.failed_files().select(F.lit("quarantine").alias("part"), F.col("file_name").alias("name"), "reason",
+                                       F.col("column_name").alias("gui"))
+    return rows.unionByName(report, allowMissingColumns=True).unionByName(listed, allowMissingColumns=True)
 
 
-@query("SELECT o_orderkey AS _fid, o_custkey, o_orderstatus FROM orders")
+@query("""
+SELECT o_orderkey AS _fid, o_custkey, o_orderstatus, dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS o_orderstatus_code
+FROM orders""")
 def layer_export_job(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    done = export_layer(orders, "orders", scratch_path(spark, "layer"), "orders_2023", fid="o_orderkey", chunk_rows=1000)
-    return datasets.parquet_scan(spark, done.combined, columns=["_fid", "o_custkey", "o_orderstatus"])
+    done = export_layer(orders, "orders", scratch_path(spark, "layer"), "orders_2023", fid="o_orderkey",
+                        chunk_rows=1000, dictionary=["o_orderstatus"])
+    return datasets.parquet_scan(spark, done.combined, columns=["_fid", "o_custkey", "o_orderstatus", "o_orderstatus_code"])
 
 
 @query("""
-SELECT l_suppkey, l_orderkey, l_partkey FROM lineitem WHERE l_suppkey = (
-    SELECT l_suppkey FROM lineitem GROUP BY l_suppkey ORDER BY count(*) DESC, l_suppkey LIMIT 1 OFFSET 2)""")
+WITH top AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5),
+third AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM lineitem
+          WHERE l_suppkey = (SELECT l_suppkey FROM top ORDER BY n DESC, l_suppkey LIMIT 1 OFFSET 2))
+SELECT 'coordinates' AS part, NULL AS name, l_suppkey, l_orderkey, l_partkey AS value FROM third
+UNION ALL SELECT 'sample', NULL, l_suppkey, l_orderkey, l_partkey FROM (SELECT * FROM third ORDER BY l_orderkey, l_linenumber LIMIT 5)
+UNION ALL SELECT 'top', NULL, l_suppkey, NULL, n FROM top
+UNION ALL SELECT 'schema', column_name, NULL, NULL, ordinal_position - 1 FROM information_schema.columns
+WHERE table_name = 'lineitem'""")
 def occurrence_profile_query(spark, sf):
-    return occurrence_profile(table(spark, sf, "lineitem"), "l_suppkey", ["l_suppkey", "l_orderkey", "l_partkey"],
-                              ["l_orderkey", "l_linenumber"]).coordinates
+    found = occurrence_profile(table(spark, sf, "lineitem"), "l_suppkey", ["l_suppkey", "l_orderkey", "l_partkey"],
+                               ["l_orderkey", "l_linenumber"])
+    parts = [
+        found.coordinates.select(F.lit("coordinates").alias("part"), F.lit(None).cast("string").alias("name"), "l_suppkey",
+                                 "l_orderkey", F.col("l_partkey").alias("value")),
+        found.sample.select(F.lit("sample"), F.lit(None).cast("string"), "l_suppkey", "l_orderkey", "l_partkey"),
+        found.top.select(F.lit("top"), F.lit(None).cast("string"), "l_suppkey", F.lit(None).cast("bigint"), "n_rows"),
+        found.schema.select(F.lit("schema"), "column_name", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"),
+                            F.col("ordinal").cast("bigint"))]
+    return reduce(DataFrame.unionAll, parts)

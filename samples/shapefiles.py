@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import struct
-from pathlib import Path
 from typing import Any
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import codec
+from strandline.sources.files import resolve
 
 PRJ = {
     4326: 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]],'
@@ -57,10 +57,15 @@ def write_shapefile(path: str, wkts: list[str | None], columns: dict[str, tuple[
 
     def head(size):
         return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, 50 + size // 2) + struct.pack("<2i8d", 1000, shape, *[0.0] * 8)
-    base = Path(path)
-    base.parent.mkdir(parents=True, exist_ok=True)
-    base.write_bytes(head(len(shp)) + shp)
-    base.with_suffix(".shx").write_bytes(head(len(shx)) + shx)
+    fs, base = resolve(path)
+    base = base.removesuffix(".shp")
+    fs.create_dir(base.rsplit("/", 1)[0], recursive=True)
+
+    def put(suffix: str, data: bytes) -> None:
+        with fs.open_output_stream(base + suffix) as out:
+            out.write(data)
+    put(".shp", head(len(shp)) + shp)
+    put(".shx", head(len(shx)) + shx)
     size = 1 + sum(c[1] for c in columns.values())
     header = 32 + 32 * len(columns) + 1
     dbf = [struct.pack("<4BIHH20x", 3, 124, 1, 1, len(wkts), header, size)]
@@ -74,9 +79,9 @@ def write_shapefile(path: str, wkts: list[str | None], columns: dict[str, tuple[
             text = "" if value is None else f"{value:.{decimals}f}" if kind in "NF" and decimals else str(value)
             row += (text.rjust(length) if kind in "NF" else text.ljust(length)).encode("latin-1")[:length]
         dbf.append(row)
-    base.with_suffix(".dbf").write_bytes(b"".join(dbf) + b"\x1a")
+    put(".dbf", b"".join(dbf) + b"\x1a")
     if srid is not None:
-        base.with_suffix(".prj").write_text(PRJ[srid])
+        put(".prj", PRJ[srid].encode())
 
 
 def export_features(feat: DataFrame, directory: str, rows_per_file: int = 5000) -> DataFrame:
@@ -102,3 +107,13 @@ def export_features(feat: DataFrame, directory: str, rows_per_file: int = 5000)
     part = F.floor(F.col("_fid") / (rows_per_file * 25)).alias("_part")
     return (feat.groupBy("_source_file", part)
             .applyInPandas(export, "file_name string, n_rows bigint"))
+
+
+def write_broken(directory: str) -> None:
+    """Two files that do not fit: one cut off in its head, one with other types."""
+    point = ["POINT (1 1)"]
+    write_shapefile(f"{directory}/IT_cut.shp", point, {"GUI": ("C", 8, 0, ["x"])})
+    fs, cut = resolve(f"{directory}/IT_cut.shp")
+    with fs.open_output_stream(cut) as out:
+        out.write(b"\0\0")
+    write_shapefile(f"{directory}/IT_drift.shp", point, {"GUI": ("N", 8, 0, [1]), "SUM_CONF": ("C", 6, 0, ["1"])})

@@ -16,6 +16,9 @@ from strandline.functions import codec, geometry
 RADIUS = 6378137.0
 WGS84, WEB_MERCATOR = 4326, 3857
 SUPPORTED = (WGS84, WEB_MERCATOR)
+DATUM_NAMES = ("WGS84", "WGS1984", "DWGS1984", "WORLDGEODETICSYSTEM1984")
+MERCATOR_NAMES = ("WGS84PSEUDOMERCATOR", "WGS1984WEBMERCATOR", "WGS1984WEBMERCATORAUXILIARYSPHERE",
+                  "WGS84WEBMERCATOR", "WEBMERCATOR")
 
 
 def to_web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -67,11 +70,42 @@ def reproject(geom: Column, from_srid: int, to_srid: int) -> Column:
     return convert(geom)
 
 
+def _clauses(text: str) -> tuple[str, list[str], list[tuple]]:
+    """Keyword, quoted or plain values and inner clauses of a bracketed text such as ``GEOGCS["name",DATUM[…],…]``."""
+    tokens = re.findall(r'"[^"]*"|[\[\]()]|[^\s\[\](),"]+', text)
+    root: tuple[str, list[str], list[tuple]] = ("", [], [])
+    open_clauses = [root]
+    for i, token in enumerate(tokens):
+        if token in "[(":
+            continue
+        if token in "])":
+            if len(open_clauses) == 1:
+                break
+            open_clauses.pop()
+        elif i + 1 < len(tokens) and tokens[i + 1] in "[(":
+            clause = (token.upper(), [], [])
+            open_clauses[-1][2].append(clause)
+            open_clauses.append(clause)
+        else:
+            open_clauses[-1][1].append(token.strip('"'))
+    return root[2][0] if root[2] else root
+
+
 def srid_of_prj(text: str) -> int | None:
-    """SRID of a .prj text: 4326 or 3857 where it names one of them, else None."""
-    flat = re.sub(r"[\s_]+", "", text).upper()
-    if flat.startswith("GEOGCS") and ("WGS84" in flat or "WGS1984" in flat):
+    """SRID of a .prj text: 4326 or 3857 where its outermost system is one of them, else None.
+
+    The authority code of that system decides, or else the name of its datum (degrees) or its own name
+    (metres). What inner clauses say of other systems, such as the shift to WGS 84, is not looked at.
+    """
+    keyword, values, inner = _clauses(text)
+    codes = [c[1] for c in inner if c[0] in ("AUTHORITY", "ID")]
+    if codes:
+        code = codes[0][-1] if len(codes[0]) == 2 and codes[0][0].upper() == "EPSG" else ""
+        return int(code) if code in ("4326", "3857") else None
+    names = [v[1][0] for v in inner if v[0] == "DATUM" and v[1]] if keyword == "GEOGCS" else values[:1]
+    name = re.sub(r"[\s_/.-]+", "", names[0]).upper() if names else ""
+    if keyword == "GEOGCS" and name in DATUM_NAMES:
         return WGS84
-    if flat.startswith("PROJCS") and ("WEBMERCATOR" in flat or "PSEUDO-MERCATOR" in flat or '"3857"' in flat):
+    if keyword == "PROJCS" and name in MERCATOR_NAMES:
         return WEB_MERCATOR
     return None

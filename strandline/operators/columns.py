@@ -16,10 +16,6 @@ def lowercase_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def missing_columns(df: DataFrame, wanted: list[str]) -> list[str]:
-    return [c for c in wanted if c not in df.columns]
-
-
 def select_with_fill(df: DataFrame, wanted: list[str], geometry: str | None = "geometry") -> DataFrame:
     """The wanted columns in that order, then geometry; an absent column becomes null text."""
     picked = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in wanted]

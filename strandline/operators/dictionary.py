@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.ordering import with_global_index
-from strandline.operators.skew import HOT_KEYS, HOT_ROWS, salts_for, skew_join
+from strandline.operators.skew import skew_join
 
 
 def code_table(df: DataFrame, column: str) -> DataFrame:
@@ -15,13 +15,8 @@ def code_table(df: DataFrame, column: str) -> DataFrame:
     return with_global_index(counts, [column], "code")
 
 
-def dictionary_encode(df: DataFrame, column: str, spread: list[str], code: str = "code") -> DataFrame:
+def dictionary_encode(df: DataFrame, column: str, code: str = "code") -> DataFrame:
     """``df`` with an integer code per value of ``column``; null becomes -1."""
-    codes = code_table(df, column)
-    # The counts are at hand, so the hot values need no pass of their own.
-    heavy = codes.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
-    counts = heavy.select(F.xxhash64(column).alias("key_hash"), "n").collect()
-    hot = salts_for(df, {r["key_hash"]: r["n"] for r in counts})
-    codes = codes.select(column, F.col("code").alias(code))
-    joined = skew_join(df, codes, [column], "left", spread, hot=hot)
+    codes = code_table(df, column).select(column, F.col("code").alias(code))
+    joined = skew_join(df, codes, [column], "left")
     return joined.select(*[c for c in df.columns], F.coalesce(F.col(code), F.lit(-1)).alias(code))

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.skew import skew_join
+from strandline.session import write_through
 
-# File names have at most 255 bytes on common file systems, so this many fit a broadcast.
-BROADCAST_NAMES = 200_000
 QUARANTINE_SCHEMA = "file_name string, reason string, column_name string, data_type string"
 
 
@@ -46,20 +46,20 @@ def quarantine_report(columns: DataFrame, failed: DataFrame) -> DataFrame:
             .select("file_name", "reason", "column_name", "data_type"))
 
 
-def isolate_failures(rows: DataFrame, file: str = "_source_file", fid: str = "_fid",
-                     error: str = "_error") -> tuple[DataFrame, DataFrame]:
-    """(good rows, failed files): one bad row sends its whole file to the failed list."""
+def isolate_failures(rows: DataFrame, file: str = "_source_file", error: str = "_error") -> tuple[DataFrame, DataFrame]:
+    """(good rows, failed files): one bad row sends its whole file to the failed list.
+
+    Both read the rows, so they are written first and decoded once.
+    """
+    rows = write_through(rows, "isolated")
     failed = (rows.where(F.col(error).isNotNull()).groupBy(F.col(file).alias("file_name"))
               .agg(F.min(error).alias("reason")))
-    return skip_quarantined(rows, failed, file, [fid]).drop(error), failed
+    return skip_quarantined(rows, failed, file).drop(error), failed
 
 
-def skip_quarantined(df: DataFrame, failed: DataFrame, file: str, spread: list[str]) -> DataFrame:
-    """Rows whose file is not in the failed list, which is broadcast while it is short."""
-    names = failed.select(F.col("file_name").alias(file)).distinct()
-    if names.limit(BROADCAST_NAMES + 1).count() <= BROADCAST_NAMES:
-        return df.join(F.broadcast(names), file, "left_anti")
-    return skew_join(df, names, [file], "left_anti", spread)
+def skip_quarantined(df: DataFrame, failed: DataFrame, file: str) -> DataFrame:
+    """Rows whose file is not in the failed list; how the two meet is left to Spark's size check."""
+    return skew_join(df, failed.select(F.col("file_name").alias(file)).distinct(), [file], "left_anti")
 
 
 def common_columns(columns: DataFrame) -> DataFrame:
@@ -70,25 +70,35 @@ def common_columns(columns: DataFrame) -> DataFrame:
             .where(F.col("n_files") == n_files))
 
 
-def concat_by_name(tables: list[DataFrame]) -> DataFrame:
-    """Rows of all tables; a column absent from one of them is null there.
+def concat_by_name(tables: dict[str, DataFrame] | list[DataFrame]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """(rows of the tables that fit together, the others with the reason); a column absent from a table is null there.
 
-    A column whose type differs between tables is an error: widening it silently would hide a drift.
+    A table in which a column has another type than in the tables before it is recorded and left out:
+    widening the type silently would hide a drift. Tables of a list are named by their number.
     """
+    named = tables if isinstance(tables, dict) else {str(i): t for i, t in enumerate(tables)}
     seen: dict[str, str] = {}
-    for table in tables:
-        for name, kind in table.dtypes:
-            if seen.setdefault(name, kind) != kind:
-                raise TypeError(f"column {name} is {seen[name]} in one table and {kind} in another")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    kept, left_out = [], []
+    for name, table in named.items():
+        clash = [(c, kind) for c, kind in table.dtypes if seen.get(c, kind) != kind]
+        if clash:
+            left_out.append((name, "; ".join(f"{c} is {kind}, elsewhere {seen[c]}" for c, kind in clash)))
+            continue
+        seen.update(table.dtypes)
+        kept.append(table)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept), left_out
 
 
 def map_partitions(df: DataFrame, fn, schema: str) -> DataFrame:
-    """Apply ``fn(partition_number, frame)`` to the Arrow batches of each partition as pandas frames."""
+    """Apply ``fn(partition_number, frame)`` once to each partition that has rows, whole, as a pandas frame.
+
+    A partition must fit a task's memory; ``repartition`` before, if it does not.
+    """
     numbered = df.withColumn("_partition", F.spark_partition_id())
 
     def run(batches):
-        for batch in batches:
-            if len(batch):
-                yield fn(int(batch["_partition"].iloc[0]), batch.drop(columns="_partition"))
+        held = [b for b in batches if len(b)]
+        if held:
+            frame = pd.concat(held, ignore_index=True)
+            yield fn(int(frame["_partition"].iloc[0]), frame.drop(columns="_partition"))
     return numbered.mapInPandas(run, schema)

@@ -5,11 +5,11 @@ Keys come from ``geom_key`` and have a fixed maximum length. Null geometries mat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import canonical_wkb, geom_key
-from strandline.operators.skew import hot_keys, skew_join
+from strandline.operators.skew import skew_join
 
 KEY = "_geom_key"
 
@@ -22,15 +22,15 @@ def distinct_keys(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     return with_key(df, geometry).where(F.col(KEY).isNotNull()).select(KEY).distinct()
 
 
-def geom_inner_join(left: DataFrame, right: DataFrame, spread: list[str], geometry: str = "geometry") -> DataFrame:
+def geom_inner_join(left: DataFrame, right: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Left rows whose geometry occurs on the right, once each; the right side counts without duplicates."""
-    return skew_join(with_key(left, geometry), distinct_keys(right, geometry), [KEY], "left_semi", spread).drop(KEY)
+    return skew_join(with_key(left, geometry), distinct_keys(right, geometry), [KEY], "left_semi").drop(KEY)
 
 
-def geom_anti_join(left: DataFrame, right: DataFrame, spread: list[str], geometry: str = "geometry") -> DataFrame:
+def geom_anti_join(left: DataFrame, right: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Left rows with a geometry that does not occur on the right."""
     left = with_key(left.where(F.col(geometry).isNotNull()), geometry)
-    return skew_join(left, distinct_keys(right, geometry), [KEY], "left_anti", spread).drop(KEY)
+    return skew_join(left, distinct_keys(right, geometry), [KEY], "left_anti").drop(KEY)
 
 
 def _counts(df: DataFrame, name: str, geometry: str) -> DataFrame:
@@ -58,28 +58,31 @@ def geom_equals(df: DataFrame, probe: bytes, geometry: str = "geometry") -> Data
     return df.where(F.col(geometry) == F.lit(probe))
 
 
-def geom_equals_set(df: DataFrame, probes: DataFrame, spread: list[str], geometry: str = "geometry") -> DataFrame:
+def geom_equals_set(df: DataFrame, probes: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Rows whose geometry equals any probe, in whatever WKB flavour the probes come."""
-    return geom_inner_join(df, probes.withColumn(geometry, canonical_wkb(geometry)), spread, geometry)
+    return geom_inner_join(df, probes.withColumn(geometry, canonical_wkb(geometry)), geometry)
 
 
 def _null_safe(col: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit("null"))
 
 
-def control_value_join(left: DataFrame, right: DataFrame, control: str, spread: list[str],
-                       geometry: str = "geometry") -> DataFrame:
+def control_value_join(left: DataFrame, right: DataFrame, control: str, geometry: str = "geometry") -> DataFrame:
     """Left rows with ``status``: match, control_mismatch or not_found.
 
-    A geometry matches if any right row with that geometry carries the same control value, null equal to null.
+    A geometry matches if any right row with that geometry carries the same control value, null equal to null. The
+    geometries and control values of either side meet once each; the left rows then take their status in one join.
     """
+    def pairs(df: DataFrame) -> DataFrame:
+        return (with_key(df, geometry).where(F.col(KEY).isNotNull())
+                .select(KEY, _null_safe(F.col(control)).alias("_control")).distinct())
+
+    ours = pairs(left).withColumn("_ours", F.lit(True))
+    theirs = pairs(right).withColumn("_theirs", F.lit(True))
+    both = ours.join(theirs, [KEY, "_control"], "full")
+    found = F.max(F.coalesce("_theirs", F.lit(False))).over(Window.partitionBy(KEY))
+    verdict = F.when(F.col("_theirs"), "match").when(F.col("_found"), "control_mismatch").otherwise("not_found")
+    verdicts = both.withColumn("_found", found).where("_ours").select(KEY, "_control", verdict.alias("status"))
     left = with_key(left, geometry).withColumn("_control", _null_safe(F.col(control)))
-    seen = (with_key(right, geometry).where(F.col(KEY).isNotNull())
-            .select(KEY, _null_safe(F.col(control)).alias("_control")).distinct())
-    same = seen.withColumn("_same", F.lit(True))
-    found = seen.select(KEY).distinct().withColumn("_found", F.lit(True))
-    hot = hot_keys(left, [KEY])
-    joined = skew_join(left, same, [KEY, "_control"], "left", spread, hot, hot_on=[KEY])
-    joined = skew_join(joined, found, [KEY], "left", spread, hot)
-    status = (F.when(F.col("_same"), "match").when(F.col("_found"), "control_mismatch").otherwise("not_found"))
-    return joined.withColumn("status", status).drop(KEY, "_control", "_same", "_found")
+    joined = skew_join(left, verdicts, [KEY, "_control"], "left")
+    return joined.withColumn("status", F.coalesce("status", F.lit("not_found"))).drop(KEY, "_control")

@@ -1,17 +1,12 @@
 """Packing of files and rows into chunks.
 
-The size rules fold over the manifest (one row per file) in name order. A
-manifest of bounded length is folded in one task; a longer one takes a route
-without any sequential step: every file's next chunk start comes from one global
-sort, and the chain of starts from the first file is found by doubling its reach.
+The size rules fold over the manifest (one row per file) in name order, without
+any sequential step: every file's next chunk start comes from one global sort,
+and the chain of starts from the first file is found by doubling its reach.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +17,10 @@ from strandline.session import write_through
 AT_LEAST_BYTES = 400 * 1024 * 1024
 AT_MOST_BYTES = 200 * 1024 * 1024
 ROWS_PER_CHUNK = 100_000
-# A manifest up to this many rows is folded in one task.
-FOLD_ROWS = 500_000
 
 
 def pack_files(manifest: DataFrame, limit: int, rule: str = "at_least", path: str = "path",
-               size: str = "size_bytes", fold_rows: int = FOLD_ROWS) -> DataFrame:
+               size: str = "size_bytes") -> DataFrame:
     """``manifest`` with ``chunk_id``, numbered from 0 without gaps.
 
     ``at_least`` adds files in path order until the chunk holds ``limit`` bytes or
@@ -36,8 +29,6 @@ def pack_files(manifest: DataFrame, limit: int, rule: str = "at_least", path: st
     """
     if rule not in ("at_least", "at_most"):
         raise ValueError(f"unknown packing rule {rule}")
-    if manifest.limit(fold_rows + 1).count() <= fold_rows:
-        return _fold(manifest, limit, rule, path, size)
     return _double(manifest, limit, rule, path, size)
 
 
@@ -49,27 +40,12 @@ def pack_at_most(manifest: DataFrame, limit: int = AT_MOST_BYTES, **kwargs) -> D
     return pack_files(manifest, limit, "at_most", **kwargs)
 
 
-def _fold(manifest: DataFrame, limit: int, rule: str, path: str, size: str) -> DataFrame:
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunk, held, empty = 0, 0, True
-        for batch in batches:
-            ids = np.empty(len(batch), "int64")
-            for i, n in enumerate(batch[size].tolist()):
-                if rule == "at_most" and not empty and held + n > limit:
-                    chunk, held = chunk + 1, 0
-                ids[i], held, empty = chunk, held + n, False
-                if rule == "at_least" and held >= limit:
-                    chunk, held = chunk + 1, 0
-            yield batch.assign(chunk_id=ids)
-
-    schema = manifest.select("*", F.lit(0).cast("bigint").alias("chunk_id")).schema
-    return manifest.repartition(1).sortWithinPartitions(path).mapInPandas(fold, schema)
-
-
 def _double(manifest: DataFrame, limit: int, rule: str, path: str, size: str) -> DataFrame:
     files = with_global_index(manifest, [path], "_i", total_of=size, total="_end")
     files = write_through(files, "packing-files")
     n = files.count()
+    if not n:
+        return files.select(*manifest.columns, F.lit(0).cast("bigint").alias("chunk_id"))
     # The chunk that starts at file i ends by the number of files whose running total stays below `reach`.
     reach = F.col("_end") - F.col(size) + limit
     merged = (files.select(F.col("_end").alias("_at"), F.lit(1).alias("_is_file"), "_i")

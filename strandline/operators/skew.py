@@ -5,75 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys can each hold more than 1/HOT_KEYS of the rows.
-HOT_KEYS = 64
-# Entries of the frequent-items sketch; it only decides what to spread, never what is joined.
-SKETCH_ENTRIES = 10_000
-# A key below this many rows fits one task anyway; a hotter one gets a salt per this many rows.
-HOT_ROWS = 2_000_000
+HOW = ("inner", "left", "left_semi", "left_anti")
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hash of each hot key and how many salts it gets.
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None = None) -> DataFrame:
+    """``left.join(right, on, how)`` as a plain equi-join of two shuffled sides, built without running a job.
 
-    A key is hot if it holds at least ``min_rows`` and 1/HOT_KEYS of all rows. One
-    aggregation with a fixed-size sketch; at most HOT_KEYS pairs reach the driver.
+    Adaptive execution measures both shuffles and cuts partitions that hold a hot key, on the left side of any of
+    these joins and on either side of an inner one, nulls included; no pass over the data goes before. That needs
+    the join to be followed by no operator that relies on its partitioning, which holds for all callers.
+    ``condition`` adds a test over columns of both sides, whose names must then differ.
     """
-    sketch = F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {SKETCH_ENTRIES})")
-    row = (df.dropna(subset=keys).select(F.xxhash64(*keys).alias("key_hash"))
-           .agg(sketch.alias("top"), F.count("*").alias("n")).first())
-    counts = {item["item"]: item["count"] for item in row["top"] or []}
-    return salts_for(df, {k: n for k, n in counts.items() if n * HOT_KEYS >= row["n"]}, min_rows)
-
-
-def salts_for(df: DataFrame, counts: dict[int, int], min_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Salts per hot key for known row counts, at most one per shuffle partition."""
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return {k: max(2, min(most, n // min_rows + 1)) for k, n in counts.items() if n >= min_rows}
-
-
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: list[str],
-              hot: dict[int, int] | None = None, hot_on: list[str] | None = None,
-              min_rows: int = HOT_ROWS, condition: Column | None = None) -> DataFrame:
-    """``left.join(right, on, how)`` with hot keys of ``left`` spread over many tasks.
-
-    ``spread`` names columns of ``left`` that tell rows of one key apart. A hot
-    key's rows get a salt from their hash and the matching rows of ``right`` are
-    repeated once per salt, so each left row still meets each partner once. Null
-    keys, which an outer or anti join keeps although they match nothing, are
-    spread as well. ``hot`` and ``hot_on`` reuse a finding on some of the key
-    columns; ``condition`` adds a test over columns of both sides, whose names
-    must then differ.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in HOW:
         raise ValueError(f"unsupported join type {how}")
-    hot_on = hot_on or on
-    hot = hot_keys(left, hot_on, min_rows) if hot is None else hot
-    keeps_nulls = how in ("left", "left_anti")
-    if hot or keeps_nulls:
-        by_row = F.xxhash64(*spread)
-        salt, copies = F.lit(0).cast("bigint"), F.array(F.lit(0).cast("bigint"))
-        if hot:
-            salts = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-            salts = F.coalesce(F.element_at(salts, F.xxhash64(*hot_on)), F.lit(1))
-            salt, copies = F.pmod(by_row, salts), F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1)
-        if keeps_nulls:
-            unkeyed = F.lit(False)
-            for key in on:
-                unkeyed = unkeyed | F.col(key).isNull()
-            salt = F.when(unkeyed, by_row).otherwise(salt)
-        left = left.withColumn("_salt", salt)
-        # Exploded even for a single salt: a constant would be folded out of the shuffle key.
-        right = right.withColumn("_salt", F.explode(copies))
-        on = [*on, "_salt"]
     if condition is None:
-        return left.join(right, on, how).drop("_salt")
+        return left.join(right, on, how)
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
     for key in on:
         condition = condition & (F.col(key) == F.col(f"_right_{key}"))
-    return left.join(right, condition, how).drop("_salt", *[f"_right_{k}" for k in on])
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return left.join(right, condition, how).drop(*[f"_right_{k}" for k in on])

@@ -21,8 +21,9 @@ from strandline.session import write_through
 
 # Grid sizes are powers of two, exact in binary; neighbouring grids differ by this power.
 LEVEL_STEP = 2
-FINEST_LEVEL, COARSEST_LEVEL = -20, 1024
-EVERY_LEVEL = list(range(FINEST_LEVEL, COARSEST_LEVEL + 1, LEVEL_STEP))
+FINEST_LEVEL = -20
+# Probes up to this many rows and bytes are broadcast where the caller promises few.
+FEW_PROBES, FEW_BYTES = 1_000, 8 * 1024 * 1024
 # The WKB head of a plain little-endian point.
 _POINT_HEAD = "0101000000"
 
@@ -77,33 +78,40 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     ``relation`` is ``contains``, or ``unsupported`` where the boxes allow
     containment but the pair of types cannot be decided; it is never silently
     dropped. Points in polygons are decided natively, other pairs in Arrow
-    batches. ``few_probes`` promises a probe table of bounded size (a sample) and
-    broadcasts it, which spares the containers their shuffle. ``container_cols``
+    batches. Rows without a finite box are in no pair. ``few_probes`` promises a probe
+    table of bounded size (a sample): if it is, it is broadcast, which spares the
+    containers their shuffle, and with ``container_box`` its extent reaches their scan. ``container_cols``
     and ``probe_cols`` must not overlap; ``probe_cols`` must identify a probe.
     """
     held = containers.select(*container_cols, F.col(geometry).alias("_outer"),
                              *([F.col(container_box).alias("_stored")] if container_box else []))
-    if few_probes:
-        levels = EVERY_LEVEL
-    else:
-        if not container_box:  # both the levels and the join need the boxes
-            held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
-        used = held.where("_stored is not null").select(grid_level(F.col("_stored")).alias("level")).distinct()
-        levels = sorted(r.level for r in used.collect()) or [FINEST_LEVEL]  # one number per grid size
-    held = _framed(held, "_outer", "_stored" if "_stored" in held.columns else None, edges=not few_probes)
-    if few_probes:  # few candidates remain, so decoding every container would cost more than it saves
-        held = held.withColumn("_edges", F.lit(None).cast(EDGES_TYPE))
-    held = held.drop("_stored")
     sought = probes.select(*probe_cols, F.col(geometry).alias("_inner"),
                            *([F.col(probe_box).alias("_stored")] if probe_box else []))
     sought = _framed(sought, "_inner", "_stored" if probe_box else None, edges=False).drop("_stored")
+    if few_probes:  # a promise that is checked
+        sought = write_through(sought, "probes")
+        reach = sought.agg(F.count("*").alias("n"), *(f("_box." + c).alias(c) for f, c in (
+            (F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))), F.coalesce(F.sum(F.octet_length("_inner")), F.lit(0)).alias("bytes")).first()
+        few_probes = reach["n"] <= FEW_PROBES and reach["bytes"] <= FEW_BYTES
+        if container_box and reach["n"]:  # literals over the stored box reach the row groups
+            stored = F.col("_stored")
+            held = held.where((stored.xmin <= reach["xmax"]) & (stored.xmax >= reach["xmin"])
+                              & (stored.ymin <= reach["ymax"]) & (stored.ymax >= reach["ymin"]))
+    if not container_box:  # both the levels and the join need the boxes
+        held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
+    used = held.where("_stored is not null").select(grid_level(F.col("_stored")).alias("level")).distinct()
+    levels = sorted(r.level for r in used.collect()) or [FINEST_LEVEL]  # one number per grid size
+    held = _framed(held, "_outer", "_stored", edges=not few_probes)
+    if few_probes:  # few candidates remain, so decoding every container would cost more than it saves
+        held = held.withColumn("_edges", F.lit(None).cast(EDGES_TYPE))
+    held = held.drop("_stored")
     held = container_cells(held).withColumnRenamed("_box", "_outer_box")
     sought = probe_cells(sought, levels)
     keys = ["_level", "_cx", "_cy"]
     if few_probes:
         pairs = held.join(F.broadcast(sought), keys)
     else:
-        pairs = skew_join(sought, held, keys, "inner", spread=probe_cols)
+        pairs = skew_join(sought, held, keys, "inner")
     box, outer, edges = F.col("_box"), F.col("_outer_box"), F.col("_edges")
     fits = ((outer.xmin <= box.xmin) & (outer.ymin <= box.ymin)
             & (outer.xmax >= box.xmax) & (outer.ymax >= box.ymax))
@@ -147,8 +155,7 @@ def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
                      F.col("_snap.xy").alias("_xy"))
 
 
-def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: list[str],
-                geometry: str = "geometry") -> DataFrame:
+def near_copies(left: DataFrame, right: DataFrame, tolerance: float, geometry: str = "geometry") -> DataFrame:
     """Left rows for which the right holds a geometry equal within ``tolerance``, vertex by vertex.
 
     Both sides shrink to distinct geometries first. Geometries with the same
@@ -166,7 +173,7 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
     ours = write_through(_traced(left, geometry, tolerance), "traced")
     theirs = write_through(_traced(right, geometry, tolerance), "traced")
     snapped = theirs.select("_structure", "_snapped").distinct().withColumn("_sure", F.lit(True))
-    ours = skew_join(ours, snapped, ["_structure", "_snapped"], "left", [KEY])
+    ours = skew_join(ours, snapped, ["_structure", "_snapped"], "left")
     ours = write_through(ours.drop("_snapped"), "settled")
     sure = ours.where("_sure").select(KEY)
     start = F.get("_xy", F.lit(0))
@@ -179,6 +186,6 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, spread: lis
              .select("_structure", "_cx", "_cy", F.col("_xy").alias("_other")))
     close = F.forall(F.zip_with("_xy", "_other", lambda a, b: F.hypot(a.x - b.x, a.y - b.y) <= tolerance),
                      lambda near: near)
-    compared = skew_join(open_ones, filed, ["_structure", "_cx", "_cy"], "left_semi", [KEY], condition=close)
+    compared = skew_join(open_ones, filed, ["_structure", "_cx", "_cy"], "left_semi", condition=close)
     found = sure.unionByName(compared.select(KEY))
-    return skew_join(with_key(left, geometry), found, [KEY], "left_semi", spread).drop(KEY)
+    return skew_join(with_key(left, geometry), found, [KEY], "left_semi").drop(KEY)

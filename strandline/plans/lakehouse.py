@@ -4,38 +4,32 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, fields
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.align import align_types, aligned_type
 from strandline.functions.crs import WGS84
 from strandline.functions.geometry import set_crs
-from strandline.operators.gate import quarantine_report, schema_gate
+from strandline.operators.gate import quarantine_report, schema_gate, skip_quarantined
 from strandline.operators.packing import AT_LEAST_BYTES, compact_chunks, pack_files
 from strandline.operators.skew import skew_join
 from strandline.session import release, scratch_path, write_through
 from strandline.sources.datasets import (
-    append_by_source, footer_columns, parquet_sizes, read_by_source, read_quarantine_csv, short_uri,
-    stem_of_directory, write_quarantine_csv, write_quarantine_text)
-from strandline.sources.files import file_select_contains, list_files, stem
+    dataset_columns, footer_columns, parquet_sizes, read_quarantine_csv, write_quarantine_csv, write_quarantine_text)
+from strandline.sources.files import file_select_contains, list_files, plain_path
 from strandline.sources.geoparquet import consolidate, geoparquet_scan, geoparquet_write
 from strandline.sources.shapefile import RANGE_BYTES, read_features, read_headers, record_ranges
 
 # Columns the job adds to those of the files.
 KEYS = ["_source_file", "_fid"]
-# A packing plan up to this many sources is broadcast: names of at most 255 bytes and one number each.
-BROADCAST_SOURCES = 200_000
-# Up to this many sources get a directory each.
-MOST_DIRECTORIES = 10_000
-# More Parquet files than this that do not fit together mean the folder holds something else.
-MOST_UNPACKABLE = 10_000
 
 
 @dataclass
 class LakehouseConfig:
-    """``input_dir`` to ``columns_to_convert`` are the keys of the JSON config; the rest are tuning."""
+    """``input_dir`` to ``columns_to_convert`` are fixed values, the keys of the JSON config; the rest are tuning."""
 
     input_dir: str
     output_dir: str
@@ -61,10 +55,8 @@ class FeatureLakehouse:
     def __init__(self, spark: SparkSession, config: LakehouseConfig):
         self.spark, self.config = spark, config
         out = config.output_dir.rstrip("/")
-        self.features_path = f"{out}/shp_pq"
-        self.packed_path = f"{out}/concat_pq"
-        self.parts_path = f"{out}/geopq_parts"
-        self.final_path = f"{out}/concatenated_geoparquet.parquet"
+        self.features_path, self.packed_path = f"{out}/features", f"{out}/packed"
+        self.parts_path, self.final_path = f"{out}/parts", f"{out}/consolidated"
         logs = (config.log_dir or out).rstrip("/")
         self.failed_path, self.unpackable_path = f"{logs}/failed_files", f"{logs}/unpackable_files"
 
@@ -119,7 +111,7 @@ class FeatureLakehouse:
         broken = (rows.where("_error is not null").groupBy(F.col("_source_file").alias("file_name"))
                   .agg(F.min("_error").alias("reason")))
         failed = write_through(rejected.unionByName(broken), "failed")
-        self._publish(rows, failed, accepted.count())
+        self._publish(rows, failed)
         release(self.spark, staged)
         write_quarantine_csv(
             quarantine_report(headers.where("column_name is not null")
@@ -129,6 +121,16 @@ class FeatureLakehouse:
                 .select("file_name", F.when(F.col("_failed"), "failed").otherwise("succeeded").alias("status"),
                         "reason"))
 
+    def absent_columns(self) -> DataFrame:
+        """(file_name, column_name): configured columns that a readable file lacks; ingest fills them with nulls."""
+        headers = read_headers(self.select_files()).where("reason is null and column_name is not null")
+        wanted = F.explode(F.array(*[F.lit(c) for c in self.config.columns_to_convert or []])).alias("column_name")
+        if not self.config.columns_to_convert:
+            return headers.select("file_name", "column_name").limit(0)
+        found = headers.select("file_name", "column_name").distinct()
+        return found.select("file_name").distinct().select("file_name", wanted).join(
+            found, ["file_name", "column_name"], "left_anti")
+
     def _attributes(self, headers: DataFrame, columns: DataFrame, accepted: DataFrame) -> T.StructType:
         """The attributes to read, in the order of record; one row per column of one file reaches the driver."""
         first = accepted.agg(F.min("file_name").alias("file_name"))
@@ -149,73 +151,61 @@ class FeatureLakehouse:
         return align_types(features.where(geometry.isNotNull() | error.isNotNull()),
                            keep=(*KEYS, "geometry", "bbox", "_error"))
 
-    def _publish(self, rows: DataFrame, failed: DataFrame, n_sources: int) -> None:
-        """Staged rows of files without any error, a directory per source unless there are too many sources.
+    def _publish(self, rows: DataFrame, failed: DataFrame) -> None:
+        """Staged rows of files without any error, as one dataset in which ``_source_file`` tells the source.
 
-        A staging task read whole ranges of a file, so its rows go to few directories as they come.
+        A staging task read whole ranges of a file, so a source's rows stay together as they come.
         """
-        names = failed.select(F.col("file_name").alias("_source_file"))
-        if names.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-            kept = rows.join(F.broadcast(names), "_source_file", "left_anti")
-        else:
-            kept = skew_join(rows, names, ["_source_file"], "left_anti", ["_fid"])
+        kept = skip_quarantined(rows, failed, "_source_file")
         kept = set_crs(kept.select(*[c for c in rows.columns if c != "_error"]), WGS84)
-        if n_sources <= MOST_DIRECTORIES:
-            append_by_source(kept, self.features_path, mode="overwrite", rebalance=False)
-        else:
-            kept = kept.withColumn("source_stem", stem(F.col("_source_file")))
-            kept.hint("rebalance").write.mode("overwrite").parquet(self.features_path)
+        kept.write.mode("overwrite").parquet(self.features_path)
 
     # ------------------------------------------------------------ stages 2 to 4
 
     def pack(self) -> bool:
-        """Group files into chunks of at least the configured size, in name order; False if there are none.
+        """Group sources into chunks of at least the configured size, in name order; False if there are none.
 
-        The files of a source directory stay together; without directories every file is packed by itself.
+        A source's size is that of its values, so the chunks do not depend on how the files were written. Files that
+        cannot be read, or do not fit the others, are listed and left out. That all other rows arrive is checked.
         """
-        files = write_through(parquet_sizes(self.spark, self.features_path), "files")
-        failed = self._unpackable(files)
-        by_directory = files.where(F.col("path").contains("/source_stem=")).limit(1).count() > 0
-        files = files.join(F.broadcast(failed), "path", "left_anti")
-        unit = stem_of_directory(F.col("path")) if by_directory else short_uri(F.col("path"))
-        sizes = files.groupBy(unit.alias("_unit")).agg(F.sum("size_bytes").alias("size_bytes"))
-        plan = write_through(
-            pack_files(sizes, self.config.chunk_bytes, self.config.packing_rule, path="_unit"), "packing")
-        n_units = plan.count()
-        if not n_units:
-            return False
-        plan = plan.select("_unit", "chunk_id")
-        rows = read_by_source(self.spark, self.features_path, skip=[r.path for r in failed.collect()])
-        unit = F.col("source_stem") if by_directory else short_uri(F.col("_metadata.file_path"))
-        rows = rows.withColumn("_unit", unit)
-        if n_units <= BROADCAST_SOURCES:
-            rows = rows.join(F.broadcast(plan), "_unit")
-        else:
-            rows = skew_join(rows, plan, ["_unit"], "inner", ["_fid"])
-        compact_chunks(rows.drop("_unit", "source_stem")).write.mode("overwrite") \
-            .partitionBy("chunk_id").parquet(self.packed_path)
-        return True
-
-    def _unpackable(self, files: DataFrame) -> DataFrame:
-        """Paths of files that cannot be read or differ in schema, also written as text, one per line."""
-        footers = write_through(footer_columns(files), "footers")
+        footers = write_through(footer_columns(parquet_sizes(self.spark, self.features_path)), "footers")
         verdict = schema_gate(footers.where("error is null").select(
             F.col("path").alias("file_name"), "column_name", "data_type"))
         failed = write_through(
             footers.where("error is not null").select("path").distinct()
             .unionByName(verdict.where("not accepted").select(F.col("file_name").alias("path"))), "unpackable")
-        if failed.count() > MOST_UNPACKABLE:
-            raise RuntimeError(f"more than {MOST_UNPACKABLE} files in {self.features_path} do not fit together")
         write_quarantine_text(failed, self.unpackable_path)
-        return failed
+        good = write_through(footers.join(failed, "path", "left_anti"), "good-footers")
+        schema = dataset_columns(good)
+        if not schema.fields:
+            return False
+        # Spark leaves out what it cannot open; files it can open but that do not fit go by their path.
+        rows = self.spark.read.schema(schema).options(ignoreCorruptFiles=True, recursiveFileLookup=True).parquet(
+            self.features_path)
+        rows = rows.withColumn("_path", plain_path(F.col("_metadata.file_path")))
+        rows = rows.join(failed.withColumnRenamed("path", "_path"), "_path", "left_anti").drop("_path")
+        sizes = rows.groupBy("_source_file").agg(F.sum(_value_bytes(schema)).alias("size_bytes"))
+        plan = write_through(pack_files(write_through(sizes, "sizes"), self.config.chunk_bytes, self.config.packing_rule,
+                                        path="_source_file").select("_source_file", "chunk_id"), "packing")
+        expected = good.groupBy("path").agg(F.max("n_rows").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if not expected:
+            return False
+        packed = Observation("packed rows")
+        chunks = compact_chunks(skew_join(rows, plan, ["_source_file"], "inner"))
+        chunks.observe(packed, F.count("*").alias("n")).write.mode("overwrite") \
+            .partitionBy("chunk_id").parquet(self.packed_path)
+        if packed.get["n"] != expected:
+            raise RuntimeError(f"{packed.get['n']} of {expected} rows were packed")
+        return True
 
     def to_geoparquet(self) -> None:
-        """The packed rows as GeoParquet parts with their CRS."""
-        geoparquet_write(self.spark.read.parquet(self.packed_path).drop("chunk_id"), self.parts_path, WGS84)
+        """The packed rows as GeoParquet parts with their CRS; a part holds rows of one chunk only."""
+        rows = self.spark.read.parquet(self.packed_path).hint("rebalance", F.col("chunk_id"))
+        geoparquet_write(rows, self.parts_path, WGS84, split_by="chunk_id")
 
     def consolidate(self) -> int:
         """The parts as files of the target size, neighbours together."""
-        return consolidate(self.spark, self.parts_path, self.final_path, self.config.chunk_bytes, WGS84)
+        return consolidate(self.spark, self.parts_path, self.final_path, self.config.chunk_bytes)
 
     # ------------------------------------------------------------ results
 
@@ -224,3 +214,11 @@ class FeatureLakehouse:
 
     def failed_files(self) -> DataFrame:
         return read_quarantine_csv(self.spark, self.failed_path)
+
+
+def _value_bytes(schema: T.StructType) -> Column:
+    """The bytes of a row's values: those of texts and geometries, eight for anything else."""
+    long = (T.StringType, T.BinaryType)
+    parts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, long) else F.lit(8)
+             for f in schema.fields if f.name not in KEYS]
+    return reduce(Column.__add__, parts, F.lit(0)).cast("bigint")

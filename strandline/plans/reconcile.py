@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.geometry import geom_key
+from strandline.functions.geometry import geom_equals_within, geom_key
 from strandline.operators.aggregates import single_value_check
 from strandline.operators.gate import skip_quarantined
 from strandline.operators.geojoin import KEY, distinct_keys
@@ -15,30 +15,34 @@ from strandline.operators.spatial import containment_join
 from strandline.session import write_through
 
 # Verdicts on one probe, from worst to best.
-STATUSES = ("not_contained", "unsupported", "contained_not_exact", "no_control_column", "control_mismatch", "match")
-# Sizes of the sampled and of the chunked check.
-SAMPLE_FILES, SAMPLE_ROWS, HEAD_ROWS = 3, 5, 1000
+STATUSES = ("not_contained", "unsupported", "contained_not_exact", "near_copy", "no_control_column", "control_mismatch",
+            "match")
+# Sizes of the sampled check, and the distance within which a vertex is the same but for rounding.
+SAMPLE_FILES, SAMPLE_ROWS, NEAR = 3, 5, 0.001
 
 
-def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], control: str | None = "gui",
-                  geometry: str = "geometry", few_probes: bool = False) -> DataFrame:
+def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], control: str | None,
+                  geometry: str = "geometry", few_probes: bool = False, near: float = NEAR,
+                  box: str | None = None) -> DataFrame:
     """One row per ``probe_id``, which must be unique, with ``status``, the best verdict over the whole dataset.
 
     A probe must be contained in a dataset geometry, equal one exactly, and agree
-    with that one's control value. Copies in the dataset with the same geometry and
+    with that one's control value. One whose vertices lie within ``near`` of a containing geometry's
+    is a ``near_copy``, such as a value that went through rounded text. Copies in the dataset with the same geometry and
     control value are looked at once. ``few_probes`` promises a sample of bounded
-    size; the dataset is then neither shuffled nor read twice.
+    size; the dataset is then not shuffled. ``box`` names a stored bounding box of the dataset, which spares
+    decoding what cannot contain a probe.
     """
     has_control = control is not None and control in dataset.columns
     theirs = [F.col(control).alias("_theirs")] if has_control else []
-    held = dataset.where(F.col(geometry).isNotNull()).select(*theirs, geometry)
+    held = dataset.where(F.col(geometry).isNotNull()).select(*theirs, geometry, *([box] if box else []))
     if not few_probes:
         held = held.distinct()
     ours = [F.col(control).alias("_ours")] if control is not None and control in probes.columns else []
     sought = probes.select(*probe_id, *ours, geometry)
     carried = [*probe_id, *(["_ours"] if ours else [])]
     pairs = containment_join(held, sought, ["_theirs"] if has_control else [], carried,
-                             geometry, few_probes=few_probes, keep_geometry=True)
+                             geometry, container_box=box, few_probes=few_probes, keep_geometry=True)
     exact = F.col("container_geometry") == F.col("probe_geometry")
     if not has_control:
         verdict = F.lit("no_control_column")
@@ -47,7 +51,9 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
     else:
         verdict = F.lit("control_mismatch")
     verdict = (F.when(F.col("relation") == "unsupported", "unsupported")
-               .when(~exact, "contained_not_exact").otherwise(verdict))
+               .when(exact, verdict)
+               .when(geom_equals_within("container_geometry", "probe_geometry", near), "near_copy")
+               .otherwise("contained_not_exact"))
     # Every probe starts at the worst verdict; one aggregation by probe finds its best, found or not.
     rank = F.create_map(*[F.lit(x) for i, s in enumerate(STATUSES) for x in (s, i)])
     ranked = (pairs.select(*probe_id, rank[verdict].alias("_rank"))
@@ -64,40 +70,38 @@ def sampled_probes(source: DataFrame, failed: DataFrame, control: str, file: str
     Adds ``single_control`` (the file has one control value only) and puts the file's first value in ``control``.
     """
     files = skip_quarantined(
-        sample_files(source.select(file).distinct(), file, n_files, seed), failed, file, [file])
+        sample_files(source.select(file).distinct(), file, n_files, seed), failed, file)
     # At most n_files names reach the driver; as constants they prune partitions and row groups.
     rows = source.where(F.col(file).isin([r[0] for r in files.collect()]))
     checks = single_value_check(rows, file, control, fid).select(
         file, F.col("first_value").alias("_control"), F.col("is_single").alias("single_control"))
     picked = sample_rows_per_file(rows, file, fid, n_rows, seed)
-    return (picked.join(F.broadcast(checks), file)  # one row per sampled file
+    return (picked.join(checks, file)
             .withColumn(control, F.col("_control")).drop("_control"))
 
 
-def reconcile_sampled(source: DataFrame, dataset: DataFrame, failed: DataFrame, control: str = "gui",
+def reconcile_sampled(source: DataFrame, dataset: DataFrame, failed: DataFrame, control: str,
                       file: str = "_source_file", fid: str = "_fid", geometry: str = "geometry",
-                      n_files: int = SAMPLE_FILES, n_rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
+                      n_files: int = SAMPLE_FILES, n_rows: int = SAMPLE_ROWS, seed: int = 0,
+                      box: str | None = None) -> DataFrame:
     """Sampled rows of sampled files looked up in the dataset: file, fid, control, single_control, status."""
     probes = write_through(
         sampled_probes(source, failed, control, file, fid, n_files, n_rows, seed)
         .select(file, fid, control, "single_control", geometry), "probes")
-    status = lookup_status(probes, dataset, [file, fid], control, geometry, few_probes=True)
-    return probes.select(file, fid, control, "single_control").join(F.broadcast(status), [file, fid])
+    status = lookup_status(probes, dataset, [file, fid], control, geometry, few_probes=True, box=box)
+    return probes.select(file, fid, control, "single_control").join(status, [file, fid])
 
 
 def reconcile_chunks(source: DataFrame, dataset: DataFrame, order_by: list[str], fid: str = "_fid",
                      geometry: str = "geometry", chunk_rows: int = ROWS_PER_CHUNK,
-                     head_rows: int | None = HEAD_ROWS) -> DataFrame:
+                     head_rows: int | None = None) -> DataFrame:
     """Per chunk of source features: matched, unmatched and distinct geometries against the dataset.
 
-    The dataset side is its first ``head_rows`` rows in ``order_by`` order, or all
-    of it for None. Source copies within a chunk shrink to one row before the join.
+    The dataset side is all of it, or its first ``head_rows`` rows in ``order_by`` order. Source copies within a chunk shrink to one row before the join.
     """
     head = dataset if head_rows is None else dataset.orderBy(*order_by).limit(head_rows)
     keys = write_through(distinct_keys(head, geometry), "keys").withColumn("_found", F.lit(True))  # read twice
     n_keys = keys.agg(F.count("*")).scalar()
-    if head_rows is not None and head_rows <= HEAD_ROWS:
-        keys = F.broadcast(keys)  # at most HEAD_ROWS keys of bounded length
     chunked = (source.withColumn("chunk_id", row_chunk(F.col(fid), chunk_rows))
                .withColumn(KEY, geom_key(F.col(geometry)))
                .groupBy("chunk_id", KEY).agg(F.count("*").alias("_n")))

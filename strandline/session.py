@@ -54,14 +54,15 @@ def ship_code(spark: SparkSession, *packages: str) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder for intermediate tables; it can go once the application has ended.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only
-    a local session without that setting falls back to a temporary folder of its own.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only a
+    session whose executor is the driver's own process falls back to a temporary folder.
     """
     app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return f"{configured.rstrip('/')}/strandline-{app}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="strandline-")

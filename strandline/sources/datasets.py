@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
-
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException, UnsupportedOperationException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from strandline.operators.gate import QUARANTINE_SCHEMA
 from strandline.operators.ordering import with_global_index
 from strandline.operators.packing import ROWS_PER_CHUNK, row_chunk
-from strandline.sources.files import list_files, resolve, stem
+from strandline.session import write_through
+from strandline.sources.files import list_files, object_store_options, resolve, stem
 
 # Advised size of a packed file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -28,22 +28,6 @@ def parquet_scan(spark: SparkSession, *paths: str, columns: list[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def object_store_options(url: str) -> tuple[str, dict[str, str]]:
-    """s3a path and options for anonymous reading of ``https://endpoint/bucket/key``; other paths as they are."""
-    parts = urlparse(url)
-    if parts.scheme == "s3":
-        return "s3a" + url[len("s3"):], {}
-    if parts.scheme not in ("http", "https"):
-        return url, {}
-    bucket = parts.path.lstrip("/").split("/", 1)[0]
-    prefix = f"fs.s3a.bucket.{bucket}."
-    return f"s3a://{parts.path.lstrip('/')}", {
-        prefix + "endpoint": f"https://{parts.netloc}",
-        prefix + "path.style.access": "true",
-        prefix + "aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider",
-    }
-
-
 def object_store_scan(spark: SparkSession, url: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet from an object store without credentials, or from any other path."""
     path, options = object_store_options(url)
@@ -67,11 +51,15 @@ def layer_ingest(df: DataFrame, layer: str, order_by: list[str | Column] | None
 
 # ---------------------------------------------------------------- footers
 
-FOOTER_SCHEMA = "path string, column_name string, data_type string, ordinal int, n_rows bigint, error string"
+FOOTER_SCHEMA = ("path string, column_name string, data_type string, spark_type string, ordinal int, n_rows bigint, "
+                 "error string")
 
 
 def footer_columns(files: DataFrame) -> DataFrame:
-    """One row per column of each Parquet file in ``files`` (path), read from the footers on executors."""
+    """One row per column of each Parquet file in ``files`` (path), read from the footers on executors.
+
+    ``data_type`` is Arrow's name of the type, ``spark_type`` Spark's.
+    """
     def read(batches):
         for batch in batches:
             rows = []
@@ -80,73 +68,60 @@ def footer_columns(files: DataFrame) -> DataFrame:
                     fs, local = resolve(path)
                     with fs.open_input_file(local) as handle:
                         footer = pq.ParquetFile(handle)
-                        rows += [(path, f.name, str(f.type), i, footer.metadata.num_rows, None)
-                                 for i, f in enumerate(footer.schema_arrow)]
-                except (OSError, pa.ArrowException) as err:
-                    rows.append((path, None, None, None, None, str(err)[:200]))
+                        rows += [(path, f.name, str(f.type), from_arrow_type(f.type).simpleString(), i,
+                                  footer.metadata.num_rows, None) for i, f in enumerate(footer.schema_arrow)]
+                except (OSError, pa.ArrowException, UnsupportedOperationException) as err:
+                    rows.append((path, None, None, None, None, None, str(err)[:200]))
             if rows:
-                kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string())
+                kinds = (*[pa.string()] * 4, pa.int32(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                    ["path", "column_name", "data_type", "ordinal", "n_rows", "error"])
+                    ["path", "column_name", "data_type", "spark_type", "ordinal", "n_rows", "error"])
     return spread(files.select("path")).mapInArrow(read, FOOTER_SCHEMA)
 
 
 def spread(files: DataFrame, per_task: int = 64) -> DataFrame:
     """A manifest over enough partitions that no task opens more than about ``per_task`` files."""
-    return files.repartition(max(1, min(10_000, -(-files.count() // per_task))))
+    return files.repartition(max(1, -(-files.count() // per_task)))
 
 
 # ---------------------------------------------------------------- datasets
 
-def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mode: str = "append",
-                     rebalance: bool = True) -> None:
+def append_by_source(df: DataFrame, path: str, source: str = "_source_file", mode: str = "append") -> None:
     """Append to a dataset with one directory ``source_stem=…`` per source file.
 
-    The rebalance brings a source's rows together and lets AQE cut a large source
-    into several files; leave it out where tasks already hold whole runs of a source.
+    The rebalance brings a source's rows together and lets AQE cut a large source into several files.
     """
-    keyed = df.withColumn("source_stem", stem(F.col(source)))
-    if rebalance:
-        keyed = keyed.hint("rebalance", F.col("source_stem"))
+    keyed = df.withColumn("source_stem", stem(F.col(source))).hint("rebalance", F.col("source_stem"))
     keyed.write.mode(mode).partitionBy("source_stem").parquet(path)
 
 
-def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   skip: list[str] | None = None) -> DataFrame:
-    """A dataset written by ``append_by_source``, or the same columns without directories.
+def dataset_columns(footers: DataFrame) -> T.StructType:
+    """The columns of all files of a dataset, from ``footer_columns``; a column of two types is an error.
 
-    Stems stay text even where they look like numbers.
-    ``skip`` lists files, as ``parquet_sizes`` names them, that are never opened.
+    One row for each different column reaches the driver.
     """
-    skip = skip or []
-    if schema is None:
-        first = (parquet_sizes(spark, path).where(~F.col("path").isin(skip))
-                 .orderBy("path").limit(1).select("path").first())
-        schema = spark.read.parquet(first.path).schema
-    kept = [f for f in schema.fields if f.name != "source_stem"]
-    df = spark.read.schema(T.StructType([*kept, T.StructField("source_stem", T.StringType())])).parquet(path)
-    if not skip:
-        return df
-    local = [p.replace("file:/", "file:///", 1) for p in skip if p.startswith("file:/") and "://" not in p]
-    return df.where(~F.col("_metadata.file_path").isin(skip + local))
-
+    found = (footers.where("error is null and column_name is not null").groupBy("column_name")
+             .agg(F.collect_set("spark_type").alias("types"), F.min("ordinal").alias("ordinal"))
+             .orderBy("ordinal", "column_name").collect())
+    clash = [f"{r.column_name}: {', '.join(sorted(r.types))}" for r in found if len(r.types) > 1]
+    if clash:
+        raise TypeError(f"columns of more than one type: {'; '.join(clash)}")
+    return T.StructType([T.StructField(r.column_name, T.DataType.fromDDL(r.types[0])) for r in found])
 
-def stem_of_directory(path: Column) -> Column:
-    """The source a file of such a dataset belongs to, empty in a dataset without source directories."""
-    escaped = F.regexp_extract(path, r"source_stem=([^/]+)", 1)
-    return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
+def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A dataset written by ``append_by_source``, with the columns that any of its files has.
 
-def sizes_by_source(files: DataFrame) -> DataFrame:
-    """(source_stem, size_bytes) of the Parquet files (path, size_bytes) of such a dataset."""
-    return (files.groupBy(stem_of_directory(F.col("path")).alias("source_stem"))
-            .agg(F.sum("size_bytes").alias("size_bytes")))
+    Stems stay text even where they look like numbers.
+    """
+    schema = schema or dataset_columns(write_through(footer_columns(parquet_sizes(spark, path)), "footers"))
+    kept = [f for f in schema.fields if f.name != "source_stem"]
+    return spark.read.schema(T.StructType([*kept, T.StructField("source_stem", T.StringType())])).parquet(path)
 
 
-def short_uri(path: Column) -> Column:
-    """A file's URI with a single slash after ``file:``, as listings have it."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+def _is_absent(err: AnalysisException) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
 
 
 def write_chunks(df: DataFrame, path: str, layer: str, rows: int = ROWS_PER_CHUNK, fid: str = "_fid",
@@ -169,7 +144,9 @@ def combine_chunks(spark: SparkSession, chunks: str, layer: str, target: str) ->
     """Chunks of one layer as one dataset outside the chunk directory; False if there are none."""
     try:
         df = read_chunks(spark, chunks, layer)
-    except AnalysisException:
+    except AnalysisException as err:
+        if not _is_absent(err):
+            raise
         return False
     df.drop("_layer", "chunk_id").hint("rebalance").write.mode("overwrite").parquet(target)
     return True
@@ -192,7 +169,9 @@ def read_quarantine_csv(spark: SparkSession, path: str) -> DataFrame:
     """The failed-file table; empty where nothing was written."""
     try:
         return spark.read.schema(QUARANTINE_SCHEMA).option("header", "true").csv(path)
-    except AnalysisException:
+    except AnalysisException as err:
+        if not _is_absent(err):
+            raise
         return spark.createDataFrame([], QUARANTINE_SCHEMA)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +38,36 @@ def stem(col):
     return F.regexp_extract(col, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
-def resolve(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path for a URI as Spark writes it; usable inside tasks."""
+def plain_path(path):
+    """A file's path as listings have it, from the escaped URI in ``_metadata.file_path``."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
+def object_store_options(url: str) -> tuple[str, dict[str, str]]:
+    """s3a path and options for anonymous reading of ``https://endpoint/bucket/key``; other paths as they are."""
+    parts = urlparse(url)
+    if parts.scheme == "s3":
+        return "s3a" + url[len("s3"):], {}
+    if parts.scheme not in ("http", "https"):
+        return url, {}
+    bucket = parts.path.lstrip("/").split("/", 1)[0]
+    prefix = f"fs.s3a.bucket.{bucket}."
+    return f"s3a://{parts.path.lstrip('/')}", {
+        prefix + "endpoint": f"https://{parts.netloc}",
+        prefix + "path.style.access": "true",
+        prefix + "aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider",
+    }
+
+
+def resolve(path: str, options: dict[str, str] | None = None) -> tuple[pafs.FileSystem, str]:
+    """File system and path for a URI as Spark writes it; usable inside tasks.
+
+    ``options`` are those of ``object_store_options``: an endpoint is read without credentials.
+    """
+    endpoint = next((v for k, v in (options or {}).items() if k.endswith(".endpoint")), None)
+    if endpoint and path.startswith("s3a://"):
+        return pafs.S3FileSystem(anonymous=True, endpoint_override=endpoint), path[len("s3a://"):]
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if path.startswith("s3a://"):

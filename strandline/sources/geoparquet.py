@@ -1,29 +1,33 @@
 """GeoParquet: a batch sink with the ``geo`` footer, and the scan.
 
 Spark's own Parquet writer cannot add footer keys, so each task writes its Arrow
-batches through pyarrow. Files go to a staging folder of the job and move to
-their place in ``commit``; files of failed or repeated attempts never do.
+batches through pyarrow. Files go to a staging folder beside the target, which in
+``commit`` takes the target's place as a whole, or in an append gives it its
+files; files of failed or repeated attempts never get there.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from strandline.functions.geometry import bbox_batch, geom_bbox, set_crs
+from strandline.functions.geometry import bbox_batch, crs_of, geom_bbox, set_crs
 from strandline.operators.columns import lowercase_columns
 from strandline.sources.datasets import TARGET_FILE_BYTES, parquet_sizes, spread
-from strandline.sources.files import resolve
+from strandline.sources.files import object_store_options, resolve
 
 FORMAT = "geoparquet"
 ROW_GROUP_BYTES = 64 * 1024 * 1024
@@ -70,7 +74,7 @@ class GeoParquetSource(DataSource):
         opts = self.options
         return GeoParquetWriter(
             opts["path"], overwrite, opts.get("geometry", "geometry"), int(opts.get("srid", "4326")),
-            int(opts.get("maxFileBytes", str(TARGET_FILE_BYTES))), "bbox" in schema.names)
+            int(opts.get("maxFileBytes", str(TARGET_FILE_BYTES))), schema, opts.get("splitBy"))
 
 
 @dataclass
@@ -79,41 +83,70 @@ class _Written(WriterCommitMessage):
 
 
 class GeoParquetWriter(DataSourceArrowWriter):
-    def __init__(self, path, overwrite, geometry, srid, max_bytes, has_bbox):
+    """``split_by`` names a column that starts a new file whenever its value changes, and is not written."""
+
+    def __init__(self, path, overwrite, geometry, srid, max_bytes, schema, split_by=None):
         self.path, self.overwrite, self.geometry, self.srid = path.rstrip("/"), overwrite, geometry, srid
-        self.max_bytes, self.has_bbox = max_bytes, has_bbox
+        self.max_bytes, self.split_by, self.has_bbox = max_bytes, split_by, "bbox" in schema.names
+        self.schema = to_arrow_schema(T.StructType([f for f in schema.fields if f.name != split_by]))
         self.job = uuid.uuid4().hex
-        self.staging = f"{self.path}/_staging-{self.job}"
+        self.staging = f"{self.path}.staging-{self.job}"
 
     def write(self, iterator) -> WriterCommitMessage:
         fs, staging = resolve(self.staging)
         fs.create_dir(staging, recursive=True)
-        done, out = _Written(), None
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                out = _OpenFile(fs, staging, batch.schema, self)
-            out.add(batch)
-            if out.bytes >= self.max_bytes:
+        done, out, last = _Written(), None, None
+        for value, batch in self._parts(iterator):
+            if out is not None and (out.bytes >= self.max_bytes or value != last):
                 done.files.append(out.close())
                 out = None
+            if out is None:
+                out = _OpenFile(fs, staging, self)
+            out.add(batch)
+            last = value
         if out is not None:
             done.files.append(out.close())
         return done
 
+    def _parts(self, batches):
+        """(value of the splitting column, rows without it) for each run of rows that go to one file."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if self.split_by is None:
+                yield None, batch
+                continue
+            values = batch.column(self.split_by).to_numpy(zero_copy_only=False)
+            rest = batch.drop_columns([self.split_by])
+            edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                yield values[a], rest.slice(a, b - a)
+
     def commit(self, messages) -> None:
+        """A full replacement is two renames of folders, and what was there goes last; an append moves its files."""
         fs, root = resolve(self.path)
-        fs.create_dir(root, recursive=True)
-        names = [n for m in messages if m is not None for n in m.files]
-        old = []
-        if self.overwrite:
-            found = fs.get_file_info(pafs.FileSelector(root))
-            old = [f.path for f in found if f.type == pafs.FileType.File and f.base_name.endswith(".parquet")]
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(fs.delete_file, old))
-            list(pool.map(lambda n: fs.move(f"{root}/_staging-{self.job}/{n}", f"{root}/{n}"), names))
-        self._drop_staging()
+        staging = resolve(self.staging)[1]
+        fs.create_dir(staging, recursive=True)
+        names = {n for m in messages if m is not None for n in m.files}
+        for found in fs.get_file_info(pafs.FileSelector(staging)):
+            if found.base_name not in names:  # of attempts that did not count
+                fs.delete_file(found.path)
+        there = fs.get_file_info(root).type == pafs.FileType.Directory
+        if not names and (self.overwrite or not there):
+            _OpenFile(fs, staging, self).close()  # a table without rows has a file with its columns
+        if there and not self.overwrite:
+            for name in sorted(names):
+                fs.move(f"{staging}/{name}", f"{root}/{name}")
+            self._drop_staging()
+            return
+        old = f"{root}.old-{self.job}"
+        if there:
+            fs.move(root, old)
+        else:
+            fs.create_dir(root.rsplit("/", 1)[0], recursive=True)
+        fs.move(staging, root)
+        if there:
+            fs.delete_dir(old)
 
     def abort(self, messages) -> None:
         self._drop_staging()
@@ -127,10 +160,10 @@ class GeoParquetWriter(DataSourceArrowWriter):
 class _OpenFile:
     """One file being written: row groups of a set size and the running footer facts."""
 
-    def __init__(self, fs, folder: str, schema: pa.Schema, job: GeoParquetWriter):
+    def __init__(self, fs, folder: str, job: GeoParquetWriter):
         self.job, self.name = job, f"part-{uuid.uuid4().hex}.parquet"
         self.sink = fs.open_output_stream(f"{folder}/{self.name}")
-        self.writer = pq.ParquetWriter(self.sink, schema, compression="snappy")
+        self.writer = pq.ParquetWriter(self.sink, job.schema, compression="snappy")
         self.held: list[pa.RecordBatch] = []
         self.held_bytes = self.bytes = 0
         self.kinds: set[int] = set()
@@ -138,8 +171,8 @@ class _OpenFile:
 
     def add(self, batch: pa.RecordBatch) -> None:
         geoms = batch.column(batch.schema.get_field_index(self.job.geometry))
-        self.kinds.update(int.from_bytes(head[1:5], "little") for head in {
-            g[:5] for g in geoms.to_pylist() if g is not None})
+        heads = pc.unique(pc.binary_slice(geoms, 1, 5)).drop_null()
+        self.kinds.update(int.from_bytes(head, "little") for head in heads.to_pylist())
         boxes = batch.column(batch.schema.get_field_index("bbox")) if self.job.has_bbox else bbox_batch(geoms)
         flat = [np.asarray(c.drop_null()) for c in boxes.flatten()]
         if len(flat[0]):
@@ -153,7 +186,8 @@ class _OpenFile:
 
     def _flush(self) -> None:
         if self.held:
-            self.writer.write_table(pa.Table.from_batches(self.held), row_group_size=1 << 30)
+            table = pa.Table.from_batches(self.held).cast(self.job.schema)
+            self.writer.write_table(table, row_group_size=1 << 30)
             self.held, self.held_bytes = [], 0
 
     def close(self) -> str:
@@ -176,60 +210,87 @@ class _OpenFile:
 
 
 def geoparquet_write(df: DataFrame, path: str, srid: int = 4326, geometry: str = "geometry",
-                     mode: str = "overwrite", max_file_bytes: int = TARGET_FILE_BYTES) -> None:
-    """One GeoParquet file or more per partition."""
+                     mode: str = "overwrite", max_file_bytes: int = TARGET_FILE_BYTES,
+                     split_by: str | None = None) -> None:
+    """One GeoParquet file or more per partition; a file holds one value of ``split_by`` only, which is not written."""
     register(df.sparkSession)
-    (df.write.format(FORMAT).mode(mode).option("path", path).option("srid", str(srid))
-     .option("geometry", geometry).option("maxFileBytes", str(max_file_bytes)).save())
+    if split_by:
+        df = df.sortWithinPartitions(split_by)
+    writer = (df.write.format(FORMAT).mode(mode).option("path", path).option("srid", str(srid))
+              .option("geometry", geometry).option("maxFileBytes", str(max_file_bytes)))
+    (writer.option("splitBy", split_by) if split_by else writer).save()
 
 
-def geo_footers(spark: SparkSession, path: str) -> DataFrame:
+def geo_footers(spark: SparkSession, *paths: str, options: dict[str, str] | None = None) -> DataFrame:
     """(path, geo) per file: the footer's ``geo`` JSON, read on executors."""
     def read(batches):
         for batch in batches:
             paths, texts = batch.column("path").to_pylist(), []
             for p in paths:
-                fs, local = resolve(p)
+                fs, local = resolve(p, options)
                 with fs.open_input_file(local) as handle:
                     geo = (pq.read_metadata(handle).metadata or {}).get(b"geo")
                 texts.append(geo.decode() if geo else None)
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())],
                                              ["path", "geo"])
-    return spread(parquet_sizes(spark, path).select("path")).mapInArrow(read, "path string, geo string")
+    found = reduce(DataFrame.union, [parquet_sizes(spark, p).select("path") for p in paths])
+    return spread(found).mapInArrow(read, "path string, geo string")
+
+
+def dataset_crs(spark: SparkSession, *paths: str, options: dict[str, str] | None = None) -> tuple[str, int | None] | None:
+    """(geometry column, EPSG code) that all files name; None if no file has a ``geo`` footer.
+
+    Files of different systems, or with and without a footer, are an error: as one table their coordinates would not
+    fit together. One row for each different system reaches the driver.
+    """
+    column = F.get_json_object("geo", "$.primary_column")
+    code = F.expr("get_json_object(geo, concat('$.columns.', get_json_object(geo, '$.primary_column'), '.crs.id.code'))")
+    found = geo_footers(spark, *paths, options=options).select(column.alias("column"), code.cast("int").alias("code")).distinct()
+    systems = found.collect()
+    if len(systems) > 1:
+        raise ValueError(f"files of different systems: {sorted(map(str, systems))}")
+    return (systems[0].column, systems[0].code) if systems and systems[0].column else None
 
 
 def geoparquet_scan(spark: SparkSession, *paths: str) -> DataFrame:
-    """GeoParquet parts as one table with lower-case names; the CRS comes from the first file's footer."""
-    df = lowercase_columns(spark.read.parquet(*paths))
-    first = parquet_sizes(spark, paths[0]).orderBy("path").select("path").first()
-    fs, local = resolve(first.path)
-    with fs.open_input_file(local) as handle:
-        text = (pq.read_metadata(handle).metadata or {}).get(b"geo")
-    if text is None:
-        return df
-    geo = json.loads(text)
-    column = geo["primary_column"]
-    code = ((geo["columns"][column].get("crs") or {}).get("id") or {}).get("code")
-    return set_crs(df, int(code), column.lower()) if code else df
+    """GeoParquet parts as one table with lower-case names and the CRS that all footers name.
+
+    Paths may be those of an object store, as ``object_store_scan`` takes them.
+    """
+    resolved = [object_store_options(p) for p in paths]
+    options = {k: v for _, o in resolved for k, v in o.items()}
+    paths = [p for p, _ in resolved]
+    df = lowercase_columns(spark.read.options(**options).parquet(*paths))
+    crs = dataset_crs(spark, *paths, options=options)
+    return set_crs(df, crs[1], crs[0].lower()) if crs and crs[1] else df
+
+
+# Ranges that consolidation deals rows to at most; the sink cuts a range into files of the target size.
+MOST_RANGES = 4096
+# Side of a cell by which neighbours are told, in units of the reference system: about a degree.
+CELL = {4326: 1.0, 3857: 100_000.0}
 
 
 def consolidate(spark: SparkSession, parts: str, target: str, file_bytes: int = TARGET_FILE_BYTES,
-                srid: int = 4326, cell_degrees: float = 1.0) -> int:
+                cell: float | None = None) -> int:
     """Rewrite all parts as files of about ``file_bytes``, neighbours together; returns the number of files aimed at.
 
     Range partitions of the grid cell keep bounding boxes small, so box filters
     prune whole files. A cell fuller than one file is cut by the hash that follows it.
+    The reference system is that of the parts.
     """
     sizes = parquet_sizes(spark, parts).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n")).first()
     if not sizes.n:
         return 0
     n_files = -(-int(sizes.n) // file_bytes)
     df = geoparquet_scan(spark, parts)
+    srid = crs_of(df) or 4326
+    cell = cell or CELL.get(srid, 1.0)
     if "bbox" not in df.columns:
         df = df.withColumn("bbox", geom_bbox("geometry"))
     box = F.col("bbox")
-    tile = [F.floor(box.xmin / cell_degrees), F.floor(box.ymin / cell_degrees)]
+    tile = [F.floor(box.xmin / cell), F.floor(box.ymin / cell)]
     tie = F.xxhash64(*[c for c in df.columns if c not in ("geometry", "bbox")], "geometry")
-    df = df.repartitionByRange(n_files, *tile, tie).sortWithinPartitions(*tile)
+    df = df.repartitionByRange(min(n_files, MOST_RANGES), *tile, tie).sortWithinPartitions(*tile)
     geoparquet_write(df, target, srid, max_file_bytes=file_bytes)
     return n_files

@@ -357,30 +357,33 @@ def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WG
 
     size = ranges.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     cores = ranges.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(size["n"], 100_000, max(cores, int(size["bytes"] // task_bytes) + 1)))
+    tasks = max(1, min(size["n"], max(cores, int(size["bytes"] // task_bytes) + 1)))
     return ranges.repartition(tasks).mapInArrow(run, schema)
 
 
-def aligned_fields(columns: list[tuple[str, str]], lossless: bool = False) -> T.StructType:
-    """Struct of (name, type text) pairs after type alignment."""
-    return T.StructType([
-        T.StructField(name, aligned_type(T.DataType.fromDDL(kind), lossless)) for name, kind in columns])
-
-
 def shapefile_ingest(files: DataFrame, columns: list[str] | None = None, to_srid: int = crs.WGS84,
                      range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Features of all shapefiles of a manifest (path), reprojected; unreadable files yield a row with ``_error``.
 
-    Attribute types are those of the file with the smallest name; ``columns`` narrows them.
+    The attributes are those that any readable file has, null in files without them; ``columns`` narrows them. A
+    column has the type it has in the first readable file, by name, that has it; a file that has it with another
+    type yields a row with ``_error``.
     """
     headers = write_through(read_headers(files), "shapefile-headers")
-    first = headers.where("column_name is not null").agg(F.min("file_name")).scalar()
-    record = (headers.where(F.col("file_name") == first).where("column_name is not null")
-              .select("ordinal", "column_name", "data_type").distinct().orderBy("ordinal").collect())
-    fields = T.StructType([T.StructField(r.column_name, T.DataType.fromDDL(r.data_type)) for r in record
-                           if columns is None or r.column_name in columns])
-    features = read_features(record_ranges(headers, range_bytes), fields, to_srid, range_bytes)
-    rejected = (headers.where("reason is not null").select("file_name", "reason").distinct()
-                .select(F.col("file_name").alias("_source_file"), F.col("reason").alias("_error")))
+    readable = headers.where("reason is null and column_name is not null")
+    if columns is not None:
+        readable = readable.where(F.col("column_name").isin(columns))
+    record = write_through(readable.groupBy("column_name").agg(
+        F.min(F.struct("file_name", "ordinal", "data_type")).alias("first")).select(
+        "column_name", "first.*"), "shapefile-columns")
+    # One row for each different column reaches the driver.
+    fields = T.StructType([T.StructField(r.column_name, T.DataType.fromDDL(r.data_type))
+                           for r in record.orderBy("file_name", "ordinal").collect()])
+    other = readable.join(record.select("column_name", F.col("data_type").alias("_kept")), "column_name")
+    rejected = (headers.where("reason is not null").select("file_name", "reason")
+                .union(other.where("data_type <> _kept").select("file_name", F.lit("schema_mismatch"))).distinct())
+    good = headers.join(rejected.select("file_name"), "file_name", "left_anti")
+    features = read_features(record_ranges(good, range_bytes), fields, to_srid, range_bytes)
+    rejected = rejected.select(F.col("file_name").alias("_source_file"), F.col("reason").alias("_error"))
     return features.unionByName(rejected, allowMissingColumns=True)
 

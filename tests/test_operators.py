@@ -86,11 +86,10 @@ def test_unparsable_times_become_null(spark):
     assert rows(df.select(align.parse_timestamp(F.col("t")))) == [(None,), (dt.datetime(2024, 1, 2, 3, 4, 5),)]
 
 
-def test_dictionary_codes_with_hot_values(spark, monkeypatch):
-    monkeypatch.setattr(dictionary, "HOT_ROWS", 10)
+def test_dictionary_codes_of_repeated_values(spark):
     values = ["b"] * 50 + ["a"] * 3 + [None] * 40 + ["c"]
     df = spark.createDataFrame(list(enumerate(values)), "_fid long, v string")
-    out = {r["_fid"]: r["code"] for r in dictionary.dictionary_encode(df, "v", ["_fid"]).collect()}
+    out = {r["_fid"]: r["code"] for r in dictionary.dictionary_encode(df, "v").collect()}
     assert out == {i: {"a": 0, "b": 1, "c": 2, None: -1}[v] for i, v in enumerate(values)}
 
 
@@ -103,27 +102,16 @@ def test_skew_join_equals_plain_join(spark, how):
                                  "id long, k long, k2 long")
     right = spark.createDataFrame([(7, 0, "x"), (7, 1, "y"), (7, 1, "z"), (3, 1, "w"), (None, 0, "n")],
                                   "k long, k2 long, v string")
-    hot = skew.hot_keys(left, ["k"], min_rows=10)
-    assert hot and max(hot.values()) > 2
-    plain = rows(left.join(right, ["k", "k2"], how))
-    assert rows(skew.skew_join(left, right, ["k", "k2"], how, ["id"], min_rows=10)) == plain
-    assert rows(skew.skew_join(left, right, ["k", "k2"], how, ["id"], hot, hot_on=["k"])) == plain
-    assert rows(skew.skew_join(left, right, ["k", "k2"], how, ["id"])) == plain
+    assert rows(skew.skew_join(left, right, ["k", "k2"], how)) == rows(left.join(right, ["k", "k2"], how))
 
 
 def test_skew_join_with_a_condition(spark):
     left = spark.createDataFrame([(i, 1 if i < 90 else 2, float(i)) for i in range(100)], "id long, k long, a double")
     right = spark.createDataFrame([(1, 10.5), (1, 70.5), (2, 500.0)], "k long, b double")
-    out = skew.skew_join(left, right, ["k"], "left_semi", ["id"], min_rows=10, condition=F.abs(F.col("a") - F.col("b")) < 2)
+    out = skew.skew_join(left, right, ["k"], "left_semi", condition=F.abs(F.col("a") - F.col("b")) < 2)
     assert [r.id for r in out.orderBy("id").collect()] == [9, 10, 11, 12, 69, 70, 71, 72]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in skew.bounded_broadcast(small, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in skew.bounded_broadcast(small, 9)._jdf.queryExecution().analyzed().toString().lower()
-
-
 # ---------------------------------------------------------------- order and packing
 
 def test_global_index_and_running_total(spark):
@@ -154,12 +142,10 @@ def folded(sizes, limit, rule):
 @pytest.mark.parametrize("sizes", [
     [100, 1, 1], [1, 100, 0, 0, 10, 0, 10, 0], [10, 10], [9],
     random.Random(5).choices(range(15), k=120)], ids=lambda v: str(v)[:12])
-def test_both_packing_routes_follow_the_rule(spark, rule, sizes):
+def test_packing_follows_the_rule(spark, rule, sizes):
     df = spark.createDataFrame([(f"f{i:04d}", n) for i, n in enumerate(sizes)], "path string, size_bytes long")
-    expected = folded(sizes, 10, rule)
-    for fold_rows in (packing.FOLD_ROWS, 0):
-        out = packing.pack_files(df.repartition(3), 10, rule, fold_rows=fold_rows).orderBy("path").collect()
-        assert [r.chunk_id for r in out] == expected, f"fold_rows={fold_rows}"
+    out = packing.pack_files(df.repartition(3), 10, rule).orderBy("path").collect()
+    assert [r.chunk_id for r in out] == folded(sizes, 10, rule)
 
 
 def test_packing_nothing(spark):
@@ -197,20 +183,19 @@ def test_report_keeps_files_without_columns(spark):
         ("d", "schema_mismatch", "x", "int"), ("q", "not_a_shapefile", None, None)]
 
 
-def test_one_bad_row_takes_its_file(spark, monkeypatch):
+def test_one_bad_row_takes_its_file(spark):
     df = spark.createDataFrame([("a", 0, None), ("a", 1, "bad"), ("b", 0, None)],
                                "_source_file string, _fid long, _error string")
-    for bound in (gate.BROADCAST_NAMES, 0):
-        monkeypatch.setattr(gate, "BROADCAST_NAMES", bound)
-        good, failed = gate.isolate_failures(df)
-        assert rows(good) == [("b", 0)] and rows(failed) == [("a", "bad")]
+    good, failed = gate.isolate_failures(df)
+    assert rows(good) == [("b", 0)] and rows(failed) == [("a", "bad")]
 
 
-def test_concat_fills_and_refuses_drift(spark):
+def test_concat_fills_and_records_drift(spark):
     a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2, 0.5)], "i int, d double")
-    assert rows(gate.concat_by_name([a, b])) == [(1, "x", None), (2, None, 0.5)]
-    with pytest.raises(TypeError):
-        gate.concat_by_name([a, spark.createDataFrame([(1.0,)], "i double")])
+    assert rows(gate.concat_by_name([a, b])[0]) == [(1, "x", None), (2, None, 0.5)]
+    kept, left_out = gate.concat_by_name({"a": a, "drift": spark.createDataFrame([(1.0,)], "i double"), "b": b})
+    assert rows(kept) == [(1, "x", None), (2, None, 0.5)]
+    assert left_out == [("drift", "i is double, elsewhere int")]
 
 
 def test_partition_numbers_reach_the_function(spark):
@@ -218,6 +203,15 @@ def test_partition_numbers_reach_the_function(spark):
     assert out.select("p").distinct().count() == 4 and out.count() == 100
 
 
+def test_a_partition_reaches_the_function_whole(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        out = gate.map_partitions(spark.range(100).repartition(2), lambda p, f: f.head(1).assign(n=len(f)), "id long, n long")
+        assert sum(r.n for r in out.collect()) == 100 and out.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 # ---------------------------------------------------------------- aggregates and samples
 
 def test_top_values_skip_nulls_and_break_ties_by_value(spark):
@@ -285,8 +279,8 @@ def test_reprojection_round_trip_and_limits(spark):
 def test_geometry_joins_ignore_nulls_and_flavours(spark):
     left = geoms(spark, ["POINT (1 1)", "POINT (1 1)", "POINT (2 2)", None])
     right = geoms(spark, ["POINT (1 1)", "POINT (1.0 1.0)", "POINT (3 3)", None])
-    assert [r._fid for r in geojoin.geom_inner_join(left, right, ["_fid"]).orderBy("_fid").collect()] == [0, 1]
-    assert [r._fid for r in geojoin.geom_anti_join(left, right, ["_fid"]).collect()] == [2]
+    assert [r._fid for r in geojoin.geom_inner_join(left, right).orderBy("_fid").collect()] == [0, 1]
+    assert [r._fid for r in geojoin.geom_anti_join(left, right).collect()] == [2]
     assert tuple(geojoin.geom_match_counts(left, right).first()) == (2, 1, 1, 2, 2)
     assert tuple(geojoin.geom_match_counts(left.limit(0), right.limit(0)).first()) == (0, 0, 0, 0, 0)
     assert geojoin.geom_equals(left, geo.wkb_from_wkt("POINT (2 2)")).count() == 1
@@ -297,7 +291,7 @@ def test_control_values_null_equals_null(spark):
     left = left.join(spark.createDataFrame([(0, "a"), (1, None), (2, None), (3, "a"), (4, "a")], "_fid long, gui string"), "_fid")
     right = geoms(spark, ["POINT (1 1)", "POINT (1 1)", "POINT (2 2)", "POINT (3 3)"])
     right = right.join(spark.createDataFrame([(0, "b"), (1, "a"), (2, None), (3, "null")], "_fid long, gui string"), "_fid")
-    out = geojoin.control_value_join(left, right, "gui", ["_fid"]).orderBy("_fid").collect()
+    out = geojoin.control_value_join(left, right, "gui").orderBy("_fid").collect()
     assert [r.status for r in out] == ["match", "match", "control_mismatch", "not_found", "not_found"]
 
 

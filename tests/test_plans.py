@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples.queries import QUERIES
-from samples.views import table
-from strandline.operators import columns, packing, sampling, skew
-from strandline.session import scratch_root
+from samples.views import features, table
+from strandline.functions import geometry as geo
+from strandline.operators import columns, geojoin, packing, sampling, skew, spatial
+from strandline.session import scratch_path, scratch_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,16 +49,42 @@ def test_samples_shrink_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_salts_are_part_of_the_shuffle_key(spark):
-    left = spark.range(100).selectExpr("id", "if(id % 3 = 0, null, id % 5) as k")
-    right = spark.range(5).selectExpr("id as k", "id as v")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_keys_are_split_at_run_time(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        for how, hot in (("left", {}), ("left_anti", {}), ("inner", {1: 4}), ("left", {1: 4})):
-            text = plan(skew.skew_join(left, right, ["k"], how, ["id"], hot))
-            assert len(re.findall(r"hashpartitioning\(k#\d+L, _salt#\d+L", text)) == 2, text
+        left = spark.range(200_000).selectExpr("id", "if(id % 3 = 0, null, if(id % 3 = 1, 7, id % 1000)) as k", "uuid() as t")
+        right = spark.range(1000).selectExpr("id as k", "id as v").repartition(4)
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            joined = skew.skew_join(left, right, ["k"], how)
+            joined.write.format("noop").mode("overwrite").save()
+            joined.collect()
+            assert "skew=true" in plan(joined), how
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_building_a_join_starts_no_job(spark):
+    left, right = features(spark, SF, "feat"), features(spark, SF, "feat_copy")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    for df in (geojoin.geom_inner_join(left, right), geojoin.geom_anti_join(left, right), geojoin.geom_match_counts(left, right),
+               geojoin.control_value_join(left, right, "gui")):
+        assert df.columns
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_box_of_a_containing_row_reaches_the_scan(spark):
+    path = scratch_path(spark, "boxes")
+    features(spark, SF, "boxes").withColumn("bbox", geo.geom_bbox("geometry")).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    found = spatial.containing_rows(spark.read.parquet(path), geo.wkb_from_wkt("POINT (1 1)"), ["box_id"], box="bbox")
+    assert "LessThanOrEqual(bbox.xmin,1.0)" in plan(found) and "GreaterThanOrEqual(bbox.ymax,1.0)" in plan(found)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_chunk_numbers_need_no_exchange(spark):

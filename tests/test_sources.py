@@ -5,12 +5,14 @@ from pathlib import Path
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from samples.shapefiles import write_shapefile
 from strandline.functions import codec
 from strandline.functions import geometry as geo
+from strandline.functions import crs
 from strandline.operators import packing
 from strandline.plans.lakehouse import FeatureLakehouse, LakehouseConfig
 from strandline.plans.layer_export import export_layer
@@ -216,9 +218,87 @@ def test_append_by_source_keeps_odd_names(spark, tmp_path):
     datasets.append_by_source(df, str(tmp_path / "d"))
     back = datasets.read_by_source(spark, str(tmp_path / "d"))
     assert back.count() == 6
-    stems = {"0001", "a+b c%", "x=y"}
-    assert {r.source_stem for r in back.collect()} == stems
-    assert {r.source_stem for r in datasets.sizes_by_source(datasets.parquet_sizes(spark, str(tmp_path / "d"))).collect()} == stems
+    assert {r.source_stem for r in back.collect()} == {"0001", "a+b c%", "x=y"}
+
+
+def test_columns_of_all_files_are_read(spark, tmp_path):
+    path = str(tmp_path / "d")
+    datasets.append_by_source(spark.createDataFrame([("a.shp", 1)], "_source_file string, _fid long"), path)
+    datasets.append_by_source(spark.createDataFrame([("b.shp", 2, "x")], "_source_file string, _fid long, more string"), path)
+    assert rows(datasets.read_by_source(spark, path).select("_fid", "more")) == [(1, None), (2, "x")]
+    datasets.append_by_source(spark.createDataFrame([("c.shp", "3")], "_source_file string, _fid string"), path)
+    with pytest.raises(TypeError):
+        datasets.read_by_source(spark, path)
+
+
+def test_only_absent_paths_count_as_empty(spark, tmp_path):
+    assert datasets.read_quarantine_csv(spark, str(tmp_path / "none")).count() == 0
+    assert not datasets.combine_chunks(spark, str(tmp_path / "none"), "x", str(tmp_path / "t"))
+    (tmp_path / "c" / "_layer=x").mkdir(parents=True)
+    with pytest.raises(AnalysisException):
+        datasets.combine_chunks(spark, str(tmp_path / "c"), "x", str(tmp_path / "t"))
+
+
+PRJ_NAD27 = ('GEOGCS["NAD27",DATUM["North_American_Datum_1927",SPHEROID["Clarke 1866",6378206.4,294.9786982138982],'
+             'TOWGS84[-8,160,176,0,0,0,0]],PRIMEM["Greenwich",0],AUTHORITY["EPSG","4267"]]')
+
+
+@pytest.mark.parametrize(("text", "srid"), [
+    (PRJ_NAD27, None), (PRJ_NAD27.replace(',AUTHORITY["EPSG","4267"]', ""), None),
+    ('GEOGCS["WGS 84",DATUM["WGS_1984",SPHEROID["WGS 84",6378137,298.257223563,AUTHORITY["EPSG","7030"]],'
+     'AUTHORITY["EPSG","6326"]],PRIMEM["Greenwich",0],AUTHORITY["EPSG","4326"]]', 4326),
+    ('GEOGCS["anything",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]', 4326),
+    ('PROJCS["WGS 84 / UTM zone 33N",GEOGCS["WGS 84",DATUM["WGS_1984"],AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","32633"]]', None),
+    ('PROJCS["WGS 84 / Pseudo-Mercator",GEOGCS["WGS 84",DATUM["WGS_1984"]],PROJECTION["Mercator_1SP"]]', 3857),
+    ('PROJCS["Web_Mercator",GEOGCS["x",DATUM["y"]],AUTHORITY["EPSG","3857"]]', 3857), ("", None), ("nonsense", None)])
+def test_reference_system_of_a_prj(text, srid):
+    assert crs.srid_of_prj(text) == srid
+
+
+def test_systems_of_all_parts_count(spark, tmp_path):
+    path = str(tmp_path / "p")
+    geoparquet.geoparquet_write(parts(spark, 50).coalesce(1), path, srid=3857)
+    assert geo.crs_of(geoparquet.geoparquet_scan(spark, path)) == 3857
+    geoparquet.consolidate(spark, path, str(tmp_path / "c"))
+    assert geoparquet.dataset_crs(spark, str(tmp_path / "c")) == ("geometry", 3857)
+    geoparquet.geoparquet_write(parts(spark, 50).coalesce(1), path, srid=4326, mode="append")
+    with pytest.raises(ValueError, match="different systems"):
+        geoparquet.geoparquet_scan(spark, path)
+
+
+def test_a_table_without_rows_has_a_file(spark, tmp_path):
+    geoparquet.geoparquet_write(parts(spark, 5).limit(0), str(tmp_path / "e"))
+    back = geoparquet.geoparquet_scan(spark, str(tmp_path / "e"))
+    assert back.count() == 0 and "geometry" in back.columns and geo.crs_of(back) == 4326
+
+
+def test_files_hold_one_value_of_the_splitting_column(spark, tmp_path):
+    rows_ = parts(spark, 90).withColumn("c", F.col("_fid") % 3).coalesce(1)
+    geoparquet.geoparquet_write(rows_, str(tmp_path / "s"), split_by="c")
+    back = geoparquet.geoparquet_scan(spark, str(tmp_path / "s"))
+    assert "c" not in back.columns and back.count() == 90
+    found = back.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.collect_set(F.col("_fid") % 3).alias("c")).collect()
+    assert len(found) == 3 and all(len(r.c) == 1 for r in found)
+
+
+def test_options_of_an_object_store_reach_the_file_system():
+    path, options = files.object_store_options("https://store.example.org/bucket/a/b.parquet")
+    fs, local = files.resolve(path, options)
+    assert fs.type_name == "s3" and local == "bucket/a/b.parquet"
+    assert files.resolve("file:///a/b")[1] == "/a/b"
+
+
+def test_rejected_files_do_not_set_the_columns(spark, tmp_path):
+    write_shapefile(f"{tmp_path}/a.shp", POINTS, {"OTHER": ("C", 8, 0, ["x"] * 4)}, srid=2154)
+    write_shapefile(f"{tmp_path}/b.shp", POINTS, {"GUI": ("C", 8, 0, ["x"] * 4)})
+    write_shapefile(f"{tmp_path}/c.shp", POINTS, {"GUI": ("C", 8, 0, ["y"] * 4), "MORE": ("C", 8, 0, ["z"] * 4)})
+    write_shapefile(f"{tmp_path}/d.shp", POINTS, {"GUI": ("N", 8, 0, [1] * 4)})
+    found = ingest(spark, tmp_path)
+    errors = {(r._source_file, r._error) for r in found.where("_error is not null").collect()}
+    assert errors == {("a.shp", "unsupported_crs"), ("d.shp", "schema_mismatch")}
+    good = found.where("_error is null")
+    assert {(r._source_file, r.gui, r.more) for r in good.collect()} == {("b.shp", "x", None), ("c.shp", "y", "z")}
+    assert "other" not in good.columns
 
 
 def test_footers_of_unreadable_files(spark, tmp_path):
@@ -276,7 +356,7 @@ def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     config.write_text(json.dumps({
         "download_url": "unused", "input_dir": str(folder), "output_dir": str(tmp_path / "out"),
         "log_dir": str(tmp_path / "logs"), "file_name_selectors": ["IT", "GB"],
-        "columns_to_convert": ["gui", "sum_conf", "day", "NOT_THERE"], "chunk_bytes": 4000, "range_bytes": 200}))
+        "columns_to_convert": ["gui", "sum_conf", "day", "NOT_THERE"], "chunk_bytes": 500, "range_bytes": 200}))
     job = FeatureLakehouse(spark, LakehouseConfig.load(spark, str(config)))
     for _ in range(2):
         report = {r.file_name: r.reason if r.status == "failed" else "ok" for r in job.run().collect()}
@@ -291,33 +371,36 @@ def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     assert (row.gui, row.sum_conf, row.day, row.not_there) == ("GUI1", 2.0, "2024-01-02", "None")
     assert out.where("_source_file = 'IT_wide.shp'").first().sum_conf == 0.5
     assert {f.dataType for f in out.schema.fields if f.name in ("gui", "day", "not_there")} == {T.StringType()}
-    sizes = datasets.sizes_by_source(datasets.parquet_sizes(spark, job.features_path))
-    expected = packing.pack_at_least(sizes, 4000, path="source_stem").select("chunk_id").distinct().count()
-    assert spark.read.parquet(job.packed_path).select("chunk_id").distinct().count() == expected > 1
+    packed = spark.read.parquet(job.packed_path)
+    chunks = packed.select("chunk_id").distinct().count()
+    assert chunks > 1 and packed.groupBy("_source_file").agg(F.count_distinct("chunk_id").alias("n")).where("n > 1").count() == 0
+    assert geoparquet.geo_footers(spark, job.parts_path).count() >= chunks
+    assert ("IT0.shp", "NOT_THERE".lower()) in rows(job.absent_columns()) or ("IT0.shp", "NOT_THERE") in rows(job.absent_columns())
     source = shapefile.shapefile_ingest(files.file_select_contains(job.select_files(), ["IT", "GB"])).where(
         "_error is null and geometry is not null")
-    checked = reconcile_sampled(source, out, failed, n_files=9, seed=3)
+    checked = reconcile_sampled(source, out, failed, "gui", n_files=9, seed=3, box="bbox")
     assert {r.status for r in checked.collect()} == {"match"} and checked.count() > 0
 
 
-def test_many_sources_share_files(spark, tmp_path, monkeypatch):
-    from strandline.plans import lakehouse
-    monkeypatch.setattr(lakehouse, "MOST_DIRECTORIES", 3)
-    monkeypatch.setattr(lakehouse, "BROADCAST_SOURCES", 1)
-    for i in range(12):
+def test_chunks_do_not_depend_on_files_or_folder_names(spark, tmp_path):
+    for i in range(25):
         write_shapefile(f"{tmp_path}/in/{i:04d}.shp", POINTS, attributes(4, f"G{i}"))
     (tmp_path / "in" / "0007.shp").write_bytes(b"")
-    job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out"), chunk_bytes=1))
-    report = job.run()
-    assert report.where("status = 'succeeded'").count() == 11
-    assert not [n for n in os.listdir(job.features_path) if n.startswith("source_stem")]
-    assert rows(job.result().groupBy("_source_file", "gui").count()) == [
-        (f"{i:04d}.shp", f"G{i}", 3) for i in range(12) if i != 7]
+    found = []
+    for out in ("out", "with space", "100% + more"):
+        job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / out), chunk_bytes=1))
+        assert job.run().where("status = 'succeeded'").count() == 24
+        packed = spark.read.parquet(job.packed_path)
+        found.append(rows(packed.select("_source_file", "chunk_id").distinct()))
+        assert rows(job.result().groupBy("_source_file", "gui").count()) == [
+            (f"{i:04d}.shp", f"G{i}", 3) for i in range(25) if i != 7]
+        assert geoparquet.geo_footers(spark, job.parts_path).count() == 24
+    assert found[0] == found[1] == found[2] and len(found[0]) == 24
 
 
 def test_files_that_cannot_be_packed_are_listed_and_left_out(spark, tmp_path):
     write_shapefile(f"{tmp_path}/in/a.shp", POINTS, attributes(4))
-    job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out")))
+    job = FeatureLakehouse(spark, LakehouseConfig(str(tmp_path / "in"), str(tmp_path / "out put %")))
     job.ingest()
     odd = Path(job.features_path) / "source_stem=z"
     odd.mkdir()
@@ -368,11 +451,13 @@ def test_lookup_statuses(spark):
                        ("q", "POINT (99 9)"), ("c", SHAPES[3]), ("q", "POINT (55 52)"), ("q", None)])
 
     def verdicts(**kwargs):
-        return [r.status for r in lookup_status(probes, kwargs.pop("dataset", dataset), ["_fid"], **kwargs)
+        return [r.status for r in lookup_status(probes, kwargs.pop("dataset", dataset), ["_fid"], "gui", **kwargs)
                 .orderBy("_fid").collect()]
     expected = ["match", "control_mismatch", "match", "contained_not_exact", "not_contained", "match", "unsupported",
                 "not_contained"]
     assert verdicts() == expected == verdicts(few_probes=True)
+    boxed = dataset.withColumn("bbox", geo.geom_bbox("geometry"))
+    assert verdicts(dataset=boxed, box="bbox", few_probes=True) == expected
     assert verdicts(dataset=dataset.drop("gui"))[:4] == [
         "no_control_column", "no_control_column", "no_control_column", "contained_not_exact"]
 
@@ -386,7 +471,7 @@ def test_chunks_with_null_geometries(spark):
     found = [tuple(r) for r in reconcile_chunks(source, dataset, ["_fid"], chunk_rows=4, head_rows=5)
              .orderBy("chunk_id").collect()]
     assert found == [(1, 4, 3, 0, 1, 2), (2, 2, 1, 1, 2, 2)]
-    whole = [tuple(r) for r in reconcile_chunks(source, dataset, ["_fid"], chunk_rows=4, head_rows=None)
+    whole = [tuple(r) for r in reconcile_chunks(source, dataset, ["_fid"], chunk_rows=4)
              .orderBy("chunk_id").collect()]
     assert whole == [(1, 4, 3, 0, 2, 2), (2, 2, 2, 0, 2, 2)]
 

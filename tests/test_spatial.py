@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import codec, predicates
 from strandline.functions import geometry as geo
-from strandline.operators import skew, spatial
+from strandline.operators import spatial
 
 
 def frame(spark, texts, name):
@@ -40,10 +40,7 @@ def brute(outers, inners):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", [skew.HOT_ROWS, 5])
-def test_containment_join_equals_brute_force(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(skew.skew_join, "__defaults__",
-                        tuple(hot_rows if d == skew.HOT_ROWS else d for d in skew.skew_join.__defaults__))
+def test_containment_join_equals_brute_force(spark):
     outers = shapes(1, 120) + ["POINT (1 1)", "POINT (1 1)"]
     inners = shapes(2, 140) + ["POINT (1 1)"] * 60
     pairs = spatial.containment_join(frame(spark, outers, "o"), frame(spark, inners, "i"), ["o"], ["i"]).collect()
@@ -100,10 +97,7 @@ def test_a_container_fills_few_cells_at_any_size(spark):
     assert cells.agg(F.max("count")).first()[0] <= 4
 
 
-@pytest.mark.parametrize("hot_rows", [skew.HOT_ROWS, 5])
-def test_near_copies_equal_brute_force(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(skew.skew_join, "__defaults__",
-                        tuple(hot_rows if d == skew.HOT_ROWS else d for d in skew.skew_join.__defaults__))
+def test_near_copies_equal_brute_force(spark):
     rng = random.Random(6)
 
     def jitter(n, spread):
@@ -117,5 +111,5 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, hot_rows):
     right = jitter(150, 0.002) + ["POINT (1.0009 1)"] * 50 + [None, "POINT EMPTY", "POINT (-0.0004 0.0004)"]
     near = {i for i, a in enumerate(left) if a and any(
         b and predicates.equals_within(codec.decode_wkt(a), codec.decode_wkt(b), 0.001) for b in right)}
-    out = spatial.near_copies(frame(spark, left, "i"), frame(spark, right, "j"), 0.001, ["i"]).collect()
+    out = spatial.near_copies(frame(spark, left, "i"), frame(spark, right, "j"), 0.001).collect()
     assert sorted(r.i for r in out) == sorted(near) and 0 < len(near) < len(left)
