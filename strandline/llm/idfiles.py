@@ -9,34 +9,42 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import rangecoder
 from .text import text_list
+from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
-GROUP_IDS = 1 << 22
+GROUP_IDS = 1 << 21
 REMEMBERED = 800_000
-TEXTS = 500
+TEXTS = 4_000
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
-#: Any white space but the space and the line feed.
-OTHER_WHITE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: A single space between other characters: a pre-token begins with it, and none crosses it.
 SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: A word of settled letters, and the signs behind it, which are pre-tokens of their own.
+WORD = re.compile(r"( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-;=-@\[-`{-~]*)")
+#: How the vocabulary spells the bytes of a pre-token.
+SPELLING = spelling() | {0x20: "Ġ"}
+#: White space that a unit must neither begin nor end with.
+WHITE = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 class UnitEncoder:
     """Encodes texts by units whose ids it remembers.
 
     The library's byte-level pattern begins a pre-token with a single space between other characters, so what lies
-    between such spaces has ids of its own; so has a line that neither begins nor ends with white space.
+    between such spaces has ids of its own. Texts are cut at all spaces; where a piece is empty, or begins or ends with white space,
+    the cut was not between other characters, and its text is cut with care.
     """
 
     def __init__(self, path: str):
@@ -46,33 +54,73 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def units(self, text: str) -> list[str]:
-        """Units as they stand in the text; the space before one belongs to it."""
-        if not OTHER_WHITE.search(text):
-            units: list[str] = []
-            for i, line in enumerate(text.split("\n")):
-                parts = line.split(" ")
-                if "" in parts:
-                    break
-                units.append("\n" + parts[0] if i else parts[0])
-                units += [" " + p for p in parts[1:]]
-            else:
-                return units
-        parts = SPACE.split(text)
-        return [parts[0], *[" " + p for p in parts[1:]]] if text else []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned 16-bit integers."""
-        units = [self.units(t) for t in texts]
-        new = list(set().union(*units) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*units))
-        for first in range(0, len(new), 10_000):
-            part = new[first:first + 10_000]
+    def _words(self, words: list[str]) -> None:
+        """One pre-token each, so the library's model takes them as they are spelled."""
+        tokenize = self.tokenizer.model.tokenize
+        for word in words:
+            tokens = tokenize(word.encode().decode("latin-1").translate(SPELLING))
+            self.known[word] = array("H", [t.id for t in tokens]).tobytes()
+
+    def _library(self, units: list[str]) -> None:
+        for first in range(0, len(units), 10_000):
+            part = units[first:first + 10_000]
             for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[unit] = np.array(found.ids, "<u2").tobytes()
-        return [b"".join(map(self.known.__getitem__, u)) for u in units]
+                self.known[unit] = array("H", found.ids).tobytes()
+
+    def ids_of(self, units: list[str]) -> list[bytes]:
+        """The ids of different units, as they stand in a text, as unsigned 16-bit integers."""
+        new = [u for u in units if u not in self.known]
+        if len(self.known) + 2 * len(new) > REMEMBERED:
+            self.known.clear()
+            new = units
+        found = [(u, *m.groups()) for u in new if (m := WORD.fullmatch(u))]
+        self._words(list({w for _, w, _ in found if w not in self.known}))
+        others = {s for _, _, s in found if s}.union(set(new).difference(u for u, _, _ in found))
+        self._library([u for u in others if u not in self.known])
+        for unit, word, signs in found:
+            if signs:
+                self.known[unit] = self.known[word] + self.known[signs]
+        return [self.known[u] for u in units]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = parts.offsets.to_numpy()
+        cells = parts.flatten().dictionary_encode()
+        place, pieces = cells.indices.to_numpy(), cells.dictionary.to_pylist()
+        odd = np.array([not p or p[0] in WHITE or p[-1] in WHITE for p in pieces], bool)[place]
+        careful = np.flatnonzero(np.add.reduceat(odd, offsets[:-1]) > 0).tolist()
+        sides = {t: SPACE.split(texts[t]) for t in careful}
+        firsts = [pieces[i] for i in place[offsets[:-1]].tolist()]
+        wanted = [" " + p for p in pieces]
+        more = {f for f in firsts if f} | {x for s in sides.values() for x in (s[0], *(" " + p for p in s[1:])) if x}
+        more = list(more)
+        coded = self.ids_of([*wanted, *more])  # a first piece has no space before it
+        own = {u: i for i, u in enumerate(more, len(wanted))}
+        if sides:
+            own = {u: i for i, u in enumerate(wanted)} | own
+            chosen = [[own[x] for x in (s[0], *(" " + p for p in s[1:])) if x] for s in sides.values()]
+            split = np.split(place, offsets[1:-1])
+            for t, c in zip(careful, chosen, strict=True):
+                split[t] = np.array(c, place.dtype)
+            normal = [t for t in range(len(texts)) if t not in sides]
+            place = np.concatenate(split)
+            offsets = np.r_[0, np.cumsum([len(s) for s in split])]
+        else:
+            normal = range(len(texts))
+        place = place.astype(np.int64)
+        for t in normal:
+            place[offsets[t]] = own[firsts[t]]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 2
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(coded), "<u2")
+        each = lengths[place]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(starts[place] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.r_[0, ends][offsets]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -85,16 +133,16 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "
     """Write the ids of every text (null: empty), each followed by ``end_id``, to files at ``out``; returns ``out``.
 
     Rows are dealt by ranges of their id and sorted inside, null ids first, equal ids by a hash of their text; parts
-    follow the ranges. The vocabulary at ``path`` must have fewer than 65,536 ids. An empty table gives files without rows.
+    follow the ranges. The vocabulary at ``path`` must have fewer than 65,535 ids. An empty table gives files without rows.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = unit_encoder(path)
-        end = np.array([end_id], "<u2").tobytes()
+        end = np.array([end_id], "<u2")
         ids, held, size, number, part = [], [], 0, 0, 0
 
         def group() -> pa.RecordBatch:
-            lengths = np.array([len(x) // 2 for x in held], np.int64)
-            blocks = rangecoder.encode(np.frombuffer(b"".join(held), "<u2").astype(np.int64))
+            lengths = np.array([len(x) + 1 for x in held], np.int64)
+            blocks = rangecoder.encode(np.concatenate([x for h in held for x in (h, end)]).astype(np.int64))
             row = {"part": part, "number": number, "doc_ids": list(ids), "lengths": lengths.tolist(), "blocks": blocks}
             return pa.RecordBatch.from_pylist([row], pa.schema(
                 [("part", pa.int32()), ("number", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
@@ -107,8 +155,8 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "
             for first in range(0, len(texts), TEXTS):
                 for key, coded in zip(keys[first:first + TEXTS], encoder.encode(texts[first:first + TEXTS]), strict=True):
                     ids.append(key)
-                    held.append(coded + end)
-                    size += len(coded) // 2 + 1
+                    held.append(coded)
+                    size += len(coded) + 1
                     if size >= GROUP_IDS:
                         yield group()
                         ids, held, size, number = [], [], 0, number + 1

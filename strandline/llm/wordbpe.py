@@ -150,7 +150,7 @@ def load(path: str) -> WordBpe:
         raise ValueError("a merge ranks before one that makes its parts")
     single = {t: i for t, i in vocabulary.items() if len(t) == 1}
     return WordBpe(Tokenizer.from_file(path), tokens, special, single, {t: vocabulary[t + suffix] for t in single},
-                   PairTable(left, right, np.arange(len(merged))), merged, _spelling())
+                   PairTable(left, right, np.arange(len(merged))), merged, spelling())
 
 
 @lru_cache(maxsize=8)
@@ -159,7 +159,7 @@ def remembered(operator: str, path: str) -> dict:
     return {}
 
 
-def _spelling() -> dict[int, str]:
+def spelling() -> dict[int, str]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as U+0100 onwards."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]

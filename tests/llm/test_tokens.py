@@ -58,7 +58,7 @@ def test_any_text(text):
     assert sum(token_counts.unit_counts(vocabulary, units)) == len(ids)
     assert np.frombuffer(b"".join(p for p, _ in bpe.encode_units(vocabulary, units)), "<u4").tolist() == ids
     encoder = idfiles.UnitEncoder(BYTE)
-    assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("word", ["a" * 3000, "ab" * 1500, "abc" * 700 + "z", "th" * 5 + "in" * 9])
@@ -99,10 +99,10 @@ def test_files_give_back_every_document(odd):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.integers(0, 5000), st.integers(1, 65_536), st.integers(0, 2 ** 32 - 1))
+@given(st.integers(0, 5000), st.integers(1, 65_535), st.integers(0, 2 ** 32 - 1))
 def test_coder_round_trip(n, kinds, seed):
     draw = np.random.default_rng(seed)
-    for ids in (draw.integers(0, kinds, n), np.minimum(draw.zipf(1.2, n), 65_535), np.full(n, kinds - 1)):
+    for ids in (draw.integers(0, kinds, n), np.minimum(draw.zipf(1.2, n), 65_534), np.full(n, kinds - 1)):
         assert (rangecoder.decode(rangecoder.encode(ids.astype(np.int64))) == ids).all()
 
 
@@ -116,4 +116,4 @@ def test_coder_learns_and_checks():
     with pytest.raises(ValueError):
         rangecoder.decode([bytes(damaged)])
     with pytest.raises(ValueError):
-        rangecoder.encode(np.array([70_000]))
+        rangecoder.encode(np.array([65_535]))
