@@ -20,10 +20,10 @@ WORD_START = "▁"
 #: A run of letters is scored in stretches of so many; only the first has the mark of a word's start.
 STRETCH = 32
 #: Words whose scores a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Words a worker gathers before it counts their pieces.
 MOST_HELD = 4_000_000
-TEXTS = 400
+TEXTS = 1_000
 UNKNOWN = "und"
 
 
@@ -59,12 +59,18 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(PairTable(keys[:, 0], keys[:, 1], np.array(list(states.values()))), np.array(piece_of), len(pieces) + 1)
 
 
-def stretches(text: str) -> list[str]:
-    """The lower-cased runs of letters of a text, marked and cut to stretches."""
-    words = [WORD_START + w for w in LETTERS.findall(text.lower())]
-    if any(len(w) > STRETCH for w in words):
-        words = [w[i:i + STRETCH] for w in words for i in range(0, len(w), STRETCH)]
-    return words
+def words_of(text: str) -> list[str]:
+    """The lower-cased runs of letters of a text."""
+    return LETTERS.findall(text.lower())
+
+
+def stretches(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words, marked and cut to stretches, and the number of each one's first stretch."""
+    marked = [WORD_START + w for w in words]
+    counts = -(-np.fromiter(map(len, marked), np.int64, len(marked)) // STRETCH)
+    if len(marked) and counts.max() > 1:
+        marked = [w[i:i + STRETCH] for w in marked for i in range(0, len(w), STRETCH)]
+    return marked, np.cumsum(counts) - counts
 
 
 @dataclass
@@ -137,17 +143,23 @@ def backward(arcs: Lattice, weights: np.ndarray) -> np.ndarray:
 
 def word_scores(pieces: Pieces, words: list[str], weights: np.ndarray) -> np.ndarray:
     """log10 probability of each word by language, all segmentations summed."""
-    arcs = lattice(pieces, words)
-    return np.log10(np.maximum(forward(arcs, weights)[arcs.last], 1e-300))
+    marked, first = stretches(words)
+    arcs = lattice(pieces, marked)
+    each = np.log10(np.maximum(forward(arcs, weights)[arcs.last], 1e-300))
+    return np.add.reduceat(each, first) if len(first) else each
 
 
 def expected_pieces(pieces: Pieces, words: list[str], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """By piece and language, how often each piece is used in words that occur ``counts`` (word, language) times."""
-    arcs = lattice(pieces, words)
+    marked, first = stretches(words)
+    counts = np.repeat(counts, np.diff(np.r_[first, len(marked)]), axis=0)
+    arcs = lattice(pieces, marked)
+    if (weights == weights[:, :1]).all():  # one sum serves all languages
+        weights = weights[:, :1]
     before, behind = forward(arcs, weights), backward(arcs, weights)
-    word = np.repeat(np.arange(len(words)), arcs.last - arcs.first + 1)[arcs.start]
+    word = np.repeat(np.arange(len(marked)), arcs.last - arcs.first + 1)[arcs.start]
     share = before[arcs.start] * weights[arcs.piece] * behind[arcs.end] / np.maximum(before[arcs.last], 1e-300)[word]
-    share *= counts[word]
+    share = share * counts[word]
     return np.stack([np.bincount(arcs.piece, share[:, i], pieces.number) for i in range(counts.shape[1])], 1)
 
 
@@ -194,7 +206,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
 
             for batch in batches:
                 for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids = [words.setdefault(w, len(words)) for w in stretches(text)]
+                    ids = [words.setdefault(w, len(words)) for w in words_of(text)]
                     seen.append(np.array(ids, np.int64) * len(languages) + number[lang])
                     held += len(ids)
                     if len(words) > REMEMBERED or held > MOST_HELD:
@@ -226,6 +238,40 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
     return LanguageModel(languages, weights, path)
 
 
+class Scores:
+    """The scores of words that a worker has met under one model."""
+
+    def __init__(self, weights: np.ndarray, pieces: Pieces):
+        self.weights, self.pieces = weights, pieces
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((1 << 16, weights.shape[1]))
+
+    def of(self, words: set[str]) -> tuple[dict[str, int], np.ndarray]:
+        """The place of each word, and the scores by place."""
+        new = list(words - self.known.keys())
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(words)
+        begin = len(self.known)
+        self.known.update(zip(new, range(begin, begin + len(new)), strict=True))
+        while len(self.table) < len(self.known):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for i in range(0, len(new), 50_000):
+            part = new[i:i + 50_000]
+            self.table[begin + i:begin + i + len(part)] = word_scores(self.pieces, part, self.weights)
+        return self.known, self.table
+
+
+_LAST: list[Scores] = []
+
+
+def scores_of(weights: np.ndarray, pieces: Pieces) -> Scores:
+    """Those of the model that this worker used last, if it is the same: a worker serves many tasks."""
+    if not _LAST or _LAST[0].weights is not weights:
+        _LAST[:] = [Scores(weights, pieces)]
+    return _LAST[0]
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
              carry: bool = False) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row, and its columns as ``row`` if ``carry``.
@@ -239,19 +285,12 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # bounded: pieces times languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, weights = load_pieces(path), shared.value
-        known: dict[str, int] = {}
-        table = np.zeros((0, weights.shape[1]), np.float64)
+        scores = scores_of(shared.value, load_pieces(path))
         for batch in batches:
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), TEXTS):
-                words = [stretches(t) for t in texts[first:first + TEXTS]]
-                new = list(set().union(*words) - known.keys())
-                if len(known) + len(new) > REMEMBERED:
-                    known, table, new = {}, table[:0], list(set().union(*words))
-                known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-                table = np.concatenate([table, *(word_scores(pieces, new[i:i + 50_000], weights)
-                                                 for i in range(0, len(new), 50_000))])
+                words = [words_of(t) for t in texts[first:first + TEXTS]]
+                known, table = scores.of(set().union(*words))
                 lang, score = [], []
                 for each in words:
                     if not each or not languages:

@@ -55,9 +55,13 @@ def test_language_without_anything_to_learn(none, odd):
 
 def test_forward_sums_all_segmentations():
     pieces = langid.load_pieces(PIECES)
-    words = [langid.WORD_START + w for w in ("the", "tionen", "日本", "zé")] + ["ß"]
+    words = ["the", "tionen", "日本", "zé", "ß", "ab" * 40]
     weights = np.random.default_rng(2).random((pieces.number, 2)) / 100
 
+    def whole(word):
+        word = langid.WORD_START + word
+        return np.prod([brute(word[i:i + langid.STRETCH]) for i in range(0, len(word), langid.STRETCH)], axis=0)
+
     def brute(word):
         sums = [np.ones(2)] + [np.zeros(2) for _ in word]
         for i in range(len(word)):
@@ -72,13 +76,18 @@ def test_forward_sums_all_segmentations():
                 if state < 0:
                     break
         return sums[-1]
-    expected = np.stack([brute(w) for w in words])
-    assert np.allclose(10 ** langid.word_scores(pieces, words, weights), expected)
-    arcs = langid.lattice(pieces, words)
-    assert np.allclose(langid.backward(arcs, weights)[arcs.first], expected)
-    # the expected pieces of a word spell it: their lengths add up to the word's
-    expected = langid.expected_pieces(pieces, words[:1], np.ones((1, 2)), weights)
-    assert expected.sum() > 0
+    assert np.allclose(langid.word_scores(pieces, words, weights), np.log10([whole(w) for w in words]))
+    arcs = langid.lattice(pieces, langid.stretches(words)[0])
+    assert np.allclose(langid.backward(arcs, weights)[arcs.first], langid.forward(arcs, weights)[arcs.last])
+    # one column for all languages counts the same pieces, as often as the words occur
+    even = np.repeat(weights[:, :1], 2, axis=1)
+    counts = np.array([[1.0, 2], [0, 1], [3, 0], [1, 1], [0, 0], [2, 5]])
+    both = langid.expected_pieces(pieces, words, counts, even)
+    single = langid.expected_pieces(pieces, words, counts[:, :1], even[:, :1])
+    assert np.allclose(both[:, 0], single[:, 0])
+    for w, n in zip(words[:3], counts):
+        found = langid.expected_pieces(pieces, [w], n[None], even)
+        assert (found.sum(0) >= n - 1e-9).all() and (found.sum(0) <= n * (len(w) + 1) + 1e-9).all()
 
 
 # quality
