@@ -71,13 +71,26 @@ def file_select_prefix(spark, sf):
     return files.file_select_prefix(view(spark, sf, "manifest"), ["f00"], "path")
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def sample_files_of(spark: SparkSession, sf: str, name: str, broken: bool = False) -> str:
+    """The folder of the sample shapefiles of ``feat``, written once for an application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _WRITTEN:
+        folder = scratch_path(spark, name)
+        shapefiles.export_features(view(spark, sf, "feat"), folder).count()
+        if broken:
+            shapefiles.write_broken(folder)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]
+
+
 @query(with_clause("feat") + f"""
 SELECT _fid AS feature, gui, hab_type, orig_hab, sum_conf, round(comp, 4) AS comp, ST_AsText({GEOM}) AS wkt
 FROM feat""")
 def shapefile_ingest_query(spark, sf):
-    folder = scratch_path(spark, "shapes")
-    shapefiles.export_features(view(spark, sf, "feat"), folder).count()
-    rows = shapefile_ingest(files.list_files(spark, folder))
+    rows = shapefile_ingest(files.list_files(spark, sample_files_of(spark, sf, "shapes")))
     return rows.select("feature", "gui", "hab_type", "orig_hab", "sum_conf", F.round("comp", 4).alias("comp"),
                        geo.geom_to_wkt("geometry").alias("wkt"))
 
@@ -857,11 +870,8 @@ FROM names LEFT JOIN reasons ON _source_file = name
 UNION ALL SELECT 'quarantine', name, reason, c, NULL, NULL, NULL, NULL FROM reasons LEFT JOIN
     (VALUES ('IT_drift.shp', 'gui'), ('IT_drift.shp', 'sum_conf')) q(n, c) ON name = n""")
 def feature_lakehouse_job(spark, sf):
-    folder = scratch_path(spark, "lake house 100%")
-    shapefiles.export_features(view(spark, sf, "feat"), f"{folder}/in").count()
-    shapefiles.write_broken(f"{folder}/in")
     job = FeatureLakehouse(spark, LakehouseConfig(
-        f"{folder}/in", f"{folder}/out", file_name_selectors=["IT", "GB"],
+        sample_files_of(spark, sf, "in put 100%", broken=True), scratch_path(spark, "lake house 100%"), file_name_selectors=["IT", "GB"],
         columns_to_convert=["gui", "hab_type", "sum_conf", "comp"], chunk_bytes=100_000))
     report = job.run()
     rows = job.result().select(

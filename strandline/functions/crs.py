@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.functions import codec, geometry
+from strandline.functions import arrays, codec, geometry
 
 # Fixed values of EPSG:3857 (radius of the sphere in metres) and of the CRS names in .prj files.
 RADIUS = 6378137.0
@@ -65,8 +65,14 @@ def reproject(geom: Column, from_srid: int, to_srid: int) -> Column:
         if points is not None and (to_srid != WEB_MERCATOR or (np.abs(points["y"]) < 90).all()):
             xy = project_array(np.column_stack([points["x"], points["y"]]), from_srid, to_srid)
             return geometry._point_column(xy[:, 0], xy[:, 1])
-        return geometry._map_geoms(
-            wkb, lambda g: codec.encode_wkb(reproject_geom(g, from_srid, to_srid)), pa.binary())
+        found = arrays.layout(wkb)
+        xy = found.coordinates()
+        if to_srid != WEB_MERCATOR or (np.abs(xy[:, 1]) < 90).all():
+            fast, done = found.with_coordinates(project_array(xy, from_srid, to_srid)), found.ok
+        else:  # some vertex has no image
+            fast, done = pa.nulls(len(wkb), pa.binary()), np.zeros(len(wkb), bool)
+        return arrays.with_others(fast, done, wkb, lambda rest: geometry._map_geoms(
+            rest, lambda g: codec.encode_wkb(reproject_geom(g, from_srid, to_srid)), pa.binary()))
     return convert(geom)
 
 

@@ -2,8 +2,9 @@
 
 The stored form is little-endian ISO WKB with -0.0 written as 0.0, so equal
 geometries have equal bytes and joins, grouping and dedupe stay in the JVM.
-Batches made of plain points take a vectorised path; other types go through
-``strandline.functions.codec`` one value at a time inside the Arrow batch.
+Batches made of plain points take a path of their own, and lines, polygons and
+multi types of two dimensions are worked on as arrays (``strandline.functions.arrays``);
+what is left, collections and other flavours, goes through ``codec`` value by value.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.functions import codec, predicates
+from strandline.functions import arrays, codec, predicates
 
 
 
@@ -98,7 +99,9 @@ def wkb_batch_from_wkt(text: pa.Array) -> pa.Array:
             return _point_column(x, y, point.is_valid().to_numpy(zero_copy_only=False))
         except pa.ArrowInvalid:
             pass  # some text only looks like a number
-    return pa.array([_try(lambda t: codec.encode_wkb(codec.decode_wkt(t)), t) for t in text.to_pylist()], pa.binary())
+    made, done = arrays.from_texts(text)
+    return arrays.with_others(made, done, text, lambda rest: pa.array(
+        [_try(lambda t: codec.encode_wkb(codec.decode_wkt(t)), t) for t in rest.to_pylist()], pa.binary()))
 
 
 # ---------------------------------------------------------------- codecs
@@ -110,7 +113,9 @@ def geom_to_wkt(wkb: pa.Array) -> pa.Array:
     if points is not None:
         return pa.array([f"POINT ({codec.number(x)} {codec.number(y)})"
                          for x, y in zip(points["x"].tolist(), points["y"].tolist())], pa.string())
-    return _map_geoms(wkb, codec.encode_wkt, pa.string())
+    fast = arrays.texts(arrays.layout(wkb))
+    return arrays.with_others(fast, fast.is_valid().to_numpy(zero_copy_only=False), wkb,
+                              lambda rest: _map_geoms(rest, codec.encode_wkt, pa.string()))
 
 
 @F.arrow_udf(T.BinaryType())
@@ -125,7 +130,9 @@ def canonical_wkb(wkb: pa.Array) -> pa.Array:
     points = _points(wkb)
     if points is not None:
         return _point_column(points["x"], points["y"])
-    return _map_geoms(wkb, codec.encode_wkb, pa.binary())
+    found = arrays.layout(wkb)
+    return arrays.with_others(found.with_coordinates(found.coordinates()), found.ok, wkb,
+                              lambda rest: _map_geoms(rest, codec.encode_wkb, pa.binary()))
 
 
 def _decoded(wkb: pa.Array) -> list:
@@ -170,7 +177,13 @@ def bbox_batch(wkb: pa.Array) -> pa.Array:
     points = _points(wkb)
     if points is not None:
         return _structs(np.column_stack([points["x"], points["y"]] * 2), BBOX_TYPE.names)
-    return _boxes(_decoded(wkb))
+    found = arrays.layout(wkb)
+    return arrays.with_others(_box_column(found.boxes()), found.ok, wkb, lambda rest: _boxes(_decoded(rest)))
+
+
+def _box_column(rows: np.ndarray) -> pa.Array:
+    columns = [pa.array(np.ascontiguousarray(c)) for c in rows.T]
+    return pa.StructArray.from_arrays(columns, BBOX_TYPE.names, mask=pa.array(np.isnan(rows[:, 0])))
 
 
 def _boxes(geoms: list) -> pa.Array:
@@ -180,8 +193,7 @@ def _boxes(geoms: list) -> pa.Array:
         if xy:
             xy = np.concatenate(xy) if len(xy) > 1 else xy[0]
             rows[i, :2], rows[i, 2:] = xy.min(axis=0), xy.max(axis=0)
-    columns = [pa.array(np.ascontiguousarray(c)) for c in rows.T]
-    return pa.StructArray.from_arrays(columns, BBOX_TYPE.names, mask=pa.array(np.isnan(rows[:, 0])))
+    return _box_column(rows)
 
 
 @F.arrow_udf(FRAME_TYPE)
@@ -191,6 +203,13 @@ def geom_frame(wkb: pa.Array) -> pa.Array:
     if points is not None:
         edges = _nested([None] * len(wkb), _structs(np.empty((0, 4)), EDGE_NAMES))
         return pa.StructArray.from_arrays([bbox_batch(wkb), edges], FRAME_TYPE.names)
+    found = arrays.layout(wkb)
+    if found.ok.all():
+        segments, counts = found.edges()
+        area = np.isin(found.kind, predicates.AREAS)
+        keep = np.repeat(area, counts)
+        edges = _nested([int(n) if a else None for n, a in zip(counts, area, strict=True)], _structs(segments[keep], EDGE_NAMES))
+        return pa.StructArray.from_arrays([_box_column(found.boxes()), edges], FRAME_TYPE.names)
     geoms = _decoded(wkb)
     walls = [predicates.edges(g) if g is not None and g[0] in predicates.AREAS else None for g in geoms]
     flat = _structs(_stack([w for w in walls if w is not None], 4), EDGE_NAMES)

@@ -1,12 +1,15 @@
+import random
 import struct
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strandline.functions import codec, predicates
+from strandline.functions import geometry as geo
 
 SHAPES = [
     "POINT (3 1.5)", "POINT EMPTY", "LINESTRING (0 0, 1 1, 5 2.5)", "LINESTRING EMPTY",
@@ -121,3 +124,45 @@ def test_location_in_blocks_is_the_same(monkeypatch):
     ("POINT (1 1)", "MULTIPOINT (1 1)", False), (TWO, TWO, True), ("POINT EMPTY", "POINT EMPTY", True)])
 def test_equals_within(left, right, expected):
     assert predicates.equals_within(codec.decode_wkt(left), codec.decode_wkt(right), 0.001) is expected
+
+
+# ---------------------------------------------------------------- batches as arrays
+
+def _any_shape(rng):
+    def pair():
+        return f"{rng.choice([0.0, -0.0, 1.5, -2.25, 1e-7, 1e10])!r} {rng.choice([0.0, -2.0, 179.99])!r}"
+
+    def ring(n):
+        return "(" + ", ".join(pair() for _ in range(n)) + ")"
+
+    def rings():
+        return "(" + ", ".join(ring(4) for _ in range(rng.randint(1, 3))) + ")"
+    return rng.choice([
+        lambda: f"POINT ({pair()})", lambda: "LINESTRING " + ring(rng.randint(2, 5)), lambda: "POLYGON " + rings(),
+        lambda: "MULTIPOINT " + ring(rng.randint(1, 4)), lambda: "MULTILINESTRING " + rings(),
+        lambda: "MULTIPOLYGON (" + ", ".join(rings() for _ in range(rng.randint(1, 3))) + ")",
+        lambda: "GEOMETRYCOLLECTION (POINT (1 2), LINESTRING (0 0, 1 1))", lambda: "POINT Z (1 2 3)", lambda: None,
+        lambda: rng.choice(["POLYGON EMPTY", "POINT EMPTY", "LINESTRING EMPTY", "MULTIPOLYGON EMPTY"])])()
+
+
+def _spoiled(rng, text):
+    if text is None or rng.random() < 0.6:
+        return text
+    return rng.choice([text.lower(), text.replace(", ", " ,  "), text.replace("(", "( "), text[:-1], text + ")", text.replace(" ", "", 1),
+                       text.replace("1", "x"), "SRID=4326;" + text, text.replace(".0", "."), f" {text} ", text.replace(",", "")])
+
+
+def test_batches_equal_single_values():
+    rng = random.Random(3)
+    for _ in range(150):
+        texts = [_spoiled(rng, _any_shape(rng)) for _ in range(rng.randint(1, 14))]
+        wkb = [geo._try(lambda t: codec.encode_wkb(codec.decode_wkt(t)), t) for t in texts]
+        assert geo.wkb_batch_from_wkt(pa.array(texts, pa.string())).to_pylist() == wkb
+        wkb = [rng.choice([b[:-1], b + b"x", b[:3], b""]) if b is not None and rng.random() < 0.1 else b for b in wkb]
+        batch, geoms = pa.array(wkb, pa.binary()), [geo._try(codec.decode_wkb, b) for b in wkb]
+        assert geo.geom_to_wkt.func(batch).to_pylist() == [g and codec.encode_wkt(g) for g in geoms]
+        assert geo.canonical_wkb.func(batch).to_pylist() == [g and codec.encode_wkb(g) for g in geoms]
+        assert geo.bbox_batch(batch).to_pylist() == geo._boxes(geoms).to_pylist()
+        for frame, geom in zip(geo.geom_frame.func(batch).to_pylist(), geoms):
+            walls = predicates.edges(geom).tolist() if geom and geom[0] in predicates.AREAS else None
+            assert frame["edges"] == (walls and [dict(zip(geo.EDGE_NAMES, w)) for w in walls]) or frame["edges"] == walls

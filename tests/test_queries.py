@@ -25,4 +25,4 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_entry_returns_the_features(spark):
     df = contract.entry(spark)
-    assert df.columns == ["gui", "hab_type", "sum_conf", "comp", "wkb"] and df.count() > 0
+    assert df.columns == ["part", "name", "reason", "gui", "hab_type", "sum_conf", "comp", "wkb"] and df.count() > 0
