@@ -9,11 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import rows_to_read, schema_with, text_list
-from .wordbpe import WordBpe, load, remembered
+from .text import kept, rows_to_read, schema_with, text_list
+from .wordbpe import WordBpe, load
 
 #: Units whose ids a worker remembers before it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 PLACE_BITS = 32
 #: No pair here, or none that merges.
 NONE = np.int64(1) << 62
@@ -137,7 +137,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     wanted = [x.strip() for x in keep.split(",") if x.strip()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = load(path), remembered("bpe", path)
+        vocabulary, known = load(path), kept(("bpe", path), dict)
         for batch in batches:
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), 500):

@@ -11,7 +11,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +20,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import rangecoder
-from .text import text_list
+from .text import kept, text_list
 from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
 GROUP_IDS = 1 << 21
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 TEXTS = 4_000
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 #: A single space between other characters: a pre-token begins with it, and none crosses it.
@@ -123,12 +122,6 @@ class UnitEncoder:
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
-@lru_cache(maxsize=2)
-def unit_encoder(path: str) -> UnitEncoder:
-    """One for each worker, which serves many tasks."""
-    return UnitEncoder(path)
-
-
 def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the ids of every text (null: empty), each followed by ``end_id``, to files at ``out``; returns ``out``.
 
@@ -136,7 +129,7 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "
     follow the ranges. The vocabulary at ``path`` must have fewer than 65,535 ids. An empty table gives files without rows.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = unit_encoder(path)
+        encoder = kept(("ids", path), lambda: UnitEncoder(path))
         end = np.array([end_id], "<u2")
         ids, held, size, number, part = [], [], 0, 0, 0
 

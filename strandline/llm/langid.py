@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import carried, rows_to_read, schema_with, text_list
+from .text import carried, kept, rows_to_read, schema_with, text_list
 from .wordbpe import PairTable
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -20,10 +20,12 @@ WORD_START = "▁"
 #: A run of letters is scored in stretches of so many; only the first has the mark of a word's start.
 STRETCH = 32
 #: Words whose scores a worker remembers before it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Words a worker gathers before it counts their pieces.
-MOST_HELD = 4_000_000
-TEXTS = 1_000
+MOST_HELD = 2_000_000
+TEXTS = 500
+#: Words whose ways of cutting are laid out at once.
+STEP = 20_000
 UNKNOWN = "und"
 
 
@@ -199,8 +201,8 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
                 width = len(languages)
                 table = np.bincount(cells, minlength=len(words) * width).reshape(-1, width).astype(float)
                 spelled = list(words)
-                for i in range(0, len(spelled), 50_000):
-                    total[:] += expected_pieces(known, spelled[i:i + 50_000], table[i:i + 50_000], weights)
+                for i in range(0, len(spelled), STEP):
+                    total[:] += expected_pieces(known, spelled[i:i + STEP], table[i:i + STEP], weights)
                 words.clear()
                 seen[:] = [np.zeros(0, np.int64)]
 
@@ -256,22 +258,12 @@ class Scores:
         self.known.update(zip(new, range(begin, begin + len(new)), strict=True))
         while len(self.table) < len(self.known):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
+        for i in range(0, len(new), STEP):
+            part = new[i:i + STEP]
             self.table[begin + i:begin + i + len(part)] = word_scores(self.pieces, part, self.weights)
         return self.known, self.table
 
 
-_LAST: list[Scores] = []
-
-
-def scores_of(weights: np.ndarray, pieces: Pieces) -> Scores:
-    """Those of the model that this worker used last, if it is the same: a worker serves many tasks."""
-    if not _LAST or _LAST[0].weights is not weights:
-        _LAST[:] = [Scores(weights, pieces)]
-    return _LAST[0]
-
-
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
              carry: bool = False) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row, and its columns as ``row`` if ``carry``.
@@ -285,7 +277,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # bounded: pieces times languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = scores_of(shared.value, load_pieces(path))
+        weights, pieces = shared.value, load_pieces(path)
+        scores = kept(("languages", id(weights)), lambda: Scores(weights, pieces))
         for batch in batches:
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), TEXTS):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,20 @@ from pyspark.sql import types as T
 SLICE_BYTES = 1 << 21
 
 
+_KEPT: list[tuple] = []
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """What ``make`` returned for this key, kept by the worker over its tasks until it is asked for another key.
+
+    So a worker that serves the stages of a pipeline one after another holds the memory of one of them.
+    """
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()
+        _KEPT.append((key, make()))
+    return _KEPT[0][1]
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, mod ``folds``; a null id counts as empty text (fold 0)."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

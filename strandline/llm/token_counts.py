@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import text_list
-from .wordbpe import NO_RANK, WordBpe, load, remembered
+from .text import kept, text_list
+from .wordbpe import NO_RANK, WordBpe, load
 
 #: Units whose counts a worker remembers before it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 
 def surviving_symbols(vocabulary: WordBpe, pretokens: list[str]) -> np.ndarray:
@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     are not read. Texts are counted whole, whatever their length.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = load(path), remembered("counts", path)
+        vocabulary, known = load(path), kept(("counts", path), dict)
         for batch in batches:
             texts = text_list(batch.column(1))
             n_tokens = []

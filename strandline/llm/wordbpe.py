@@ -153,12 +153,6 @@ def load(path: str) -> WordBpe:
                    PairTable(left, right, np.arange(len(merged))), merged, spelling())
 
 
-@lru_cache(maxsize=8)
-def remembered(operator: str, path: str) -> dict:
-    """What an operator knows of units; it lasts as long as the worker, which serves many tasks."""
-    return {}
-
-
 def spelling() -> dict[int, str]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as U+0100 onwards."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -143,3 +143,33 @@ def test_every_shared_span_shares_a_fingerprint():
     places, _ = decontaminate.winnow(whole, 5, 6)
     for i in range(len(words) - 9):
         assert ((places >= i) & (places <= i + 5)).any()
+
+
+def test_similar_documents_are_copies_with_few_changes(spark):
+    draw = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows, base = [], []
+    for i in range(60):
+        base.append(draw.choice(words, 400).tolist())
+        rows.append((i, " ".join(base[-1])))
+    for i, changes in enumerate([0, 1, 2, 3, 4] * 12):  # a similarity of 0.9 or more
+        copy = list(base[i])
+        for place in draw.choice(400, changes, replace=False):
+            copy[place] = "changed"
+        rows.append((100 + i, " ".join(copy).upper().replace(" ", "  ")))
+    rows += [(200 + i, " ".join(base[i][:200] + draw.choice(words, 200).tolist())) for i in range(20)]  # half of it
+    rows += [(300, ""), (301, None), (302, "one"), (303, "two")]
+    found = {r["doc_id"]: r["component_id"] for r in
+             simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert sum(found[100 + i] == i for i in range(60)) >= 57 and all(found[100 + i] == i for i in range(0, 60, 5))
+    assert all(found[i] == i for i in [*range(60), *range(200, 221), 302, 303] if i < 220 or i > 300)
+    assert found[300] == found[301] == 300
+
+
+def test_pairs_of_a_shared_value_are_linear(spark):
+    # a thousand fingerprints that share all but one segment
+    prints = [(i, [i, 0, 0, 0, 0]) for i in range(1000)]
+    found = simhash.similar_pairs(spark.createDataFrame(prints, "node long, fp array<long>"), 64)
+    assert found.count() < 40_000
+    linked = brute_components(range(1000), [(r["a"], r["b"]) for r in found.collect()])
+    assert set(linked.values()) == {0}

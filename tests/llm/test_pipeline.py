@@ -40,7 +40,7 @@ def test_stages_do_what_they_say(spark):
     kept = corpus_pipeline.language(spark, docs, SF)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
     single = corpus_pipeline.near_copies(spark, kept, SF).cache()
-    linked = simhash.near_duplicates(kept)
+    linked = simhash.similar_documents(kept)
     assert single.columns == docs.columns and single.count() == linked.select("component").distinct().count()
     clean = corpus_pipeline.benchmark_passages(spark, single, SF).cache()
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
