@@ -9,11 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import kept, rows_to_read, schema_with, text_list
+from .text import in_small_batches, kept, rows_to_read, schema_with, text_list
 from .wordbpe import WordBpe, load
 
 #: Units whose ids a worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 PLACE_BITS = 32
 #: No pair here, or none that merges.
 NONE = np.int64(1) << 62
@@ -164,4 +164,4 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     read = rows_to_read(docs, id_col, text_col, False)
     fields = "".join(f", {w} {'binary' if w == 'ids' else 'string'}" for w in wanted)
-    return read.mapInArrow(run, schema_with(read, f"n_tokens long, ids_sha256 string, decoded_sha256 string{fields}"))
+    return in_small_batches(read).mapInArrow(run, schema_with(read, f"n_tokens long, ids_sha256 string, decoded_sha256 string{fields}"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
-from .text import mix64, utf8_slices
+from .text import in_small_batches, mix64, utf8_slices
 
 BASE = 0x9E3779B97F4A7C15
 #: Bits of the filter of benchmark fingerprints that goes to every task, whatever the benchmark's size.
@@ -115,7 +115,7 @@ def _fingerprints(df: DataFrame, schemes: list[tuple[int, int, int]], only: byte
                      pa.array(lengths, pa.int64()), pa.array(found, _ARROW)], ["id", "key", "n_words", "prints"])
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.mapInArrow(run, f"id {kinds['id']}, key {kinds['key']}, n_words long, prints {FINGERPRINT}")
+    return in_small_batches(df).mapInArrow(run, f"id {kinds['id']}, key {kinds['key']}, n_words long, prints {FINGERPRINT}")
 
 
 def _same_from_start(a: str, b: str) -> Column:

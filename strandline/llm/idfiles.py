@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import rangecoder
-from .text import kept, text_list
+from .text import in_small_batches, kept, text_list
 from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
@@ -122,6 +122,20 @@ class UnitEncoder:
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], int]]:
+    """Ids and texts of about ``TEXTS`` rows at a time, and the part they are of."""
+    keys, texts, part = [], [], 0
+    for batch in batches:
+        if batch.num_rows:
+            keys, texts = keys + batch.column(0).to_pylist(), texts + text_list(batch.column(1))
+            part = batch.column(2)[0].as_py()
+        if len(keys) >= TEXTS:
+            yield keys, texts, part
+            keys, texts = [], []
+    if keys:
+        yield keys, texts, part
+
+
 def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the ids of every text (null: empty), each followed by ``end_id``, to files at ``out``; returns ``out``.
 
@@ -141,23 +155,19 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2, id_col: str = "
                 [("part", pa.int32()), ("number", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                  ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary()))]))
 
-        for batch in batches:
-            texts, keys = text_list(batch.column(1)), batch.column(0).to_pylist()
-            if keys:
-                part = batch.column(2)[0].as_py()
-            for first in range(0, len(texts), TEXTS):
-                for key, coded in zip(keys[first:first + TEXTS], encoder.encode(texts[first:first + TEXTS]), strict=True):
-                    ids.append(key)
-                    held.append(coded)
-                    size += len(coded) + 1
-                    if size >= GROUP_IDS:
-                        yield group()
-                        ids, held, size, number = [], [], 0, number + 1
+        for keys, texts, part in _gathered(batches):
+            for key, coded in zip(keys, encoder.encode(texts), strict=True):
+                ids.append(key)
+                held.append(coded)
+                size += len(coded) + 1
+                if size >= GROUP_IDS:
+                    yield group()
+                    ids, held, size, number = [], [], 0, number + 1
         if ids:
             yield group()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+    dealt = in_small_batches(rows).repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
     dealt.withColumn("part", F.spark_partition_id()).mapInArrow(encode, SCHEMA).write.parquet(out)
     return out
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import carried, kept, rows_to_read, schema_with, text_list
+from .text import carried, in_small_batches, kept, rows_to_read, schema_with, text_list
 from .wordbpe import PairTable
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -20,7 +20,7 @@ WORD_START = "▁"
 #: A run of letters is scored in stretches of so many; only the first has the mark of a word's start.
 STRETCH = 32
 #: Words whose scores a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Words a worker gathers before it counts their pieces.
 MOST_HELD = 2_000_000
 TEXTS = 500
@@ -229,7 +229,7 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
                                                  ["lang", "counts"])
 
         schema = "lang int, counts binary"
-        partial = read.mapInArrow(count, schema)
+        partial = in_small_batches(read).mapInArrow(count, schema)
         # partial sums meet by language in a few tasks first, so no task and no gathering grows with the input
         merged = partial.repartition(16).mapInArrow(add, schema).collect()
         total = np.zeros_like(weights)
@@ -300,5 +300,5 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     read = rows_to_read(docs, id_col, text_col, carry)
     schema = schema_with(read, "lang_pred string, score double")
     names = schema.names
-    return read.mapInArrow(run, schema)
+    return in_small_batches(read).mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import carried, rows_to_read, schema_with, text_list
+from .text import carried, in_small_batches, rows_to_read, schema_with, text_list
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Outside, then begin and inside of each kind.
@@ -130,7 +130,7 @@ class Decoder:
     def kinds(self, words: list[str]) -> np.ndarray:
         """The number of each word's shape."""
         new = set(words) - self.words.keys()
-        if len(self.words) + len(new) > 400_000 or len(self.shapes) > 100_000:
+        if len(self.words) + len(new) > 200_000 or len(self.shapes) > 100_000:
             self.forget()
             new = set(words)
         rows = []
@@ -325,7 +325,7 @@ def labelled_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  *(pa.array([[s[i] for s in spans] for _, spans in found], pa.list_(pa.int32())) for i in (0, 1, 2))],
                 ["window", "starts", "kinds", "ends"])
 
-    table = drawn.select("text").mapInArrow(cut, "window string, starts array<int>, kinds array<int>, ends array<int>")
+    table = in_small_batches(drawn.select("text")).mapInArrow(cut, "window string, starts array<int>, kinds array<int>, ends array<int>")
     return table.orderBy(F.xxhash64("window"), "window").limit(most_windows)
 
 
@@ -407,7 +407,7 @@ def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "tex
     schema = schema_with(read, "".join(f"n_{k} long, " for k in KINDS) + "base string, spans string"
                          + (", masked string" if carry else ""))
     names = schema.names
-    return read.mapInArrow(run, schema)
+    return in_small_batches(read).mapInArrow(run, schema)
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:

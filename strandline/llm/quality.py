@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_through
-from .text import mix64, utf8_slices
+from .text import in_small_batches, mix64, utf8_slices
 
 #: Classes of bytes whose shares are statistics: name and members.
 CLASSES = {
@@ -92,7 +92,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     ["doc_id", "stats"])
 
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, stats array<double>")
+    return in_small_batches(read).mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, stats array<double>")
 
 
 @dataclass

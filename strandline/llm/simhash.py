@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 from .components import connected_components
-from .text import mix64, utf8_list
+from .text import in_small_batches, mix64, utf8_list
 
 SEED = 42
 
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("key"))
-    return read.mapInArrow(run, "doc_id long, key long, fp long")
+    return in_small_batches(read).mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 [batch.column(0), batch.column(2), pa.ListArray.from_arrays(offsets, found.ravel())], ["doc_id", "key", "fp"])
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    prints = write_through(read.mapInArrow(run, "doc_id long, key long, fp array<long>"), "long-fingerprints")
+    prints = write_through(in_small_batches(read).mapInArrow(run, "doc_id long, key long, fp array<long>"), "long-fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = write_through(nodes.withColumn("node", F.monotonically_increasing_id()), "long-nodes")
     components = connected_components(similar_pairs(nodes.select("node", "fp"), most_bits(similarity)))

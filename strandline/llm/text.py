@@ -11,7 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
+#: Rows of an Arrow batch of texts, which may be long.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands at most ``BATCH_ROWS`` rows to Python at once from here on."""
+    if int(df.sparkSession.conf.get(_BATCH)) > BATCH_ROWS:
+        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
+    return df
 
 
 _KEPT: list[tuple] = []

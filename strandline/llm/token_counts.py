@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import kept, text_list
+from .text import in_small_batches, kept, text_list
 from .wordbpe import NO_RANK, WordBpe, load
 
 #: Units whose counts a worker remembers before it starts afresh.
@@ -88,5 +88,5 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
     kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long").withColumn(
+    return in_small_batches(read).mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long").withColumn(
         "over_limit", F.col("n_tokens") > limit)
