@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import in_small_batches, kept, rows_to_read, schema_with, text_list
+from .text import forget_others, in_small_batches, kept, rows_to_read, schema_with, text_list
 from .wordbpe import WordBpe, load
 
 #: Units whose ids a worker remembers before it starts afresh.
@@ -142,10 +142,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), 500):
                 units = [vocabulary.units(t) for t in texts[first:first + 500]]
-                new = list(set().union(*units) - known.keys())
+                wanted = set().union(*units)
+                new = list(wanted - known.keys())
                 if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(set().union(*units))
+                    forget_others(known, wanted)
                 known.update(zip(new, encode_units(vocabulary, new), strict=True))
                 out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], **{w: [] for w in wanted}}
                 for each in units:

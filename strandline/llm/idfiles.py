@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import rangecoder
-from .text import in_small_batches, kept, text_list
+from .text import forget_others, in_small_batches, kept, text_list
 from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
 GROUP_IDS = 1 << 21
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 TEXTS = 4_000
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 #: A single space between other characters: a pre-token begins with it, and none crosses it.
@@ -70,8 +70,7 @@ class UnitEncoder:
         """The ids of different units, as they stand in a text, as unsigned 16-bit integers."""
         new = [u for u in units if u not in self.known]
         if len(self.known) + 2 * len(new) > REMEMBERED:
-            self.known.clear()
-            new = units
+            forget_others(self.known, units)
         found = [(u, *m.groups()) for u in new if (m := WORD.fullmatch(u))]
         self._words(list({w for _, w, _ in found if w not in self.known}))
         others = {s for _, _, s in found if s}.union(set(new).difference(u for u, _, _ in found))

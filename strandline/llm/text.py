@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,13 @@ def kept(key: tuple, make: Callable[[], object]):
     return _KEPT[0][1]
 
 
+def forget_others(known: dict, wanted: Iterable[str]) -> None:
+    """Leave in ``known`` only what is wanted now, which has the frequent ones."""
+    stay = {w: known[w] for w in wanted if w in known}
+    known.clear()
+    known.update(stay)
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, mod ``folds``; a null id counts as empty text (fold 0)."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

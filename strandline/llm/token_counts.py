@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import in_small_batches, kept, text_list
+from .text import forget_others, in_small_batches, kept, text_list
 from .wordbpe import NO_RANK, WordBpe, load
 
 #: Units whose counts a worker remembers before it starts afresh.
@@ -76,10 +76,10 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             n_tokens = []
             for first in range(0, len(texts), 500):
                 units = [vocabulary.units(t) for t in texts[first:first + 500]]
-                new = list(set().union(*units) - known.keys())
+                wanted = set().union(*units)
+                new = list(wanted - known.keys())
                 if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(set().union(*units))
+                    forget_others(known, wanted)
                 known.update(zip(new, unit_counts(vocabulary, new), strict=True))
                 n_tokens += [sum(map(known.__getitem__, u)) for u in units]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_tokens, pa.int64())],
