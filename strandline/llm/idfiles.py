@@ -25,7 +25,7 @@ from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
 GROUP_IDS = 1 << 21
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 TEXTS = 4_000
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 #: A single space between other characters: a pre-token begins with it, and none crosses it.
