@@ -142,10 +142,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), 500):
                 units = [vocabulary.units(t) for t in texts[first:first + 500]]
-                wanted = set().union(*units)
-                new = list(wanted - known.keys())
+                different = set().union(*units)
+                new = list(different - known.keys())
                 if len(known) + len(new) > REMEMBERED:
-                    forget_others(known, wanted)
+                    forget_others(known, different)
                 known.update(zip(new, encode_units(vocabulary, new), strict=True))
                 out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], **{w: [] for w in wanted}}
                 for each in units:
