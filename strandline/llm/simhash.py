@@ -141,8 +141,9 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
     """``a, b`` of ``prints`` (node, fp: different long fingerprints): pairs that differ in at most ``bits`` bits.
 
     In every segment of 32 bits the Hamming ball of radius 1 is enumerated, and fingerprints that share a value of the balls, thus differ
-    in at most 2 bits there, are candidates; complete distances are verified. Under one value each candidate is paired with the
-    least node and with its neighbour in the order of nodes, so a value that many share adds twice its members, not their pairs.
+    in at most 2 bits there, are candidates; complete distances are verified. Under one value each candidate meets the
+    least node and its neighbour in the order of nodes, so a value that many share adds twice its members, not their pairs. Of those that
+    a node meets in a word of the fingerprint it is paired with the least and with the nearest.
     """
     ball = ("explode(flatten(transform(sequence(0, {0}), s -> transform(sequence(-1, 31), b -> "
             "shiftleft(cast(s as long), 32) | ((shiftrightunsigned(fp[s div 2], 32 * (s % 2)) & 4294967295L) ^ "
@@ -150,8 +151,9 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
     keyed = prints.select("node", F.expr(ball))
     order = Window.partitionBy("value").orderBy("node")
     first, last = F.first("node").over(order), F.lag("node").over(order)
-    found = keyed.select(F.col("node").alias("b"), F.array(first, last).alias("others")).where("others[0] < b")
-    found = found.select(F.explode(F.array_distinct("others")).alias("a"), "b").distinct()
+    met = keyed.select(F.col("node").alias("b"), F.shiftright("value", 33).alias("word"), first.alias("first"), last.alias("last"))
+    met = met.where("first < b").groupBy("b", "word").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    found = met.select(F.explode(F.array("first", "last")).alias("a"), "b").distinct()
     sides = [prints.select(F.col("node").alias(c), F.col("fp").alias(f"fp_{c}")) for c in "ab"]
     found = found.join(sides[0], "a").join(sides[1], "b")
     distance = " + ".join(f"bit_count(fp_a[{i}] ^ fp_b[{i}])" for i in range(LONG_WORDS))
