@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_through
@@ -137,27 +137,60 @@ def most_bits(similarity: float) -> int:
     return math.floor(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
+#: Members of a value that meet all others of it in the first round, and by how much their number grows with each round.
+FIRST_PIVOTS, PIVOT_GROWTH = 8, 8
+
+
+def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``a, b``: verified pairs of nodes under one value, enough to connect all that any such pair connects.
+
+    ``keyed`` has each ``value`` and ``node`` (longs) once, ``nodes`` a row of each node; ``may`` tells of the columns of two, as structs
+    ``a`` and ``b``, whether they can be a pair, and ``verify`` leaves the true ones of pairs ``a, b``.
+
+    In a round some members of each value, the pivots, meet all others of it; only verified pairs count. Pivots
+    have then met everyone and leave; values whose members are all connected are settled. Pivots grow in number
+    from round to round, those of the smallest components first, until nothing is left. So every pair of a value is verified
+    or connected by others: a large group of copies adds pairs by its members, and unrelated nodes displace nobody.
+    """
+    of_value = Window.partitionBy("value")
+    left = write_through(keyed.withColumn("n", F.count("*").over(of_value)).where("n > 1").drop("n"), "shared")
+    links, pivots = None, FIRST_PIVOTS
+    while not left.isEmpty():
+        if links is None:
+            rows = left.withColumn("component", F.col("node")).withColumn("near", F.lit(1).cast("long"))
+        else:
+            rows = left.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+            rows = rows.withColumn("near", F.count("*").over(Window.partitionBy("value", "component")))
+        # a written table: places decide both who meets now and who stays
+        rows = rows.select("*", F.min("component").over(of_value).alias("low"), F.max("component").over(of_value).alias("high"),
+                           F.count("*").over(of_value).alias("n"),
+                           F.row_number().over(of_value.orderBy("near", F.xxhash64("node"), "node")).alias("place"))
+        rows = write_through(rows.where("low < high").select("value", "node", "component", "n", "place"), "placed")
+        sides = rows.join(nodes, "node").select("value", "component", "place", F.struct(*nodes.columns).alias("side"))
+        first = sides.where(F.col("place") <= pivots).select(
+            "value", F.col("component").alias("of_a"), F.col("place").alias("place_a"), F.col("side").alias("a"))
+        other = sides.select("value", F.col("component").alias("of_b"), F.col("place").alias("place_b"), F.col("side").alias("b"))
+        met = first.join(other, "value").where(F.expr("place_a < place_b and of_a <> of_b") & may)
+        met = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+        found = write_through(verify(met), "links")
+        links = found if links is None else links.union(found)
+        left = rows.where((F.col("place") > pivots) & (F.col("n") > pivots + 1)).select("value", "node")
+        pivots *= PIVOT_GROWTH
+    return keyed.sparkSession.createDataFrame([], "a long, b long") if links is None else links
+
+
 def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
     """``a, b`` of ``prints`` (node, fp: different long fingerprints): pairs that differ in at most ``bits`` bits.
 
     In every segment of 32 bits the Hamming ball of radius 1 is enumerated, and fingerprints that share a value of the balls, thus differ
-    in at most 2 bits there, are candidates; complete distances are verified. Under one value each candidate meets the
-    least node and its neighbour in the order of nodes, so a value that many share adds twice its members, not their pairs. Of those that
-    a node meets in a word of the fingerprint it is paired with the least and with the nearest.
+    in at most 2 bits there, are candidates. Their complete distances are verified before any is left out (``linked_pairs``), so the
+    pairs connect all candidates within ``bits``, and a value that many near copies share adds a few times its members, not their pairs.
     """
     ball = ("explode(flatten(transform(sequence(0, {0}), s -> transform(sequence(-1, 31), b -> "
             "shiftleft(cast(s as long), 32) | ((shiftrightunsigned(fp[s div 2], 32 * (s % 2)) & 4294967295L) ^ "
             "if(b < 0, 0L, shiftleft(1L, b))))))) as value").format(SEGMENTS - 1)
-    keyed = prints.select("node", F.expr(ball))
-    order = Window.partitionBy("value").orderBy("node")
-    first, last = F.first("node").over(order), F.lag("node").over(order)
-    met = keyed.select(F.col("node").alias("b"), F.shiftright("value", 33).alias("word"), first.alias("first"), last.alias("last"))
-    met = met.where("first < b").groupBy("b", "word").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    found = met.select(F.explode(F.array("first", "last")).alias("a"), "b").distinct()
-    sides = [prints.select(F.col("node").alias(c), F.col("fp").alias(f"fp_{c}")) for c in "ab"]
-    found = found.join(sides[0], "a").join(sides[1], "b")
-    distance = " + ".join(f"bit_count(fp_a[{i}] ^ fp_b[{i}])" for i in range(LONG_WORDS))
-    return found.where(F.expr(distance) <= bits).select("a", "b")
+    distance = " + ".join(f"bit_count(a.fp[{i}] ^ b.fp[{i}])" for i in range(LONG_WORDS))
+    return linked_pairs(prints.select("node", F.expr(ball)), prints.select("node", "fp"), F.expr(distance) <= bits, lambda pairs: pairs)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,

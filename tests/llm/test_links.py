@@ -173,3 +173,15 @@ def test_pairs_of_a_shared_value_are_linear(spark):
     assert found.count() < 40_000
     linked = brute_components(range(1000), [(r["a"], r["b"]) for r in found.collect()])
     assert set(linked.values()) == {0}
+
+
+def test_unrelated_nodes_displace_no_pair(spark):
+    # every node has the same first word; nodes i and 199 - i are alike elsewhere, and all others lie between or around them
+    draw = np.random.default_rng(5)
+    rest = [draw.integers(-2 ** 63, 2 ** 63, 4).tolist() for _ in range(100)]
+    prints = [(i, [7, *rest[min(i, 199 - i)][:3], i]) for i in range(200)]
+    mixed = [(n, [*fp[:1], *(w ^ (0x0101010101010101 * (n > 99)) for w in fp[1:4]), fp[4]]) for n, fp in prints]  # 4 bits of every segment
+    found = simhash.similar_pairs(spark.createDataFrame(mixed, "node long, fp array<long>"), 40).collect()
+    assert {(r["a"], r["b"]) for r in found} >= {(i, 199 - i) for i in range(100)}
+    assert all(sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) % 2 ** 64).bit_count() for x, y in
+                   zip(mixed[r["a"]][1], mixed[r["b"]][1], strict=True)) <= 40 for r in found)
