@@ -113,30 +113,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return kept.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
 
 
-# Similar documents: long fingerprints.
+# Pairs of long fingerprints, and pairs under shared values.
 
 #: A long fingerprint has so many words of 64 bits, each of two segments.
 LONG_WORDS = 5
 SEGMENTS = 2 * LONG_WORDS
 
 
-def long_fingerprint(text: bytes, shingle_words: int) -> np.ndarray:
-    """The SimHash of ``LONG_WORDS`` times 64 bits; all zero if the text has no words."""
-    hashes = shingle_hashes(text, shingle_words)
-    if not len(hashes):
-        return np.zeros(LONG_WORDS, np.int64)
-    words = np.stack([mix64(hashes + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2 ** 64)) for i in range(LONG_WORDS)], 1)
-    ones = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")
-
-
-def most_bits(similarity: float) -> int:
-    """The bits of a long fingerprint that two texts of this Jaccard similarity differ in: the mean and one deviation."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi if similarity < 1 else 0
-    bits = 64 * LONG_WORDS
-    return math.floor(bits * share + math.sqrt(bits * share * (1 - share)))
-
-
 #: Members of a value that meet all others of it in the first round, and by how much their number grows with each round.
 FIRST_PIVOTS, PIVOT_GROWTH = 8, 8
 
@@ -193,29 +176,144 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
     return linked_pairs(prints.select("node", F.expr(ball)), prints.select("node", "fp"), F.expr(distance) <= bits, lambda pairs: pairs)
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
-                      similarity: float = 0.8) -> DataFrame:
-    """``doc_id, key, component, component_id``, one row for every row of ``docs``; as ``near_duplicates``, for texts of a Jaccard
-    ``similarity`` of their shingles or more, estimated by long fingerprints.
+# Similar documents: shared rare shingles, then exact similarity.
+
+#: Shingles are counted in so many cells over one text in so many; the counts only order shingles.
+CELLS, COUNTED = 1 << 18, 8
+#: 64-bit words of a parity map of a text's shingles, and bits of the filter of texts whose shingles are wanted.
+PARITY_WORDS, WANTED_BITS = 8, 1 << 20
+
+
+def shingle_set(text: bytes, shingle_words: int) -> np.ndarray:
+    """The different shingle hashes of a text, sorted."""
+    return np.unique(shingle_hashes(text, shingle_words))
+
+
+def prefix_length(size: int, similarity: float) -> int:
+    """Of two sets of a Jaccard ``similarity`` or more, so many first members of each, in any one order, have one in common."""
+    return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
+
+
+def parity_map(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the set's members by cell: two maps differ in no more bits than the sets in members."""
+    bits = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def shingle_counts(docs: DataFrame, text_col: str, shingle_words: int) -> np.ndarray:
+    """How often shingles fall in each of ``CELLS`` cells, over a part of the texts; tasks send their cells."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for text in utf8_list(batch.column(0)):
+                cells = (shingle_set(text, shingle_words) % np.uint64(CELLS)).astype(np.int64)
+                np.add.at(total, cells, 1)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for counts in batch.column(0).to_pylist():
+                total += np.frombuffer(counts, np.int64)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["counts"])
+
+    read = docs.select(F.col(text_col).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(COUNTED)) == 0)
+    partial = in_small_batches(read).mapInArrow(count, "counts binary")
+    merged = partial.repartition(8).mapInArrow(add, "counts binary").collect()  # bounded: eight tables of cells
+    return sum((np.frombuffer(r["counts"], np.int64) for r in merged), np.zeros(CELLS, np.int64))
+
+
+def with_prefixes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
+    """``doc_id, key, node, size, fp, prefix`` for every row: ``node`` is a hash of the text's shingle set, ``size`` its members,
+    ``fp`` its parity map, ``prefix`` the first of its members, rare ones first."""
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col, shingle_words))
 
-    Pairs are found by ``similar_pairs``: copies that differ in case or white space only always; of pairs with 10 segments nearly all at a
-    similarity of 0.9, about 9 of 10 at 0.85 and 6 of 10 at 0.8 (a text that links both is a further chance). Texts without words are alike.
-    Null ids, repeated rows, empty tables and other columns as for ``near_duplicates``.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in batches:
-            found = np.array([long_fingerprint(t, shingle_words) for t in utf8_list(batch.column(1))], np.int64)
-            offsets = np.arange(0, LONG_WORDS * len(found) + 1, LONG_WORDS, dtype=np.int32)
+            nodes, sizes, maps, prefixes = [], [], [], []
+            for text in utf8_list(batch.column(1)):
+                hashes = shingle_set(text, shingle_words)
+                order = np.lexsort((mix64(hashes), counts[(hashes % np.uint64(CELLS)).astype(np.int64)]))
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                sizes.append(len(hashes))
+                maps.append(parity_map(hashes))
+                prefixes.append(hashes[order[:prefix_length(len(hashes), similarity)]])
+            widths = [PARITY_WORDS] * len(maps), [len(p) for p in prefixes]
+            lists = [pa.ListArray.from_arrays(np.r_[0, np.cumsum(w)].astype(np.int32), np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in v)]))
+                     for w, v in zip(widths, (maps, prefixes), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.ListArray.from_arrays(offsets, found.ravel())], ["doc_id", "key", "fp"])
+                [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), *lists],
+                ["doc_id", "key", "node", "size", "fp", "prefix"])
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    prints = write_through(in_small_batches(read).mapInArrow(run, "doc_id long, key long, fp array<long>"), "long-fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = write_through(nodes.withColumn("node", F.monotonically_increasing_id()), "long-nodes")
-    components = connected_components(similar_pairs(nodes.select("node", "fp"), most_bits(similarity)))
-    of_node = nodes.join(components, "node", "left").select(
-        "fp", "least", F.coalesce("component", "node").alias("component"))
+    return in_small_batches(read).mapInArrow(run, "doc_id long, key long, node long, size int, fp array<long>, prefix array<long>")
+
+
+def truly_similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b: nodes) whose shingle sets have the Jaccard ``similarity``, computed in full.
+
+    A fixed-size filter keeps most other texts from being read again; the join decides.
+    """
+    pairs = write_through(pairs, "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = write_through(nodes.select("node", "key").join(ends, "node"), "wanted")
+    slots = wanted.select(F.pmod("key", F.lit(WANTED_BITS)).cast("int").alias("slot")).distinct().toArrow().column(0)  # bounded by the filter
+    marks = np.zeros(WANTED_BITS, bool)
+    marks[slots.to_numpy()] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
+
+    def want(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(marked[batch.column(0).to_numpy() % WANTED_BITS]))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[int, np.ndarray] = {}
+            true = []
+            ends = [c.to_pylist() for c in batch.columns[:2]]
+            for a, b, of_a, of_b in zip(*ends, *map(utf8_list, batch.columns[2:]), strict=True):
+                for node, text in ((a, of_a), (b, of_b)):
+                    if node not in known:
+                        known[node] = shingle_set(text, shingle_words)
+                one, two = known[a], known[b]
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                true.append((1 + similarity) * both >= similarity * (len(one) + len(two)) - 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(true, pa.bool_()))
+
+    # Texts travel, not their hashes, which do not compress.
+    read = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    found = in_small_batches(read).mapInArrow(want, "key long, text string").join(wanted, "key").dropDuplicates(["key"])
+    texts = write_through(found.select("node", "text"), "wanted-texts")
+    for c in "ab":
+        pairs = pairs.join(texts.select(F.col("node").alias(c), F.col("text").alias(f"of_{c}")), c)
+    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
+                      similarity: float = 0.8) -> DataFrame:
+    """``doc_id, key, component, component_id``, one row for every row of ``docs``; as ``near_duplicates``, for texts of a Jaccard
+    ``similarity`` (above 0) of their sets of shingle hashes or more.
+
+    The groups are exact: such texts share one of the first members of their sets, rare ones first (``prefix_length``), and every pair that
+    does is compared, by size and parity map and then in full, or connected by others that were (``linked_pairs``).
+    Texts without words are alike. Null ids, repeated rows, empty tables and other columns as for ``near_duplicates``.
+    """
+    prints = write_through(with_prefixes(docs, id_col, text_col, shingle_words, similarity), "prefixes")
+    nodes = write_through(prints.groupBy("node", "size", "fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("key")), "nodes")
+    keyed = prints.select("node", "prefix").dropDuplicates(["node"]).select("node", F.explode("prefix").alias("value"))
+    # Sets of a similarity s have at most (1 - s) / (1 + s) of their summed sizes in one only.
+    apart = " + ".join(f"bit_count(a.fp[{i}] ^ b.fp[{i}])" for i in range(PARITY_WORDS))
+    total = F.col("a.size") + F.col("b.size")
+    may = ((F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size") - 1e-9)
+           & ((1 + similarity) * F.expr(apart) <= (1 - similarity) * total + 1e-9))
+    components = connected_components(linked_pairs(
+        keyed, nodes.select("node", "size", "fp"), may,
+        lambda pairs: truly_similar(pairs, docs, nodes, text_col, shingle_words, similarity)))
+    of_node = nodes.join(components, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of_node.join(smallest, "component").select("fp", "component", "component_id")
-    return prints.join(named, "fp").select("doc_id", "key", "component", "component_id")
+    named = of_node.join(smallest, "component").select("node", "component", "component_id")
+    return prints.select("doc_id", "key", "node").join(named, "node").select("doc_id", "key", "component", "component_id")

@@ -185,3 +185,31 @@ def test_unrelated_nodes_displace_no_pair(spark):
     assert {(r["a"], r["b"]) for r in found} >= {(i, 199 - i) for i in range(100)}
     assert all(sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) % 2 ** 64).bit_count() for x, y in
                    zip(mixed[r["a"]][1], mixed[r["b"]][1], strict=True)) <= 40 for r in found)
+
+
+def test_groups_are_those_of_exact_similarity(spark):
+    draw = np.random.default_rng(17)
+    words = [f"w{i}" for i in range(4000)]
+    common = draw.choice(words, 60).tolist()
+    rows = []
+    for i in range(120):
+        base = common + draw.choice(words, int(draw.integers(40, 300))).tolist()
+        rows.append((len(rows), " ".join(base)))
+        for changes in draw.integers(1, 14, 3):  # similarities from about 0.3 to 0.97, many near 0.8
+            copy = list(base)
+            for place in draw.choice(len(copy), changes, replace=False):
+                copy[place] = str(draw.choice(words))
+            rows.append((len(rows), " ".join(copy)))
+    hub = draw.choice(words, 150).tolist()
+    for _ in range(60):  # each like the hub, many not like one another
+        copy = list(hub)
+        for place in draw.choice(150, 3, replace=False):
+            copy[place] = str(draw.choice(words))
+        rows.append((len(rows), " ".join(copy)))
+    sets = [{tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)} for _, t in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    near = [0.65 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.8 for a, b in combinations(range(len(rows)), 2)]
+    assert sum(near) > 50 and sum(len(sets[a] & sets[b]) < 0.85 * len(sets[a] | sets[b]) for a, b in links) > 20
+    found = {r["doc_id"]: r["component_id"] for r in
+             simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert found == brute_components(range(len(rows)), links)
