@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -762,17 +762,30 @@ def compact_chunk(spark, sf):
     return spark.read.parquet(path).select("_fid", F.col("chunk_id").cast("bigint").alias("chunk_id"))
 
 
+#: Rows of a partition that is counted whole.
+PARTITION_ROWS = 200_000
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, CAST(rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC) AS BIGINT) AS place,
        count(*) OVER (PARTITION BY l_suppkey) AS of_all FROM lineitem""")
 def partition_map(spark, sf):
-    def places(_, frame):
-        by_supplier = frame.groupby("l_suppkey")["l_extendedprice"]
-        return frame[["l_orderkey", "l_linenumber"]].assign(
-            place=by_supplier.rank(method="min", ascending=False).astype("int64"), of_all=by_supplier.transform("size"))
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    return gate.map_partitions(rows.repartition("l_suppkey"), places,
-                               "l_orderkey long, l_linenumber int, place long, of_all long")
+    keys = ["l_suppkey", "l_extendedprice"]
+
+    def counted(_, frame):
+        return frame.groupby(keys, dropna=False).size().reset_index(name="n")
+    # Partitions of a bounded number of rows, whatever their suppliers; Spark adds up what they have counted.
+    parts = rows.select(*keys).repartition(rows.count() // PARTITION_ROWS + 1)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+    counts = gate.map_partitions(parts, counted, f"{types}, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    dearer = Window.partitionBy("l_suppkey").orderBy(F.desc("l_extendedprice")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("place", F.coalesce(F.sum("n").over(dearer), F.lit(0)) + 1)
+    of_all = counts.groupBy("l_suppkey").agg(F.sum("n").alias("of_all"))
+    placed = placed.join(of_all.withColumnRenamed("l_suppkey", "_of"), F.col("l_suppkey").eqNullSafe(F.col("_of"))).select(
+        F.col("l_suppkey").alias("_supplier"), F.col("l_extendedprice").alias("_price"), "place", "of_all")
+    same = F.col("l_suppkey").eqNullSafe(F.col("_supplier")) & F.col("l_extendedprice").eqNullSafe(F.col("_price"))
+    return rows.join(placed, same).select("l_orderkey", "l_linenumber", "place", "of_all")
 
 
 _BAD = "_fid % 11 = 5 AND CAST(substr(_source_file, 3, 4) AS INT) % 3 = 0"

@@ -299,3 +299,23 @@ def test_schema_report(spark):
     report = columns.schema_report(spark.createDataFrame([(1, "a")], "i int, s string"), "t")
     assert rows(report) == [("t", "i", "int", 0), ("t", "s", "string", 1)]
     assert columns.columns_of_type(spark.createDataFrame([(1, "a")], "i int, s string"), T.StringType) == ["s"]
+
+
+def test_partition_map_bounds_the_rows_of_a_partition(spark, tmp_path, monkeypatch):
+    from samples import queries
+
+    prices = [i * 7919 % 300 / 4 for i in range(4000)]  # one supplier has nearly all rows, with ties
+    made = [(i, 1, 1 if i % 50 else 2, p) for i, p in enumerate(prices)]
+    spark.createDataFrame(made, "l_orderkey long, l_linenumber int, l_suppkey long, l_extendedprice double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    whole, held = gate.map_partitions, []
+
+    def watched(df, fn, schema):
+        held.extend(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        return whole(df, fn, schema)
+    monkeypatch.setattr(gate, "map_partitions", watched)
+    monkeypatch.setattr(queries, "PARTITION_ROWS", 500, raising=False)
+    out = {r[0]: (r[2], r[3]) for r in queries.partition_map(spark, str(tmp_path)).collect()}
+    assert held and max(held) <= 600
+    of = {s: [m[3] for m in made if m[2] == s] for s in (1, 2)}
+    assert out == {m[0]: (1 + sum(p > m[3] for p in of[m[2]]), len(of[m[2]])) for m in made}
