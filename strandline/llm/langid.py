@@ -75,6 +75,17 @@ def stretches(words: list[str]) -> tuple[list[str], np.ndarray]:
     return marked, np.cumsum(counts) - counts
 
 
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([LETTERS.search(t) is not None for t in text_list(batch.column(place))], pa.bool_()))
+
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
+
+
 @dataclass
 class Lattice:
     """All ways to cut words into pieces. Nodes are the places between characters, arcs the pieces, by their end."""

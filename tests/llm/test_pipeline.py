@@ -80,3 +80,11 @@ def test_extra_columns_with_clashing_names(spark):
         assert out.columns == docs.columns
         assert out.select("row").distinct().collect()[0][0] == "row"
     assert langid.UNKNOWN == "und"
+
+
+def test_no_language_to_learn_from_rejects_no_text_with_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40).withColumn("lang", F.lit(None).cast("string"))
+    extra = spark.createDataFrame([(10_001, "123 !!! 456", None, "s", 11), (10_002, None, None, None, None)], docs.schema)
+    kept = corpus_pipeline.language(spark, docs.union(extra), SF)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect() if langid.words_of(r["text"] or "")} != set()
