@@ -126,6 +126,18 @@ def test_global_index_and_running_total(spark):
     assert ordering.with_global_index(df.limit(0), ["v"]).count() == 0
 
 
+def test_global_index_keeps_columns_of_any_name(spark):
+    private = ["_row", "_part", "_n", "_sum", "_start", "_base", "a.b", "__row"]
+    df = spark.createDataFrame([(v, *[f"{c}{v}" for c in private]) for v in range(40)], ["v", *private]).repartition(4)
+    out = ordering.with_global_index(df, [F.col("v").desc()], "i", total_of="v", total="t")
+    assert out.columns == ["v", *private, "i", "t"]
+    for row in out.collect():
+        assert row.i == 39 - row.v and row.t == sum(range(row.v, 40))
+        assert list(row)[1:-2] == [f"{c}{row.v}" for c in private]
+    with pytest.raises(ValueError, match="already"):
+        ordering.with_global_index(df.withColumn("_fid", F.lit(1)), ["v"])
+
+
 def folded(sizes, limit, rule):
     ids, chunk, held, empty = [], 0, 0, True
     for n in sizes:
