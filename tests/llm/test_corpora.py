@@ -97,8 +97,8 @@ def test_audit_ranks_and_limits(spark):
 
 def test_audit_with_huge_counts_and_many_partners(spark, monkeypatch):
     monkeypatch.setattr(divergence, "PAIRS", 7)  # terms meet in pieces
-    terms = spark.createDataFrame([([(g, 10 ** 9 - g * 7 * t, 1 + g) for g in range(9)],) for t in range(1, 4)],
-                                  "held array<struct<g:long,p:long,p0:long>>").coalesce(1)
+    terms = spark.createDataFrame([("x", [(g, 10 ** 9 - g * 7 * t, 1 + g) for g in range(9)]) for t in range(1, 4)],
+                                  "lang string, held array<struct<i:int,p:long,p0:long>>").coalesce(1)
     want = Counter()
     for t in range(1, 4):
         for a, b in itertools.permutations(range(9), 2):
@@ -111,9 +111,12 @@ def test_audit_with_huge_counts_and_many_partners(spark, monkeypatch):
     assert share == 1 + 10 ** 9 * (7 * 10 ** 12 + 1) // (9 * 10 ** 13 + 10 ** 7)
 
 
-def test_frequent_terms_prune_and_stay_exact(spark):
+@pytest.mark.parametrize("unit", [1, divergence.UNIT_BYTES])
+def test_frequent_terms_prune_and_stay_exact(spark, monkeypatch, unit):
+    monkeypatch.setattr(divergence, "UNIT_BYTES", unit)
     rows = corpus(120, ["s1", "s2"], 5)
-    terms = divergence.cut_terms(spark.createDataFrame(rows, "lang string, source string, text string"), "lang", "source", "text")
+    docs = spark.createDataFrame(rows, "lang string, source string, text string")
+    terms = divergence.cut_terms(docs, divergence.numbered_groups(docs, "lang", "source"), "lang", "source", "text")
     held = defaultdict(set)
     for i, (lang, _, text) in enumerate(rows):
         for t in words_of(text, TERM):
