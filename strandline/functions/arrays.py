@@ -74,6 +74,26 @@ class Layout:
         return np.column_stack([xy[at], xy[at + 1]]), np.bincount(self.row, segments, len(self.ok)).astype(np.int64)
 
 
+def turns(found: Layout, segments: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """By row, of its ``edges()``: 1 or -1 for a convex polygon without holes, as it runs left or right, 0 for all others."""
+    n = len(found.ok)
+    row = np.repeat(np.arange(n), number)
+    first = np.cumsum(number) - number
+    follow = np.arange(len(segments)) + 1
+    ends = (first + number - 1)[number > 0]
+    follow[ends] = first[number > 0]
+    step = segments[:, 2:] - segments[:, :2]
+    after = step[follow]
+    with np.errstate(over="ignore", invalid="ignore"):  # too large to tell: not convex
+        cross = step[:, 0] * after[:, 1] - step[:, 1] * after[:, 0]
+        ahead = (step * after).sum(axis=1)
+    left, right, bent = (np.bincount(row[c], minlength=n) for c in (
+        cross > 0, cross < 0, ((cross == 0) & (ahead <= 0)) | ~np.isfinite(cross) | (segments[:, 2:] != segments[follow, :2]).any(axis=1)))
+    around = np.abs(np.bincount(row, np.nan_to_num(np.arctan2(cross, ahead)), n))  # once, and not like a star
+    convex = (found.kind == codec.POLYGON) & (np.bincount(found.row, minlength=n) == 1) & (bent == 0) & (around < 6.5)
+    return np.where(convex & (right == 0) & (left > 0), 1, np.where(convex & (left == 0) & (right > 0), -1, 0))
+
+
 def layout(wkb: pa.Array) -> Layout:
     """The layout of a batch."""
     if isinstance(wkb, pa.ChunkedArray):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.functions import arrays, codec, predicates
+from strandline.functions import arrays, codec, contain, predicates
 
 
 
@@ -33,7 +33,8 @@ EDGES_TYPE = T.ArrayType(_doubles(*EDGE_NAMES))
 SNAP_TYPE = T.StructType([
     T.StructField("structure", T.BinaryType()), T.StructField("snapped", T.BinaryType()),
     T.StructField("xy", T.ArrayType(_doubles("x", "y")))])
-FRAME_TYPE = T.StructType([T.StructField("box", BBOX_TYPE), T.StructField("edges", EDGES_TYPE)])
+FRAME_TYPE = T.StructType([
+    T.StructField("box", BBOX_TYPE), T.StructField("edges", EDGES_TYPE), T.StructField("turn", T.IntegerType())])
 PARTS_TYPE = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("rings", T.ArrayType(T.ArrayType(_doubles("x", "y"))))])
 # A WKB point is byte order, type number and two doubles.
@@ -198,23 +199,29 @@ def _boxes(geoms: list) -> pa.Array:
 
 @F.arrow_udf(FRAME_TYPE)
 def geom_frame(wkb: pa.Array) -> pa.Array:
-    """Bounding box, and the boundary segments of a polygon or multipolygon (null for other types)."""
+    """Bounding box, the boundary segments of a polygon or multipolygon (null for other types), and 1 or -1 for a convex
+    polygon without holes whose boundary runs left or right (0 for all others)."""
     points = _points(wkb)
     if points is not None:
         edges = _nested([None] * len(wkb), _structs(np.empty((0, 4)), EDGE_NAMES))
-        return pa.StructArray.from_arrays([bbox_batch(wkb), edges], FRAME_TYPE.names)
+        return pa.StructArray.from_arrays([bbox_batch(wkb), edges, _turns(np.zeros(len(wkb)))], FRAME_TYPE.names)
     found = arrays.layout(wkb)
     if found.ok.all():
         segments, counts = found.edges()
         area = np.isin(found.kind, predicates.AREAS)
         keep = np.repeat(area, counts)
         edges = _nested([int(n) if a else None for n, a in zip(counts, area, strict=True)], _structs(segments[keep], EDGE_NAMES))
-        return pa.StructArray.from_arrays([_box_column(found.boxes()), edges], FRAME_TYPE.names)
+        turn = _turns(arrays.turns(found, segments, counts))
+        return pa.StructArray.from_arrays([_box_column(found.boxes()), edges, turn], FRAME_TYPE.names)
     geoms = _decoded(wkb)
     walls = [predicates.edges(g) if g is not None and g[0] in predicates.AREAS else None for g in geoms]
     flat = _structs(_stack([w for w in walls if w is not None], 4), EDGE_NAMES)
     edges = _nested([None if w is None else len(w) for w in walls], flat)
-    return pa.StructArray.from_arrays([_boxes(geoms), edges], FRAME_TYPE.names)
+    return pa.StructArray.from_arrays([_boxes(geoms), edges, _turns(np.zeros(len(geoms)))], FRAME_TYPE.names)
+
+
+def _turns(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.int32))
 
 
 def _pairwise(left: pa.Array, right: pa.Array, fn, arrow_type) -> pa.Array:
@@ -232,7 +239,12 @@ def _pairwise(left: pa.Array, right: pa.Array, fn, arrow_type) -> pa.Array:
 @F.arrow_udf(T.BooleanType())
 def geom_contains(outer: pa.Array, inner: pa.Array) -> pa.Array:
     """Whether ``outer`` contains ``inner``; null where the types are not supported."""
-    return _pairwise(outer, inner, predicates.contains, pa.bool_())
+    held, done = contain.contains_batch(outer, inner)
+    if done.all():
+        return pa.array(held, pa.bool_())
+    rest = pa.array(~done)
+    slow = _pairwise(outer.filter(rest), inner.filter(rest), predicates.contains, pa.bool_())
+    return pc.replace_with_mask(pa.array(held, pa.bool_()), rest, slow)
 
 
 def geom_equals_within(left, right, tolerance: float) -> Column:
@@ -346,6 +358,25 @@ def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
     return ~F.exists(edges, on_edge) & odd
 
 
+def vertices_in_convex(vertices, edges, turn: Column) -> Column:
+    """Whether the starts of all segments ``vertices`` lie in the closed convex area bounded by ``edges``."""
+    def holds(v):
+        return F.forall(edges, lambda w: turn * ((w.x2 - w.x1) * (v.y1 - w.y1) - (w.y2 - w.y1) * (v.x1 - w.x1)) >= 0)
+    return F.forall(vertices, holds)
+
+
+def double_area(edges, box: Column) -> Column:
+    """Twice the area between boundary segments, parts against each other taken off; measured from the box's corner."""
+    x, y = box.xmin, box.ymin
+    return F.abs(F.aggregate(edges, F.lit(0.0), lambda total, e: total + (e.x1 - x) * (e.y2 - y) - (e.x2 - x) * (e.y1 - y)))
+
+
+def is_collection(geom: Column) -> Column:
+    """Whether a stored geometry is a collection, by its type number."""
+    return F.hex(F.substring(geom, 2, 2)).isin(*(format(codec.COLLECTION + d, "04X")[2:] + format(codec.COLLECTION + d, "04X")[:2]
+                                                 for d in (0, 1000, 2000, 3000)))
+
+
 def set_crs(df: DataFrame, srid: int, column: str = "geometry") -> DataFrame:
     """Declare the CRS of a geometry column; coordinates stay as they are."""
     return df.withMetadata(column, {"srid": srid})

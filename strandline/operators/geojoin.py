@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import canonical_wkb, geom_key
+from strandline.operators.naming import quoted, unused
 from strandline.operators.skew import skew_join
 
 KEY = "_geom_key"
@@ -18,19 +19,26 @@ def with_key(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     return df.withColumn(KEY, geom_key(F.col(geometry)))
 
 
+def keyed(df: DataFrame, geometry: str = "geometry") -> tuple[DataFrame, str]:
+    """``df`` with its join key under a name that no column has, and that name."""
+    key = unused(df.columns, KEY)[0]
+    return df.withColumn(key, geom_key(F.col(geometry))), key
+
+
 def distinct_keys(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     return with_key(df, geometry).where(F.col(KEY).isNotNull()).select(KEY).distinct()
 
 
 def geom_inner_join(left: DataFrame, right: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Left rows whose geometry occurs on the right, once each; the right side counts without duplicates."""
-    return skew_join(with_key(left, geometry), distinct_keys(right, geometry), [KEY], "left_semi").drop(KEY)
+    left, key = keyed(left, geometry)
+    return skew_join(left, distinct_keys(right, geometry).withColumnRenamed(KEY, key), [key], "left_semi").drop(key)
 
 
 def geom_anti_join(left: DataFrame, right: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Left rows with a geometry that does not occur on the right."""
-    left = with_key(left.where(F.col(geometry).isNotNull()), geometry)
-    return skew_join(left, distinct_keys(right, geometry), [KEY], "left_anti").drop(KEY)
+    left, key = keyed(left.where(F.col(geometry).isNotNull()), geometry)
+    return skew_join(left, distinct_keys(right, geometry).withColumnRenamed(KEY, key), [key], "left_anti").drop(key)
 
 
 def _counts(df: DataFrame, name: str, geometry: str) -> DataFrame:
@@ -73,16 +81,19 @@ def control_value_join(left: DataFrame, right: DataFrame, control: str, geometry
     A geometry matches if any right row with that geometry carries the same control value, null equal to null. The
     geometries and control values of either side meet once each; the left rows then take their status in one join.
     """
-    def pairs(df: DataFrame) -> DataFrame:
-        return (with_key(df, geometry).where(F.col(KEY).isNotNull())
-                .select(KEY, _null_safe(F.col(control)).alias("_control")).distinct())
-
-    ours = pairs(left).withColumn("_ours", F.lit(True))
-    theirs = pairs(right).withColumn("_theirs", F.lit(True))
-    both = ours.join(theirs, [KEY, "_control"], "full")
-    found = F.max(F.coalesce("_theirs", F.lit(False))).over(Window.partitionBy(KEY))
-    verdict = F.when(F.col("_theirs"), "match").when(F.col("_found"), "control_mismatch").otherwise("not_found")
-    verdicts = both.withColumn("_found", found).where("_ours").select(KEY, "_control", verdict.alias("status"))
-    left = with_key(left, geometry).withColumn("_control", _null_safe(F.col(control)))
-    joined = skew_join(left, verdicts, [KEY, "_control"], "left")
-    return joined.withColumn("status", F.coalesce("status", F.lit("not_found"))).drop(KEY, "_control")
+    if "status" in map(str.lower, left.columns):
+        raise ValueError("the table already has a column status")
+
+    def pairs(df: DataFrame, flag: str) -> DataFrame:
+        return (df.select(geom_key(F.col(geometry)).alias("key"), _null_safe(F.col(control)).alias("value"))
+                .where("key is not null").distinct().withColumn(flag, F.lit(True)))
+
+    both = pairs(left, "ours").join(pairs(right, "theirs"), ["key", "value"], "full")
+    found = F.max(F.coalesce("theirs", F.lit(False))).over(Window.partitionBy("key"))
+    verdict = F.when(F.col("theirs"), "match").when(F.col("found"), "control_mismatch").otherwise("not_found")
+    key, value, told = unused(left.columns, KEY, "_control", "_verdict")
+    verdicts = both.withColumn("found", found).where("ours").select(
+        F.col("key").alias(key), F.col("value").alias(value), verdict.alias(told))
+    asked = left.withColumn(key, geom_key(F.col(geometry))).withColumn(value, _null_safe(F.col(control)))
+    joined = skew_join(asked, verdicts, [key, value], "left")
+    return joined.select(*map(quoted, left.columns), F.coalesce(told, F.lit("not_found")).alias("status"))

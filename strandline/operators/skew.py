@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.operators.naming import unused
+
 HOW = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -20,7 +22,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, condit
         raise ValueError(f"unsupported join type {how}")
     if condition is None:
         return left.join(right, on, how)
-    right = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
-    for key in on:
-        condition = condition & (F.col(key) == F.col(f"_right_{key}"))
-    return left.join(right, condition, how).drop(*[f"_right_{k}" for k in on])
+    theirs = unused([*left.columns, *right.columns], *(f"_right_{k}" for k in on))
+    right = right.withColumnsRenamed(dict(zip(on, theirs, strict=True)))
+    for ours, other in zip(on, theirs, strict=True):
+        condition = condition & (F.col(ours) == F.col(other))
+    return left.join(right, condition, how).drop(*theirs)

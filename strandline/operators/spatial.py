@@ -14,14 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import (
-    EDGES_TYPE, bbox_batch, geom_bbox, geom_contains, geom_frame, once, point_in_edges, snap_frame)
-from strandline.operators.geojoin import KEY, with_key
+    EDGES_TYPE, bbox_batch, double_area, geom_bbox, geom_contains, geom_frame, once, point_in_edges, snap_frame,
+    vertices_in_convex)
+from strandline.operators.geojoin import KEY, keyed, with_key
+from strandline.operators.naming import quoted
 from strandline.operators.skew import skew_join
 from strandline.session import write_through
 
 # Grid sizes are powers of two, exact in binary; neighbouring grids differ by this power.
 LEVEL_STEP = 2
 FINEST_LEVEL = -20
+# Levels, below all others, of rows that have no place.
+LOST_PROBES, LOST_CONTAINERS = -5000, -5001
+# An area of less than this share of its box may be rounding.
+SOLID = 1e-6
 # Probes up to this many rows and bytes are broadcast where the caller promises few.
 FEW_PROBES, FEW_BYTES = 1_000, 8 * 1024 * 1024
 # The WKB head of a plain little-endian point.
@@ -43,31 +49,74 @@ def is_point(geom: Column) -> Column:
     return (F.octet_length(geom) == 21) & (F.substring(geom, 1, 5) == F.unhex(F.lit(_POINT_HEAD)))
 
 
+def _packed(columns: list[str], name: str) -> Column:
+    """Columns of any name as one struct, so that none meets a private one."""
+    return F.struct(F.lit(1).alias("n"), *(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns))).alias(name)
+
+
+def _unpacked(columns: list[str], name: str) -> list[Column]:
+    return [F.col(f"{name}.c{i}").alias(c) for i, c in enumerate(columns)]
+
+
+def endless(box: Column) -> Column:
+    """Whether a box has no end on some side."""
+    limit = F.lit(float("inf"))
+    return (box.xmin == -limit) | (box.ymin == -limit) | (box.xmax == limit) | (box.ymax == limit)
+
+
 def _framed(df: DataFrame, geometry: str, box: str | None, edges: bool) -> DataFrame:
-    """Rows with a finite bounding box ``_box`` and, if wanted, boundary segments ``_edges``."""
+    """Rows with a bounding box ``_box`` and, if wanted, boundary segments ``_edges`` and their ``_turn``.
+
+    A box without end is no place: such rows stay, and meet a placeholder. Others without a box go.
+    """
     if edges:
         df = df.withColumn("_frame", once(geom_frame)(geometry))
-        df = df.withColumn("_edges", F.col("_frame.edges")).withColumn("_box", F.col("_frame.box")).drop("_frame")
-        df = df.withColumn("_box", F.col(box)) if box else df
+        df = (df.withColumn("_edges", F.col("_frame.edges")).withColumn("_turn", F.col("_frame.turn"))
+              .withColumn("_box", F.col(box) if box else F.col("_frame.box")).drop("_frame"))
     else:
         df = df.withColumn("_box", F.col(box) if box else once(geom_bbox)(geometry))
-    box, limit = F.col("_box"), F.lit(float("inf"))  # a box without end is no place
-    return df.where((box.xmin > -limit) & (box.ymin > -limit) & (box.xmax < limit) & (box.ymax < limit))
+    box, limit = F.col("_box"), F.lit(float("inf"))
+    finite = (box.xmin > -limit) & (box.ymin > -limit) & (box.xmax < limit) & (box.ymax < limit)
+    return df.where(F.coalesce(finite | endless(box), F.lit(False)))
 
 
 def container_cells(df: DataFrame) -> DataFrame:
     """One row per container and covered cell; expects ``_box``."""
     box, level = F.col("_box"), F.col("_level")
-    df = df.withColumn("_level", grid_level(box))
-    df = df.withColumn("_cx", F.explode(F.sequence(cell(box.xmin, level), cell(box.xmax, level))))
-    return df.withColumn("_cy", F.explode(F.sequence(cell(box.ymin, level), cell(box.ymax, level))))
+    lost, nowhere = endless(box), F.array(F.lit(0).cast("long"))
+    df = df.withColumn("_level", F.when(lost, F.lit(LOST_CONTAINERS)).otherwise(grid_level(box)))
+    df = df.withColumn("_cx", F.explode(F.when(lost, nowhere).otherwise(F.sequence(cell(box.xmin, level), cell(box.xmax, level)))))
+    return df.withColumn("_cy", F.explode(F.when(lost, nowhere).otherwise(F.sequence(cell(box.ymin, level), cell(box.ymax, level)))))
 
 
 def probe_cells(df: DataFrame, levels: list[int]) -> DataFrame:
     """One row per probe and grid size in use; expects ``_box``."""
     box, level = F.col("_box"), F.col("_level")
-    df = df.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels])))
-    return df.withColumn("_cx", cell(box.xmin, level)).withColumn("_cy", cell(box.ymin, level))
+    lost, nowhere = endless(box), F.lit(0).cast("long")
+    df = df.withColumn("_level", F.explode(F.when(lost, F.array(F.lit(LOST_PROBES))).otherwise(F.array(*[F.lit(x) for x in levels]))))
+    return (df.withColumn("_cx", F.when(lost, nowhere).otherwise(cell(box.xmin, level)))
+            .withColumn("_cy", F.when(lost, nowhere).otherwise(cell(box.ymin, level))))
+
+
+def _with_placeholder(cells: DataFrame, level: int) -> DataFrame:
+    """Cells with one more row, all null, at which rows of the other side that have no place are found."""
+    place = {"_level": F.lit(level), "_cx": F.lit(0).cast("long"), "_cy": F.lit(0).cast("long")}
+    return cells.unionByName(cells.sparkSession.range(1).select(*(
+        place.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in cells.schema)))
+
+
+_KEYS = ["_level", "_cx", "_cy"]
+
+
+def _levels(held: DataFrame) -> list[int]:
+    """The grid sizes in use of ``_stored`` boxes, one number per size."""
+    box = F.col("_stored")
+    used = held.where(box.isNotNull() & ~F.coalesce(endless(box), F.lit(True))).select(grid_level(box).alias("level")).distinct()
+    return sorted(r.level for r in used.collect() if r.level is not None) or [FINEST_LEVEL]
+
+
+def _fits(outer: Column, box: Column) -> Column:
+    return (outer.xmin <= box.xmin) & (outer.ymin <= box.ymin) & (outer.xmax >= box.xmax) & (outer.ymax >= box.ymax)
 
 
 def containment_join(containers: DataFrame, probes: DataFrame, container_cols: list[str], probe_cols: list[str],
@@ -78,14 +127,15 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     ``relation`` is ``contains``, or ``unsupported`` where the boxes allow
     containment but the pair of types cannot be decided; it is never silently
     dropped. Points in polygons are decided natively, other pairs in Arrow
-    batches. Rows without a finite box are in no pair. ``few_probes`` promises a probe
+    batches. A container or a probe with a coordinate without end comes out once, alone (the other side null), as
+    ``unsupported``; one without any box is in no pair. ``few_probes`` promises a probe
     table of bounded size (a sample): if it is, it is broadcast, which spares the
     containers their shuffle, and with ``container_box`` its extent reaches their scan. ``container_cols``
-    and ``probe_cols`` must not overlap; ``probe_cols`` must identify a probe.
+    and ``probe_cols`` must not overlap, and may have any names; ``probe_cols`` must identify a probe.
     """
-    held = containers.select(*container_cols, F.col(geometry).alias("_outer"),
+    held = containers.select(_packed(container_cols, "_held"), F.col(geometry).alias("_outer"),
                              *([F.col(container_box).alias("_stored")] if container_box else []))
-    sought = probes.select(*probe_cols, F.col(geometry).alias("_inner"),
+    sought = probes.select(_packed(probe_cols, "_sought"), F.col(geometry).alias("_inner"),
                            *([F.col(probe_box).alias("_stored")] if probe_box else []))
     sought = _framed(sought, "_inner", "_stored" if probe_box else None, edges=False).drop("_stored")
     if few_probes:  # a promise that is checked
@@ -98,30 +148,28 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
             held = held.where((stored.xmin <= reach["xmax"]) & (stored.xmax >= reach["xmin"])
                               & (stored.ymin <= reach["ymax"]) & (stored.ymax >= reach["ymin"]))
     if not container_box:  # both the levels and the join need the boxes
-        held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
-    used = held.where("_stored is not null").select(grid_level(F.col("_stored")).alias("level")).distinct()
-    levels = sorted(r.level for r in used.collect()) or [FINEST_LEVEL]  # one number per grid size
+        held = _framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored")
+        held = held if few_probes else write_through(held, "boxes")  # few probes are not worth a copy of the containers
+    levels = _levels(held)
     held = _framed(held, "_outer", "_stored", edges=not few_probes)
     if few_probes:  # few candidates remain, so decoding every container would cost more than it saves
         held = held.withColumn("_edges", F.lit(None).cast(EDGES_TYPE))
-    held = held.drop("_stored")
-    held = container_cells(held).withColumnRenamed("_box", "_outer_box")
-    sought = probe_cells(sought, levels)
-    keys = ["_level", "_cx", "_cy"]
+    held = held.drop("_stored", "_turn")
+    held = _with_placeholder(container_cells(held), LOST_PROBES).withColumnRenamed("_box", "_outer_box")
+    sought = _with_placeholder(probe_cells(sought, levels), LOST_CONTAINERS)
     if few_probes:
-        pairs = held.join(F.broadcast(sought), keys)
+        pairs = held.join(F.broadcast(sought), _KEYS)
     else:
-        pairs = skew_join(sought, held, keys, "inner")
-    box, outer, edges = F.col("_box"), F.col("_outer_box"), F.col("_edges")
-    fits = ((outer.xmin <= box.xmin) & (outer.ymin <= box.ymin)
-            & (outer.xmax >= box.xmax) & (outer.ymax >= box.ymax))
+        pairs = skew_join(sought, held, _KEYS, "inner")
+    box, edges, lost = F.col("_box"), F.col("_edges"), F.col("_level") <= LOST_PROBES
     point, outer_point = is_point(F.col("_inner")), is_point(F.col("_outer"))
     decided = point & (outer_point | edges.isNotNull())
     native = F.when(outer_point, F.col("_outer") == F.col("_inner")).otherwise(
         point_in_edges(box.xmin, box.ymin, edges))
     # One condition of the join, cheapest test first; pairs it decides need no second look.
-    pairs = pairs.where(F.when(fits, F.when(decided, native).otherwise(F.lit(True))).otherwise(F.lit(False)))
-    pairs = pairs.withColumn("_decided", decided)
+    pairs = pairs.where(F.when(lost, F.lit(True)).when(_fits(F.col("_outer_box"), box), F.when(decided, native).otherwise(F.lit(True)))
+                        .otherwise(F.lit(False)))
+    pairs = pairs.withColumn("_decided", F.coalesce(decided, F.lit(False)))
     # Decided pairs travel to Python as nulls.
     pairs = pairs.withColumn("_exact", once(geom_contains)(
         F.when(~F.col("_decided"), F.col("_outer")), F.when(~F.col("_decided"), F.col("_inner"))))
@@ -129,22 +177,68 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
                 .when(F.col("_exact").isNull(), "unsupported"))
     kept = [F.col("_outer").alias("container_geometry"), F.col("_inner").alias("probe_geometry")]
     return (pairs.withColumn("relation", relation).where(F.col("relation").isNotNull())
-            .select(*container_cols, *probe_cols, "relation", *(kept if keep_geometry else [])))
+            .select(*_unpacked(container_cols, "_held"), *_unpacked(probe_cols, "_sought"), "relation",
+                    *(kept if keep_geometry else [])))
+
+
+def contained(probes: DataFrame, containers: DataFrame, probe_cols: list[str], geometry: str = "geometry",
+              container_box: str | None = None) -> DataFrame:
+    """``probe_cols, relation`` of the probes that some container contains, or of which that cannot be decided.
+
+    A semi join that stops at a probe's first container settles points and, in convex containers without holes, areas,
+    without leaving the JVM; so it makes no pairs, however many containers a probe has. Only the probes left meet the
+    containers whose boxes fit, whose pairs are decided in Arrow batches. One without end, or in reach of nothing but
+    types that cannot be decided, is ``unsupported``; a probe without a box is in no container.
+    """
+    held = containers.select(F.col(geometry).alias("_outer"), *([F.col(container_box).alias("_stored")] if container_box else []))
+    if not container_box:
+        held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
+    levels = _levels(held)
+    held = container_cells(_framed(held.where(~F.coalesce(endless(F.col("_stored")), F.lit(False))), "_outer", "_stored", edges=True)
+                           .drop("_stored"))
+    held = held.withColumnRenamed("_box", "_outer_box")
+    sought = probes.select(_packed(probe_cols, "_sought"), F.col(geometry).alias("_inner"), F.monotonically_increasing_id().alias("_id"))
+    sought = _framed(sought, "_inner", None, edges=True).withColumnRenamed("_edges", "_walls").drop("_turn")
+    sought = write_through(sought, "probes")  # read three times
+
+    box, edges, walls, turn = F.col("_box"), F.col("_edges"), F.col("_walls"), F.col("_turn")
+    point, outer_point = is_point(F.col("_inner")), is_point(F.col("_outer"))
+    settled = point & (outer_point | edges.isNotNull())
+    in_point = F.when(outer_point, F.col("_outer") == F.col("_inner")).otherwise(point_in_edges(box.xmin, box.ymin, edges))
+    solid = double_area(walls, box) > SOLID * (box.xmax - box.xmin) * (box.ymax - box.ymin)
+    in_convex = (turn != 0) & (F.size(walls) > 0) & solid & vertices_in_convex("_walls", "_edges", turn)
+    native = F.when(_fits(F.col("_outer_box"), box), F.when(settled, in_point).otherwise(F.coalesce(in_convex, F.lit(False)))).otherwise(F.lit(False))
+    found = write_through(skew_join(probe_cells(sought, levels), held, _KEYS, "left_semi", condition=native)
+                          .select("_id").distinct(), "contained")
+    rest = skew_join(sought, found, ["_id"], "left_anti")
+    pairs = skew_join(probe_cells(rest.drop("_walls"), levels), held.drop("_turn"), _KEYS, "inner")
+    pairs = pairs.where(_fits(F.col("_outer_box"), box) & ~F.coalesce(settled, F.lit(False)))
+    pairs = pairs.select("_id", once(geom_contains)("_outer", "_inner").alias("_exact"))
+    lost = rest.where(endless(F.col("_box"))).select("_id", F.lit(None).cast("boolean").alias("_exact"))
+    best = pairs.where("_exact or _exact is null").unionByName(lost).groupBy("_id").agg(F.max("_exact").alias("_exact"))
+    best = best.unionByName(found.withColumn("_exact", F.lit(True)))
+    relation = F.when(F.col("_exact"), "contains").otherwise("unsupported")
+    return skew_join(sought.select("_id", "_sought"), best, ["_id"], "inner").select(
+        *_unpacked(probe_cols, "_sought"), relation.alias("relation"))
 
 
 def containing_rows(df: DataFrame, probe: bytes, columns: list[str], geometry: str = "geometry",
                     box: str | None = None) -> DataFrame:
-    """Rows whose geometry contains one given geometry; a stored box prunes row groups first."""
-    rows = _framed(df, geometry, box, edges=False)
+    """Rows whose geometry contains one given geometry; a stored box prunes row groups first.
+
+    Where a box without end, or a collection, leaves it open, ``relation`` is ``unsupported``.
+    """
     corner = bbox_batch(pa.array([probe], pa.binary()))[0].as_py()
     if corner is None:
-        return rows.where(F.lit(False)).select(*columns, F.lit("contains").alias("relation"))
+        return df.select(*columns, F.lit("contains").alias("relation")).where(F.lit(False))
+    rows = df.select(_packed(columns, "_held"), F.col(geometry).alias("_outer"), (F.col(box) if box else once(geom_bbox)(geometry)).alias("_box"))
     outer = F.col("_box")
     rows = rows.where((outer.xmin <= corner["xmin"]) & (outer.ymin <= corner["ymin"])
                       & (outer.xmax >= corner["xmax"]) & (outer.ymax >= corner["ymax"]))
-    rows = rows.withColumn("_exact", once(geom_contains)(F.col(geometry), F.lit(probe)))
+    rows = rows.withColumn("_exact", F.when(~endless(outer), once(geom_contains)("_outer", F.lit(probe))))
     relation = F.when(F.col("_exact"), "contains").when(F.col("_exact").isNull(), "unsupported")
-    return rows.withColumn("relation", relation).where(F.col("relation").isNotNull()).select(*columns, "relation")
+    rows = rows.withColumn("_relation", relation).where(F.col("_relation").isNotNull())
+    return rows.select(*_unpacked(columns, "_held"), F.col("_relation").alias("relation"))
 
 
 def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
@@ -155,6 +249,35 @@ def _traced(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
                      F.col("_snap.xy").alias("_xy"))
 
 
+def near_containers(probes: DataFrame, containers: DataFrame, key: str, tolerance: float, geometry: str = "geometry") -> DataFrame:
+    """``key`` of the probes that a container contains which is equal within ``tolerance``, vertex by vertex.
+
+    Candidates have the same structure and first vertices in reach, as in ``near_copies``; only pairs that are close in all
+    vertices are tested for containment. Plain points are left out: they contain only equal ones. Copies of a geometry on
+    one side should be one row.
+    """
+    reach, size = 1.001 * tolerance, 4 * tolerance
+
+    def at(value: Column) -> Column:
+        return F.floor(value / size)
+
+    def traced(df: DataFrame, *columns: Column) -> DataFrame:
+        df = df.where(~is_point(F.col(geometry))).select(*columns, F.col(geometry).alias("_geometry"))
+        df = df.withColumn("_snap", snap_frame("_geometry", tolerance)).where("size(_snap.xy) > 0")
+        return df.select("*", F.col("_snap.structure").alias("_structure"), F.col("_snap.xy").alias("_xy"),
+                         F.get("_snap.xy", F.lit(0)).alias("_start")).drop("_snap")
+
+    start = F.col("_start")
+    ours = traced(probes, F.col(key).alias("_key")).withColumn("_cx", at(start.x)).withColumn("_cy", at(start.y)).drop("_start")
+    theirs = (traced(containers).withColumn("_cx", F.explode(F.sequence(at(start.x - reach), at(start.x + reach))))
+              .withColumn("_cy", F.explode(F.sequence(at(start.y - reach), at(start.y + reach))))
+              .select("_structure", "_cx", "_cy", F.col("_xy").alias("_other"), F.col("_geometry").alias("_outer")))
+    close = F.forall(F.zip_with("_xy", "_other", lambda a, b: F.hypot(a.x - b.x, a.y - b.y) <= tolerance), lambda near: near)
+    pairs = skew_join(ours, theirs, ["_structure", "_cx", "_cy"], "inner", condition=close)
+    pairs = pairs.select("_key", once(geom_contains)("_outer", "_geometry").alias("_exact")).where("_exact")
+    return pairs.select(F.col("_key").alias(key)).distinct()
+
+
 def near_copies(left: DataFrame, right: DataFrame, tolerance: float, geometry: str = "geometry") -> DataFrame:
     """Left rows for which the right holds a geometry equal within ``tolerance``, vertex by vertex.
 
@@ -188,4 +311,5 @@ def near_copies(left: DataFrame, right: DataFrame, tolerance: float, geometry: s
                      lambda near: near)
     compared = skew_join(open_ones, filed, ["_structure", "_cx", "_cy"], "left_semi", condition=close)
     found = sure.unionByName(compared.select(KEY))
-    return skew_join(with_key(left, geometry), found, [KEY], "left_semi").drop(KEY)
+    left, key = keyed(left, geometry)
+    return skew_join(left, found.withColumnRenamed(KEY, key), [key], "left_semi").drop(key)

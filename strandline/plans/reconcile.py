@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.geometry import geom_equals_within, geom_key
+from strandline.functions.geometry import geom_bbox, geom_equals_within, geom_key, is_collection
 from strandline.operators.aggregates import single_value_check
 from strandline.operators.gate import skip_quarantined
 from strandline.operators.geojoin import KEY, distinct_keys
+from strandline.operators.naming import quoted
 from strandline.operators.packing import ROWS_PER_CHUNK, row_chunk
 from strandline.operators.sampling import sample_files, sample_rows_per_file
-from strandline.operators.spatial import containment_join
+from strandline.operators.skew import skew_join
+from strandline.operators.spatial import contained, containment_join, endless, near_containers
 from strandline.session import write_through
 
 # Verdicts on one probe, from worst to best.
@@ -21,6 +23,14 @@ STATUSES = ("not_contained", "unsupported", "contained_not_exact", "near_copy",
 SAMPLE_FILES, SAMPLE_ROWS, NEAR = 3, 5, 0.001
 
 
+_RANKS = {status: rank for rank, status in enumerate(STATUSES)}
+
+
+def _control(column: str) -> Column:
+    """A control value as text that is never null, so that null equals null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(quoted(column)).cast("string")), F.lit("null"))
+
+
 def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], control: str | None,
                   geometry: str = "geometry", few_probes: bool = False, near: float = NEAR,
                   box: str | None = None) -> DataFrame:
@@ -28,39 +38,79 @@ def lookup_status(probes: DataFrame, dataset: DataFrame, probe_id: list[str], co
 
     A probe must be contained in a dataset geometry, equal one exactly, and agree
     with that one's control value. One whose vertices lie within ``near`` of a containing geometry's
-    is a ``near_copy``, such as a value that went through rounded text. Copies in the dataset with the same geometry and
-    control value are looked at once. ``few_probes`` promises a sample of bounded
-    size; the dataset is then not shuffled. ``box`` names a stored bounding box of the dataset, which spares
-    decoding what cannot contain a probe.
+    is a ``near_copy``, such as a value that went through rounded text. ``unsupported`` are collections in reach of
+    something, probes in reach of nothing but collections, and coordinates without end.
+
+    Verdicts are reached in stages, each for what the one before has left, and for distinct geometries on both sides. Equal
+    geometries contain each other, so they meet by their bytes alone; near copies by the grid of their first vertices, and
+    only such a pair is tested; the rest in a join that looks for one container of a probe and stops there.
+
+    ``few_probes`` promises a sample of bounded size; the dataset is then not shuffled. ``box`` names a stored bounding box
+    of the dataset, which spares decoding what cannot contain a probe.
     """
-    has_control = control is not None and control in dataset.columns
-    theirs = [F.col(control).alias("_theirs")] if has_control else []
-    held = dataset.where(F.col(geometry).isNotNull()).select(*theirs, geometry, *([box] if box else []))
-    if not few_probes:
-        held = held.distinct()
-    ours = [F.col(control).alias("_ours")] if control is not None and control in probes.columns else []
-    sought = probes.select(*probe_id, *ours, geometry)
-    carried = [*probe_id, *(["_ours"] if ours else [])]
-    pairs = containment_join(held, sought, ["_theirs"] if has_control else [], carried,
-                             geometry, container_box=box, few_probes=few_probes, keep_geometry=True)
-    exact = F.col("container_geometry") == F.col("probe_geometry")
-    if not has_control:
-        verdict = F.lit("no_control_column")
-    elif ours:
-        verdict = F.when(F.col("_theirs").eqNullSafe(F.col("_ours")), "match").otherwise("control_mismatch")
+    known = control is not None and control in dataset.columns
+    told = control is not None and control in probes.columns
+    kept = [*([_control(control).alias("theirs")] if known else []), F.col(geometry).alias("geometry"),
+            *([F.col(box).alias("box")] if box else [])]
+    held = dataset.where(F.col(geometry).isNotNull()).select(*kept)
+    sought = probes.select(F.struct(*map(quoted, probe_id)).alias("probe"), (_control(control) if told else F.lit(None)).alias("ours"),
+                           F.col(geometry).alias("geometry")).withColumn(KEY, geom_key(F.col("geometry")))
+    if few_probes:
+        ranked = _few_ranked(held, sought, known, near, box)
     else:
-        verdict = F.lit("control_mismatch")
-    verdict = (F.when(F.col("relation") == "unsupported", "unsupported")
-               .when(exact, verdict)
-               .when(geom_equals_within("container_geometry", "probe_geometry", near), "near_copy")
-               .otherwise("contained_not_exact"))
+        ranked = _ranked(held.distinct(), sought, known, near, box)
     # Every probe starts at the worst verdict; one aggregation by probe finds its best, found or not.
-    rank = F.create_map(*[F.lit(x) for i, s in enumerate(STATUSES) for x in (s, i)])
-    ranked = (pairs.select(*probe_id, rank[verdict].alias("_rank"))
-              .unionByName(probes.select(*probe_id, F.lit(0).alias("_rank"))))
     status = F.array(*[F.lit(s) for s in STATUSES])
-    return (ranked.groupBy(*probe_id).agg(F.max("_rank").alias("_rank"))
-            .select(*probe_id, F.get(status, F.col("_rank")).alias("status")))
+    return (ranked.groupBy("probe").agg(F.max("rank").alias("rank"))
+            .select(*(F.col(f"probe.{quoted(c)}").alias(c) for c in probe_id), F.get(status, F.col("rank")).alias("status")))
+
+
+def _verdict(known: bool) -> Column:
+    """The rank of a probe that equals a dataset geometry."""
+    if not known:
+        return F.lit(_RANKS["no_control_column"])
+    return F.when(F.col("theirs") == F.col("ours"), _RANKS["match"]).otherwise(_RANKS["control_mismatch"])
+
+
+def _few_ranked(held: DataFrame, sought: DataFrame, known: bool, near: float, box: str | None) -> DataFrame:
+    """``probe, rank`` for a sample of probes, pair by pair."""
+    pairs = containment_join(held, sought, ["theirs"] if known else [], ["probe", "ours"], "geometry",
+                             container_box="box" if box else None, few_probes=True, keep_geometry=True)
+    rank = (F.when(F.col("relation") == "unsupported", _RANKS["unsupported"])
+            .when(F.col("container_geometry") == F.col("probe_geometry"), _verdict(known))
+            .when(geom_equals_within("container_geometry", "probe_geometry", near), _RANKS["near_copy"])
+            .otherwise(_RANKS["contained_not_exact"]))
+    return pairs.where("probe is not null").select("probe", rank.alias("rank")).unionByName(
+        sought.select("probe", F.lit(0).alias("rank")))
+
+
+def _ranked(held: DataFrame, sought: DataFrame, known: bool, near: float, box: str | None) -> DataFrame:
+    """``probe, rank`` in stages; a probe may have more than one rank."""
+    held = held if box else held.withColumn("box", geom_bbox("geometry"))
+    held = write_through(held.withColumn(KEY, geom_key(F.col("geometry"))), "dataset")  # boxes are found once
+    able = ~is_collection(F.col("geometry")) & F.col("geometry").isNotNull()
+    placed = able & held["box"].isNotNull() & ~endless(held["box"])
+
+    equal = held.where(placed).select(KEY, *(["theirs"] if known else [])).distinct()
+    if known:
+        agreed = equal.withColumn("agrees", F.lit(True))
+        equal = equal.select(KEY).distinct()
+        sought = skew_join(sought, agreed.withColumnRenamed("theirs", "ours"), [KEY, "ours"], "left")
+    sought = skew_join(sought, equal.withColumn("equal", F.lit(True)), [KEY], "left")
+    exact = F.lit(_RANKS["no_control_column"])
+    if known:
+        exact = F.when(F.col("agrees"), _RANKS["match"]).otherwise(_RANKS["control_mismatch"])
+    sought = write_through(sought.select("probe", "geometry", KEY, F.when(F.col("equal"), exact).alias("rank")), "probes")
+
+    shapes = held.select(KEY, "geometry", "box").dropDuplicates([KEY])
+    left = write_through(sought.where(F.col("rank").isNull() & F.col(KEY).isNotNull()).select(KEY, "geometry").dropDuplicates([KEY]), "left")
+    copies = write_through(near_containers(left.where(able), shapes.where(placed), KEY, near), "copies")
+    rest = skew_join(left, copies, [KEY], "left_anti")
+    held_by = contained(rest, shapes, [KEY], container_box="box")
+    rank = F.when(F.col("relation") == "contains", _RANKS["contained_not_exact"]).otherwise(_RANKS["unsupported"])
+    others = held_by.select(KEY, rank.alias("other")).unionByName(copies.select(KEY, F.lit(_RANKS["near_copy"]).alias("other")))
+    best = skew_join(sought, others, [KEY], "left")
+    return best.select("probe", F.coalesce("rank", "other", F.lit(0)).alias("rank"))
 
 
 def sampled_probes(source: DataFrame, failed: DataFrame, control: str, file: str = "_source_file", fid: str = "_fid",

@@ -458,10 +458,31 @@ def test_lookup_statuses(spark):
     assert verdicts() == expected == verdicts(few_probes=True)
     boxed = dataset.withColumn("bbox", geo.geom_bbox("geometry"))
     assert verdicts(dataset=boxed, box="bbox", few_probes=True) == expected
+    assert verdicts(dataset=boxed, box="bbox") == expected
     assert verdicts(dataset=dataset.drop("gui"))[:4] == [
         "no_control_column", "no_control_column", "no_control_column", "contained_not_exact"]
 
 
+def test_lookup_of_near_copies_and_of_places_without_end(spark):
+    def features(items):
+        df = spark.createDataFrame([(i, g, w) for i, (g, w) in enumerate(items)], "_geom_key long, gui string, wkt string")
+        return df.withColumn("geometry", geo.wkt_to_geom("wkt"))
+
+    def square(x, y, side):
+        return f"POLYGON (({x} {y}, {x + side} {y}, {x + side} {y + side}, {x} {y + side}, {x} {y}))"
+    dataset = features([("a", square(0, 0, 8)), ("a", square(0, 0, 8)), ("b", square(20, 20, 8)), ("c", "LINESTRING (0 0, 4 4)"),
+                        ("d", "POLYGON ((40 0, 48 0, 48 8, 44 4, 40 8, 40 0))")])
+    cases = [(square(0.0004, 0.0004, 7.9995), "near_copy"), (square(-0.0004, 0, 8), "not_contained"), (square(1, 1, 2), "contained_not_exact"),
+             (square(20, 20, 8), "control_mismatch"), (square(0, 0, 8), "match"), ("LINESTRING (1 1, 2 2)", "contained_not_exact"),
+             ("LINESTRING (0 0, 4 4)", "contained_not_exact"), ("POINT (1e999 0)", "unsupported"), ("POINT EMPTY", "not_contained"),
+             (square(43, 2, 2), "contained_not_exact"), (square(43, 4, 2), "not_contained"), ("POINT (41 1)", "contained_not_exact")]
+    probes = features([("a", w) for w, _ in cases])
+    want = [s if i != 6 else "control_mismatch" for i, (_, s) in enumerate(cases)]
+    for few in (False, True):
+        found = lookup_status(probes, dataset, ["_geom_key"], "gui", few_probes=few).orderBy("_geom_key").collect()
+        assert [r.status for r in found] == want
+
+
 def test_chunks_with_null_geometries(spark):
     def features(wkts):
         df = spark.createDataFrame(list(enumerate(wkts)), "_fid long, wkt string")

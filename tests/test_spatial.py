@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import codec, predicates
 from strandline.functions import geometry as geo
-from strandline.operators import spatial
+from strandline.operators import geojoin, spatial
 
 
 def frame(spark, texts, name):
@@ -64,15 +64,86 @@ def test_undecidable_pairs_are_reported(spark):
         (0, 0, "unsupported"), (0, 1, "unsupported"), (1, 0, "contains"), (1, 1, "unsupported")]
 
 
-def test_coordinates_without_end_match_nothing(spark):
+def test_coordinates_without_end_are_reported(spark):
     held = frame(spark, [box(0, 0, 9, 9), "POINT (1 1)", box(-1e200, -1e200, 3e200, 3e200)], "o")
     wide = held.withColumn("bbox", F.when(F.col("o") == 1, F.struct(*[
         F.lit(float(v)).alias(n) for n, v in (("xmin", "-inf"), ("ymin", 0), ("xmax", "inf"), ("ymax", "nan"))]))
         .otherwise(geo.geom_bbox("geometry")))
-    sought = frame(spark, ["POINT (1 1)", "POINT EMPTY"], "i")
-    for few in (False, True):
-        pairs = spatial.containment_join(wide, sought, ["o"], ["i"], container_box="bbox", few_probes=few)
-        assert sorted((r.o, r.i) for r in pairs.collect()) == [(0, 0), (2, 0)]
+    sought = frame(spark, ["POINT (1 1)", "POINT EMPTY", "POINT (1e999 1)", "LINESTRING (0 0, 1 -1e999)"], "i")
+    pairs = spatial.containment_join(wide, sought, ["o"], ["i"], container_box="bbox")
+    assert sorted(map(tuple, pairs.collect()), key=repr) == [
+        (0, 0, "contains"), (1, None, "unsupported"), (2, 0, "contains"), (None, 2, "unsupported"), (None, 3, "unsupported")]
+    few = spatial.containment_join(wide, sought.limit(2), ["o"], ["i"], container_box="bbox", few_probes=True)
+    assert {(0, 0, "contains"), (2, 0, "contains")} <= set(map(tuple, few.collect()))
+    found = spatial.contained(sought, wide, ["i"], container_box="bbox")
+    assert sorted(map(tuple, found.collect())) == [(0, "contains"), (2, "unsupported"), (3, "unsupported")]
+
+
+def test_contained_equals_brute_force(spark):
+    outers = shapes(11, 90) + ["GEOMETRYCOLLECTION (POLYGON ((70 70, 90 70, 90 90, 70 70)))", "POINT (1 1)",
+                               "POLYGON ((-9 0, 0 -9, 9 0, 0 9, -9 0))", "POLYGON ((-9 30, -9 39, 9 39, 0 35, 9 30, -9 30))"]
+    inners = shapes(12, 150) + ["POINT (1 1)"] * 20 + ["POINT (75 72)", box(-2, -2, 3, 4), box(-8, 34, 3, 2), box(5, 31, 3, 7),
+                                                       "POLYGON ((0 0, 1 1, 0 0))"]
+    decided = [o for o in outers if not (o or "").startswith("GEOMETRYC")]
+    want = {i: "contains" for _, i in brute(decided, inners)}
+    want[len(inners) - 5] = "unsupported"
+    for stored in (None, "bbox"):
+        held = frame(spark, outers, "o")
+        held = held.withColumn("bbox", geo.geom_bbox("geometry")) if stored else held
+        found = spatial.contained(frame(spark, inners, "i"), held, ["i"], container_box=stored).collect()
+        assert {r.i: r.relation for r in found} == want and len(found) == len(want)
+    assert len(want) > 40
+    assert spatial.contained(frame(spark, inners, "i").limit(0), frame(spark, outers, "o"), ["i"]).count() == 0
+    assert spatial.contained(frame(spark, inners, "i"), frame(spark, outers, "o").limit(0), ["i"]).count() == 0
+
+
+def test_near_containers_equal_brute_force(spark):
+    rng = random.Random(9)
+
+    def jittered(spread):
+        x, y = rng.randint(0, 2), rng.randint(0, 2)
+        return box(x + rng.uniform(0, spread), y + rng.uniform(0, spread), 1, 1) if rng.random() < 0.8 else f"POINT ({x} {y})"
+    outers, inners = [jittered(0.0004) for _ in range(60)], [
+        f"POLYGON (({x} {y}, {x + 1 - d} {y}, {x + 1 - d} {y + 1 - d}, {x} {y + 1 - d}, {x} {y}))"
+        for x, y, d in ((rng.randint(0, 2) + 0.0005, rng.randint(0, 2) + 0.0005, rng.choice([0, 0.0002, 0.0008, 0.01])) for _ in range(60))]
+    pairs = brute(outers, inners)
+    want = {i for o, i in pairs if predicates.equals_within(codec.decode_wkt(outers[o]), codec.decode_wkt(inners[i]), 0.001)}
+    found = spatial.near_containers(frame(spark, inners, "i"), frame(spark, outers, "o"), "i", 0.001)
+    assert sorted(r.i for r in found.collect()) == sorted(want) and 0 < len(want) < 60
+
+
+def test_convex_outlines(spark):
+    texts = {box(0, 0, 2, 3): 1, "POLYGON ((0 0, 0 2, 2 2, 2 0, 0 0))": -1, "POLYGON ((0 0, 1 0, 2 0, 2 2, 0 0))": 1,
+             "POLYGON ((0 0, 4 0, 4 4, 2 1, 0 0))": 0, "POLYGON ((0 0, 4 0, 1 3, 2 -2, 4 3, 0 0))": 0, "POLYGON ((0 0, 2 2, 0 0))": 0,
+             "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0)))": 0, "POLYGON ((0 0, 9 0, 9 9, 0 0), (5 1, 6 1, 6 2, 5 1))": 0, "POINT (1 1)": 0,
+             "POLYGON ((0 0, 2 0, 3 0, 1 0, 1 2, 0 0))": 0}
+    rows = frame(spark, list(texts), "i").select("wkt", geo.geom_frame("geometry").alias("f")).collect()
+    assert {r.wkt: r.f.turn for r in rows} == texts
+
+
+PRIVATE = ["_held", "_sought", "_outer", "_inner", "_stored", "_box", "_edges", "_turn", "_walls", "_frame", "_level", "_cx", "_cy",
+           "_outer_box", "_decided", "_exact", "_id", "_geom_key", "_control", "_verdict", "key", "value", "ours", "found", "n", "relation_"]
+
+
+def test_private_names_do_not_reach_the_users(spark):
+    def odd(texts, number):
+        df = frame(spark, texts, number)
+        return df.select("*", *(F.concat(F.lit(f"{number}{c}"), number).alias(c) for c in PRIVATE))
+    outers, inners = shapes(1, 30) + ["POINT (1 1)"], shapes(2, 40) + ["POINT (1 1)"]
+    held = odd(outers, "o")
+    renamed = odd(inners, "i").withColumnsRenamed({c: f"{c}2" for c in PRIVATE if c != "_id"}).withColumnRenamed("_id", "_ID2")
+    pairs = spatial.containment_join(held, renamed, ["o", *PRIVATE], ["i", "_ID2"]).collect()
+    assert {(r.o, r.i) for r in pairs} == brute(outers, inners)
+    assert all(r[c] == f"o{c}{r.o}" for r in pairs for c in PRIVATE) and all(r._ID2 == f"i_id{r.i}" for r in pairs)
+    found = spatial.contained(odd(inners, "i"), held, ["i", *PRIVATE]).collect()
+    assert {r.i for r in found} == {i for _, i in brute(outers, inners)} and all(r[c] == f"i{c}{r.i}" for r in found for c in PRIVATE)
+    left = odd(inners, "i")
+    for out in (geojoin.geom_inner_join(left, held), geojoin.geom_anti_join(left, held), spatial.near_copies(left, held, 0.001),
+                geojoin.control_value_join(left, held, "_control").drop("status")):
+        assert out.columns == left.columns and out.count() > 0
+        assert all(r[c] == f"i{c}{r.i}" for r in out.collect() for c in PRIVATE)
+    rows = spatial.containing_rows(held, geo.wkb_from_wkt("POINT (1 1)"), ["o", *PRIVATE]).collect()
+    assert rows and all(r[c] == f"o{c}{r.o}" for r in rows for c in PRIVATE)
 
 
 def test_no_containers_or_probes(spark):
