@@ -26,6 +26,10 @@ LEVEL_STEP = 2
 FINEST_LEVEL = -20
 # Levels, below all others, of rows that have no place.
 LOST_PROBES, LOST_CONTAINERS = -5000, -5001
+# Areas of more bytes are met slab by slab: about 2,000 vertices.
+LARGE_BYTES = 32 * 1024
+# Boundary segments of a slab, on average, if they are short.
+SLAB_EDGES = 48
 # An area of less than this share of its box may be rounding.
 SOLID = 1e-6
 # Probes up to this many rows and bytes are broadcast where the caller promises few.
@@ -108,11 +112,52 @@ def _with_placeholder(cells: DataFrame, level: int) -> DataFrame:
 _KEYS = ["_level", "_cx", "_cy"]
 
 
-def _levels(held: DataFrame) -> list[int]:
-    """The grid sizes in use of ``_stored`` boxes, one number per size."""
-    box = F.col("_stored")
-    used = held.where(box.isNotNull() & ~F.coalesce(endless(box), F.lit(True))).select(grid_level(box).alias("level")).distinct()
-    return sorted(r.level for r in used.collect() if r.level is not None) or [FINEST_LEVEL]
+def _levels(held: DataFrame) -> tuple[list[int], bool]:
+    """The grid sizes in use of ``_stored`` boxes, one number per size, and whether any container is large."""
+    box, large = F.col("_stored"), F.octet_length("_outer") > LARGE_BYTES
+    used = held.where(box.isNotNull() & ~F.coalesce(endless(box), F.lit(True))).groupBy(grid_level(box).alias("level")).agg(
+        F.max(large).alias("large")).collect()
+    return sorted(r.level for r in used if r.level is not None) or [FINEST_LEVEL], any(r.large for r in used)
+
+
+def _is_large() -> Column:
+    """Whether a container with ``_edges`` is an area that is met slab by slab."""
+    return F.col("_edges").isNotNull() & (F.octet_length("_outer") > LARGE_BYTES)
+
+
+def points_in_slabs(points: DataFrame, areas: DataFrame, levels: list[int]) -> DataFrame:
+    """``_point, _area``: points (``_point``, ``_box``) strictly inside areas (``_area``, ``_box``, ``_edges``).
+
+    The boundary of an area is dealt to slabs of its height, about as many as it has segments over SLAB_EDGES, fewer if
+    the segments are tall, so that a segment lies in few of them. A point whose box fits meets the segments of its slab only;
+    how often they cross the line to its right, and whether it lies on one, is summed by pair. So no boundary travels whole.
+    """
+    box = F.col("_box")
+    height = box.ymax - box.ymin
+    reach = F.aggregate("_edges", F.lit(0.0), lambda total, e: total + F.abs(e.y2 - e.y1))
+    slabs = F.when(height > 0, F.least(F.size("_edges") / SLAB_EDGES, F.size("_edges") / (reach / height))).otherwise(1.0)
+    areas = areas.withColumn("_slabs", F.greatest(F.floor(slabs), F.lit(1)).cast("long"))
+
+    def slab(y: Column, low: Column, tall: Column, number: Column) -> Column:
+        return F.when(tall > 0, F.least(F.floor((y - low) / tall * number), number - 1)).otherwise(0).cast("long")
+
+    segments = areas.select("_area", "_slabs", box.ymin.alias("_low"), height.alias("_tall"), F.explode("_edges").alias("e"))
+    bounds = [slab(f("e.y1", "e.y2"), F.col("_low"), F.col("_tall"), F.col("_slabs")) for f in (F.least, F.greatest)]
+    segments = segments.select("_area", F.explode(F.sequence(*bounds)).alias("_slab"), "e.x1", "e.y1", "e.x2", "e.y2")
+    places = container_cells(areas.drop("_edges")).withColumnRenamed("_box", "_outer_box")
+    near = skew_join(probe_cells(points.select("_point", "_box"), levels), places, _KEYS, "inner")
+    outer = F.col("_outer_box")
+    near = near.where(_fits(outer, box)).select(
+        "_point", "_area", box.xmin.alias("x"), box.ymin.alias("y"),
+        slab(box.ymin, outer.ymin, outer.ymax - outer.ymin, F.col("_slabs")).alias("_slab"))
+    met = skew_join(near, segments, ["_area", "_slab"], "inner")
+    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2"))
+    on = (((x - x1) * (y2 - y1) - (y - y1) * (x2 - x1) == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2))
+          & y.between(F.least(y1, y2), F.greatest(y1, y2)))
+    crossing = F.when((y1 > y) != (y2 > y), x < (x2 - x1) * (y - y1) / F.when(y1 != y2, y2 - y1) + x1).otherwise(False)
+    sums = met.select("_point", "_area", on.alias("on"), crossing.cast("int").alias("crosses")).groupBy("_point", "_area").agg(
+        F.max("on").alias("on"), F.sum("crosses").alias("crosses"))
+    return sums.where(~F.col("on") & (F.col("crosses") % 2 == 1)).select("_point", "_area")
 
 
 def _fits(outer: Column, box: Column) -> Column:
@@ -126,8 +171,8 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
 
     ``relation`` is ``contains``, or ``unsupported`` where the boxes allow
     containment but the pair of types cannot be decided; it is never silently
-    dropped. Points in polygons are decided natively, other pairs in Arrow
-    batches. A container or a probe with a coordinate without end comes out once, alone (the other side null), as
+    dropped. Points in polygons are decided natively, against the segments of their slab
+    where the polygon is large; other pairs in Arrow batches. A container or a probe with a coordinate without end comes out once, alone (the other side null), as
     ``unsupported``; one without any box is in no pair. ``few_probes`` promises a probe
     table of bounded size (a sample): if it is, it is broadcast, which spares the
     containers their shuffle, and with ``container_box`` its extent reaches their scan. ``container_cols``
@@ -150,8 +195,19 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     if not container_box:  # both the levels and the join need the boxes
         held = _framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored")
         held = held if few_probes else write_through(held, "boxes")  # few probes are not worth a copy of the containers
-    levels = _levels(held)
+    levels, large = _levels(held)
     held = _framed(held, "_outer", "_stored", edges=not few_probes)
+    in_large = None
+    if large and not few_probes:
+        areas = write_through(held.where(_is_large()).select(
+            "_held", "_outer", "_box", "_edges", F.monotonically_increasing_id().alias("_area")), "large")
+        points = write_through(sought.where(is_point(F.col("_inner"))).select(
+            "_sought", "_inner", "_box", F.monotonically_increasing_id().alias("_point")), "points")
+        in_large = skew_join(skew_join(points_in_slabs(points, areas, levels), points.drop("_box"), ["_point"], "inner"),
+                             areas.select("_held", *(["_outer"] if keep_geometry else []), "_area"), ["_area"], "inner")
+        held = held.withColumn("_large", _is_large()).withColumn("_edges", F.when(~F.col("_large"), F.col("_edges")))
+    else:
+        held = held.withColumn("_large", F.lit(False))
     if few_probes:  # few candidates remain, so decoding every container would cost more than it saves
         held = held.withColumn("_edges", F.lit(None).cast(EDGES_TYPE))
     held = held.drop("_stored", "_turn")
@@ -167,8 +223,8 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     native = F.when(outer_point, F.col("_outer") == F.col("_inner")).otherwise(
         point_in_edges(box.xmin, box.ymin, edges))
     # One condition of the join, cheapest test first; pairs it decides need no second look.
-    pairs = pairs.where(F.when(lost, F.lit(True)).when(_fits(F.col("_outer_box"), box), F.when(decided, native).otherwise(F.lit(True)))
-                        .otherwise(F.lit(False)))
+    test = F.when(decided, native).otherwise(~(point & F.coalesce("_large", F.lit(False))))  # large ones meet points elsewhere
+    pairs = pairs.where(F.when(lost, F.lit(True)).when(_fits(F.col("_outer_box"), box), test).otherwise(F.lit(False)))
     pairs = pairs.withColumn("_decided", F.coalesce(decided, F.lit(False)))
     # Decided pairs travel to Python as nulls.
     pairs = pairs.withColumn("_exact", once(geom_contains)(
@@ -176,9 +232,12 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     relation = (F.when(F.col("_decided") | F.col("_exact"), "contains")
                 .when(F.col("_exact").isNull(), "unsupported"))
     kept = [F.col("_outer").alias("container_geometry"), F.col("_inner").alias("probe_geometry")]
-    return (pairs.withColumn("relation", relation).where(F.col("relation").isNotNull())
-            .select(*_unpacked(container_cols, "_held"), *_unpacked(probe_cols, "_sought"), "relation",
-                    *(kept if keep_geometry else [])))
+    pairs = pairs.withColumn("_relation", relation).where(F.col("_relation").isNotNull())
+    shown = [*_unpacked(container_cols, "_held"), *_unpacked(probe_cols, "_sought"), F.col("_relation").alias("relation"),
+             *(kept if keep_geometry else [])]
+    if in_large is None:
+        return pairs.select(*shown)
+    return pairs.select(*shown).unionAll(in_large.withColumn("_relation", F.lit("contains")).select(*shown))
 
 
 def contained(probes: DataFrame, containers: DataFrame, probe_cols: list[str], geometry: str = "geometry",
@@ -193,10 +252,17 @@ def contained(probes: DataFrame, containers: DataFrame, probe_cols: list[str], g
     held = containers.select(F.col(geometry).alias("_outer"), *([F.col(container_box).alias("_stored")] if container_box else []))
     if not container_box:
         held = write_through(_framed(held, "_outer", None, edges=False).withColumnRenamed("_box", "_stored"), "boxes")
-    levels = _levels(held)
-    held = container_cells(_framed(held.where(~F.coalesce(endless(F.col("_stored")), F.lit(False))), "_outer", "_stored", edges=True)
-                           .drop("_stored"))
-    held = held.withColumnRenamed("_box", "_outer_box")
+    levels, large = _levels(held)
+    held = _framed(held.where(~F.coalesce(endless(F.col("_stored")), F.lit(False))), "_outer", "_stored", edges=True).drop("_stored")
+    areas = None
+    if large:
+        areas = write_through(held.where(_is_large()).select(
+            "_box", "_edges", F.monotonically_increasing_id().alias("_area")), "large")
+        held = held.withColumn("_large", _is_large()).withColumn("_edges", F.when(~F.col("_large"), F.col("_edges")))
+        held = held.withColumn("_turn", F.when(F.col("_large"), 0).otherwise(F.col("_turn")))
+    else:
+        held = held.withColumn("_large", F.lit(False))
+    held = container_cells(held).withColumnRenamed("_box", "_outer_box")
     sought = probes.select(_packed(probe_cols, "_sought"), F.col(geometry).alias("_inner"), F.monotonically_increasing_id().alias("_id"))
     sought = _framed(sought, "_inner", None, edges=True).withColumnRenamed("_edges", "_walls").drop("_turn")
     sought = write_through(sought, "probes")  # read three times
@@ -208,11 +274,14 @@ def contained(probes: DataFrame, containers: DataFrame, probe_cols: list[str], g
     solid = double_area(walls, box) > SOLID * (box.xmax - box.xmin) * (box.ymax - box.ymin)
     in_convex = (turn != 0) & (F.size(walls) > 0) & solid & vertices_in_convex("_walls", "_edges", turn)
     native = F.when(_fits(F.col("_outer_box"), box), F.when(settled, in_point).otherwise(F.coalesce(in_convex, F.lit(False)))).otherwise(F.lit(False))
-    found = write_through(skew_join(probe_cells(sought, levels), held, _KEYS, "left_semi", condition=native)
-                          .select("_id").distinct(), "contained")
+    found = skew_join(probe_cells(sought, levels), held, _KEYS, "left_semi", condition=native).select("_id")
+    if areas is not None:
+        points = sought.where(point).select(F.col("_id").alias("_point"), "_box")
+        found = found.unionAll(points_in_slabs(points, areas, levels).select("_point"))
+    found = write_through(found.distinct(), "contained")
     rest = skew_join(sought, found, ["_id"], "left_anti")
     pairs = skew_join(probe_cells(rest.drop("_walls"), levels), held.drop("_turn"), _KEYS, "inner")
-    pairs = pairs.where(_fits(F.col("_outer_box"), box) & ~F.coalesce(settled, F.lit(False)))
+    pairs = pairs.where(_fits(F.col("_outer_box"), box) & ~F.coalesce(settled | (point & F.col("_large")), F.lit(False)))
     pairs = pairs.select("_id", once(geom_contains)("_outer", "_inner").alias("_exact"))
     lost = rest.where(endless(F.col("_box"))).select("_id", F.lit(None).cast("boolean").alias("_exact"))
     best = pairs.where("_exact or _exact is null").unionByName(lost).groupBy("_id").agg(F.max("_exact").alias("_exact"))

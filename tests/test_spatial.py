@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import pytest
@@ -97,6 +98,33 @@ def test_contained_equals_brute_force(spark):
     assert spatial.contained(frame(spark, inners, "i"), frame(spark, outers, "o").limit(0), ["i"]).count() == 0
 
 
+def rugged(seed, x, y, n, tall=False):
+    """A polygon of many vertices around a place: rugged, or of tall narrow teeth."""
+    rng = random.Random(seed)
+    if tall:
+        teeth = [p for i in range(n) for p in ((x + i / n * 8, y), (x + (i + 0.5) / n * 8, y + 6 + rng.random()))]
+        return f"POLYGON (({x} {y - 1}, {x + 8} {y - 1}, " + ", ".join(f"{a} {b}" for a, b in reversed(teeth)) + f", {x} {y - 1}))"
+    points = [(x + (4 + rng.random()) * math.cos(2 * math.pi * i / n), y + (4 + rng.random()) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    hole = f", ({x} {y}, {x + 1} {y}, {x + 1} {y + 1}, {x} {y})"
+    return "POLYGON ((" + ", ".join(f"{a} {b}" for a, b in [*points, points[0]]) + f"){hole})"
+
+
+def test_slabs_give_the_same_as_whole_boundaries(spark, monkeypatch):
+    outers = shapes(21, 50) + [rugged(1, 0, 0, 700), rugged(2, 3, 3, 90, tall=True), rugged(3, -5, 2, 40), box(-3, 5, 6, 2),
+                               "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0)), ((9 9, 12 9, 12 12, 9 9)))", "POLYGON ((0 0, 5 0, 0 0))"]
+    rng = random.Random(5)
+    inners = shapes(22, 80) + [f"POINT ({rng.uniform(-8, 12)} {rng.uniform(-8, 12)})" for _ in range(150)] + ["POINT (2 7)", "POINT (1 2)"]
+    pairs, want = brute(outers, inners), {i for _, i in brute(outers, inners)}
+    for bytes_, edges in ((100, 1), (100, 7), (3000, 48), (1 << 20, 48)):
+        monkeypatch.setattr(spatial, "LARGE_BYTES", bytes_)
+        monkeypatch.setattr(spatial, "SLAB_EDGES", edges)
+        held, sought = frame(spark, outers, "o"), frame(spark, inners, "i")
+        found = spatial.containment_join(held, sought, ["o"], ["i"], keep_geometry=edges == 7).collect()
+        assert {(r.o, r.i) for r in found} == pairs and len(found) == len(pairs)
+        assert {r.i for r in spatial.contained(sought, held, ["i"]).collect()} == want
+    assert len(want) > 100
+
+
 def test_near_containers_equal_brute_force(spark):
     rng = random.Random(9)
 
