@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,6 +143,17 @@ def parquet_append_by_source(spark, sf):
     return datasets.read_by_source(spark, path).select("_fid", "gui", "source_stem")
 
 
+@query(with_clause("feat") + """
+SELECT _fid, CASE WHEN _source_file LIKE 'IT%' THEN gui || '-again' ELSE gui END AS gui, replace(_source_file, '.shp', '') AS source_stem
+FROM feat""")
+def parquet_put_by_source(spark, sf):
+    path = scratch_path(spark, "put-by-source")
+    source = view(spark, sf, "feat").select("_source_file", "_fid", "gui")
+    datasets.put_sources(source, path)
+    datasets.put_sources(source.where("_source_file like 'IT%'").withColumn("gui", F.concat("gui", F.lit("-again"))), path)
+    return datasets.read_sources(spark, path).select("_fid", "gui", "source_stem")
+
+
 @query(with_clause("pts", "feat") + """
 SELECT '1.1.0' AS version, 'WKB' AS encoding, 4326 AS srid,
        min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax
@@ -787,6 +800,42 @@ def partition_map(spark, sf):
     return rows.join(placed, same).select("l_orderkey", "l_linenumber", "place", "of_all")
 
 
+#: Rows of a streamed partition, on average.
+STREAM_ROWS = 10_000
+
+
+def _running_lines(part, frames):
+    """Lines of each order and of all orders so far in a partition that is sorted by order; one order stays open."""
+    order, lines, total = None, 0, 0
+    for frame in frames:
+        counts = frame.groupby("l_orderkey", sort=False).size()
+        keys, n = counts.index.to_numpy(), counts.to_numpy().copy()
+        if order is not None and len(keys):
+            if keys[0] == order:
+                n[0] += lines
+            else:
+                keys, n = np.r_[order, keys], np.r_[lines, n]
+        if len(keys):
+            order, lines = keys[-1], n[-1]
+            so_far = total + np.cumsum(n)
+            yield pd.DataFrame({"part": part, "l_orderkey": keys[:-1], "n_lines": n[:-1], "running_lines": so_far[:-1]})
+            total = so_far[-1] - lines
+    if order is not None:
+        yield pd.DataFrame({"part": [part], "l_orderkey": [order], "n_lines": [lines], "running_lines": [total + lines]})
+
+
+@query(f"""
+WITH orders_in AS (SELECT l_orderkey % (SELECT count(*) // {STREAM_ROWS} + 1 FROM lineitem) AS part, l_orderkey, count(*) AS n_lines
+                   FROM lineitem GROUP BY l_orderkey)
+SELECT CAST(part AS INTEGER) AS part, l_orderkey, n_lines,
+       CAST(sum(n_lines) OVER (PARTITION BY part ORDER BY l_orderkey) AS BIGINT) AS running_lines FROM orders_in""")
+def partition_stream(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_orderkey")
+    parts = rows.count() // STREAM_ROWS + 1  # as many as the rows ask for
+    dealt = rows.repartitionById(parts, (F.col("l_orderkey") % parts).cast("int")).sortWithinPartitions("l_orderkey")
+    return gate.stream_partitions(dealt, _running_lines, "part int, l_orderkey long, n_lines long, running_lines long")
+
+
 _BAD = "_fid % 11 = 5 AND CAST(substr(_source_file, 3, 4) AS INT) % 3 = 0"
 
 

@@ -7,9 +7,11 @@ so a table that comes straight from footers or headers is best written first.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,8 @@ def concat_by_name(tables: dict[str, DataFrame] | list[DataFrame]) -> tuple[Data
             continue
         seen.update(table.dtypes)
         kept.append(table)
+    if not kept:
+        raise ValueError("no tables to concatenate")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept), left_out
 
 
@@ -102,3 +106,17 @@ def map_partitions(df: DataFrame, fn, schema: str) -> DataFrame:
             frame = pd.concat(held, ignore_index=True)
             yield fn(int(frame["_partition"].iloc[0]), frame.drop(columns="_partition"))
     return numbered.mapInPandas(run, schema)
+
+
+def stream_partitions(df: DataFrame, fn: Callable[[int, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """Apply ``fn(partition_number, frames)`` once to each partition, whose frames come one Arrow batch at a time.
+
+    ``fn`` yields frames of ``schema`` and may carry state from one frame to the next, so a partition of any size passes
+    through bounded memory. Frames come in the order of the partition and have
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows at most: no result may depend on where they are cut. Partitions
+    keep their number if ``df`` was dealt with a number of partitions (``repartition(n)``, ``repartitionById``).
+    A partition without rows has no frames.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(TaskContext.get().partitionId(), batches)
+    return df.mapInPandas(run, schema)

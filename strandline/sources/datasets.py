@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException, UnsupportedOperationException
@@ -120,6 +122,60 @@ def read_by_source(spark: SparkSession, path: str, schema: T.StructType | None =
     return spark.read.schema(T.StructType([*kept, T.StructField("source_stem", T.StringType())])).parquet(path)
 
 
+# Folders of a dataset of versions, hidden from plain reads: which sources a put wrote, and which puts count.
+ENTRIES, COMMITS = "_entries", "_commits"
+_ENTRY_SCHEMA, _COMMIT_SCHEMA = "source_stem string, source_put string", "number long, source_put string"
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log of a dataset; without rows where it is not there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if not _is_absent(err):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def put_sources(df: DataFrame, path: str, source: str = "_source_file", put: str | None = None) -> None:
+    """Write sources into a dataset of versions; a source that was there before is replaced as a whole.
+
+    Rows go to a folder of this put, ``source_put=…/source_stem=…``, which nobody reads until the last step: one row, in one
+    file, that commits it. So running it again gives the rows once, a run that fails leaves the version before it in place,
+    and nothing is renamed or deleted. ``put`` names the put; it must be new. Sources without rows are not seen.
+    """
+    spark, put = df.sparkSession, put or uuid.uuid4().hex
+    folder = f"{path}/source_put={put}"
+    keyed = df.withColumn("source_stem", stem(F.col(source))).hint("rebalance", F.col("source_stem"))
+    keyed.write.mode("errorifexists").partitionBy("source_stem").parquet(folder)
+    stems = T.StructType([*df.schema, T.StructField("source_stem", T.StringType())])
+    written = spark.read.schema(stems).parquet(folder).select("source_stem").distinct()
+    written.withColumn("source_put", F.lit(put)).write.mode("append").parquet(f"{path}/{ENTRIES}")
+    number = _log(spark, f"{path}/{COMMITS}", _COMMIT_SCHEMA).agg(F.coalesce(F.max("number"), F.lit(0)) + 1)
+    commit = number.toDF("number").select("number", F.lit(put).alias("source_put"))
+    write_through(commit, "commit").coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
+
+
+def source_versions(spark: SparkSession, path: str) -> DataFrame:
+    """``source_stem, source_put, number``: the version of each source that counts, the last one committed."""
+    commits = _log(spark, f"{path}/{COMMITS}", _COMMIT_SCHEMA)
+    entries = _log(spark, f"{path}/{ENTRIES}", _ENTRY_SCHEMA).join(commits, "source_put")
+    last = entries.groupBy("source_stem").agg(F.max(F.struct("number", "source_put")).alias("last"))
+    return last.select("source_stem", F.col("last.source_put").alias("source_put"), F.col("last.number").alias("number"))
+
+
+def read_sources(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The last committed version of every source of a dataset written by ``put_sources``, with ``source_stem``.
+
+    The columns are those that any file has; folders that no source's version lies in are pruned by the join.
+    """
+    schema = schema or dataset_columns(write_through(footer_columns(parquet_sizes(spark, path)), "footers"))
+    place = ["source_put", "source_stem"]
+    kept = T.StructType([f for f in schema.fields if f.name not in place])
+    rows = spark.read.schema(T.StructType([*kept, *(T.StructField(c, T.StringType()) for c in place)])).parquet(path)
+    return rows.join(source_versions(spark, path).drop("number"), place, "left_semi").drop("source_put")
+
+
 def _is_absent(err: AnalysisException) -> bool:
     return err.getCondition() == "PATH_NOT_FOUND"
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -331,3 +332,30 @@ def test_partition_map_bounds_the_rows_of_a_partition(spark, tmp_path, monkeypat
     assert held and max(held) <= 600
     of = {s: [m[3] for m in made if m[2] == s] for s in (1, 2)}
     assert out == {m[0]: (1 + sum(p > m[3] for p in of[m[2]]), len(of[m[2]])) for m in made}
+
+
+@pytest.mark.parametrize("rows_at_once", [1, 7, 10_000])
+def test_streamed_partitions_carry_state(spark, rows_at_once):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def counted(part, frames):
+        seen, total = 0, 0
+        for frame in frames:
+            assert len(frame) <= rows_at_once
+            seen, total = seen + len(frame), total + int(frame["v"].sum())
+        if seen:
+            yield pd.DataFrame({"part": [part], "n": [seen], "total": [total]})
+    try:
+        spark.conf.set(name, rows_at_once)
+        df = spark.range(100).select(F.col("id").alias("v"), (F.col("id") % 3).cast("int").alias("p"))
+        found = gate.stream_partitions(df.repartitionById(5, "p"), counted, "part int, n long, total long").collect()
+        assert sorted(map(tuple, found)) == [(p, len(range(p, 100, 3)), sum(range(p, 100, 3))) for p in range(3)]
+        assert gate.stream_partitions(df.limit(0), counted, "part int, n long, total long").count() == 0
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_no_tables_to_concatenate():
+    with pytest.raises(ValueError, match="no tables"):
+        gate.concat_by_name([])

@@ -221,6 +221,43 @@ def test_append_by_source_keeps_odd_names(spark, tmp_path):
     assert {r.source_stem for r in back.collect()} == {"0001", "a+b c%", "x=y"}
 
 
+def test_a_source_put_again_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "d")
+
+    def put(items, **kwargs):
+        datasets.put_sources(spark.createDataFrame(items, "_source_file string, _fid long"), path, **kwargs)
+
+    def held():
+        return rows(datasets.read_sources(spark, path).select("source_stem", "_fid"))
+    put([("0001.shp", 1), ("0001.shp", 2), ("b c%.shp", 3)])
+    assert held() == [("0001", 1), ("0001", 2), ("b c%", 3)]
+    put([("0001.shp", 1), ("0001.shp", 2), ("b c%.shp", 3)])
+    assert held() == [("0001", 1), ("0001", 2), ("b c%", 3)]  # the same run twice
+    put([("0001.shp", 9), ("x=y.shp", 4)])
+    assert held() == [("0001", 9), ("b c%", 3), ("x=y", 4)]
+    assert rows(datasets.source_versions(spark, path).select("source_stem", "number")) == [("0001", 3), ("b c%", 2), ("x=y", 3)]
+    put([])
+    assert len(held()) == 3
+
+
+def test_a_put_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    one, two = (spark.createDataFrame([("a.shp", i)], "_source_file string, _fid long") for i in (1, 2))
+    datasets.put_sources(one, path)
+    broken = two.withColumn("_fid", F.when(F.col("_fid") == 2, F.raise_error(F.lit("no"))).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        datasets.put_sources(broken, path)
+    with monkeypatch.context() as patched:  # all written, not committed
+        patched.setattr(datasets, "write_through", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            datasets.put_sources(two, path)
+    assert [r._fid for r in datasets.read_sources(spark, path, one.schema).collect()] == [1]
+    datasets.put_sources(two, path)
+    assert [r._fid for r in datasets.read_sources(spark, path).collect()] == [2]
+    with pytest.raises(Exception):
+        datasets.put_sources(one, path, put="x"), datasets.put_sources(one, path, put="x")
+
+
 def test_columns_of_all_files_are_read(spark, tmp_path):
     path = str(tmp_path / "d")
     datasets.append_by_source(spark.createDataFrame([("a.shp", 1)], "_source_file string, _fid long"), path)
