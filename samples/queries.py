@@ -177,6 +177,15 @@ def geoparquet_consolidate(spark, sf):
     return geoparquet.geoparquet_scan(spark, target).select("_fid", "gui", F.hex("geometry").alias("wkb"))
 
 
+@query(with_clause("pts", "feat") + f"""
+SELECT _fid, gui, {HEX} AS wkb FROM feat JOIN pts USING (_fid) WHERE wkt IS NOT NULL AND lon BETWEEN -20 AND 35.5 AND lat BETWEEN -10 AND 41""")
+def geoparquet_window(spark, sf):
+    target = scratch_path(spark, "consolidated")
+    geoparquet.consolidate(spark, write_parts(spark, sf), target, file_bytes=16_000)
+    found = geoparquet.geoparquet_scan(spark, target, window=(-20, -10, 35.5, 41))
+    return found.select("_fid", "gui", F.hex("geometry").alias("wkb"))
+
+
 def layer_features(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return datasets.layer_ingest(orders, "orders", fid="o_orderkey")

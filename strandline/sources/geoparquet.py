@@ -18,13 +18,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from strandline.functions.geometry import bbox_batch, crs_of, geom_bbox, set_crs
+from strandline.functions.geometry import BBOX_TYPE, bbox_batch, crs_of, geom_bbox, set_crs
 from strandline.operators.columns import lowercase_columns
 from strandline.sources.datasets import TARGET_FILE_BYTES, parquet_sizes, spread
 from strandline.sources.files import object_store_options, resolve
@@ -252,16 +252,44 @@ def dataset_crs(spark: SparkSession, *paths: str, options: dict[str, str] | None
     return (systems[0].column, systems[0].code) if systems and systems[0].column else None
 
 
-def geoparquet_scan(spark: SparkSession, *paths: str) -> DataFrame:
+def box_index(spark: SparkSession, *paths: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``path, bbox`` per file: the extent its footer names, null where it names none of four numbers."""
+    box = F.from_json(F.expr("get_json_object(geo, concat('$.columns.', get_json_object(geo, '$.primary_column'), '.bbox'))"), "array<double>")
+    found = geo_footers(spark, *paths, options=options).select("path", box.alias("b"))
+    sides = F.struct(*(F.col("b")[i].alias(name) for i, name in enumerate(BBOX_TYPE.names)))
+    return found.select("path", F.when((F.size("b") == 4) & ~F.exists("b", lambda v: v.isNull()), sides).alias("bbox"))
+
+
+def meets(box: Column, window: tuple[float, float, float, float]) -> Column:
+    """Whether a box has a point of a window (xmin, ymin, xmax, ymax); boundaries count."""
+    xmin, ymin, xmax, ymax = map(float, window)
+    return (box.xmin <= xmax) & (box.xmax >= xmin) & (box.ymin <= ymax) & (box.ymax >= ymin)
+
+
+def geoparquet_scan(spark: SparkSession, *paths: str, window: tuple[float, float, float, float] | None = None) -> DataFrame:
     """GeoParquet parts as one table with lower-case names and the CRS that all footers name.
 
-    Paths may be those of an object store, as ``object_store_scan`` takes them.
+    ``window`` (xmin, ymin, xmax, ymax) leaves the rows whose box meets it. Files whose footers name an extent away from it
+    are not opened; in the others the stored ``bbox`` column, if there is one, prunes row groups, else boxes are found from
+    the geometries. Rows without a box (null, empty) meet no window. The names of the files that are opened reach the driver,
+    as those of any scan do. Paths may be those of an object store, as ``object_store_scan`` takes them.
     """
     resolved = [object_store_options(p) for p in paths]
     options = {k: v for _, o in resolved for k, v in o.items()}
     paths = [p for p, _ in resolved]
-    df = lowercase_columns(spark.read.options(**options).parquet(*paths))
     crs = dataset_crs(spark, *paths, options=options)
+    if window is None:
+        df = lowercase_columns(spark.read.options(**options).parquet(*paths))
+    else:
+        index = box_index(spark, *paths, options=options)
+        near = [r.path for r in index.where(F.col("bbox").isNull() | meets(F.col("bbox"), window)).select("path").collect()]
+        whole = spark.read.options(**options).parquet(*paths)
+        if len(paths) == 1 and len(near) != 1:  # folders named after values stay columns
+            options["basePath"] = paths[0]
+        df = lowercase_columns(spark.read.options(**options).schema(whole.schema).parquet(*near) if near else whole.where(F.lit(False)))
+        geometry = crs[0].lower() if crs else "geometry"
+        box = F.col("bbox") if "bbox" in df.columns else geom_bbox(geometry)
+        df = df.where(meets(box, window))
     return set_crs(df, crs[1], crs[0].lower()) if crs and crs[1] else df
 
 

@@ -210,6 +210,28 @@ def test_consolidation_keeps_neighbours_together(spark, tmp_path):
     assert all(a[2] <= b[0] for a, b in zip(boxes, boxes[1:]))
 
 
+def test_a_window_opens_only_files_that_meet_it(spark, tmp_path):
+    target = str(tmp_path / "c")
+    geoparquet.geoparquet_write(parts(spark, 5000).repartitionByRange(10, "_fid").sortWithinPartitions("_fid"), target)
+    whole = geoparquet.geoparquet_scan(spark, target)
+    near = geoparquet.geoparquet_scan(spark, target, window=(1200.5, 0, 1300, 5))
+    assert sorted(r._fid for r in near.collect()) == list(range(1201, 1301)) and geo.crs_of(near) == 4326
+    read, there = (sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles()) for df in (near, whole))
+    assert len(whole.inputFiles()) == 10 and len(near.inputFiles()) == 1 and read < there / 5
+    assert "LessThanOrEqual(bbox.xmin,1300.0)" in near._jdf.queryExecution().toString()  # reaches the row groups
+    edge = geoparquet.geoparquet_scan(spark, target, window=(499, 1, 500, 1))
+    assert sorted(r._fid for r in edge.collect()) == [499, 500] and len(edge.inputFiles()) == 2
+    none = geoparquet.geoparquet_scan(spark, target, window=(0, 2, 9, 3))
+    assert none.count() == 0 and none.columns == whole.columns
+    bare = str(tmp_path / "bare dir%")
+    geoparquet.geoparquet_write(parts(spark, 100).drop("bbox").unionByName(spark.createDataFrame(
+        [(100, None)], "_fid long, geometry binary")).repartition(2), bare)
+    assert sorted(r._fid for r in geoparquet.geoparquet_scan(spark, bare, window=(5, 0, 7, 9)).collect()) == [5, 6, 7]
+    plain = str(tmp_path / "plain")
+    parts(spark, 30).write.parquet(plain)  # no footers: every file is opened
+    assert geoparquet.geoparquet_scan(spark, plain, window=(5, 0, 7, 9)).count() == 3
+
+
 # ---------------------------------------------------------------- other datasets
 
 def test_append_by_source_keeps_odd_names(spark, tmp_path):
