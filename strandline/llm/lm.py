@@ -15,7 +15,7 @@ from .text import mix64, utf8_list
 
 #: Bytes of text in a bucket, whose part of the model one task holds, and of the corpus in a shard of the counts.
 BUCKET_BYTES = 4 << 20
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 #: Neither is a word: words hold no white space.
 END, START = b"\n", b" "
 WORDS, BIGRAMS = 0, 1
@@ -142,30 +142,25 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     starts = xxhash.xxh3_64_intdigest(START)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
-        out = []
-        for kind in (WORDS, BIGRAMS):
-            part = table.filter(pa.compute.equal(table.column("kind"), kind))
-            if not part.num_rows:
-                continue
-            keys = [np.frombuffer(x, np.uint64) for x in part.column("keys").to_pylist()]
-            counts = np.concatenate([_unpack(x) for x in part.column("counts").to_pylist()])
-            different, place = np.unique(np.concatenate(keys), return_inverse=True)
-            totals = np.bincount(place, counts, len(different)).astype(np.int64)
-            ends = np.cumsum([0, *map(len, keys)])
-            each = totals[place]
-            out += [(bucket, key[0].as_py(), kind, _pack(each[a:b]), 0, 0, 0) for bucket, a, b in
-                    zip(part.column("bucket").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            if kind == WORDS:
-                token = different != np.uint64(starts)
-                out.append((-1, key[0].as_py(), -1, b"", int(totals[token].sum()), int((totals[token] > 0).sum()),
-                            int(totals[~token].sum())))
+        shard, kind = (k.as_py() for k in key)
+        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        counts = np.concatenate([_unpack(x) for x in table.column("counts").to_pylist()])
+        different, place = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = np.bincount(place, counts, len(different)).astype(np.int64)
+        ends = np.cumsum([0, *map(len, keys)])
+        each = totals[place]
+        out = [(bucket, shard, kind, _pack(each[a:b]), 0, 0, 0) for bucket, a, b in
+               zip(table.column("bucket").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        if kind == WORDS:
+            token = different != np.uint64(starts)
+            out.append((-1, shard, -1, b"", int(totals[token].sum()), int((totals[token] > 0).sum()), int(totals[~token].sum())))
         names = ("bucket", "shard", "kind", "totals", "n_tokens", "n_words", "n_texts")
         return pa.table(dict(zip(names, map(list, zip(*out, strict=True)), strict=True)), schema=pa.schema(
             [("bucket", pa.int64()), ("shard", pa.int64()), ("kind", pa.int32()), ("totals", pa.binary()),
              *((n, pa.int64()) for n in names[4:])]))
 
     sent = placed.groupBy("bucket").applyInArrow(send, _SHARD_SCHEMA)
-    replies = write_through(sent.groupBy("shard").applyInArrow(answer, _REPLY_SCHEMA), "gram-counts")
+    replies = write_through(sent.groupBy("shard", "kind").applyInArrow(answer, _REPLY_SCHEMA), "gram-counts")
     whole = replies.where("bucket = -1").agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v")).first()
     n, v = whole["n"] or 0, whole["v"] or 0
 
