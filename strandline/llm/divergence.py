@@ -22,7 +22,7 @@ FILTER_BITS = 1 << 23
 BUCKET_BITS = 32_768  # bits of one of Spark's bitmaps
 _SEED = 42  # fixed value: that of Spark's xxhash64
 #: Bytes of terms that a task counts at once before it hands them on.
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 6 << 20
 #: Pairs of one term's sources that are compared at once.
 PAIRS = 1 << 20
 
@@ -97,11 +97,11 @@ class _Unit:
         places = np.r_[0, np.cumsum(length)].astype(np.int64)
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(data[~spaces])]).dictionary_encode()
-        self.row = np.searchsorted(offsets[1:] - offsets[0], ends, side="right")
         self.words, self.word = words.dictionary, words.indices.to_numpy().astype(np.int64)
         counts = table.column(3).combine_chunks().cast(pa.large_binary())
         at = np.frombuffer(counts.buffers()[1], np.int64)[counts.offset:counts.offset + len(counts) + 1]
         self.count = np.frombuffer(counts.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].view("<i4").astype(np.int64)
+        self.row = np.repeat(np.arange(len(at) - 1), np.diff(at) // 4)
 
     def prefixes(self, width: int) -> tuple[pa.Array, np.ndarray]:
         """The distinct prefixes of the words, and the prefix of each word."""
@@ -159,18 +159,21 @@ def _filter_of(prefixes: DataFrame) -> bytes:
 _COUNTED = "lang string, term binary, docs long, total long, sources array<int>, counts array<long>"
 
 
-def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct keys in order, and the sums of the values of each."""
+def _sums(keys: np.ndarray, values: np.ndarray, below: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sums of the values of each; ``below`` all keys are, if it is given."""
+    if below is not None and below <= 4 * len(keys) and values.sum(dtype=float) < 1 << 53:  # exact as doubles
+        found = np.flatnonzero(np.bincount(keys, minlength=below))
+        return found, np.bincount(keys, values, below)[found].astype(np.int64)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)
+    return keys[starts], np.add.reduceat(values[order], starts) if len(starts) else values[:0]
 
 
 def _by_term(langs: pa.Array, terms: pa.Array, docs: np.ndarray, owner: np.ndarray, source: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """A row for each term, of whose sources ``owner`` (the row), ``source`` and ``n`` tell; sources are summed."""
     many = int(source.max(initial=0)) + 1
-    cells, n = _sums(owner * many + source, n)
+    cells, n = _sums(owner * many + source, n, len(terms) * many)
     ends = np.r_[0, np.cumsum(np.bincount(cells // many, minlength=len(terms)))]
     total = np.r_[0, np.cumsum(n)][ends]
     return pa.RecordBatch.from_arrays(
@@ -211,10 +214,12 @@ def frequent_terms(terms: DataFrame, least: int, levels: tuple[int, ...] = LEVEL
             if before:
                 found.only(*before)
             known = max(len(found.words), 1)
-            codes, of = np.unique(found.lang[found.row] * known + found.word, return_inverse=True)
+            own = found.lang[found.row] * known + found.word
+            docs = np.bincount(own, minlength=known * len(found.langs))
+            codes, number = np.flatnonzero(docs), np.cumsum(docs > 0) - 1
             yield _by_term(found.langs.take(pa.array(codes // known)).cast(pa.string()),
-                           found.words.take(pa.array(codes % known)).cast(pa.binary()), np.bincount(of, minlength=len(codes)),
-                           of, found.group[found.row], found.count)
+                           found.words.take(pa.array(codes % known)).cast(pa.binary()), docs[codes], number[own],
+                           found.group[found.row], found.count)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list[pa.RecordBatch] = []  # the term that may go on in the next batch
