@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.naming import unused
 from ..session import write_through
 from .text import in_small_batches, mix64, utf8_slices
 
@@ -191,8 +192,13 @@ def report(found: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 10,
           k: int = 5) -> DataFrame:
-    """``docs`` without the rows that share a window with a benchmark item."""
+    """``docs`` without the rows that share a window with a benchmark item; columns of any name stay as they are.
+
+    Rows with equal id and text, null ids included, go or stay together; null and empty texts stay; an empty benchmark leaves
+    all rows, an empty table has none.
+    """
+    hit_id, hit_key = unused(docs.columns, "_hit_id", "_hit_key")
     found = contaminated_words(docs, benchmark, id_col, text_col, span=span, k=k).where("size(items) > 0")
-    found = found.select(F.col("id").alias("_hit_id"), F.col("key").alias("_hit_key")).distinct()
-    same = docs[f"`{id_col}`"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[f"`{text_col}`"]) == F.col("_hit_key"))
+    found = found.select(F.col("id").alias(hit_id), F.col("key").alias(hit_key)).distinct()
+    same = docs[f"`{id_col}`"].eqNullSafe(F.col(hit_id)) & (F.xxhash64(docs[f"`{text_col}`"]) == F.col(hit_key))
     return docs.join(found, same, "left_anti")

@@ -127,6 +127,15 @@ def test_passages_equal_brute_force(spark, odd, span):
     assert clean.count() == sum(brute_hits(r["text"], named, span)[1] == 0 for r in docs.collect())
 
 
+def test_clean_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, prose(1, 30), "a", "b"), (2, "clean text", "c", "d"), (None, None, "e", "f")],
+                                 "doc_id long, text string, _hit_id string, _hit_key string")
+    benchmark = spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string")
+    kept = decontaminate.clean(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(r._hit_id for r in kept.collect()) == ["c", "e"]
+    assert decontaminate.clean(docs, benchmark.limit(0)).count() == 3
+
+
 def test_empty_tables(spark, none, odd):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated_words(none, benchmark).collect() == []
