@@ -212,7 +212,8 @@ def test_consolidation_keeps_neighbours_together(spark, tmp_path):
 
 def test_a_window_opens_only_files_that_meet_it(spark, tmp_path):
     target = str(tmp_path / "c")
-    geoparquet.geoparquet_write(parts(spark, 5000).repartitionByRange(10, "_fid").sortWithinPartitions("_fid"), target)
+    tiles = parts(spark, 5000).repartitionById(10, F.expr("cast(_fid div 500 as int)"))
+    geoparquet.geoparquet_write(tiles.sortWithinPartitions("_fid"), target)
     whole = geoparquet.geoparquet_scan(spark, target)
     near = geoparquet.geoparquet_scan(spark, target, window=(1200.5, 0, 1300, 5))
     assert sorted(r._fid for r in near.collect()) == list(range(1201, 1301)) and geo.crs_of(near) == 4326
