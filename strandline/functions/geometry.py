@@ -159,6 +159,25 @@ def _stack(parts: list[np.ndarray], width: int) -> np.ndarray:
 @F.arrow_udf(PARTS_TYPE)
 def geom_parts(wkb: pa.Array) -> pa.Array:
     """Type name and coordinate arrays of a geometry."""
+    return parts_batch(wkb)
+
+
+def parts_batch(wkb: pa.Array) -> pa.Array:
+    found = arrays.layout(wkb)
+    whole = found.ok & (found.per_row() > 0)
+    # a multipoint is one array, though its points are runs of their own
+    alone = found.kind[found.row] != codec.MULTIPOINT
+    heads = np.flatnonzero(alone | (np.diff(found.row, prepend=-1) != 0))
+    counts = np.add.reduceat(found.count, heads) if len(heads) else np.zeros(0, np.int64)
+    rings = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), _structs(found.coordinates(), ("x", "y")))
+    per_row = np.bincount(found.row[heads], minlength=len(whole))
+    per_geom = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per_row)], pa.int32()), rings)
+    kinds = pa.array([codec.TYPE_NAMES.get(int(k), "") for k in found.kind], pa.string())
+    fast = pa.StructArray.from_arrays([kinds, per_geom], ["kind", "rings"], mask=pa.array(~whole))
+    return arrays.with_others(fast, whole, wkb, _parts)
+
+
+def _parts(wkb: pa.Array) -> pa.Array:
     geoms = _decoded(wkb)
     paths = [None if g is None else codec.rings(g) for g in geoms]
     flat = [r[:, :2] for rings in paths if rings for r in rings]

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from strandline.functions import codec, contain, predicates
-from strandline.functions.geometry import wkb_from_wkt
+from strandline.functions.geometry import _parts, parts_batch, wkb_from_wkt
 
 
 def ring(points):
@@ -67,3 +67,12 @@ def test_inner_points_of_polygons_with_many_flat_steps():
     lid = wkb_from_wkt("POLYGON ((-1 -1, 99 -1, 99 99, -1 99, -1 -1))")
     held, done = contain.contains_batch(pa.array([lid, body], pa.binary()), pa.array([body, lid], pa.binary()))
     assert done.all() and held.tolist() == [True, False]
+
+
+def test_parts_of_batches_equal_those_of_single_values():
+    rng = random.Random(8)
+    texts = [shape(rng) for _ in range(400)] + [
+        None, "GEOMETRYCOLLECTION (POINT (1 1), LINESTRING (0 0, 1 1))", "POINT Z (1 1 1)", "POINT EMPTY", "MULTIPOINT EMPTY", "MULTIPOINT (1 2)"]
+    for some in (texts, texts[:400], [None, None], []):
+        wkb = pa.array([None if t is None else wkb_from_wkt(t) for t in some], pa.binary())
+        assert parts_batch(wkb).to_pylist() == _parts(wkb).to_pylist()
