@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,8 +18,10 @@ from .wordbpe import PairTable
 
 LETTERS = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
-#: A run of letters is scored in stretches of so many; only the first has the mark of a word's start.
-STRETCH = 32
+#: Products of weights are kept above 10 to this power; words that may fall below it are summed as logarithms.
+LEAST_POWER = -280
+#: Characters of words laid out at once when they are summed as logarithms; a longer word is alone, in windows of so many.
+WINDOW = 1 << 12
 #: Words whose scores a worker remembers before it starts afresh.
 REMEMBERED = 200_000
 #: Words a worker gathers before it counts their pieces.
@@ -36,6 +39,7 @@ class Pieces:
     trie: PairTable
     piece_of: np.ndarray
     number: int  # pieces, piece 0 stands for any single character that has none
+    longest: int  # characters of the longest piece
 
 
 @lru_cache(maxsize=2)
@@ -58,7 +62,8 @@ def load_pieces(path: str) -> Pieces:
             state = states[state, char]
         piece_of[state] = number
     keys = np.array(list(states), np.int64)
-    return Pieces(PairTable(keys[:, 0], keys[:, 1], np.array(list(states.values()))), np.array(piece_of), len(pieces) + 1)
+    return Pieces(PairTable(keys[:, 0], keys[:, 1], np.array(list(states.values()))), np.array(piece_of), len(pieces) + 1,
+                  max(map(len, pieces), default=1))
 
 
 def words_of(text: str) -> list[str]:
@@ -66,15 +71,6 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def stretches(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """The words, marked and cut to stretches, and the number of each one's first stretch."""
-    marked = [WORD_START + w for w in words]
-    counts = -(-np.fromiter(map(len, marked), np.int64, len(marked)) // STRETCH)
-    if len(marked) and counts.max() > 1:
-        marked = [w[i:i + STRETCH] for w in marked for i in range(0, len(w), STRETCH)]
-    return marked, np.cumsum(counts) - counts
-
-
 def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a letter."""
     place = docs.columns.index(text_col)
@@ -154,26 +150,145 @@ def backward(arcs: Lattice, weights: np.ndarray) -> np.ndarray:
     return sums
 
 
+def log_forward(arcs: Lattice, logs: np.ndarray, weights: np.ndarray, done: int = 0) -> np.ndarray:
+    """``forward`` in natural logarithms, in ``logs``, whose nodes up to place ``done`` are set; ``weights`` are logarithms too."""
+    for begin, stop in arcs.steps[done:]:
+        if begin < stop:
+            ends = arcs.end[begin:stop]
+            heads = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
+            logs[ends[heads]] = log_sums(logs[arcs.start[begin:stop]] + weights[arcs.piece[begin:stop]], heads)
+    return logs
+
+
+def log_backward(arcs: Lattice, logs: np.ndarray, weights: np.ndarray, done: int | None = None) -> np.ndarray:
+    """``backward`` in natural logarithms, in ``logs``; from place ``done`` on its nodes are set, if that is given.
+
+    Arcs go by their start here, from the last place to the first, so a node is set once.
+    """
+    place = arcs.start - np.repeat(arcs.first, arcs.last - arcs.first + 1)[arcs.start]
+    order = np.lexsort((arcs.start, -place))
+    place = place[order]
+    bounds = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else []
+    for begin, stop in zip(bounds[:-1], bounds[1:], strict=True):
+        if done is None or place[begin] < done:
+            part = order[begin:stop]
+            starts = arcs.start[part]
+            heads = np.flatnonzero(np.r_[True, starts[1:] != starts[:-1]])
+            logs[starts[heads]] = log_sums(logs[arcs.end[part]] + weights[arcs.piece[part]], heads)
+    return logs
+
+
+def log_sums(terms: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Logarithms of sums of runs of rows that start at ``heads``; ``terms`` are finite logarithms."""
+    most = np.maximum.reduceat(terms, heads)
+    runs = np.diff(np.r_[heads, len(terms)])
+    return most + np.log(np.add.reduceat(np.exp(terms - np.repeat(most, runs, axis=0)), heads))
+
+
+def parted(words: list[str], weights: np.ndarray) -> tuple[list[int], list[list[int]]]:
+    """The numbers of the words whose sums stay in range, and those of the others in groups of up to ``WINDOW`` characters."""
+    safe = LEAST_POWER / min(math.log10(weights.min()), -1e-9)
+    short = [i for i, w in enumerate(words) if len(w) <= safe]
+    groups: list[list[int]] = []
+    held = WINDOW
+    for i in sorted((i for i, w in enumerate(words) if len(w) > safe), key=lambda i: len(words[i])):
+        if held + len(words[i]) > WINDOW:
+            groups.append([])
+            held = 0
+        groups[-1].append(i)
+        held += len(words[i])
+    return short, groups
+
+
+def windows_forward(pieces: Pieces, word: str, weights: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Windows of a word: the places they start and end at, and the logarithms of the forward sums of all places from
+    the longest piece before the start to the end. Later windows start from earlier ones' last sums."""
+    before = np.zeros((1, weights.shape[1]))
+    for begin in range(0, len(word), WINDOW):
+        low, end = max(0, begin - pieces.longest), min(begin + WINDOW, len(word))
+        logs = np.zeros((end - low + 1, weights.shape[1]))
+        logs[:begin - low + 1] = before[-(begin - low + 1):]
+        log_forward(lattice(pieces, [word[low:end]]), logs, weights, begin - low)
+        yield begin, end, logs
+        before = logs[-(pieces.longest + 1):].copy()
+
+
 def word_scores(pieces: Pieces, words: list[str], weights: np.ndarray) -> np.ndarray:
-    """log10 probability of each word by language, all segmentations summed."""
-    marked, first = stretches(words)
-    arcs = lattice(pieces, marked)
-    each = np.log10(np.maximum(forward(arcs, weights)[arcs.last], 1e-300))
-    return np.add.reduceat(each, first) if len(first) else each
+    """log10 probability of each word by language, all segmentations summed, whatever its length."""
+    words = [WORD_START + w for w in words]
+    scores = np.zeros((len(words), weights.shape[1]))
+    short, groups = parted(words, weights)
+    arcs = lattice(pieces, [words[i] for i in short])
+    scores[short] = np.log10(forward(arcs, weights)[arcs.last])
+    logs = np.log(weights) if groups else weights
+    for group in groups:
+        if len(words[group[0]]) > WINDOW:
+            for _, _, sums in windows_forward(pieces, words[group[0]], logs):
+                scores[group] = sums[-1] / math.log(10)
+        else:
+            arcs = lattice(pieces, [words[i] for i in group])
+            scores[group] = log_forward(arcs, np.zeros((arcs.nodes, weights.shape[1])), logs)[arcs.last] / math.log(10)
+    return scores
+
+
+def used_pieces(arcs: Lattice, share: np.ndarray, number: int) -> np.ndarray:
+    """By piece and language the sum of the arcs' shares."""
+    return np.stack([np.bincount(arcs.piece, share[:, i], number) for i in range(share.shape[1])], 1)
 
 
 def expected_pieces(pieces: Pieces, words: list[str], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """By piece and language, how often each piece is used in words that occur ``counts`` (word, language) times."""
-    marked, first = stretches(words)
-    counts = np.repeat(counts, np.diff(np.r_[first, len(marked)]), axis=0)
-    arcs = lattice(pieces, marked)
+    words = [WORD_START + w for w in words]
     if (weights == weights[:, :1]).all():  # one sum serves all languages
         weights = weights[:, :1]
+    short, groups = parted(words, weights)
+    arcs = lattice(pieces, [words[i] for i in short])
     before, behind = forward(arcs, weights), backward(arcs, weights)
-    word = np.repeat(np.arange(len(marked)), arcs.last - arcs.first + 1)[arcs.start]
-    share = before[arcs.start] * weights[arcs.piece] * behind[arcs.end] / np.maximum(before[arcs.last], 1e-300)[word]
-    share = share * counts[word]
-    return np.stack([np.bincount(arcs.piece, share[:, i], pieces.number) for i in range(counts.shape[1])], 1)
+    word = np.repeat(np.arange(len(short)), arcs.last - arcs.first + 1)[arcs.start]
+    share = before[arcs.start] * weights[arcs.piece] * behind[arcs.end] / before[arcs.last][word]
+    total = used_pieces(arcs, share * counts[short][word], pieces.number)
+    logs = np.log(weights) if groups else weights
+    for group in groups:
+        if len(words[group[0]]) > WINDOW:
+            total += long_word_pieces(pieces, words[group[0]], logs) * counts[group[0]]
+            continue
+        arcs = lattice(pieces, [words[i] for i in group])
+        before, behind = (way(arcs, np.zeros((arcs.nodes, logs.shape[1])), logs) for way in (log_forward, log_backward))
+        word = np.repeat(np.arange(len(group)), arcs.last - arcs.first + 1)[arcs.start]
+        share = np.exp(before[arcs.start] + logs[arcs.piece] + behind[arcs.end] - before[arcs.last][word])
+        total += used_pieces(arcs, share * counts[group][word], pieces.number)
+    return total
+
+
+def long_word_pieces(pieces: Pieces, word: str, weights: np.ndarray) -> np.ndarray:
+    """How often each piece is used in one occurrence of a long word; ``weights`` are logarithms.
+
+    A first pass keeps the forward sums at the start of each window only; a second one goes over the windows from the last to
+    the first, finds the forward sums of a window anew and carries the backward sums. Memory holds one window.
+    """
+    starts, sums = [], np.zeros((1, weights.shape[1]))
+    for begin, _, logs in windows_forward(pieces, word, weights):
+        starts.append(sums)
+        sums = logs[-(pieces.longest + 1):].copy()
+    total, whole = np.zeros((pieces.number, weights.shape[1])), sums[-1]
+    after = np.zeros((1, weights.shape[1]))  # of the places from a window's end on
+    for number in reversed(range(len(starts))):
+        begin = number * WINDOW
+        end = min(begin + WINDOW, len(word))
+        low, high = max(0, begin - pieces.longest), min(end + pieces.longest, len(word))
+        before = np.zeros((end - low + 1, weights.shape[1]))
+        before[:begin - low + 1] = starts[number][-(begin - low + 1):]
+        before = log_forward(lattice(pieces, [word[low:end]]), before, weights, begin - low)[begin - low:]
+        arcs = lattice(pieces, [word[begin:high]])
+        behind = np.zeros((high - begin + 1, weights.shape[1]))
+        behind[end - begin:] = after[:high - end + 1]
+        log_backward(arcs, behind, weights, end - begin)
+        inside = arcs.start < end - begin
+        used = Lattice(arcs.start[inside], arcs.end[inside], arcs.piece[inside], [], arcs.first, arcs.last, arcs.nodes)
+        share = np.exp(before[used.start] + weights[used.piece] + behind[used.end] - whole)
+        total += used_pieces(used, share, pieces.number)
+        after = behind[:pieces.longest + 1].copy()
+    return total
 
 
 @dataclass
@@ -193,6 +308,8 @@ def train(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "l
     of which there may be ``most_languages``. Rows without text or language teach nothing; without any, the model has no
     language and finds every text unknown.
     """
+    if smoothing <= 0:
+        raise ValueError("smoothing must be above 0")
     read = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null")
     languages = sorted(r[0] for r in read.select("lang").distinct().limit(most_languages + 1).collect())

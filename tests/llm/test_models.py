@@ -58,10 +58,6 @@ def test_forward_sums_all_segmentations():
     words = ["the", "tionen", "日本", "zé", "ß", "ab" * 40]
     weights = np.random.default_rng(2).random((pieces.number, 2)) / 100
 
-    def whole(word):
-        word = langid.WORD_START + word
-        return np.prod([brute(word[i:i + langid.STRETCH]) for i in range(0, len(word), langid.STRETCH)], axis=0)
-
     def brute(word):
         sums = [np.ones(2)] + [np.zeros(2) for _ in word]
         for i in range(len(word)):
@@ -76,8 +72,8 @@ def test_forward_sums_all_segmentations():
                 if state < 0:
                     break
         return sums[-1]
-    assert np.allclose(langid.word_scores(pieces, words, weights), np.log10([whole(w) for w in words]))
-    arcs = langid.lattice(pieces, langid.stretches(words)[0])
+    assert np.allclose(langid.word_scores(pieces, words, weights), np.log10([brute(langid.WORD_START + w) for w in words]))
+    arcs = langid.lattice(pieces, [langid.WORD_START + w for w in words])
     assert np.allclose(langid.backward(arcs, weights)[arcs.first], langid.forward(arcs, weights)[arcs.last])
     # one column for all languages counts the same pieces, as often as the words occur
     even = np.repeat(weights[:, :1], 2, axis=1)
@@ -90,6 +86,44 @@ def test_forward_sums_all_segmentations():
         assert (found.sum(0) >= n - 1e-9).all() and (found.sum(0) <= n * (len(w) + 1) + 1e-9).all()
 
 
+def test_long_words_are_summed_whole():
+    pieces = langid.load_pieces(PIECES)
+    draw = np.random.default_rng(3)
+    words = ["a", "strasse" * 9, "".join(draw.choice(list("abcdehinorst日本語"), 700)), "".join(draw.choice(list("aeionrt"), 10_000))]
+    weights = np.exp(draw.normal(-22, 3, (pieces.number, 2)))  # 1e-10 each: products leave the range of floats
+
+    def brute(word):
+        """Forward and backward sums and piece counts in logarithms, place by place."""
+        arcs = [[] for _ in word]
+        for i in range(len(word)):
+            state = 0
+            for j in range(i, len(word)):
+                state = int(pieces.trie.find(np.array([state]), np.array([ord(word[j])]))[0])
+                piece = pieces.piece_of[state] if state >= 0 else -1
+                piece = max(piece, 0) if j == i else piece
+                if piece >= 0:
+                    arcs[i].append((j + 1, piece))
+                if state < 0:
+                    break
+        ahead, back = (np.full((len(word) + 1, 2), -np.inf) for _ in range(2))
+        ahead[0] = back[-1] = 0
+        for i in range(len(word)):
+            for j, piece in arcs[i]:
+                ahead[j] = np.logaddexp(ahead[j], ahead[i] + np.log(weights[piece]))
+        used = np.zeros((pieces.number, 2))
+        for i in reversed(range(len(word))):
+            for j, piece in arcs[i]:
+                back[i] = np.logaddexp(back[i], back[j] + np.log(weights[piece]))
+                used[piece] += np.exp(ahead[i] + np.log(weights[piece]) + back[j] - ahead[-1])
+        return ahead[-1] / math.log(10), used
+    each = [brute(langid.WORD_START + w) for w in words]
+    scores = langid.word_scores(pieces, words, weights)
+    assert np.allclose(scores, [s for s, _ in each], rtol=1e-9) and scores[2:].max() < -300
+    counts = np.array([[1.0, 2], [3, 0], [1, 1], [2, 5]])
+    found = langid.expected_pieces(pieces, words, counts, weights)
+    assert np.allclose(found, sum(u * n for (_, u), n in zip(each, counts)), rtol=1e-6, atol=1e-9)
+
+
 # quality
 
 def test_quality_of_held_out_documents(spark, docs):
