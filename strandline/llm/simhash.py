@@ -57,21 +57,48 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return in_small_batches(read).mapInArrow(run, "doc_id long, key long, fp long")
 
 
-def linked_fingerprints(prints: DataFrame) -> DataFrame:
-    """``fp, root, distance``: pairs of different fingerprints that differ in at most 2 bits, enough to connect all such.
-
-    A fingerprint has two segments of 32 bits. If two differ in at most 2 bits, some third value differs from either in
-    at most one, inside one segment. So the Hamming ball of radius 1 is enumerated in each segment, the other segment
-    staying as it is, and the values of the balls are the keys of the table: fingerprints under one key differ in at
-    most 2 bits, and none that do fail to share a key. A key has at most 65 fingerprints however many copies there are,
-    and each is paired with the least of its key only. The complete distance is verified on every pair.
+#: Bits of a segment; two fingerprints within 2 bits differ in at most one in either segment.
+SEGMENT_BITS = 32
+#: Fingerprints of a table's bucket beyond which the bucket is met by whole values instead.
+MOST_MATCHES = 64
+
+
+def segment_of(fp: str, segment: str) -> str:
+    """SQL for a segment of a fingerprint, as a long."""
+    return f"shiftrightunsigned({fp}, {SEGMENT_BITS} * {segment}) & {(1 << SEGMENT_BITS) - 1}L"
+
+
+def linked_fingerprints(prints: DataFrame, most_matches: int = MOST_MATCHES) -> DataFrame:
+    """``fp, root, distance``: pairs of the different fingerprints ``prints`` that differ in at most 2 bits, enough to connect all such.
+
+    A table has each fingerprint under either of its two segments. The Hamming ball of radius 1 is enumerated within each segment,
+    and what the table has under its values is verified by complete distance: of two fingerprints within 2 bits some segment
+    differs in at most one, so each finds the other. A bucket of more than ``most_matches`` fingerprints is not met this way, as its pairs
+    grow with its square: the fingerprints whose balls reach it, its own included, link by shared whole values
+    (``linked_by_neighbours``), which loses none of them and has bounded groups. So a fingerprint meets a bounded number of others
+    however many share a segment.
+    """
+    segments = "explode(array(0, 1)) as segment"
+    table = prints.select("fp", F.expr(segments)).select("fp", "segment", F.expr(segment_of("fp", "segment")).alias("value"))
+    ball = f"explode(transform(sequence(-1, {SEGMENT_BITS - 1}), i -> value ^ if(i < 0, 0L, shiftleft(1L, i)))) as value"
+    probes = table.select("fp", "segment", F.expr(ball))
+    heavy = write_through(table.groupBy("segment", "value").count().where(F.col("count") > most_matches).select("segment", "value"), "heavy")
+    light = table.join(heavy, ["segment", "value"], "left_anti").withColumnRenamed("fp", "root")
+    found = probes.join(light, ["segment", "value"]).where("root < fp and bit_count(fp ^ root) <= 2").select("fp", "root")
+    if not heavy.isEmpty():
+        reaching = probes.join(heavy, ["segment", "value"], "left_semi").select("fp").distinct()
+        found = found.union(linked_by_neighbours(reaching))
+    return found.distinct().withColumn("distance", F.expr("bit_count(fp ^ root)"))
+
+
+def linked_by_neighbours(prints: DataFrame) -> DataFrame:
+    """``fp, root``: pairs of the different fingerprints ``prints`` within 2 bits, enough to connect all such.
+
+    If two differ in at most 2 bits, some third value differs from either in at most one. The whole values that differ from a fingerprint in
+    at most one bit are keys; at most 65 fingerprints have a key, and each is paired with the least of its key only.
     """
-    ball = ("explode(transform(sequence(-1, 63), i -> struct(cast(if(i < 32, 0, 1) as int) as segment, "
-            "fp ^ if(i < 0, 0L, shiftleft(1L, i)) as value))) as probe")
-    keyed = prints.select("fp", F.expr(ball)).select("fp", F.col("probe.value").alias("value"))
-    least = F.expr("min(fp) over (partition by value)")
-    pairs = keyed.select("fp", least.alias("root")).where("fp <> root").distinct()
-    return pairs.withColumn("distance", F.expr("bit_count(fp ^ root)")).where("distance <= 2")
+    keyed = prints.select("fp", F.expr("explode(transform(sequence(-1, 63), i -> fp ^ if(i < 0, 0L, shiftleft(1L, i)))) as value"))
+    return keyed.select("fp", F.expr("min(fp) over (partition by value)").alias("root")).where("fp <> root").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -40,20 +40,31 @@ def test_fingerprints_equal_brute_force():
         assert simhash.fingerprint((text or "").encode(), 3) == brute_fingerprint(text)
 
 
-def test_links_are_all_pairs_within_two_bits(spark):
+@pytest.mark.parametrize("most", [simhash.MOST_MATCHES, 3, 0])
+def test_links_are_all_pairs_within_two_bits(spark, most):
     draw = np.random.default_rng(5)
     prints = set()
     for base in draw.integers(0, 1 << 62, 12).tolist():
         for flips in range(5):
             prints |= {base ^ sum(1 << int(b) for b in draw.choice(64, flips, replace=False)) for _ in range(4)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    found = simhash.linked_fingerprints(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()
+    found = simhash.linked_fingerprints(spark.createDataFrame([(p,) for p in signed], "fp long"), most).collect()
     pairs = [(a, b) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 2]
     assert all(r["distance"] <= 2 for r in found)
     ours = brute_components(prints, [(r["fp"] % (1 << 64), r["root"] % (1 << 64)) for r in found])
     assert ours == brute_components(prints, pairs)
 
 
+def test_a_segment_that_many_share_links_by_whole_values(spark):
+    # 600 fingerprints with one half in common, numbered by odd multiples in the other, and a neighbour of each tenth
+    prints = [(i * 2654435761 % (1 << 31) << 32) | 12345 for i in range(600)]
+    prints += [p ^ (1 << 40) ^ 4 for p in prints[::10]]
+    found = simhash.linked_fingerprints(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()
+    pairs = [(a, b) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 2]
+    assert all((r["fp"] ^ r["root"]).bit_count() == r["distance"] <= 2 for r in found)
+    assert brute_components(prints, [(r["fp"], r["root"]) for r in found]) == brute_components(prints, pairs)
+
+
 def test_near_duplicates_of_odd_rows(odd):
     found = simhash.near_duplicates(odd).collect()
     assert len(found) == len(ROWS)
