@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-def _written(df: DataFrame) -> DataFrame:
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "edges")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from .tables import written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -21,12 +15,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smaller neighbours. The edges never grow in number and end as stars around the smallest nodes, after a number of
     rounds that grows with the logarithm of the nodes. Minima aggregate before the shuffle; joins on a node with very
     many neighbours have that node once on the other side, so adaptive execution splits them. Every round is
-    a written table. Edges with a null end are left out; no edges give no rows.
+    a written table, freed when its successor is there. Edges with a null end are left out; no edges give no rows.
     """
-    edges = _written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                     .where("a is not null and b is not null and a <> b").distinct())
+    table = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                    .where("a is not null and b is not null and a <> b").distinct(), "edges")
     state = None
     while True:
+        edges = table.rows
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state or not seen[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
@@ -37,4 +32,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         handed = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = _written(handed.union(least.select("a", F.col("m").alias("b"))).distinct())
+        last, table = table, written(handed.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        last.free()

@@ -199,6 +199,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     hit_id, hit_key = unused(docs.columns, "_hit_id", "_hit_key")
     found = contaminated_words(docs, benchmark, id_col, text_col, span=span, k=k).where("size(items) > 0")
-    found = found.select(F.col("id").alias(hit_id), F.col("key").alias(hit_key)).distinct()
+    # written, so that its size is known: few hits are sent to the rows, and whole rows are shuffled only to meet many
+    found = write_through(found.select(F.col("id").alias(hit_id), F.col("key").alias(hit_key)).distinct(), "hits")
     same = docs[f"`{id_col}`"].eqNullSafe(F.col(hit_id)) & (F.xxhash64(docs[f"`{text_col}`"]) == F.col(hit_key))
     return docs.join(found, same, "left_anti")

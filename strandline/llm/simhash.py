@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_through
 from .components import connected_components
+from .tables import Table, written
 from .text import in_small_batches, mix64, utf8_list
 
 SEED = 42
@@ -129,14 +130,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of several rows with this id the one with the smallest hash of its text stays, of equal rows any.
     """
     linked = similar_documents(docs, id_col, text_col, shingle_words, similarity)
-    stay = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
-        F.min(F.struct("doc_id", "key")).alias("first")).select(
-        F.col("first.doc_id").alias("_stay_id"), F.col("first.key").alias("_stay_key"))
+    id_of = {"has": F.col("id").isNotNull(), "id": F.coalesce("id", F.lit(0)), "key": F.col("key")}
+    first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
+        F.min(F.struct("doc_id", "key")).alias("first")).select(F.col("first.doc_id").alias("id"), "first.key")
+    stay = first.select(*(c.alias(n) for n, c in id_of.items()))
     names = [f"_c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*(docs[f"`{c}`"].alias(n) for c, n in zip(docs.columns, names, strict=True)),
-                       docs[f"`{id_col}`"].cast("long").alias("_id"), F.xxhash64(docs[f"`{text_col}`"]).alias("_key"))
-    kept = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_key") == F.col("_stay_key")), "left_semi")
-    kept = kept.dropDuplicates(["_id", "_key"])
+                       docs[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(docs[f"`{text_col}`"]).alias("key"))
+    # plain keys, the same for the join and for repeated rows: whole rows are shuffled once
+    rows = rows.select(*names, *(c.alias(n) for n, c in id_of.items()))
+    kept = rows.join(stay, list(id_of), "left_semi").dropDuplicates(list(id_of))
     return kept.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
 
 
@@ -151,11 +154,11 @@ SEGMENTS = 2 * LONG_WORDS
 FIRST_PIVOTS, PIVOT_GROWTH = 8, 8
 
 
-def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callable[[DataFrame], Table]) -> DataFrame:
     """``a, b``: verified pairs of nodes under one value, enough to connect all that any such pair connects.
 
     ``keyed`` has each ``value`` and ``node`` (longs) once, ``nodes`` a row of each node; ``may`` tells of the columns of two, as structs
-    ``a`` and ``b``, whether they can be a pair, and ``verify`` leaves the true ones of pairs ``a, b``.
+    ``a`` and ``b``, whether they can be a pair, and ``verify`` writes the true ones of pairs ``a, b``.
 
     In a round some members of each value, the pivots, meet all others of it; only verified pairs count. Pivots
     have then met everyone and leave; values whose members are all connected are settled. Pivots grow in number
@@ -163,8 +166,8 @@ def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callab
     or connected by others: a large group of copies adds pairs by its members, and unrelated nodes displace nobody.
     """
     of_value = Window.partitionBy("value")
-    left = write_through(keyed.withColumn("n", F.count("*").over(of_value)).where("n > 1").drop("n"), "shared")
-    links, pivots = None, FIRST_PIVOTS
+    held = [written(keyed.withColumn("n", F.count("*").over(of_value)).where("n > 1").drop("n"), "shared")]
+    left, links, pivots = held[0].rows, None, FIRST_PIVOTS
     while not left.isEmpty():
         if links is None:
             rows = left.withColumn("component", F.col("node")).withColumn("near", F.lit(1).cast("long"))
@@ -175,17 +178,20 @@ def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callab
         rows = rows.select("*", F.min("component").over(of_value).alias("low"), F.max("component").over(of_value).alias("high"),
                            F.count("*").over(of_value).alias("n"),
                            F.row_number().over(of_value.orderBy("near", F.xxhash64("node"), "node")).alias("place"))
-        rows = write_through(rows.where("low < high").select("value", "node", "component", "n", "place"), "placed")
+        held.append(written(rows.where("low < high").select("value", "node", "component", "n", "place"), "placed"))
+        held.pop(0).free()
+        rows = held[0].rows
         sides = rows.join(nodes, "node").select("value", "component", "place", F.struct(*nodes.columns).alias("side"))
         first = sides.where(F.col("place") <= pivots).select(
             "value", F.col("component").alias("of_a"), F.col("place").alias("place_a"), F.col("side").alias("a"))
         other = sides.select("value", F.col("component").alias("of_b"), F.col("place").alias("place_b"), F.col("side").alias("b"))
         met = first.join(other, "value").where(F.expr("place_a < place_b and of_a <> of_b") & may)
         met = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-        found = write_through(verify(met), "links")
+        found = verify(met).rows
         links = found if links is None else links.union(found)
         left = rows.where((F.col("place") > pivots) & (F.col("n") > pivots + 1)).select("value", "node")
         pivots *= PIVOT_GROWTH
+    held[0].free()
     return keyed.sparkSession.createDataFrame([], "a long, b long") if links is None else links
 
 
@@ -200,7 +206,7 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
             "shiftleft(cast(s as long), 32) | ((shiftrightunsigned(fp[s div 2], 32 * (s % 2)) & 4294967295L) ^ "
             "if(b < 0, 0L, shiftleft(1L, b))))))) as value").format(SEGMENTS - 1)
     distance = " + ".join(f"bit_count(a.fp[{i}] ^ b.fp[{i}])" for i in range(LONG_WORDS))
-    return linked_pairs(prints.select("node", F.expr(ball)), prints.select("node", "fp"), F.expr(distance) <= bits, lambda pairs: pairs)
+    return linked_pairs(prints.select("node", F.expr(ball)), prints.select("node", "fp"), F.expr(distance) <= bits, lambda pairs: written(pairs, "links"))
 
 
 # Similar documents: shared rare shingles, then exact similarity.
@@ -279,15 +285,16 @@ def with_prefixes(docs: DataFrame, id_col: str, text_col: str, shingle_words: in
     return in_small_batches(read).mapInArrow(run, "doc_id long, key long, node long, size int, fp array<long>, prefix array<long>")
 
 
-def truly_similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
+def truly_similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, shingle_words: int, similarity: float) -> Table:
     """Those of ``pairs`` (a, b: nodes) whose shingle sets have the Jaccard ``similarity``, computed in full.
 
     A fixed-size filter keeps most other texts from being read again; the join decides.
     """
-    pairs = write_through(pairs, "candidates")
+    candidates = written(pairs, "candidates")
+    pairs = candidates.rows
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = write_through(nodes.select("node", "key").join(ends, "node"), "wanted")
-    slots = wanted.select(F.pmod("key", F.lit(WANTED_BITS)).cast("int").alias("slot")).distinct().toArrow().column(0)  # bounded by the filter
+    wanted = written(nodes.select("node", "key").join(ends, "node"), "wanted")
+    slots = wanted.rows.select(F.pmod("key", F.lit(WANTED_BITS)).cast("int").alias("slot")).distinct().toArrow().column(0)  # bounded by the filter
     marks = np.zeros(WANTED_BITS, bool)
     marks[slots.to_numpy()] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
@@ -313,11 +320,14 @@ def truly_similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col:
 
     # Texts travel, not their hashes, which do not compress.
     read = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    found = in_small_batches(read).mapInArrow(want, "key long, text string").join(wanted, "key").dropDuplicates(["key"])
-    texts = write_through(found.select("node", "text"), "wanted-texts")
+    found = in_small_batches(read).mapInArrow(want, "key long, text string").join(wanted.rows, "key").dropDuplicates(["key"])
+    texts = written(found.select("node", "text"), "wanted-texts")
     for c in "ab":
-        pairs = pairs.join(texts.select(F.col("node").alias(c), F.col("text").alias(f"of_{c}")), c)
-    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
+        pairs = pairs.join(texts.rows.select(F.col("node").alias(c), F.col("text").alias(f"of_{c}")), c)
+    true = written(pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long"), "links")
+    for table in (candidates, wanted, texts):
+        table.free()
+    return true
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
@@ -329,7 +339,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     does is compared, by size and parity map and then in full, or connected by others that were (``linked_pairs``).
     Texts without words are alike. Null ids, repeated rows, empty tables and other columns as for ``near_duplicates``.
     """
-    prints = write_through(with_prefixes(docs, id_col, text_col, shingle_words, similarity), "prefixes")
+    prefixes = written(with_prefixes(docs, id_col, text_col, shingle_words, similarity), "prefixes")
+    prints = prefixes.rows
     nodes = write_through(prints.groupBy("node", "size", "fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("key")), "nodes")
     keyed = prints.select("node", "prefix").dropDuplicates(["node"]).select("node", F.explode("prefix").alias("value"))
     # Sets of a similarity s have at most (1 - s) / (1 + s) of their summed sizes in one only.
@@ -343,4 +354,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     of_node = nodes.join(components, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
     named = of_node.join(smallest, "component").select("node", "component", "component_id")
-    return prints.select("doc_id", "key", "node").join(named, "node").select("doc_id", "key", "component", "component_id")
+    result = write_through(prints.select("doc_id", "key", "node").join(named, "node")
+                           .select("doc_id", "key", "component", "component_id"), "similar")
+    prefixes.free()
+    return result
