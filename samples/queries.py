@@ -25,7 +25,7 @@ from strandline.plans.layer_export import export_layer
 from strandline.plans.occurrence import occurrence_profile
 from strandline.plans.reconcile import lookup_status, reconcile_chunks, reconcile_sampled
 from strandline.session import scratch_path, write_through
-from strandline.sources import datasets, files, geoparquet
+from strandline.sources import datasets, files, geoparquet, shapereader
 from strandline.sources.shapefile import shapefile_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,15 @@ def shapefile_ingest_query(spark, sf):
                        geo.geom_to_wkt("geometry").alias("wkt"))
 
 
+@query(with_clause("pts", "feat") + f"""
+SELECT _fid AS feature, gui, ST_AsText({GEOM}) AS wkt
+FROM feat JOIN pts USING (_fid) WHERE wkt IS NOT NULL AND lon BETWEEN -20 AND 35.5 AND lat BETWEEN -10 AND 41""")
+def shapefile_window(spark, sf):
+    shapereader.register(spark)
+    rows = spark.read.format("shapefile").load(sample_files_of(spark, sf, "shapes"))
+    return rows.where(geoparquet.meets(F.col("bbox"), (-20, -10, 35.5, 41))).select("feature", "gui", geo.geom_to_wkt("geometry").alias("wkt"))
+
+
 @query("""
 SELECT 'orders' AS _layer, row_number() OVER (ORDER BY o_orderkey) - 1 AS _fid, o_orderkey, o_custkey FROM orders""")
 def layer_ingest(spark, sf):

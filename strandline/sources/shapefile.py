@@ -26,6 +26,7 @@ from strandline.sources.files import resolve
 
 # Fixed values of the public shapefile and dBASE descriptions.
 HEADER_BYTES, INDEX_BYTES, FILE_CODE = 100, 8, 9994
+BOX_IN_HEADER = (36, 32)  # place and bytes of xmin, ymin, xmax, ymax
 NULL_SHAPE = 0
 POINT_SHAPES, MULTIPOINT_SHAPES = (1, 11, 21), (8, 18, 28)
 LINE_SHAPES, AREA_SHAPES = (3, 13, 23), (5, 15, 25)
@@ -236,9 +237,40 @@ def _blocks(lengths: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
 
 
-def read_range(path: str, start: int, end: int, srid: int, fields: dict[str, pa.DataType],
-               to_srid: int) -> Iterator[tuple[np.ndarray, pa.Array, dict[str, pa.Array]]]:
-    """(record numbers, geometries, attributes) of records ``start`` to ``end - 1``, block by block."""
+def header_box(path: str) -> tuple[float, float, float, float] | None:
+    """The extent that a file's header names; None for one without numbers or with zeros only, as writers leave it unset."""
+    box = np.frombuffer(_read(path, *BOX_IN_HEADER), "<f8")
+    return tuple(box.tolist()) if len(box) == 4 and np.isfinite(box).all() and box.any() else None
+
+
+def _meet(data: bytes, index: np.ndarray, base: int, window: tuple[float, float, float, float]) -> np.ndarray:
+    """Which records have a stored box that meets the window; null shapes do not, what cannot be told does."""
+    octets = np.frombuffer(data, "u1")
+    at, lengths = index[:, 0] - base + INDEX_BYTES, index[:, 1]
+    keep = np.ones(len(index), bool)
+
+    def numbers(rows: np.ndarray, dtype: str, first: int, count: int) -> np.ndarray:
+        size = np.dtype(dtype).itemsize * count
+        return octets[at[rows, None] + first + np.arange(size)].view(dtype)
+
+    rows = np.flatnonzero((lengths >= 4) & (at + 4 <= len(data)))
+    kind = np.full(len(index), -1)
+    kind[rows] = numbers(rows, "<i4", 0, 1)[:, 0]
+    keep[kind == NULL_SHAPE] = False
+    for kinds, count in ((POINT_SHAPES, 2), (MULTIPOINT_SHAPES + LINE_SHAPES + AREA_SHAPES, 4)):
+        rows = np.flatnonzero(np.isin(kind, kinds) & (lengths >= 4 + 8 * count) & (at + 4 + 8 * count <= len(data)))
+        box = numbers(rows, "<f8", 4, count)
+        away = (box[:, 0] > window[2]) | (box[:, -2] < window[0]) | (box[:, 1] > window[3]) | (box[:, -1] < window[1])
+        keep[rows] = ~away
+    return keep
+
+
+def read_range(path: str, start: int, end: int, srid: int, fields: dict[str, pa.DataType], to_srid: int,
+               window: tuple[float, float, float, float] | None = None) -> Iterator[tuple[np.ndarray, pa.Array, dict[str, pa.Array]]]:
+    """(record numbers, geometries, attributes) of records ``start`` to ``end - 1``, block by block.
+
+    Of a window, in the file's reference system, only records whose stored box meets it are decoded.
+    """
     index = np.frombuffer(_read(_sibling(path, ".shx"), HEADER_BYTES + start * INDEX_BYTES,
                                 (end - start) * INDEX_BYTES), ">i4").reshape(-1, 2).astype("i8") * 2
     if len(index) != end - start:
@@ -255,22 +287,28 @@ def read_range(path: str, start: int, end: int, srid: int, fields: dict[str, pa.
         block, first = index[at:stop], start + at
         base = int(block[:, 0].min())
         last = int((block[:, 0] + INDEX_BYTES + block[:, 1]).max())
-        geoms = _geometries(_read(path, base, last - base), block, base, srid, to_srid)
+        data = _read(path, base, last - base)
+        numbers = np.arange(first, first + len(block))
+        met = None if window is None else _meet(data, block, base, window)
+        if met is not None and not met.any():
+            continue
+        geoms = _geometries(data, block if met is None else block[met], base, srid, to_srid)
         rows = np.frombuffer(_read(_sibling(path, ".dbf"), header + first * record, len(block) * record),
                              f"S{record}")
         if len(rows) != len(block):
             raise BadFile("truncated_dbf")
         cells = rows.view("u1").reshape(len(block), record)
+        if met is not None:
+            cells, numbers = cells[met], numbers[met]
         columns = {}
         for name, target in fields.items():
             if name not in by_name:
-                columns[name] = pa.nulls(len(block), target)
+                columns[name] = pa.nulls(len(cells), target)
                 continue
             kind, offset, length = by_name[name]
             raw = np.ascontiguousarray(cells[:, offset:offset + length]).view(f"S{length}").ravel()
             columns[name] = _column(raw, kind, target, encoding)
         live = cells[:, 0] != ord("*")
-        numbers = np.arange(first, first + len(block))
         if not live.all():
             mask = pa.array(live)
             numbers, geoms = numbers[live], geoms.filter(mask)
@@ -319,6 +357,35 @@ def record_ranges(headers: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFra
                     ((F.col("end") - F.col("start")) * F.col("shp_bytes") / F.col("n_records")).alias("bytes")))
 
 
+def feature_schema(fields: T.StructType) -> T.StructType:
+    """The columns of features with these attributes."""
+    return T.StructType([
+        T.StructField("_source_file", T.StringType()), T.StructField("_fid", T.LongType()), *fields.fields,
+        T.StructField("geometry", T.BinaryType()), T.StructField("bbox", BBOX_TYPE),
+        T.StructField("_error", T.StringType())])
+
+
+def range_batches(row: dict, wanted: dict[str, pa.DataType], to_srid: int,
+                  window: tuple[float, float, float, float] | None = None) -> Iterator[pa.RecordBatch]:
+    """The features of a range (path, file_name, srid, start, end), or one row with ``_error`` from where it cannot be read."""
+    box_type = pa.struct([(c, pa.float64()) for c in BBOX_TYPE.names])
+    arrow = pa.schema([("_source_file", pa.string()), ("_fid", pa.int64()), *wanted.items(),
+                       ("geometry", pa.binary()), ("bbox", box_type), ("_error", pa.string())])
+    try:
+        for numbers, geoms, columns in read_range(row["path"], row["start"], row["end"], row["srid"], wanted, to_srid, window):
+            n = len(numbers)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row["file_name"]] * n, pa.string()), pa.array(numbers, pa.int64()),
+                *columns.values(), geoms, bbox_batch(geoms).cast(box_type), pa.nulls(n, pa.string()),
+            ], schema=arrow)
+    except (ValueError, OSError, pa.ArrowException) as err:
+        reason = str(err) if isinstance(err, BadFile) else "bad_value" \
+            if isinstance(err, (ValueError, pa.ArrowException)) else "unreadable"
+        empty = {name: [None] for name in arrow.names}
+        empty |= {"_source_file": [row["file_name"]], "_fid": [row["start"]], "_error": [reason]}
+        yield pa.RecordBatch.from_pydict(empty, schema=arrow)
+
+
 def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WGS84,
                   task_bytes: int = RANGE_BYTES) -> DataFrame:
     """Features of all ranges: _source_file, _fid, the attributes, geometry, bbox, _error.
@@ -328,37 +395,17 @@ def read_features(ranges: DataFrame, fields: T.StructType, to_srid: int = crs.WG
     ``fields`` are lower-case attribute names with the wanted types; a file that lacks one yields nulls.
     ``_fid`` is the record number in its file. A range that cannot be read yields one row with ``_error``.
     """
-    schema = T.StructType([
-        T.StructField("_source_file", T.StringType()), T.StructField("_fid", T.LongType()), *fields.fields,
-        T.StructField("geometry", T.BinaryType()), T.StructField("bbox", BBOX_TYPE),
-        T.StructField("_error", T.StringType())])
     wanted = {f.name: ARROW_TYPES[f.dataType.simpleString()] for f in fields.fields}
-    box_type = pa.struct([(c, pa.float64()) for c in ("xmin", "ymin", "xmax", "ymax")])
-    arrow = pa.schema([("_source_file", pa.string()), ("_fid", pa.int64()), *wanted.items(),
-                       ("geometry", pa.binary()), ("bbox", box_type), ("_error", pa.string())])
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                try:
-                    for numbers, geoms, columns in read_range(
-                            row["path"], row["start"], row["end"], row["srid"], wanted, to_srid):
-                        n = len(numbers)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([row["file_name"]] * n, pa.string()), pa.array(numbers, pa.int64()),
-                            *columns.values(), geoms, bbox_batch(geoms).cast(box_type), pa.nulls(n, pa.string()),
-                        ], schema=arrow)
-                except (ValueError, OSError, pa.ArrowException) as err:
-                    reason = str(err) if isinstance(err, BadFile) else "bad_value" \
-                        if isinstance(err, (ValueError, pa.ArrowException)) else "unreadable"
-                    empty = {name: [None] for name in arrow.names}
-                    empty |= {"_source_file": [row["file_name"]], "_fid": [row["start"]], "_error": [reason]}
-                    yield pa.RecordBatch.from_pydict(empty, schema=arrow)
+                yield from range_batches(row, wanted, to_srid)
 
     size = ranges.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     cores = ranges.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(size["n"], max(cores, int(size["bytes"] // task_bytes) + 1)))
-    return ranges.repartition(tasks).mapInArrow(run, schema)
+    return ranges.repartition(tasks).mapInArrow(run, feature_schema(fields))
 
 
 def shapefile_ingest(files: DataFrame, columns: list[str] | None = None, to_srid: int = crs.WGS84,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThanOrEqual
 
 from samples.shapefiles import write_shapefile
 from strandline.functions import codec
@@ -17,7 +18,7 @@ from strandline.operators import packing
 from strandline.plans.lakehouse import FeatureLakehouse, LakehouseConfig
 from strandline.plans.layer_export import export_layer
 from strandline.plans.reconcile import lookup_status, reconcile_chunks, reconcile_sampled
-from strandline.sources import datasets, files, geoparquet, shapefile
+from strandline.sources import datasets, files, geoparquet, shapefile, shapereader
 
 POINTS = ["POINT (1 2)", "POINT (3 4.5)", None, "POINT (-7 8)"]
 
@@ -567,3 +568,90 @@ def test_random_polygons_survive_the_round_trip(spark, tmp_path):
     write_shapefile(f"{tmp_path}/a.shp", wkts, attributes(40))
     found = ingest(spark, tmp_path).withColumn("wkt", geo.geom_to_wkt("geometry")).orderBy("_fid").collect()
     assert [r.wkt for r in found] == wkts
+
+
+# ---------------------------------------------------------------- shapefiles as a source
+
+def shapes(spark, folder, **options):
+    shapereader.register(spark)
+    return spark.read.format("shapefile").options(**options).load(str(folder))
+
+
+def test_the_source_returns_what_ingest_does(spark, tmp_path):
+    write_shapefile(f"{tmp_path}/a.shp", POINTS, attributes(4))
+    write_shapefile(f"{tmp_path}/b.shp", ["LINESTRING (0 0, 3 4)", None, "MULTIPOINT (1 1, 2 2)"], attributes(3, MORE=("C", 4, 0, ["x", "", "z"])))
+    write_shapefile(f"{tmp_path}/c.shp", ["POINT (111319.49079327358 0)"], attributes(1), srid=3857)
+    write_shapefile(f"{tmp_path}/d.shp", POINTS, attributes(4), srid=2154)
+    write_shapefile(f"{tmp_path}/e.shp", [], attributes(0))
+    write_shapefile(f"{tmp_path}/f.shp", POINTS, {"GUI": ("N", 8, 0, [1] * 4)})
+    (tmp_path / "g.shp").write_bytes(b"x")
+    expected = ingest(spark, tmp_path)
+    assert {r[-1] for r in rows(expected)} == {None, "unsupported_crs", "schema_mismatch", "missing_shx"}
+    for options in ({}, {"rangeBytes": "60"}, {"rangeBytes": "1"}):
+        found = shapes(spark, tmp_path, mergeSchema="true", **options)
+        assert found.columns == expected.columns
+        assert rows(found) == rows(expected)
+    assert "more" not in shapes(spark, tmp_path).columns
+    assert rows(shapes(spark, f"{tmp_path}/a.shp")) == rows(expected.where("_source_file = 'a.shp'").drop("more"))
+    (tmp_path / "empty").mkdir()
+    assert shapes(spark, tmp_path / "empty").count() == 0
+
+
+def test_a_schema_narrows_what_is_read(spark, tmp_path):
+    write_shapefile(f"{tmp_path}/a.shp", POINTS, attributes(4))
+    shapereader.register(spark)
+    found = spark.read.format("shapefile").schema("sum_conf int, geometry binary").load(str(tmp_path))
+    assert rows(found) == rows(ingest(spark, tmp_path).select("sum_conf", "geometry"))
+    other = spark.read.format("shapefile").schema("_fid bigint, sum_conf string, absent int, _error string").load(str(tmp_path))
+    assert rows(other) == [(None, None, None, "schema_mismatch")]
+
+
+@pytest.mark.parametrize("srid", [4326, 3857])
+def test_a_window_decodes_only_records_that_meet_it(spark, tmp_path, srid):
+    scale = 1 if srid == 4326 else 111319.49079327358
+    far = [f"POINT ({x * scale} 0)" for x in range(100)]
+    lines = [f"LINESTRING ({x * scale} 0, {(x + 0.5) * scale} 0)" for x in range(100)] + [None]
+    write_shapefile(f"{tmp_path}/a.shp", far, attributes(100), srid=srid)
+    write_shapefile(f"{tmp_path}/b.shp", lines, attributes(101), srid=srid)
+    window = geoparquet.meets(F.col("bbox"), (20.25, -1, 30.25, 1))
+    found = shapes(spark, tmp_path).where(window)
+    whole = ingest(spark, tmp_path)
+    assert rows(found) == rows(whole.where(window)) and found.count() == 10 + 11
+    assert rows(found.where("_source_file in ('b.shp')")) == rows(whole.where(window).where("_source_file = 'b.shp'"))
+
+    schema = shapes(spark, tmp_path).schema
+    reader = shapereader.ShapefileReader({f"{tmp_path}/{n}.shp": (4000, k) for n, k in (("a", 100), ("b", 101))}, schema, 4326, 10 ** 6)
+    back = [GreaterThanOrEqual(("bbox", "xmax"), 20.25), LessThanOrEqual(("bbox", "xmin"), 30.25), EqualTo(("_source_file",), "a.shp")]
+    assert list(reader.pushFilters(back)) == back
+    (part,) = reader.partitions()
+    assert [r.path for r in part.value] == [f"{tmp_path}/a.shp"]
+    assert sum(b.num_rows for b in reader.read(part)) == 10  # what tasks hand over, before Spark filters
+
+
+def test_a_file_whose_extent_is_elsewhere_is_not_read(spark, tmp_path, monkeypatch):
+    write_shapefile(f"{tmp_path}/a.shp", POINTS, attributes(4))
+    data = bytearray((tmp_path / "a.shp").read_bytes())
+    data[36:68] = np.array([-7, 2, 3, 8], "<f8").tobytes()
+    (tmp_path / "a.shp").write_bytes(data)
+    schema = shapes(spark, tmp_path).schema
+    read, real = [], shapefile._read
+    monkeypatch.setattr(shapefile, "_read", lambda path, *a: read.append(b := real(path, *a)) or b)
+
+    def octets(box):
+        read.clear()
+        reader = shapereader.ShapefileReader({f"{tmp_path}/a.shp": (len(data), 4)}, schema, 4326, 10 ** 6, box)
+        n = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+        return n, sum(map(len, read))
+    near, apart = octets((0, 0, 2, 3)), octets((50, 50, 60, 60))
+    assert near[0] == 1 and apart[0] == 0 and apart[1] < near[1]
+
+
+def test_a_record_that_cannot_be_told_is_not_left_out(spark, tmp_path):
+    write_shapefile(f"{tmp_path}/a.shp", POINTS, attributes(4))
+    data = bytearray((tmp_path / "a.shp").read_bytes())
+    data[108:112] = (77).to_bytes(4, "little")
+    (tmp_path / "a.shp").write_bytes(data)
+    schema = shapes(spark, tmp_path).schema
+    reader = shapereader.ShapefileReader({f"{tmp_path}/a.shp": (len(data), 4)}, schema, 4326, 10 ** 6, (50, 50, 60, 60))
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert [b.column("_error").to_pylist() for b in batches] == [["unknown_shape_type"]]
