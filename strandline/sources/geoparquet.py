@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from strandline.functions.curve import curve_key
 from strandline.functions.geometry import BBOX_TYPE, bbox_batch, crs_of, geom_bbox, set_crs
 from strandline.operators.columns import lowercase_columns
 from strandline.sources.datasets import TARGET_FILE_BYTES, parquet_sizes, spread
@@ -293,18 +294,24 @@ def geoparquet_scan(spark: SparkSession, *paths: str, window: tuple[float, float
     return set_crs(df, crs[1], crs[0].lower()) if crs and crs[1] else df
 
 
-# Ranges that consolidation deals rows to at most; the sink cuts a range into files of the target size.
-MOST_RANGES = 4096
-# Side of a cell by which neighbours are told, in units of the reference system: about a degree.
-CELL = {4326: 1.0, 3857: 100_000.0}
+#: Bytes of the parts that consolidation sorts in one task; the sink cuts them into files.
+RANGE_BYTES = 2 * 1024 ** 3
 
 
-def consolidate(spark: SparkSession, parts: str, target: str, file_bytes: int = TARGET_FILE_BYTES,
-                cell: float | None = None) -> int:
+def _extent(spark: SparkSession, path: str) -> tuple[float, float, float, float]:
+    """What the footers' extents cover together, those without end aside; of no size if there are none."""
+    box = F.col("bbox")
+    ends = F.greatest(*(F.abs(box[c]) for c in BBOX_TYPE.names)) < float("inf")  # NaN counts as the greatest
+    found = box_index(spark, path).where(ends).agg(F.min(box.xmin), F.min(box.ymin), F.max(box.xmax), F.max(box.ymax)).first()
+    return tuple(found) if found[0] is not None else (0.0, 0.0, 0.0, 0.0)
+
+
+def consolidate(spark: SparkSession, parts: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite all parts as files of about ``file_bytes``, neighbours together; returns the number of files aimed at.
 
-    Range partitions of the grid cell keep bounding boxes small, so box filters
-    prune whole files. A cell fuller than one file is cut by the hash that follows it.
+    Rows lie along a Hilbert curve through the centres of their boxes, over the extent that the parts' footers name, so a file's
+    extent is small however full a place is, and windows open few files. A range has about ``RANGE_BYTES``, less if cores would be idle. Rows of the
+    same place are told apart by a hash, so that no range must take them all; those without geometry come first.
     The reference system is that of the parts.
     """
     sizes = parquet_sizes(spark, parts).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n")).first()
@@ -313,12 +320,11 @@ def consolidate(spark: SparkSession, parts: str, target: str, file_bytes: int =
     n_files = -(-int(sizes.n) // file_bytes)
     df = geoparquet_scan(spark, parts)
     srid = crs_of(df) or 4326
-    cell = cell or CELL.get(srid, 1.0)
     if "bbox" not in df.columns:
         df = df.withColumn("bbox", geom_bbox("geometry"))
-    box = F.col("bbox")
-    tile = [F.floor(box.xmin / cell), F.floor(box.ymin / cell)]
+    place = curve_key(F.col("bbox"), _extent(spark, parts))
     tie = F.xxhash64(*[c for c in df.columns if c not in ("geometry", "bbox")], "geometry")
-    df = df.repartitionByRange(min(n_files, MOST_RANGES), *tile, tie).sortWithinPartitions(*tile)
+    ranges = max(-(-int(sizes.n) // RANGE_BYTES), min(n_files, spark.sparkContext.defaultParallelism))
+    df = df.repartitionByRange(ranges, place, tie).sortWithinPartitions(place, tie)
     geoparquet_write(df, target, srid, max_file_bytes=file_bytes)
     return n_files

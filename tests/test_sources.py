@@ -13,7 +13,7 @@ from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThanOrEqual
 from samples.shapefiles import write_shapefile
 from strandline.functions import codec
 from strandline.functions import geometry as geo
-from strandline.functions import crs
+from strandline.functions import crs, curve
 from strandline.operators import packing
 from strandline.plans.lakehouse import FeatureLakehouse, LakehouseConfig
 from strandline.plans.layer_export import export_layer
@@ -211,6 +211,38 @@ def test_consolidation_keeps_neighbours_together(spark, tmp_path):
     assert all(a[2] <= b[0] for a, b in zip(boxes, boxes[1:]))
 
 
+def test_places_on_the_curve_are_neighbours(spark):
+    cells = spark.range(64).select((F.col("id") % 8).alias("x"), F.expr("id div 8").alias("y"))
+    found = cells.select("x", "y", curve.curve_place(F.col("x"), F.col("y"), 3).alias("place")).orderBy("place").collect()
+    assert [r.place for r in found] == list(range(64))
+    assert all(abs(a.x - b.x) + abs(a.y - b.y) == 1 for a, b in zip(found, found[1:]))
+    assert (found[0].x, found[0].y, found[-1].x, found[-1].y) == (0, 0, 7, 0)
+
+
+def test_keys_of_odd_boxes(spark):
+    inf, nan, most = float("inf"), float("nan"), (1 << 2 * curve.LEVELS) - 1
+    boxes = [None, (-180.0, -90.0, -180.0, -90.0), (180.0, -90.0, 180.0, -90.0), (999.0, -999.0, 999.0, -999.0), (-inf, -inf, inf, inf), (nan,) * 4]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(boxes)], T.StructType([T.StructField("i", T.LongType()), T.StructField("b", geo.BBOX_TYPE)]))
+    keys = [r.key for r in df.select("i", curve.curve_key(F.col("b"), (-180, -90, 180, 90)).alias("key")).orderBy("i").collect()]
+    assert keys[:4] == [None, 0, most, most] and all(0 <= k <= most for k in keys[4:])
+
+
+def test_a_small_window_over_a_full_place_meets_few_files(spark, tmp_path):
+    spots = spark.range(20_000).select(F.col("id").alias("_fid"), geo.wkt_to_geom(F.format_string(
+        "POINT (%.6f %.6f)", F.lit(5.0) + F.rand(1), F.lit(5.0) + F.rand(2))).alias("geometry"))
+    geoparquet.geoparquet_write(spots.repartition(6), str(tmp_path / "p"))
+    whole = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")  # files roll between batches
+    try:
+        n = geoparquet.consolidate(spark, str(tmp_path / "p"), str(tmp_path / "c"), file_bytes=10_000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", whole)
+    index = geoparquet.box_index(spark, str(tmp_path / "c")).cache()
+    near = index.where(geoparquet.meets(F.col("bbox"), (5.4, 5.4, 5.5, 5.5)))
+    assert n > 20 and index.count() > 15 and near.count() <= index.count() // 4
+    assert geoparquet.geoparquet_scan(spark, str(tmp_path / "c")).count() == 20_000
+
+
 def test_a_window_opens_only_files_that_meet_it(spark, tmp_path):
     target = str(tmp_path / "c")
     tiles = parts(spark, 5000).repartitionById(10, F.expr("cast(_fid div 500 as int)"))
