@@ -14,6 +14,9 @@ from ..session import write_through
 BLOCK = 4096
 #: Candidates evaluated at a time while the bounds allow.
 STEP = 256
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+#: Squared lengths up to which distances are finite; where a vector is longer, bounds say nothing.
+LONGEST = 1e200
 
 
 def lower_bounds(query_to_pivots: np.ndarray, to_pivots: np.ndarray) -> np.ndarray:
@@ -24,14 +27,30 @@ def lower_bounds(query_to_pivots: np.ndarray, to_pivots: np.ndarray) -> np.ndarr
     return bounds
 
 
+def scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    """``floor(scale * x)`` as 64-bit integers, or as Python's where these do not hold one of them."""
+    with np.errstate(over="ignore"):
+        y = np.floor(scale * x)
+    if (np.abs(y) < 2 ** 53).all():
+        return y.astype(np.int64)
+    # a product of 2 ** 53 or more is whole; one beyond the largest float is made of whole numbers
+    exact = [int(v) if abs(v) < float("inf") else int(u) * scale for u, v in zip(x.ravel().tolist(), y.ravel().tolist(), strict=True)]
+    out = np.empty(x.size, object)
+    out[:] = exact
+    return out.reshape(x.shape)
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of the rows of ``a`` with ``b``."""
-    size = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if size < 2 ** 53:
-        return (a.astype(float) @ b.astype(float)).astype(np.int64)
-    if size < 2 ** 63:
-        return a @ b
-    raise OverflowError("inner products do not fit 64 bits")
+    """Exact integer products of the rows of ``a`` with ``b``; what 64 bits do not hold is their nearest end."""
+    if object not in (a.dtype, b.dtype):
+        size = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+        if size < 2 ** 53:
+            return (a.astype(float) @ b.astype(float)).astype(np.int64)
+        if size < 2 ** 62:
+            return a @ b
+    whole = b.tolist()
+    exact = (sum(x * y for x, y in zip(row, whole, strict=True)) for row in a.tolist())
+    return np.array([min(max(v, LOWEST), HIGHEST) for v in exact], np.int64)
 
 
 def distances(points: np.ndarray, pivots: np.ndarray, most: float, lift: bool = True) -> np.ndarray:
@@ -56,9 +75,12 @@ def search_block(query: np.ndarray, row: int, to_pivots: np.ndarray, rows: np.nd
     Candidates are taken in the order of their bounds, some at a time; once the bound of the next one allows no score that
     reaches the k-th best so far, nothing behind it does either. The margin is far above the rounding errors.
     """
-    bounds = lower_bounds(to_pivots, table)
-    square = float((query.astype(float) ** 2).sum())
-    reach = (square + most ** 2 - np.maximum(bounds - 1e-6 * (1 + most + square ** 0.5), 0) ** 2) / 2 + 1
+    if table.shape[1]:
+        bounds = lower_bounds(to_pivots, table)
+        square = float((query.astype(float) ** 2).sum())
+        reach = (square + most ** 2 - np.maximum(bounds - 1e-6 * (1 + most + square ** 0.5), 0) ** 2) / 2 + 1
+    else:
+        reach = np.full(len(rows), np.inf)
     order = np.argsort(-reach, kind="stable")
     places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for first in range(0, len(order), STEP):
@@ -69,7 +91,7 @@ def search_block(query: np.ndarray, row: int, to_pivots: np.ndarray, rows: np.nd
         part = part[rows[part] != row]
         places = np.concatenate([places, part])
         scores = np.concatenate([scores, inner(vectors[part], query)])
-        best = np.lexsort((ids[places], -scores))[:k]
+        best = np.lexsort((ids[places], ~scores))[:k]  # descending, without overflow at the ends
         places, scores = places[best], scores[best]
     return places, scores
 
@@ -86,17 +108,19 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
     Rows with a null id, a null vector, or a null or non-finite component take no part. Vectors of other lengths are not
     compared. Rows with equal ids are rows of their own; a query leaves out its own row only. Without queries there are no rows.
+    Products are exact for any finite components; a score that 64 bits do not hold is their nearest end, and ties there go to
+    the smaller id as well. Where a vector's squared length is beyond ``LONGEST``, there is no table and every candidate is evaluated.
     """
     x = F.col(vector_col)
     usable = F.forall(x, lambda v: v.isNotNull() & (F.abs(v.cast("double")) < float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & x.isNotNull()).where(usable).select(
         F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.size(x).alias("width"),
-        F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double"))).alias("v"))
+        F.transform(x, lambda v: v.cast("double")).alias("v"))
     rows = write_through(rows, "vectors")
     widths = rows.groupBy("width").agg(
         F.count("*").alias("n"), F.sum((F.col("id") % every == 0).cast("long")).alias("q"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda s, v: s + v.cast("double") * v)).alias("square")).collect()
-    found = [_of_width(rows.where(F.col("width") == w["width"]), w, every, k, pivots) for w in widths if w["q"] and w["width"]]
+        F.max(F.aggregate("v", F.lit(0.0), lambda s, v: s + F.pow(F.abs(v) * scale + 1, 2))).alias("square")).collect()
+    found = [_of_width(rows.where(F.col("width") == w["width"]), w, every, k, scale, pivots) for w in widths if w["q"] and w["width"]]
     empty = rows.sparkSession.createDataFrame([], "query long, query_id long, vec_id long, score long")
     for part in found:
         empty = empty.union(part)
@@ -105,13 +129,14 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         "query_id", "rank", "vec_id", "score")
 
 
-def _of_width(rows: DataFrame, size, every: int, k: int, pivots: int) -> DataFrame:
+def _of_width(rows: DataFrame, size, every: int, k: int, scale: int, pivots: int) -> DataFrame:
     spark, width, most = rows.sparkSession, size["width"], float(size["square"]) ** 0.5 + 1
+    bounded = float(size["square"]) <= LONGEST
     share = min(1.0, 64 * pivots / size["n"])
     drawn = rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(128 * pivots)
-    sample = np.array([r["v"] for r in drawn.select("v").collect()], np.int64).reshape(-1, width)
-    chosen = sample[:1]
-    if len(sample):
+    sample = scaled(np.array([r["v"] for r in drawn.select("v").collect()], float).reshape(-1, width), scale)
+    chosen = sample[:1] if bounded else sample[:pivots]
+    if len(sample) and bounded:
         near = distances(sample, chosen, most)[:, 0]
         while len(chosen) < min(pivots, len(sample)):
             chosen = np.concatenate([chosen, sample[near.argmax()][None]])
@@ -122,7 +147,8 @@ def _of_width(rows: DataFrame, size, every: int, k: int, pivots: int) -> DataFra
 
         def pack(table: pa.Table) -> pa.Table:
             v = np.array(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, width)
-            packed = [np.asarray(table.column("id")), np.asarray(table.column("row")), v, distances(v, chosen, most, lift)]
+            to_pivots = distances(scaled(v, scale), chosen, most, lift) if bounded else np.zeros((len(v), 0))
+            packed = [np.asarray(table.column("id")), np.asarray(table.column("row")), v, to_pivots]
             return pa.table({"block": table.column("block").slice(0, 1), **{
                 name: pa.array([x.tobytes()]) for name, x in zip(("ids", "rows", "vectors", "table"), packed, strict=True)}})
 
@@ -140,16 +166,17 @@ def _of_width(rows: DataFrame, size, every: int, k: int, pivots: int) -> DataFra
         for batch in batches:
             for r in batch.to_pylist():
                 ids, row = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["rows"], np.int64)
-                v = np.frombuffer(r["vectors"], np.int64).reshape(-1, width)
-                table = np.frombuffer(r["table"]).reshape(len(ids), -1)
+                v = scaled(np.frombuffer(r["vectors"]).reshape(-1, width), scale)
+                pivots_held = len(chosen) if bounded else 0
+                table = np.frombuffer(r["table"]).reshape(len(ids), pivots_held)
                 q_ids, q_rows = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_rows"], np.int64)
-                q_v = np.frombuffer(r["q_vectors"], np.int64).reshape(-1, width)
-                q_table = np.frombuffer(r["q_table"]).reshape(len(q_ids), -1)
+                q_v = scaled(np.frombuffer(r["q_vectors"]).reshape(-1, width), scale)
+                q_table = np.frombuffer(r["q_table"]).reshape(len(q_ids), pivots_held)
                 out = []
                 for i in range(len(q_ids)):
                     known = np.sort(inner(chosen, q_v[i]))
                     # one pivot may be the query itself, and pivots may be equal vectors but are different rows
-                    least = int(known[-k - 1]) if len(known) > k else -(1 << 62)
+                    least = int(known[-k - 1]) if len(known) > k else LOWEST
                     places, scores = search_block(q_v[i], q_rows[i], q_table[i], row, ids, v, table, k, most, least)
                     out.append((np.full(len(places), q_rows[i]), np.full(len(places), q_ids[i]), ids[places], scores))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],

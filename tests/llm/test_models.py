@@ -191,6 +191,26 @@ def test_top_k_over_several_blocks(spark, monkeypatch):
     assert not found
 
 
+@pytest.mark.parametrize("large", [1e10, 1e60, 1e300, 1.7e308])
+def test_top_k_is_exact_for_large_components(spark, monkeypatch, large):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    vectors = [rng.normal(size=3).tolist() for _ in range(40)]
+    vectors[3], vectors[7], vectors[9] = [large, 0.5, -large], [large, 1.0, large], [0.0, 2.0, 0.0]
+    vectors[20], vectors[21] = [1.0, 1.0, 1.0], [-large, 0.25, large]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = [[math.floor(1024 * x) if abs(x) < 1e300 else int(x) * 1024 for x in v] for v in vectors]
+
+    def score(a, b):
+        return min(max(sum(x * y for x, y in zip(whole[a], whole[b], strict=True)), -(1 << 63)), (1 << 63) - 1)
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(table, every=3, k=5).collect())
+    expected = []
+    for q in range(0, 40, 3):
+        best = sorted((-score(q, o), o) for o in range(40) if o != q)[:5]
+        expected += [(q, rank, o, -s) for rank, (s, o) in enumerate(best, 1)]
+    assert found == expected
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(empty).collect() == []
