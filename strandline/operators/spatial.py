@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.geometry import (
-    EDGES_TYPE, bbox_batch, double_area, geom_bbox, geom_contains, geom_frame, once, point_in_edges, snap_frame,
+    EDGES_TYPE, bbox_batch, double_area, geom_bbox, geom_contains, geom_frame, geom_key, once, point_in_edges, snap_frame,
     vertices_in_convex)
 from strandline.operators.geojoin import KEY, keyed, with_key
 from strandline.operators.naming import quoted
@@ -172,12 +172,52 @@ def containment_join(containers: DataFrame, probes: DataFrame, container_cols: l
     ``relation`` is ``contains``, or ``unsupported`` where the boxes allow
     containment but the pair of types cannot be decided; it is never silently
     dropped. Points in polygons are decided natively, against the segments of their slab
-    where the polygon is large; other pairs in Arrow batches. A container or a probe with a coordinate without end comes out once, alone (the other side null), as
+    where the polygon is large; other pairs in Arrow batches. Copies of a geometry are decided once: the pairs of
+    distinct ones are joined to the rows that have them. A container or a probe with a coordinate without end comes out once, alone (the other side null), as
     ``unsupported``; one without any box is in no pair. ``few_probes`` promises a probe
     table of bounded size (a sample): if it is, it is broadcast, which spares the
     containers their shuffle, and with ``container_box`` its extent reaches their scan. ``container_cols``
     and ``probe_cols`` must not overlap, and may have any names; ``probe_cols`` must identify a probe.
     """
+    if few_probes:
+        return _containment_pairs(containers, probes, container_cols, probe_cols, geometry, container_box, probe_box,
+                                  True, keep_geometry)
+    held = _by_shape(containers, container_cols, "_held", "_outer_key", geometry, container_box)
+    sought = _by_shape(probes, probe_cols, "_sought", "_inner_key", geometry, probe_box)
+    pairs = _containment_pairs(_shapes(held, "_held", "_outer_key"), _shapes(sought, "_sought", "_inner_key"), ["_outer_key"], ["_inner_key"],
+                               "_geometry", "_place" if container_box else None, "_place" if probe_box else None,
+                               False, keep_geometry)
+    pairs = _with_rows(_with_rows(pairs, sought, "_sought", "_inner_key"), held, "_held", "_outer_key")
+    return pairs.select(*_unpacked(container_cols, "_held"), *_unpacked(probe_cols, "_sought"), "relation",
+                        *(["container_geometry", "probe_geometry"] if keep_geometry else []))
+
+
+def _by_shape(df: DataFrame, columns: list[str], name: str, key: str, geometry: str, box: str | None) -> DataFrame:
+    """Rows packed as ``name``, with ``_geometry``, the stored box ``_place`` if there is one, and a ``key`` of both."""
+    shape = geom_key(F.col(geometry))
+    return df.select(_packed(columns, name), F.col(geometry).alias("_geometry"), *([F.col(box).alias("_place")] if box else []),
+                     (F.struct(shape.alias("shape"), F.col(box).alias("box")) if box else shape).alias(key))
+
+
+def _shapes(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The distinct geometries of a table ``_by_shape``."""
+    return df.drop(name).where(F.col(key).isNotNull()).dropDuplicates([key])
+
+
+def _with_rows(pairs: DataFrame, df: DataFrame, name: str, key: str) -> DataFrame:
+    """Pairs of shapes with the rows that have them; a null side stays null, as one row has the null key.
+
+    Few pairs may grow to very many here, so neither side is broadcast: the tasks that scan a small table would do all of it.
+    """
+    rows = df.select(name, F.col(key).alias("_shape")).where("_shape is not null")
+    nothing = df.sparkSession.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema))
+    return pairs.join(rows.unionByName(nothing).hint("merge"), F.col(key).eqNullSafe(F.col("_shape"))).drop(key, "_shape")
+
+
+def _containment_pairs(containers: DataFrame, probes: DataFrame, container_cols: list[str], probe_cols: list[str],
+                       geometry: str, container_box: str | None, probe_box: str | None,
+                       few_probes: bool, keep_geometry: bool) -> DataFrame:
+    """``containment_join`` row by row, every pair for itself."""
     held = containers.select(_packed(container_cols, "_held"), F.col(geometry).alias("_outer"),
                              *([F.col(container_box).alias("_stored")] if container_box else []))
     sought = probes.select(_packed(probe_cols, "_sought"), F.col(geometry).alias("_inner"),

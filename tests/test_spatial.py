@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,27 @@ def test_stored_boxes_and_few_probes_give_the_same(spark):
     assert {(r.o, r.i) for r in pairs.collect()} == brute(outers, inners)
 
 
+def test_copies_are_decided_once(spark, monkeypatch):
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.arrow_udf("boolean")
+    def counted(outer: pa.Array, inner: pa.Array) -> pa.Array:
+        asked.add(len(outer) - outer.null_count)
+        return geo.geom_contains.func(outer, inner)
+    monkeypatch.setattr(spatial, "geom_contains", counted)
+    outers = [box(0, 0, 9, 9)] * 30 + [box(20, 0, 9, 9)] + ["POINT (1 1)", None] * 2
+    inners = [box(1, 1, 2, 2)] * 40 + ["POINT (1 1)"] * 20 + [box(21, 1, 2, 2), None, "POINT (1e999 1)", "POINT (1e999 1)"]
+    held, sought = frame(spark, outers, "o"), frame(spark, inners, "i")
+    for stored in (None, "bbox"):
+        before = asked.value
+        pairs = spatial.containment_join(held.withColumn("bbox", geo.geom_bbox("geometry")), sought, ["o"], ["i"], container_box=stored).collect()
+        lost = [r for r in pairs if r.o is None]
+        assert sorted(r.i for r in lost) == [62, 63] and {r.relation for r in lost} == {"unsupported"}
+        known = [(r.o, r.i) for r in pairs if r.o is not None]
+        assert len(known) == len(set(known)) and set(known) == brute(outers, inners[:62])
+        assert asked.value - before == 2
+
+
 def test_undecidable_pairs_are_reported(spark):
     outers = ["GEOMETRYCOLLECTION (POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0)))", box(0, 0, 9, 9)]
     inners = ["POINT (1 1)", "GEOMETRYCOLLECTION (POINT (2 2))", "POINT (50 50)"]
