@@ -27,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from strandline.functions.curve import curve_key
 from strandline.functions.geometry import BBOX_TYPE, bbox_batch, crs_of, geom_bbox, set_crs
 from strandline.operators.columns import lowercase_columns
+from strandline.operators.naming import unused
 from strandline.sources.datasets import TARGET_FILE_BYTES, parquet_sizes, spread
 from strandline.sources.files import object_store_options, resolve
 
@@ -325,6 +326,7 @@ def consolidate(spark: SparkSession, parts: str, target: str, file_bytes: int =
     place = curve_key(F.col("bbox"), _extent(spark, parts))
     tie = F.xxhash64(*[c for c in df.columns if c not in ("geometry", "bbox")], "geometry")
     ranges = max(-(-int(sizes.n) // RANGE_BYTES), min(n_files, spark.sparkContext.defaultParallelism))
-    df = df.repartitionByRange(ranges, place, tie).sortWithinPartitions(place, tie)
+    keys = unused(df.columns, "_place", "_tie")  # columns: a sort computes an expression again for every comparison of equal prefixes
+    df = df.withColumns(dict(zip(keys, (place, tie), strict=True))).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop(*keys)
     geoparquet_write(df, target, srid, max_file_bytes=file_bytes)
     return n_files

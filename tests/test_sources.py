@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThanOrEqual
 
-from samples.shapefiles import write_shapefile
+from samples.shapefiles import export_features, write_shapefile
 from strandline.functions import codec
 from strandline.functions import geometry as geo
 from strandline.functions import crs, curve
@@ -440,6 +440,22 @@ def build_input(folder):
     write_shapefile(f"{folder}/IT_less.shp", POINTS, {"GUI": ("C", 8, 0, ["GUIL"] * 4)})
 
 
+def test_a_source_of_many_features_is_one_sample_shapefile(spark, tmp_path):
+    rows = [(f"S{i % 3}.shp", i, f"g{i}", None if i % 7 == 0 else "h", "o", i % 101, i / 4, None if i < 300 or i % 5 == 0 else f"POINT ({i} {i / 2})")
+            for i in range(1000)]
+    feat = spark.createDataFrame(rows, "_source_file string, _fid long, gui string, hab_type string, orig_hab string, sum_conf int, comp double, wkt string")
+    done = export_features(feat.repartition(5), f"{tmp_path}/out", rows_per_piece=4).collect()
+    assert sorted(map(tuple, done)) == [("S0.shp", 334), ("S1.shp", 333), ("S2.shp", 333)]
+    assert sorted(p.name for p in (tmp_path / "out").glob("*.shp")) == ["S0.shp", "S1.shp", "S2.shp"]
+    for name in ("S0", "S1", "S2"):
+        of = [r for r in rows if r[0] == f"{name}.shp"]
+        write_shapefile(f"{tmp_path}/whole/{name}.shp", [r[7] for r in of], {
+            "FEATURE": ("N", 12, 0, [r[1] for r in of]), "GUI": ("C", 16, 0, [r[2] for r in of]), "HAB_TYPE": ("C", 16, 0, [r[3] for r in of]),
+            "ORIG_HAB": ("C", 32, 0, [r[4] for r in of]), "SUM_CONF": ("N", 6, 0, [r[5] for r in of]), "COMP": ("N", 18, 4, [r[6] for r in of])})
+        for suffix in (".shp", ".shx", ".dbf", ".prj"):
+            assert (tmp_path / f"out/{name}{suffix}").read_bytes() == (tmp_path / f"whole/{name}{suffix}").read_bytes()
+
+
 def test_lakehouse_job_and_reconciliation(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
