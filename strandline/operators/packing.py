@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.operators.naming import quoted
 from strandline.operators.ordering import with_global_index
 from strandline.session import write_through
 
@@ -25,7 +26,7 @@ def pack_files(manifest: DataFrame, limit: int, rule: str = "at_least", path: st
 
     ``at_least`` adds files in path order until the chunk holds ``limit`` bytes or
     more; ``at_most`` opens a new chunk before a file would take it past ``limit``.
-    Paths must be unique.
+    Files of one path follow by size and then by a hash of their other columns, so chunks never depend on how rows are dealt.
     """
     if rule not in ("at_least", "at_most"):
         raise ValueError(f"unknown packing rule {rule}")
@@ -41,7 +42,8 @@ def pack_at_most(manifest: DataFrame, limit: int = AT_MOST_BYTES, **kwargs) -> D
 
 
 def _double(manifest: DataFrame, limit: int, rule: str, path: str, size: str) -> DataFrame:
-    files = with_global_index(manifest, [path], "_i", total_of=size, total="_end")
+    others = [F.col(quoted(c)) for c, kind in manifest.dtypes if c not in (path, size) and "map<" not in kind and "variant" not in kind]
+    files = with_global_index(manifest, [path, size, *([F.xxhash64(*others)] if others else [])], "_i", total_of=size, total="_end")
     files = write_through(files, "packing-files")
     n = files.count()
     if not n:

@@ -161,6 +161,19 @@ def test_packing_follows_the_rule(spark, rule, sizes):
     assert [r.chunk_id for r in out] == folded(sizes, 10, rule)
 
 
+@pytest.mark.parametrize("rule", ["at_least"])
+def test_packing_of_files_of_one_path_follows_their_size(spark, rule):
+    rng = random.Random(7)
+    files = [(f"f{i // 8}", rng.randrange(15), i) for i in range(160)]
+    files.sort(key=lambda f: (f[0], -f[1]))
+    df = spark.createDataFrame(files, "path string, size_bytes long, n_rows long")
+    want = sorted(files, key=lambda f: f[:2])
+    ids = folded([f[1] for f in want], 20, rule)
+    for parts in (1, 5):
+        out = packing.pack_files(df.repartition(parts), 20, rule).collect()
+        assert sorted((r.path, r.size_bytes, r.chunk_id) for r in out) == sorted((f[0], f[1], c) for f, c in zip(want, ids, strict=True))
+
+
 def test_packing_nothing(spark):
     empty = spark.createDataFrame([], "path string, size_bytes long")
     assert packing.pack_at_least(empty, 10).count() == 0
