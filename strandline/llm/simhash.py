@@ -38,7 +38,11 @@ def shingle_hashes(text: bytes, shingle_words: int) -> np.ndarray:
 
 def fingerprint(text: bytes, shingle_words: int) -> int:
     """The 64-bit SimHash of a text's word shingles; 0 if it has no words."""
-    hashes = shingle_hashes(text, shingle_words)
+    return common_bits(shingle_hashes(text, shingle_words))
+
+
+def common_bits(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have; 0 if there are none."""
     if not len(hashes):
         return 0
     ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -154,11 +158,13 @@ SEGMENTS = 2 * LONG_WORDS
 FIRST_PIVOTS, PIVOT_GROWTH = 8, 8
 
 
-def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callable[[DataFrame], Table]) -> DataFrame:
+def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callable[[DataFrame], Table],
+                 links: DataFrame | None = None) -> DataFrame:
     """``a, b``: verified pairs of nodes under one value, enough to connect all that any such pair connects.
 
     ``keyed`` has each ``value`` and ``node`` (longs) once, ``nodes`` a row of each node; ``may`` tells of the columns of two, as structs
-    ``a`` and ``b``, whether they can be a pair, and ``verify`` writes the true ones of pairs ``a, b``.
+    ``a`` and ``b``, whether they can be a pair, and ``verify`` writes the true ones of pairs ``a, b``. ``links`` are verified
+    pairs that are known before.
 
     In a round some members of each value, the pivots, meet all others of it; only verified pairs count. Pivots
     have then met everyone and leave; values whose members are all connected are settled. Pivots grow in number
@@ -167,7 +173,7 @@ def linked_pairs(keyed: DataFrame, nodes: DataFrame, may: Column, verify: Callab
     """
     of_value = Window.partitionBy("value")
     held = [written(keyed.withColumn("n", F.count("*").over(of_value)).where("n > 1").drop("n"), "shared")]
-    left, links, pivots = held[0].rows, None, FIRST_PIVOTS
+    left, pivots = held[0].rows, FIRST_PIVOTS
     while not left.isEmpty():
         if links is None:
             rows = left.withColumn("component", F.col("node")).withColumn("near", F.lit(1).cast("long"))
@@ -209,7 +215,7 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
     return linked_pairs(prints.select("node", F.expr(ball)), prints.select("node", "fp"), F.expr(distance) <= bits, lambda pairs: written(pairs, "links"))
 
 
-# Similar documents: shared rare shingles, then exact similarity.
+# Similar documents: linked fingerprints, then shared rare shingles; exact similarity decides either.
 
 #: Shingles are counted in so many cells over one text in so many; the counts only order shingles.
 CELLS, COUNTED = 1 << 18, 8
@@ -259,30 +265,47 @@ def shingle_counts(docs: DataFrame, text_col: str, shingle_words: int) -> np.nda
 
 
 def with_prefixes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
-    """``doc_id, key, node, size, fp, prefix`` for every row: ``node`` is a hash of the text's shingle set, ``size`` its members,
-    ``fp`` its parity map, ``prefix`` the first of its members, rare ones first."""
+    """``doc_id, key, node, size, fp, print, prefix`` for every row: ``node`` is a hash of the text's shingle set, ``size`` its members,
+    ``fp`` its parity map, ``print`` its SimHash, ``prefix`` the first of its members, rare ones first."""
     shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col, shingle_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            nodes, sizes, maps, prefixes = [], [], [], []
+            nodes, sizes, maps, prints, prefixes = [], [], [], [], []
             for text in utf8_list(batch.column(1)):
                 hashes = shingle_set(text, shingle_words)
                 order = np.lexsort((mix64(hashes), counts[(hashes % np.uint64(CELLS)).astype(np.int64)]))
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 sizes.append(len(hashes))
                 maps.append(parity_map(hashes))
+                prints.append(common_bits(hashes))
                 prefixes.append(hashes[order[:prefix_length(len(hashes), similarity)]])
             widths = [PARITY_WORDS] * len(maps), [len(p) for p in prefixes]
             lists = [pa.ListArray.from_arrays(np.r_[0, np.cumsum(w)].astype(np.int32), np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in v)]))
                      for w, v in zip(widths, (maps, prefixes), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), *lists],
-                ["doc_id", "key", "node", "size", "fp", "prefix"])
+                [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists[0],
+                 pa.array(np.array(prints, np.uint64).view(np.int64)), lists[1]],
+                ["doc_id", "key", "node", "size", "fp", "print", "prefix"])
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    return in_small_batches(read).mapInArrow(run, "doc_id long, key long, node long, size int, fp array<long>, prefix array<long>")
+    return in_small_batches(read).mapInArrow(run, "doc_id long, key long, node long, size int, fp array<long>, print long, prefix array<long>")
+
+
+def fingerprint_pairs(nodes: DataFrame, may: Column) -> DataFrame:
+    """``a, b``: pairs of nodes whose SimHash fingerprints differ in at most 2 bits, by multi-index hashing (``linked_fingerprints``), enough
+    to connect all such; without those that ``may`` tells are none."""
+    firsts = write_through(nodes.groupBy("print").agg(F.min("node").alias("first")), "prints")
+    same = nodes.join(firsts, "print").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = linked_fingerprints(firsts.select(F.col("print").alias("fp")))
+    for print_of, c in (("fp", "a"), ("root", "b")):
+        near = near.join(firsts.select(F.col("print").alias(print_of), F.col("first").alias(c)), print_of)
+    pairs = same.union(near.select("a", "b"))
+    for c in "ab":
+        side = nodes.select(F.col("node").alias(f"{c}_node"), F.struct("node", "size", "fp").alias(f"of_{c}"))
+        pairs = pairs.join(side, F.col(c) == F.col(f"{c}_node")).drop(c, f"{c}_node").withColumnRenamed(f"of_{c}", c)
+    return pairs.where(may).select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
 def truly_similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, shingle_words: int, similarity: float) -> Table:
@@ -335,22 +358,26 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``doc_id, key, component, component_id``, one row for every row of ``docs``; as ``near_duplicates``, for texts of a Jaccard
     ``similarity`` (above 0) of their sets of shingle hashes or more.
 
+    SimHash fingerprints of the sets that differ in at most 2 bits are found by multi-index hashing, and those of texts that are similar,
+    compared in full, link them (``fingerprint_pairs``). Fingerprints of less similar texts lie further apart, so shared shingles follow.
     The groups are exact: such texts share one of the first members of their sets, rare ones first (``prefix_length``), and every pair that
     does is compared, by size and parity map and then in full, or connected by others that were (``linked_pairs``).
     Texts without words are alike. Null ids, repeated rows, empty tables and other columns as for ``near_duplicates``.
     """
     prefixes = written(with_prefixes(docs, id_col, text_col, shingle_words, similarity), "prefixes")
     prints = prefixes.rows
-    nodes = write_through(prints.groupBy("node", "size", "fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("key")), "nodes")
+    nodes = write_through(prints.groupBy("node", "size", "fp", "print").agg(F.min("doc_id").alias("least"), F.min("key").alias("key")), "nodes")
     keyed = prints.select("node", "prefix").dropDuplicates(["node"]).select("node", F.explode("prefix").alias("value"))
     # Sets of a similarity s have at most (1 - s) / (1 + s) of their summed sizes in one only.
     apart = " + ".join(f"bit_count(a.fp[{i}] ^ b.fp[{i}])" for i in range(PARITY_WORDS))
     total = F.col("a.size") + F.col("b.size")
     may = ((F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size") - 1e-9)
            & ((1 + similarity) * F.expr(apart) <= (1 - similarity) * total + 1e-9))
-    components = connected_components(linked_pairs(
-        keyed, nodes.select("node", "size", "fp"), may,
-        lambda pairs: truly_similar(pairs, docs, nodes, text_col, shingle_words, similarity)))
+
+    def verify(pairs: DataFrame) -> Table:
+        return truly_similar(pairs, docs, nodes, text_col, shingle_words, similarity)
+    linked = verify(fingerprint_pairs(nodes, may)).rows
+    components = connected_components(linked_pairs(keyed, nodes.select("node", "size", "fp"), may, verify, linked))
     of_node = nodes.join(components, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
     named = of_node.join(smallest, "component").select("node", "component", "component_id")

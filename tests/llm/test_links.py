@@ -233,3 +233,25 @@ def test_groups_are_those_of_exact_similarity(spark):
     found = {r["doc_id"]: r["component_id"] for r in
              simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert found == brute_components(range(len(rows)), links)
+
+
+def test_near_copies_are_linked_by_their_fingerprints_first(spark, monkeypatch):
+    """Links that are known before shared shingles are looked at: near fingerprints of similar texts, no others."""
+    draw = np.random.default_rng(31)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 4000, 900)) for _ in range(6)]
+    copies = [f"{t} {t.split()[0]}" for t in texts[:4]]
+    halves = [" ".join(t.split()[:450]) for t in texts]
+    rows = list(enumerate([*texts, *copies, *halves, "", None]))
+    known = []
+
+    def only_known(keyed, nodes, may, verify, links):
+        known.append(links.count())
+        return links
+    monkeypatch.setattr(simhash, "linked_pairs", only_known)
+    found = {r.doc_id: r.component_id for r in
+             simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    prints = [simhash.common_bits(simhash.shingle_set((t or "").encode(), 5)) for _, t in rows]
+    near = [i for i in range(4) if (prints[i] ^ prints[6 + i]).bit_count() <= 2]
+    assert near and known == [len(near)]
+    want = {i: i for i, _ in rows} | {6 + i: i for i in near} | {len(rows) - 1: len(rows) - 2}
+    assert found == want
