@@ -137,7 +137,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     wanted = [x.strip() for x in keep.split(",") if x.strip()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = load(path), kept(("bpe", path), dict)
+        vocabulary, known = kept(("bpe", path), lambda: (load(path), {}))
         for batch in batches:
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), 500):

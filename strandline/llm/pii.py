@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import carried, in_small_batches, rows_to_read, schema_with, text_list
+from .text import carried, in_small_batches, let_go, rows_to_read, schema_with, text_list
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Outside, then begin and inside of each kind.
@@ -24,6 +24,8 @@ IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
+#: Characters of the texts that are decoded at once.
+CHARS = 4_000_000
 
 
 def luhn(digits: str) -> bool:
@@ -373,11 +375,12 @@ def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no spans; a null id stays null; equal rows give equal rows; other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         decoder = Decoder(crf)
         for batch in batches:
             texts = text_list(batch.column(1))
-            for first in range(0, len(texts), batch_docs):
-                part = texts[first:first + batch_docs]
+            for first, end in _parts(texts, batch_docs):
+                part = texts[first:end]
                 base = [base_spans(t) if "@" in t or DIGIT.search(t) else [] for t in part]
                 words: list[str] = []
                 where, lengths = [], []
@@ -410,6 +413,18 @@ def find(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "tex
     return in_small_batches(read).mapInArrow(run, schema)
 
 
+def _parts(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``most`` texts and ``CHARS`` characters, or of one longer text: first text, end."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        if i > first and (i - first == most or held + len(text) > CHARS):
+            yield first, i
+            first, held = i, 0
+        held += len(text)
+    if texts:
+        yield first, len(texts)
+
+
 def _written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import write_through
 from .components import connected_components
 from .tables import Table, written
-from .text import in_small_batches, mix64, utf8_list
+from .text import in_small_batches, let_go, mix64, utf8_list
 
 SEED = 42
 
@@ -52,6 +52,7 @@ def common_bits(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """``doc_id, key, fp`` (signed longs) for every row; ``key`` is a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = np.array([fingerprint(t, shingle_words) for t in utf8_list(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))],

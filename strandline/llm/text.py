@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -33,11 +34,19 @@ def kept(key: tuple, make: Callable[[], object]):
     So a worker that serves the stages of a pipeline one after another holds the memory of one of them.
     """
     if not _KEPT or _KEPT[0][0] != key:
-        _KEPT.clear()
+        let_go()
         _KEPT.append((key, make()))
     return _KEPT[0][1]
 
 
+def let_go() -> None:
+    """Drop what the worker keeps, and hand the memory that is free in the process back to the system."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library
+        trim(0)
+
+
 def forget_others(known: dict, wanted: Iterable[str]) -> None:
     """Leave in ``known`` only what is wanted now, which has the frequent ones."""
     stay = {w: known[w] for w in wanted if w in known}

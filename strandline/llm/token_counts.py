@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     are not read. Texts are counted whole, whatever their length.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = load(path), kept(("counts", path), dict)
+        vocabulary, known = kept(("counts", path), lambda: (load(path), {}))
         for batch in batches:
             texts = text_list(batch.column(1))
             n_tokens = []

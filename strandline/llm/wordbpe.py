@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import regex
@@ -56,7 +55,7 @@ class PairTable:
 
 @dataclass
 class WordBpe:
-    """A vocabulary file of the tokenizers library, loaded once per worker."""
+    """A vocabulary file of the tokenizers library."""
 
     tokenizer: object
     tokens: list[str]
@@ -128,7 +127,6 @@ class WordBpe:
         return flat, ends
 
 
-@lru_cache(maxsize=4)
 def load(path: str) -> WordBpe:
     """The vocabulary at ``path``, which must have a word-end suffix and merges that follow what they merge."""
     from tokenizers import Tokenizer

@@ -8,9 +8,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from strandline.llm import langid, lm, pii, quality, topk
+from strandline.llm import langid, lm, pii, quality, text, topk
 from strandline.llm.text import fold
 from tests.llm.conftest import ROWS
 
@@ -323,6 +324,23 @@ def test_personal_data_of_odd_rows(odd, none, field):
     assert pii.fit(pii.labelled_table(none)).names == {}
 
 
+def test_finding_drops_what_other_operators_keep_and_decodes_bounded_parts(spark, field, monkeypatch):
+    texts, tasks, decoded = ["mail a@b.org now " * 50] * 10 + ["word " * 3000, "", None, "ip 10.0.0.1"], [], []
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [tuple(r) for r in pii.find(docs, field).orderBy("doc_id").collect()]
+    decode = pii.Decoder.decode
+    monkeypatch.setattr(pii.Decoder, "decode", lambda self, words, lengths: decoded.append(words) or decode(self, words, lengths))
+    monkeypatch.setattr(pii, "CHARS", 2000, raising=False)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    pii.find(docs, field)
+    text.kept(("another operator",), list)
+    rows = [tuple(r.values()) for b in tasks[0](iter([pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])]))
+            for r in b.to_pylist()]
+    assert rows == want
+    assert not text._KEPT
+    assert max(len(" ".join(w)) for w in decoded if w != ["word"] * 3000) <= 2000
+
+
 def test_decoding_is_the_best_path():
     draw = np.random.default_rng(9)
     n = len(pii.LABELS)
