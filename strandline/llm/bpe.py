@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .text import forget_others, in_small_batches, kept, rows_to_read, schema_with, text_list
-from .wordbpe import WordBpe, load
+from .wordbpe import WordBpe, read_file
 
 #: Units whose ids a worker remembers before it starts afresh.
 REMEMBERED = 400_000
@@ -137,7 +137,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     wanted = [x.strip() for x in keep.split(",") if x.strip()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = kept(("bpe", path), lambda: (load(path), {}))
+        vocabulary, known = kept(("bpe", path), lambda: (read_file(path), {}))
         for batch in batches:
             texts = text_list(batch.column(1))
             for first in range(0, len(texts), 500):

@@ -10,7 +10,8 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import rangecoder
-from .text import forget_others, in_small_batches, kept, text_list
+from .text import in_small_batches, kept, text_list
 from .wordbpe import spelling
 
 #: Ids after which a group ends, with the document that reaches them.
@@ -30,10 +31,15 @@ TEXTS = 4_000
 SCHEMA = "part int, number int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 #: A single space between other characters: a pre-token begins with it, and none crosses it.
 SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A word of settled letters, and the signs behind it, which are pre-tokens of their own.
-WORD = re.compile(r"( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-;=-@\[-`{-~]*)")
+LETTERS, SIGNS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-&(-/:-;=-@\[-`{-~]+"
+#: A word of settled letters and the signs behind it, also over lines; its words, signs and ends of lines are pre-tokens of their own.
+LINES = re.compile(rf"{LETTERS}(?:{SIGNS})?(?:\n{LETTERS}(?:{SIGNS})?)*")
+PARTS = re.compile(rf"{LETTERS}|{SIGNS}|\n")
 #: How the vocabulary spells the bytes of a pre-token.
-SPELLING = spelling() | {0x20: "Ġ"}
+SPELLING = spelling()
+SPACED = "Ġ"
+#: Instead of a unit's number.
+UNSURE = -1
 #: White space that a unit must neither begin nor end with.
 WHITE = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
 
@@ -43,7 +49,7 @@ class UnitEncoder:
 
     The library's byte-level pattern begins a pre-token with a single space between other characters, so what lies
     between such spaces has ids of its own. Texts are cut at all spaces; where a piece is empty, or begins or ends with white space,
-    the cut was not between other characters, and its text is cut with care.
+    the cut was not between other characters, and its text is cut with care. Units are numbered; their ids stand one after another.
     """
 
     def __init__(self, path: str):
@@ -51,76 +57,119 @@ class UnitEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
-    def _words(self, words: list[str]) -> None:
-        """One pre-token each, so the library's model takes them as they are spelled."""
-        tokenize = self.tokenizer.model.tokenize
-        for word in words:
-            tokens = tokenize(word.encode().decode("latin-1").translate(SPELLING))
-            self.known[word] = array("H", [t.id for t in tokens]).tobytes()
+    def forget(self) -> None:
+        self.behind: dict[str, int] = {}  # pieces behind a space, without it; UNSURE where the cut may not be right
+        self.units: dict[str, int] = {}  # other units, as they stand in a text
+        self.ids, self.ends = array("H"), array("q", [0])
+
+    def _numbers(self, ids: np.ndarray | list[int], lengths: np.ndarray | list[int]) -> range:
+        """The numbers of units whose ids stand one after another in ``ids``."""
+        begin = len(self.ends) - 1
+        self.ends.frombytes((self.ends[-1] + np.cumsum(lengths, dtype=np.int64)).tobytes())
+        self.ids.frombytes(np.asarray(ids, np.uint16).tobytes())
+        return range(begin, len(self.ends) - 1)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after another, and how many each has."""
+        bounds, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.uint16)
+        starts = bounds[numbers]
+        lengths = bounds[numbers + 1] - starts
+        ends = np.cumsum(lengths)
+        return ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)], lengths
 
-    def _library(self, units: list[str]) -> None:
+    def _library(self, units: list[str]) -> Iterator[int]:
+        """The numbers of units that the library encodes."""
         for first in range(0, len(units), 10_000):
-            part = units[first:first + 10_000]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[unit] = array("H", found.ids).tobytes()
-
-    def ids_of(self, units: list[str]) -> list[bytes]:
-        """The ids of different units, as they stand in a text, as unsigned 16-bit integers."""
-        new = [u for u in units if u not in self.known]
-        if len(self.known) + 2 * len(new) > REMEMBERED:
-            forget_others(self.known, units)
-        found = [(u, *m.groups()) for u in new if (m := WORD.fullmatch(u))]
-        self._words(list({w for _, w, _ in found if w not in self.known}))
-        others = {s for _, _, s in found if s}.union(set(new).difference(u for u, _, _ in found))
-        self._library([u for u in others if u not in self.known])
-        for unit, word, signs in found:
-            if signs:
-                self.known[unit] = self.known[word] + self.known[signs]
-        return [self.known[u] for u in units]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(units[first:first + 10_000], add_special_tokens=False)]
+            yield from self._numbers(list(chain.from_iterable(found)), list(map(len, found)))
+
+    def _learn_units(self, units: Iterable[str]) -> None:
+        new = list(set(units).difference(self.units))
+        self.units.update(zip(new, self._library(new), strict=True))
+
+    def _learn_words(self, known: dict[str, int], words: Iterable[str], before: str = "") -> None:
+        """One pre-token each, so the library's model takes them as they are spelled."""
+        tokenize, words = self.tokenizer.model.tokenize, list(set(words).difference(known))
+        for first in range(0, len(words), 50_000):
+            part = words[first:first + 50_000]
+            spelled = " ".join(part).encode().decode("latin-1").translate(SPELLING).split(" ")
+            ids, lengths = [], []
+            for spelling in spelled:
+                found = tokenize(before + spelling)
+                lengths.append(len(found))
+                ids += [t.id for t in found]
+            known.update(zip(part, self._numbers(ids, lengths), strict=True))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Pieces behind a space; words, signs behind them and lines of these are put together from their pre-tokens."""
+        words, starts, signs, joined, others = [], [], [], [], []
+        for piece in pieces:
+            if piece.isalpha() and piece.isascii():
+                words.append(piece)
+            elif not piece or piece[0] in WHITE or piece[-1] in WHITE:
+                self.behind[piece] = UNSURE
+            elif LINES.fullmatch(piece):
+                word, *rest = PARTS.findall(piece)
+                words.append(word)
+                if rest:
+                    joined.append(piece)
+                    starts += [x for x in rest if x[0].isalpha()]
+                    signs += [x for x in rest if not x[0].isalpha()]
+            else:
+                others.append(piece)
+        self._learn_words(self.behind, words, SPACED)
+        self._learn_words(self.units, starts)
+        self._learn_units(signs)
+        self.behind.update(zip(others, self._library([" " + p for p in others]), strict=True))
+        if joined:
+            numbers, counts = [], []
+            for piece in joined:
+                word, *rest = PARTS.findall(piece)
+                numbers.append(self.behind[word])
+                numbers += [self.units[x] for x in rest]
+                counts.append(1 + len(rest))
+            ids, lengths = self._gather(np.array(numbers))
+            self.behind.update(zip(joined, self._numbers(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if not texts:
             return []
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        offsets = parts.offsets.to_numpy()
-        cells = parts.flatten().dictionary_encode()
-        place, pieces = cells.indices.to_numpy(), cells.dictionary.to_pylist()
-        odd = np.array([not p or p[0] in WHITE or p[-1] in WHITE for p in pieces], bool)[place]
-        careful = np.flatnonzero(np.add.reduceat(odd, offsets[:-1]) > 0).tolist()
-        sides = {t: SPACE.split(texts[t]) for t in careful}
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = cut.offsets.to_numpy()
+        cells = cut.flatten().dictionary_encode()
+        place, pieces = cells.indices.to_numpy(), cells.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = [pieces[i] for i in place[offsets[:-1]].tolist()]
-        wanted = [" " + p for p in pieces]
-        more = {f for f in firsts if f} | {x for s in sides.values() for x in (s[0], *(" " + p for p in s[1:])) if x}
-        more = list(more)
-        coded = self.ids_of([*wanted, *more])  # a first piece has no space before it
-        own = {u: i for i, u in enumerate(more, len(wanted))}
+        numbers = list(map(self.behind.get, pieces))
+        new = [p for p, n in zip(pieces, numbers, strict=True) if n is None]
+        if len(self.behind) + len(self.units) + 2 * len(new) > REMEMBERED:
+            self.forget()
+            new, numbers = pieces, [None] * len(pieces)
+        self._learn(new)
+        place = np.array([self.behind[p] if n is None else n for p, n in zip(pieces, numbers, strict=True)], np.int64)[place]
+        careful = np.flatnonzero(np.logical_or.reduceat(place == UNSURE, offsets[:-1])).tolist()
+        sides = {t: [x for x in _with_spaces(SPACE.split(texts[t])) if x] for t in careful}
+        normal = [t for t in range(len(texts)) if t not in sides]
+        self._learn_units(chain((firsts[t] for t in normal), chain.from_iterable(sides.values())))
+        place[offsets[normal]] = [self.units[firsts[t]] for t in normal]  # a first piece has no space before it
         if sides:
-            own = {u: i for i, u in enumerate(wanted)} | own
-            chosen = [[own[x] for x in (s[0], *(" " + p for p in s[1:])) if x] for s in sides.values()]
             split = np.split(place, offsets[1:-1])
-            for t, c in zip(careful, chosen, strict=True):
-                split[t] = np.array(c, place.dtype)
-            normal = [t for t in range(len(texts)) if t not in sides]
+            for t, units in sides.items():
+                split[t] = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
             place = np.concatenate(split)
             offsets = np.r_[0, np.cumsum([len(s) for s in split])]
-        else:
-            normal = range(len(texts))
-        place = place.astype(np.int64)
-        for t in normal:
-            place[offsets[t]] = own[firsts[t]]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 2
-        starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(coded), "<u2")
-        each = lengths[place]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat(starts[place] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.r_[0, ends][offsets]
+        ids, lengths = self._gather(place)
+        bounds = np.r_[0, np.cumsum(lengths)][offsets]
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
+def _with_spaces(cut: list[str]) -> Iterator[str]:
+    yield cut[0]
+    yield from (" " + p for p in cut[1:])
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], int]]:
     """Ids and texts of about ``TEXTS`` rows at a time, and the part they are of."""
     keys, texts, part = [], [], 0

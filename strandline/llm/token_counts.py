@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .text import forget_others, in_small_batches, kept, text_list
-from .wordbpe import NO_RANK, WordBpe, load
+from .wordbpe import NO_RANK, WordBpe, read_file
 
 #: Units whose counts a worker remembers before it starts afresh.
 REMEMBERED = 500_000
@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     are not read. Texts are counted whole, whatever their length.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = kept(("counts", path), lambda: (load(path), {}))
+        vocabulary, known = kept(("counts", path), lambda: (read_file(path), {}))
         for batch in batches:
             texts = text_list(batch.column(1))
             n_tokens = []

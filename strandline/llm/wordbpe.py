@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -127,7 +128,7 @@ class WordBpe:
         return flat, ends
 
 
-def load(path: str) -> WordBpe:
+def read_file(path: str) -> WordBpe:
     """The vocabulary at ``path``, which must have a word-end suffix and merges that follow what they merge."""
     from tokenizers import Tokenizer
 
@@ -151,6 +152,9 @@ def load(path: str) -> WordBpe:
                    PairTable(left, right, np.arange(len(merged))), merged, spelling())
 
 
+load = lru_cache(maxsize=4)(read_file)
+
+
 def spelling() -> dict[int, str]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as U+0100 onwards."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

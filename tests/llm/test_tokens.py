@@ -61,6 +61,26 @@ def test_any_text(text):
     assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_lines_of_words_are_put_together_from_pretokens():
+    encoder, asked = idfiles.UnitEncoder(BYTE), []
+
+    class Library:
+        model = encoder.tokenizer.model
+
+        def encode_batch_fast(self, units, **kwargs):
+            asked.extend(units)
+            return library.encode_batch_fast(units, **kwargs)
+
+    library, encoder.tokenizer = encoder.tokenizer, Library()
+    texts = ["One by.\nThen $$two, three!!\nÉtat\nfour", "1 bye.\nNow two's x\n\ny three?? <|endoftext|>a.\nb c\n", "", "by.\nThen"]
+    for _ in range(2):
+        asked.clear()
+        found = encoder.encode(texts)
+        assert [f.tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert " three!!\nÉtat\nfour" not in asked and " by.\nThen" not in asked
+    assert not asked
+
+
 @pytest.mark.parametrize("word", ["a" * 3000, "ab" * 1500, "abc" * 700 + "z", "th" * 5 + "in" * 9])
 def test_both_ways_of_merging_agree(word):
     vocabulary = wordbpe.load(WORD)
