@@ -218,8 +218,8 @@ def similar_pairs(prints: DataFrame, bits: int) -> DataFrame:
 
 # Similar documents: linked fingerprints, then shared rare shingles; exact similarity decides either.
 
-#: Shingles are counted in so many cells over one text in so many; the counts only order shingles.
-CELLS, COUNTED = 1 << 18, 8
+#: Shingles are counted in so many cells; the counts only order shingles.
+CELLS = 1 << 18
 #: 64-bit words of a parity map of a text's shingles, and bits of the filter of texts whose shingles are wanted.
 PARITY_WORDS, WANTED_BITS = 8, 1 << 20
 
@@ -241,7 +241,7 @@ def parity_map(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, text_col: str, shingle_words: int) -> np.ndarray:
-    """How often shingles fall in each of ``CELLS`` cells, over a part of the texts; tasks send their cells."""
+    """How often shingles fall in each of ``CELLS`` cells, over all texts; tasks send their cells."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
@@ -259,7 +259,7 @@ def shingle_counts(docs: DataFrame, text_col: str, shingle_words: int) -> np.nda
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["counts"])
 
-    read = docs.select(F.col(text_col).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(COUNTED)) == 0)
+    read = docs.select(F.col(text_col).alias("text"))
     partial = in_small_batches(read).mapInArrow(count, "counts binary")
     merged = partial.repartition(8).mapInArrow(add, "counts binary").collect()  # bounded: eight tables of cells
     return sum((np.frombuffer(r["counts"], np.int64) for r in merged), np.zeros(CELLS, np.int64))

@@ -255,3 +255,11 @@ def test_near_copies_are_linked_by_their_fingerprints_first(spark, monkeypatch):
     assert near and known == [len(near)]
     want = {i: i for i, _ in rows} | {6 + i: i for i in near} | {len(rows) - 1: len(rows) - 2}
     assert found == want
+
+
+def test_shingles_of_all_texts_are_counted(odd):
+    expected = np.zeros(simhash.CELLS, np.int64)
+    for _, text in ROWS:
+        cells = (simhash.shingle_set((text or "").encode(), 5) % np.uint64(simhash.CELLS)).astype(np.int64)
+        np.add.at(expected, cells, 1)
+    assert (simhash.shingle_counts(odd, "text", 5) == expected).all()
