@@ -218,6 +218,74 @@ def test_top_k_of_nothing(spark):
     assert topk.top_k(spark.createDataFrame([(100, [1.0])], "vec_id long, embedding array<float>")).collect() == []
 
 
+def shuffled_bytes(node):
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_bytes(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_bytes(node.plan())
+    own = node.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_bytes(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_top_k_does_not_copy_rows_for_each_block_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    draw = np.random.default_rng(9)
+    vectors = draw.normal(size=(2000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = topk.top_k(table, every=4, k=1)
+        rows = sorted((r["query_id"], r["vec_id"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scaled = np.floor(vectors * 1024).astype(int)
+    scores = scaled[::4] @ scaled.T
+    scores[np.arange(500), np.arange(0, 2000, 4)] = topk.LOWEST
+    assert rows == list(zip(range(0, 2000, 4), scores.argmax(1).tolist(), strict=True))
+    # 2,000 rows once, 500 queries for each of 32 groups, and what each finds there: 1.5 MB, where pairs of blocks were 13
+    assert 0 < shuffled_bytes(found._jdf.queryExecution().executedPlan()) < 4_000_000
+
+
+def test_top_k_of_many_ties_in_several_chunks(spark):
+    draw = np.random.default_rng(10)
+    vectors = draw.integers(-2, 3, size=(5000, 3)).astype(float)
+    vectors[draw.choice(5000, 1500, replace=False)] = [2.0, 1.0, -2.0]
+    ids = draw.integers(0, 4000, 5000)
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<float>")
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(table.repartition(3), every=7, k=4).collect())
+    scaled = np.floor(vectors * 1024).astype(int)
+    expected = []
+    for q in np.flatnonzero(ids % 7 == 0):
+        scores = scaled @ scaled[q]
+        order = [c for c in np.lexsort((ids, -scores)) if c != q][:4]
+        expected += [(int(ids[q]), r, int(ids[c]), int(scores[c])) for r, c in enumerate(order, 1)]
+    assert found == sorted(expected)
+
+
+def test_chunks_that_bounds_exclude_are_not_evaluated(monkeypatch):
+    draw = np.random.default_rng(12)
+    centres = draw.normal(size=(8, 16))
+    vectors = np.floor(1024 * np.concatenate([c / np.linalg.norm(c) + 0.02 * draw.normal(size=(3000, 16)) for c in centres])).astype(np.int16)
+    vectors = vectors[draw.permutation(len(vectors))]
+    numbers = np.arange(len(vectors))
+    chosen = vectors[:32].astype(np.int64)
+    most = float(np.sqrt((vectors.astype(float) ** 2).sum(1).max())) + 1
+    evaluated, products = [], topk.products
+    monkeypatch.setattr(topk, "products", lambda v, q, m: evaluated.append(len(v) * len(q)) or products(v, q, m))
+    queries = vectors[:100].astype(np.int64)
+    held = topk.Rows(numbers, numbers, vectors, 1024, chosen, most, True)
+    least = np.partition(queries @ vectors[100:1100].astype(np.int64).T, -5, axis=1)[:, -5]
+    query, ids, scores = held.search(queries, numbers[:100], topk.distances(queries, chosen, most, False), least, 5).found()
+    whole = queries @ vectors.astype(np.int64).T
+    whole[np.arange(100), np.arange(100)] = topk.LOWEST
+    best = [np.lexsort((numbers, ~s))[:5] for s in whole]
+    assert ids.reshape(100, 5).tolist() == [b.tolist() for b in best] and query.tolist() == np.repeat(np.arange(100), 5).tolist()
+    assert scores.reshape(100, 5).tolist() == [s[b].tolist() for s, b in zip(whole, best, strict=True)]
+    assert sum(evaluated) < 0.5 * whole.size
+
+
 # language model
 
 def test_base_scores_equal_brute_force(odd):
